@@ -160,12 +160,14 @@ def apply_reorder(tasks: DataFrame, reorders: DataFrame) -> DataFrame:
 
     Unknown ids are skipped but use up their index; a repeated id keeps its
     last index; unlisted tasks keep their order.  Several reorders of one user
-    apply in ``ts`` order, so the latest one that lists an id wins.
+    apply in (``ts``, ``reorder_id``) order, so the latest one that lists an id
+    wins.
     """
+    tie = ["reorder_id"] if "reorder_id" in reorders.columns else []
     listed = (
-        reorders.select("user_id", "ts", F.posexplode("ordered_ids").alias("__i", "id"))
+        reorders.select("user_id", "ts", *tie, F.posexplode("ordered_ids").alias("__i", "id"))
         .groupBy("user_id", "id")
-        .agg(F.max(F.struct("ts", "__i"))["__i"].alias("__new"))
+        .agg(F.max(F.struct("ts", *tie, "__i"))["__i"].alias("__new"))
     )
     return (
         tasks.join(listed, ["user_id", "id"], "left")

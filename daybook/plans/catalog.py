@@ -396,3 +396,205 @@ FROM c LEFT JOIN p ON p.user_id = c.user_id""",
 def q_kickoff(fx: Fixtures) -> DataFrame:
     """A5: morning kickoff prompts."""
     return R.kickoff(fx.tasks())
+
+
+@register(
+    "apply_reorder",
+    duckdb_with(
+        ["fx_tasks", "fx_reorders"],
+        """, l AS (
+  SELECT user_id, id, max(struct_pack(ts := ts, rid := reorder_id, i := i)).i AS new_ord
+  FROM (SELECT user_id, ts, reorder_id, unnest(ordered_ids) AS id,
+               unnest(generate_series(0, len(ordered_ids) - 1)) AS i FROM fx_reorders)
+  GROUP BY user_id, id)
+SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done, coalesce(l.new_ord, t.ord) AS ord,
+       t.array_pos, t.created_at, t.completed_at
+FROM fx_tasks t LEFT JOIN l ON l.user_id = t.user_id AND l.id = t.id""",
+    ),
+)
+def q_apply_reorder(fx: Fixtures) -> DataFrame:
+    """O3: orders after the reorder calls."""
+    return T.apply_reorder(fx.tasks(), fx.reorders())
+
+
+@register(
+    "move_item",
+    duckdb_with(
+        ["fx_tasks", "fx_moves"],
+        """, p AS (
+  SELECT user_id, id, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(ord, array_pos), array_pos) - 1 AS pos
+  FROM fx_tasks WHERE NOT done),
+mv AS (
+  SELECT m.user_id, m.drag_id, f.pos AS f, t.pos AS t
+  FROM fx_moves m JOIN p f ON f.user_id = m.user_id AND f.id = m.drag_id
+                  JOIN p t ON t.user_id = m.user_id AND t.id = m.over_id
+  WHERE m.drag_id <> m.over_id),
+np AS (
+  SELECT p.user_id, p.id,
+         CASE WHEN p.id = mv.drag_id THEN mv.t
+              WHEN mv.f < mv.t AND p.pos > mv.f AND p.pos <= mv.t THEN p.pos - 1
+              WHEN mv.f > mv.t AND p.pos >= mv.t AND p.pos < mv.f THEN p.pos + 1
+              ELSE p.pos END AS new_ord
+  FROM p JOIN mv ON mv.user_id = p.user_id)
+SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done, coalesce(np.new_ord, t.ord) AS ord,
+       t.array_pos, t.created_at, t.completed_at
+FROM fx_tasks t LEFT JOIN np ON np.user_id = t.user_id AND np.id = t.id""",
+    ),
+)
+def q_move_item(fx: Fixtures) -> DataFrame:
+    """Orders after one drag per user within the pending list."""
+    return T.move_item(fx.tasks(), fx.moves())
+
+
+@register(
+    "new_sessions",
+    duckdb_with(
+        ["fx_raw_sessions"],
+        f"""SELECT user_id, id, task_id, task_title, duration_minutes, coalesce(reflection, '') AS reflection,
+       coalesce(interrupted, false) AS interrupted, CAST(TIMESTAMP '{NOW}' AS DATE) AS date,
+       TIMESTAMP '{NOW}' AS completed_at
+FROM fx_raw_sessions""",
+    ),
+)
+def q_new_sessions(fx: Fixtures) -> DataFrame:
+    """Logged sessions with defaults at NOW."""
+    return S.new_sessions(fx.raw_sessions(), _ts(NOW))
+
+
+# ------------------------------------------------------------ notes
+
+_NOTES = "(SELECT *, created_at AS updated_at FROM fx_notes)"
+
+
+@register(
+    "new_notes",
+    duckdb_with(
+        ["fx_raw_notes"],
+        f"""SELECT user_id, id, {duck_trim('content')} AS content, CAST(NULL AS VARCHAR) AS task_id,
+       CAST(NULL AS VARCHAR) AS summary, TIMESTAMP '{NOW}' AS created_at, TIMESTAMP '{NOW}' AS updated_at
+FROM fx_raw_notes WHERE {duck_trim('content')} <> ''""",
+    ),
+)
+def q_new_notes(fx: Fixtures) -> DataFrame:
+    """Added notes validated at NOW."""
+    return N.new_notes(fx.raw_notes(), _ts(NOW))
+
+
+@register(
+    "note_list",
+    duckdb_with(
+        ["fx_notes"],
+        f"""SELECT user_id, id,
+       row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, id) - 1 AS list_pos,
+       CASE WHEN d < 60 THEN 'just now'
+            WHEN d < 3600 THEN CAST(floor(d / 60) AS BIGINT) || 'm ago'
+            WHEN d < 86400 THEN CAST(floor(d / 3600) AS BIGINT) || 'h ago'
+            ELSE CAST(floor(d / 86400) AS BIGINT) || 'd ago' END AS age
+FROM (SELECT *, floor((epoch_us(TIMESTAMP '{NOTES_AS_OF}') - epoch_us(created_at)) / 1000000) AS d FROM fx_notes)""",
+    ),
+)
+def q_note_list(fx: Fixtures) -> DataFrame:
+    """O5 + P11: notes newest first with their age at NOTES_AS_OF."""
+    return N.note_list(fx.notes(), _ts(NOTES_AS_OF))
+
+
+@register(
+    "search_notes",
+    duckdb_with(
+        ["fx_notes"],
+        f"""SELECT user_id, id FROM fx_notes WHERE contains(lower(content), lower({sql_str(SEARCH_TEXT)}))""",
+    ),
+)
+def q_search_notes(fx: Fixtures) -> DataFrame:
+    """Literal case-insensitive search for SEARCH_TEXT."""
+    return N.search_notes(fx.notes(), SEARCH_TEXT).select("user_id", "id")
+
+
+@register(
+    "note_counts",
+    duckdb_with(["fx_notes"], "SELECT user_id, count(*) AS notes FROM fx_notes GROUP BY user_id"),
+)
+def q_note_counts(fx: Fixtures) -> DataFrame:
+    """A3: notes per user."""
+    return S.note_counts(fx.notes())
+
+
+@register(
+    "apply_note_changes",
+    duckdb_with(
+        ["fx_notes", "fx_note_changes"],
+        f""", c AS (
+  SELECT user_id, note_id,
+         max(CASE WHEN set_content THEN struct_pack(ts := ts, cid := change_id, v := content) END) AS c,
+         max(CASE WHEN set_summary THEN struct_pack(ts := ts, cid := change_id, v := summary) END) AS s,
+         max(ts) AS upd
+  FROM fx_note_changes WHERE op = 'update' GROUP BY user_id, note_id)
+SELECT n.user_id, n.id,
+       CASE WHEN c.c IS NOT NULL THEN c.c.v ELSE n.content END AS content,
+       n.task_id,
+       CASE WHEN c.s IS NOT NULL THEN c.s.v ELSE n.summary END AS summary,
+       n.created_at, coalesce(c.upd, n.updated_at) AS updated_at
+FROM {_NOTES} n LEFT JOIN c ON c.user_id = n.user_id AND c.note_id = n.id
+WHERE NOT EXISTS (SELECT 1 FROM fx_note_changes d
+                  WHERE d.op = 'delete' AND d.user_id = n.user_id AND d.note_id = n.id)""",
+    ),
+)
+def q_apply_note_changes(fx: Fixtures) -> DataFrame:
+    """M3 + M2: notes after the change log."""
+    return N.apply_note_changes(fx.notes(), fx.note_changes())
+
+
+_BLOCKS = f"""b AS (
+  SELECT user_id, note_id, line_no, line,
+         CASE WHEN {duck_trim('line')} = '' THEN 'blank'
+              WHEN starts_with(line, '### ') THEN 'h3'
+              WHEN starts_with(line, '## ') THEN 'h2'
+              WHEN starts_with(line, '# ') THEN 'h1'
+              WHEN regexp_matches(line, '^[-*] ') THEN 'bullet'
+              WHEN regexp_matches(line, '^[0-9]+\\. ') THEN 'numbered'
+              ELSE 'line' END AS kind
+  FROM (SELECT user_id, id AS note_id, unnest(string_split(content, chr(10))) AS line,
+               unnest(generate_series(0, len(string_split(content, chr(10))) - 1)) AS line_no
+        FROM fx_notes)),
+blocks AS (
+  SELECT user_id, note_id, line_no, kind,
+         CASE kind WHEN 'blank' THEN '' WHEN 'h3' THEN substr(line, 5) WHEN 'h2' THEN substr(line, 4)
+                   WHEN 'h1' THEN substr(line, 3) WHEN 'bullet' THEN substr(line, 3) ELSE line END AS text
+  FROM b)"""
+
+
+@register("note_blocks", duckdb_with(["fx_notes"], f", {_BLOCKS}\nSELECT * FROM blocks"))
+def q_note_blocks(fx: Fixtures) -> DataFrame:
+    """Markdown blocks of every note."""
+    return N.note_blocks(fx.notes())
+
+
+def _duck_spans(src: str, keys: str, pattern: str, italic: bool) -> str:
+    it = "WHEN starts_with(piece, '_') AND ends_with(piece, '_') THEN 'italic'" if italic else ""
+    return f"""pieces AS (
+  SELECT {keys}, unnest(regexp_split_to_array(text, '{pattern}')) AS piece,
+         unnest(generate_series(0, len(regexp_split_to_array(text, '{pattern}')) - 1)) * 2 AS span_no
+  FROM {src} WHERE kind <> 'blank'
+  UNION ALL
+  SELECT {keys}, unnest(regexp_extract_all(text, '{pattern}')) AS piece,
+         unnest(generate_series(0, len(regexp_extract_all(text, '{pattern}')) - 1)) * 2 + 1 AS span_no
+  FROM {src} WHERE kind <> 'blank'),
+kinds AS (
+  SELECT *, CASE WHEN starts_with(piece, '**') AND ends_with(piece, '**') THEN 'bold' {it} END AS kind
+  FROM pieces)
+SELECT {keys}, span_no, kind,
+       CASE WHEN kind = 'bold' THEN (CASE WHEN length(piece) >= 4 THEN substr(piece, 3, length(piece) - 4) ELSE '' END)
+            ELSE (CASE WHEN length(piece) >= 2 THEN substr(piece, 2, length(piece) - 2) ELSE '' END) END AS text
+FROM kinds WHERE kind IS NOT NULL"""
+
+
+@register(
+    "note_spans",
+    duckdb_with(
+        ["fx_notes"],
+        f", {_BLOCKS},\n" + _duck_spans("blocks", "user_id, note_id, line_no", N.NOTE_INLINE, True),
+    ),
+)
+def q_note_spans(fx: Fixtures) -> DataFrame:
+    """Bold and italic spans of every note block."""
+    return N.note_spans(N.note_blocks(fx.notes()))

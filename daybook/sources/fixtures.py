@@ -85,10 +85,41 @@ SELECT o_custkey AS user_id,
             WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '\u2028\u00a0' 
             ELSE concat('Renamed ', CAST(o_orderkey AS STRING)) END AS raw_title
 FROM {orders}""",
+    "fx_raw_notes": """
+SELECT doc_id % 150 AS user_id,
+       concat('m', CAST(doc_id AS STRING)) AS id,
+       CASE WHEN n_chars < 40 THEN '\u00a0\n \u3000' ELSE concat('\ufeff ', text, '\n') END AS content
+FROM {documents}""",
+    "fx_note_changes": """
+SELECT d.doc_id % 150 AS user_id, e.event_id AS change_id, e.ts,
+       concat('n', CAST(d.doc_id AS STRING)) AS note_id,
+       CASE WHEN e.event_type = 'error' AND e.event_id % 5 = 0 THEN 'delete' ELSE 'update' END AS op,
+       e.event_type = 'view' AS set_content,
+       CASE WHEN e.event_type = 'view' THEN concat('## Edited ', CAST(e.event_id AS STRING)) END AS content,
+       e.event_type IN ('click', 'purchase') AS set_summary,
+       CASE WHEN e.event_type = 'click' THEN concat('- ', e.props) END AS summary
+FROM {events} e JOIN {documents} d ON d.doc_id = (e.event_id * 13) % 1000""",
+    "fx_moves": """
+SELECT o_custkey AS user_id, max(o_orderdate) AS ts,
+       concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN max(o_orderkey) ELSE min(o_orderkey) END AS STRING)) AS drag_id,
+       concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN min(o_orderkey) ELSE max(o_orderkey) END AS STRING)) AS over_id
+FROM {orders} GROUP BY o_custkey""",
+    "fx_raw_sessions": """
+SELECT user_id, concat('r', CAST(event_id AS STRING)) AS id,
+       concat('t', CAST((event_id * 7) % 1000 AS STRING)) AS task_id,
+       '' AS task_title, 25 AS duration_minutes,
+       CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN '' ELSE props END AS reflection,
+       CASE event_type WHEN 'error' THEN true WHEN 'purchase' THEN NULL ELSE false END AS interrupted
+FROM {events}""",
 }
 
 # time rescalings: activity at 1/10 and timer clicks at 1/30 of the time since 2024-01-01
 SPARK_ONLY_SQL: dict[str, str] = {
+    "fx_reorders": """
+SELECT o_custkey AS user_id, o_orderkey AS reorder_id, CAST(o_orderdate AS TIMESTAMP) AS ts,
+       array(concat('t', CAST(o_orderkey AS STRING)), concat('t', CAST(o_orderkey + 1 AS STRING)), 'tnone',
+             concat('t', CAST(o_orderkey AS STRING))) AS ordered_ids
+FROM {orders}""",
     "fx_activity": """
 SELECT user_id,
        timestamp_micros(1704067200000000 + (unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) div 10) AS ts
@@ -103,6 +134,11 @@ FROM {events}""",
 }
 
 DUCKDB_ONLY_SQL: dict[str, str] = {
+    "fx_reorders": """
+SELECT o_custkey AS user_id, o_orderkey AS reorder_id, o_orderdate AS ts,
+       [concat('t', CAST(o_orderkey AS STRING)), concat('t', CAST(o_orderkey + 1 AS STRING)), 'tnone',
+        concat('t', CAST(o_orderkey AS STRING))] AS ordered_ids
+FROM orders""",
     "fx_activity": """
 SELECT user_id,
        make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 10) AS ts
@@ -170,6 +206,21 @@ class Fixtures:
     def title_edits(self) -> DataFrame:
         return self.get("fx_title_edits")
 
+    def raw_notes(self) -> DataFrame:
+        return self.get("fx_raw_notes")
+
+    def note_changes(self) -> DataFrame:
+        return self.get("fx_note_changes")
+
+    def reorders(self) -> DataFrame:
+        return self.get("fx_reorders")
+
+    def moves(self) -> DataFrame:
+        return self.get("fx_moves")
+
+    def raw_sessions(self) -> DataFrame:
+        return self.get("fx_raw_sessions")
+
     def task_changes(self) -> DataFrame:
         return self.get("fx_task_changes")
 
