@@ -23,7 +23,7 @@ from daybook.operators import sessions as S
 from daybook.operators import tasks as T
 from daybook.plans import review as R
 from daybook.session import apply_required_conf
-from daybook.sources.fixtures import Fixtures, duckdb_with
+from daybook.sources.fixtures import Fixtures, duckdb_fixture, duckdb_with
 
 # ------------------------------------------------------------ parameters
 
@@ -598,3 +598,240 @@ FROM kinds WHERE kind IS NOT NULL"""
 def q_note_spans(fx: Fixtures) -> DataFrame:
     """Bold and italic spans of every note block."""
     return N.note_spans(N.note_blocks(fx.notes()))
+
+
+# ------------------------------------------------------------ chat requests
+
+from daybook.operators import chat as C  # noqa: E402
+
+MODELS = {"default": "model-default", "large": "model-large"}
+
+
+def _duck_js(c: str) -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), 'null')"
+
+
+def _duck_single(prompt: str) -> str:
+    return f"to_json([struct_pack(role := 'user', content := {prompt})])::VARCHAR"
+
+
+_DRIFT = f"""SELECT user_id, ask_id,
+       {sql_str(K.DRIFT_HEAD)} || {_duck_js('current_task')} || {sql_str(K.DRIFT_MID)} || {duck_trim('question')}
+       || {sql_str(K.DRIFT_TAIL)} AS prompt
+FROM fx_asks WHERE {duck_trim('question')} <> ''"""
+
+_SUMMARY = f"""SELECT user_id, id AS note_id, {sql_str(K.SUMMARY_HEAD)} || {_duck_js('content')} AS prompt FROM fx_notes"""
+
+_DRAFT = f"""SELECT user_id, draft_id, context,
+       {sql_str(K.DRAFT_HEAD)} || {_duck_js('channel')} || {sql_str(K.DRAFT_CONTEXT)} || context
+       || {sql_str(K.DRAFT_TONE)} || coalesce(nullif(tone, ''), {sql_str(K.DEFAULT_TONE)}) || {sql_str(K.DRAFT_TAIL)} AS prompt
+FROM fx_drafts WHERE {duck_trim('context')} <> ''"""
+
+
+@register("drift_requests", duckdb_with(["fx_asks"], _DRIFT))
+def q_drift_requests(fx: Fixtures) -> DataFrame:
+    """Drift-check prompts."""
+    return C.drift_requests(fx.asks())
+
+
+@register("summary_requests", duckdb_with(["fx_notes"], _SUMMARY))
+def q_summary_requests(fx: Fixtures) -> DataFrame:
+    """Note summary prompts."""
+    return C.summary_requests(fx.notes())
+
+
+@register("draft_requests", duckdb_with(["fx_drafts"], _DRAFT))
+def q_draft_requests(fx: Fixtures) -> DataFrame:
+    """Message draft prompts."""
+    return C.draft_requests(fx.drafts())
+
+
+@register(
+    "drift_verdicts",
+    duckdb_with(
+        ["fx_responses"],
+        """SELECT request_id, coalesce(starts_with(upper(text), 'DRIFTING'), false) AS drifting
+FROM fx_responses WHERE starts_with(request_id, 'drift:')""",
+    ),
+)
+def q_drift_verdicts(fx: Fixtures) -> DataFrame:
+    """Verdicts of the drift replies."""
+    return C.drift_verdicts(fx.responses().where(F.col("request_id").startswith("drift:")))
+
+
+_SEGMENTS = """seg AS (
+  SELECT conv_id, turn, role, text, mode,
+         sum(CASE WHEN prev_mode IS NOT NULL AND prev_mode IS DISTINCT FROM mode THEN 1 ELSE 0 END)
+           OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+  FROM (SELECT *, lag(mode) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_mode FROM fx_chat))"""
+
+
+@register(
+    "history_segments",
+    duckdb_with(["fx_chat"], f", {_SEGMENTS}\nSELECT conv_id, turn, role, text, mode, CAST(seg AS BIGINT) AS seg FROM seg"),
+)
+def q_history_segments(fx: Fixtures) -> DataFrame:
+    """History segments of every conversation."""
+    return C.history_segments(fx.chat())
+
+
+_FOLLOWUPS = f"""fu AS (
+  SELECT u.conv_id, u.turn, u.seg, count(*) AS n_history,
+         to_json(list_concat(list(struct_pack(role := h.role, content := h.text) ORDER BY h.turn),
+                             [struct_pack(role := 'user', content := {duck_trim('u.text')})]))::VARCHAR AS messages,
+         {duck_trim('u.text')} AS record_text
+  FROM seg u JOIN seg h ON h.conv_id = u.conv_id AND h.seg = u.seg AND h.turn < u.turn
+  WHERE u.role = 'user' AND {duck_trim('u.text')} <> ''
+  GROUP BY u.conv_id, u.turn, u.seg, u.text)"""
+
+
+@register(
+    "chat_history",
+    duckdb_with(
+        ["fx_chat"],
+        f", {_SEGMENTS},\n{_FOLLOWUPS}\nSELECT conv_id, turn, CAST(seg AS BIGINT) AS seg, n_history, messages, record_text FROM fu",
+    ),
+)
+def q_chat_history(fx: Fixtures) -> DataFrame:
+    """R2: follow-up requests with their histories."""
+    return C.chat_history(fx.chat())
+
+
+def _all_requests(fx: Fixtures) -> DataFrame:
+    return C.chat_requests(
+        kickoff=R.kickoff(fx.tasks()),
+        review=R.day_review(fx.tasks(), fx.sessions(), DAY),
+        drift=C.drift_requests(fx.asks()),
+        summary=C.summary_requests(fx.notes()),
+        draft=C.draft_requests(fx.drafts()),
+        followup=C.chat_history(fx.chat()),
+        models=MODELS,
+    )
+
+
+def _duck_requests() -> str:
+    d, l_ = sql_str(MODELS["default"]), sql_str(MODELS["large"])
+    sysp = sql_str(K.SYSTEM_PROMPT)
+
+    def row(kind, rid, owner, model, messages, record):
+        return (
+            f"SELECT {sql_str(kind + ':')} || {rid} AS request_id, CAST({owner} AS BIGINT) AS owner_id, "
+            f"{sql_str(kind)} AS kind, {model} AS model, {K.MAX_TOKENS} AS max_tokens, {sysp} AS system, "
+            f"{messages} AS messages, CAST({record} AS VARCHAR) AS record_text"
+        )
+
+    return duckdb_with(
+        ["fx_tasks", "fx_sessions", "fx_asks", "fx_notes", "fx_drafts", "fx_chat"],
+        f""", {_REVIEW_LINES},
+c AS ({_SESSION_COUNTS}),
+review AS (
+SELECT coalesce(l.user_id, c.user_id) AS user_id,
+       {sql_str(K.REVIEW_HEAD)} || coalesce(l.done_text, {sql_str(K.REVIEW_NONE)})
+       || {sql_str(K.REVIEW_PENDING)} || coalesce(l.pend_text, {sql_str(K.REVIEW_NONE)})
+       || {sql_str(K.REVIEW_POMODOROS)} || coalesce(c.total, 0) || ' total (' || coalesce(c.focused, 0)
+       || ' focused, ' || coalesce(c.distracted, 0) || ' distracted)' || {sql_str(K.REVIEW_TAIL)} AS prompt
+FROM l FULL OUTER JOIN c ON l.user_id = c.user_id),
+kick AS (
+  SELECT user_id,
+         {sql_str(K.KICKOFF_HEAD)} || string_agg(rn || '. [' || coalesce(priority, 'null') || '] ' || coalesce(title, 'null'),
+                    chr(10) ORDER BY rn) || {sql_str(K.KICKOFF_TAIL)} AS prompt
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(ord, array_pos), array_pos) AS rn
+        FROM fx_tasks WHERE NOT done)
+  GROUP BY user_id),
+drift AS ({_DRIFT}),
+summ AS ({_SUMMARY}),
+draft AS ({_DRAFT}),
+{_SEGMENTS},
+{_FOLLOWUPS}
+{row('kickoff', "CAST(user_id AS VARCHAR)", 'user_id', d, _duck_single('prompt'), repr(K.KICKOFF_HISTORY_TEXT))} FROM kick
+UNION ALL {row('review', "CAST(user_id AS VARCHAR)", 'user_id', l_, _duck_single('prompt'), repr(K.REVIEW_HISTORY_TEXT))} FROM review
+UNION ALL {row('drift', "CAST(ask_id AS VARCHAR)", 'user_id', d, _duck_single('prompt'), 'NULL')} FROM drift
+UNION ALL {row('summary', "note_id", 'user_id', d, _duck_single('prompt'), 'NULL')} FROM summ
+UNION ALL {row('draft', "CAST(draft_id AS VARCHAR)", 'user_id', l_, _duck_single('prompt'), 'context')} FROM draft
+UNION ALL {row('followup', "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", 'conv_id', d, 'messages', 'record_text')} FROM fu""",
+    )
+
+
+_REQUESTS_SQL = _duck_requests()
+
+
+@register("chat_requests", _REQUESTS_SQL)
+def q_chat_requests(fx: Fixtures) -> DataFrame:
+    """Every request of the batch (kickoff, review, drift, summary, draft, follow-ups)."""
+    return _all_requests(fx)
+
+
+def _with_requests(extra_fx: list[str], body: str) -> str:
+    """The requests SQL as a CTE ``req`` plus more fixtures."""
+    head, _, tail = _REQUESTS_SQL.partition("\nSELECT 'kickoff:'")
+    union = "SELECT 'kickoff:'" + tail
+    more = ",\n".join(f"{n} AS ({duckdb_fixture(n)})" for n in extra_fx)
+    return f"{head},\n{more},\nreq AS ({union})\n{body}"
+
+
+@register(
+    "apply_responses",
+    _with_requests(
+        ["fx_responses"],
+        """SELECT r.request_id, r.owner_id, r.kind, m.msg_no, m.role, m.content
+FROM req r JOIN fx_responses s ON s.request_id = r.request_id,
+     (SELECT 0 AS msg_no, 'user' AS role UNION ALL SELECT 1, 'assistant') m0,
+     LATERAL (SELECT m0.msg_no, m0.role, CASE WHEN m0.msg_no = 0 THEN r.record_text ELSE s.text END AS content) m
+WHERE r.kind IN ('kickoff', 'review', 'draft', 'followup')""",
+    ),
+)
+def q_apply_responses(fx: Fixtures) -> DataFrame:
+    """History rows added by the replies."""
+    history, _ = C.apply_responses(_all_requests(fx), fx.responses(), _ts(NOW))
+    return history
+
+
+@register(
+    "summary_notes",
+    duckdb_with(
+        ["fx_notes", "fx_responses"],
+        f"""SELECT n.user_id, n.id, n.content, n.task_id, coalesce(s.text, n.summary) AS summary, n.created_at,
+       CASE WHEN s.text IS NOT NULL OR s.request_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE n.created_at END AS updated_at
+FROM fx_notes n LEFT JOIN fx_responses s ON s.request_id = 'summary:' || n.id""",
+    ),
+)
+def q_summary_notes(fx: Fixtures) -> DataFrame:
+    """R5 + M3: notes after the summary replies are written back."""
+    req = C.chat_requests(summary=C.summary_requests(fx.notes()), models=MODELS)
+    _, changes = C.apply_responses(req, fx.responses(), _ts(NOW))
+    return N.apply_note_changes(fx.notes(), changes)
+
+
+_RESPONSE_BLOCKS = f"""b AS (
+  SELECT request_id, line_no, line,
+         CASE WHEN {duck_trim('line')} = '' THEN 'blank'
+              WHEN regexp_matches(line, '^#{{1,3}} ') THEN 'heading'
+              WHEN regexp_matches(line, '^[-*] ') THEN 'bullet'
+              WHEN regexp_matches(line, '^[0-9]+\\. ') THEN 'numbered'
+              ELSE 'line' END AS kind
+  FROM (SELECT request_id, unnest(string_split(text, chr(10))) AS line,
+               unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no
+        FROM fx_responses)),
+blocks AS (
+  SELECT request_id, line_no, kind,
+         CASE kind WHEN 'blank' THEN '' WHEN 'heading' THEN regexp_replace(line, '^#+\\s', '')
+                   WHEN 'bullet' THEN substr(line, 3) ELSE line END AS text
+  FROM b)"""
+
+
+@register("response_blocks", duckdb_with(["fx_responses"], f", {_RESPONSE_BLOCKS}\nSELECT * FROM blocks"))
+def q_response_blocks(fx: Fixtures) -> DataFrame:
+    """Line blocks of every reply."""
+    return N.response_blocks(fx.responses())
+
+
+@register(
+    "response_spans",
+    duckdb_with(
+        ["fx_responses"],
+        f", {_RESPONSE_BLOCKS},\n" + _duck_spans("blocks", "request_id, line_no", N.REPLY_INLINE, False),
+    ),
+)
+def q_response_spans(fx: Fixtures) -> DataFrame:
+    """Bold spans of every reply line."""
+    return N.response_spans(N.response_blocks(fx.responses()))

@@ -110,6 +110,40 @@ SELECT user_id, concat('r', CAST(event_id AS STRING)) AS id,
        '' AS task_title, 25 AS duration_minutes,
        CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN '' ELSE props END AS reflection,
        CASE event_type WHEN 'error' THEN true WHEN 'purchase' THEN NULL ELSE false END AS interrupted
+FROM {events}""",
+    "fx_asks": """
+SELECT o.o_custkey AS user_id, e.event_id AS ask_id,
+       concat('Order ', CAST(o.o_orderkey AS STRING)) AS current_task,
+       CASE WHEN e.event_type = 'view' THEN ' \u00a0' ELSE concat(' ', e.props, ' ') END AS question
+FROM {events} e JOIN {orders} o ON o.o_orderkey = (e.event_id * 7) % 1000""",
+    "fx_drafts": """
+SELECT doc_id % 150 AS user_id, doc_id AS draft_id,
+       CASE lang WHEN 'en' THEN 'slack' WHEN 'de' THEN 'email' ELSE 'text' END AS channel,
+       CASE WHEN n_chars < 40 THEN '\u3000' ELSE text END AS context,
+       CASE lang WHEN 'fr' THEN 'warm' WHEN 'es' THEN '' END AS tone
+FROM {documents}""",
+    "fx_responses": """
+SELECT concat('kickoff:', CAST(c.c_custkey AS STRING)) AS request_id,
+       concat('## Plan', chr(10), '1. **First** thing', chr(10), '- plain bullet', chr(10),
+              '* **bold** bullet', chr(10), chr(10), v.text) AS text
+FROM {customer} c JOIN {conversations} v ON v.conv_id = c.c_custkey % 1000 AND v.turn = 1
+UNION ALL
+SELECT concat('review:', CAST(c.c_custkey AS STRING)),
+       concat('### Today', chr(10), '#### not a heading', chr(10), '-no space', chr(10), v.text)
+FROM {customer} c JOIN {conversations} v ON v.conv_id = (c.c_custkey * 3) % 1000 AND v.turn = 3
+UNION ALL
+SELECT concat('summary:n', CAST(d.doc_id AS STRING)), concat('- ', substring(v.text, 1, 80))
+FROM {documents} d JOIN {conversations} v ON v.conv_id = d.doc_id % 1000 AND v.turn = 1
+UNION ALL
+SELECT concat('draft:', CAST(d.doc_id AS STRING)), concat('Option A: ', v.text)
+FROM {documents} d JOIN {conversations} v ON v.conv_id = (d.doc_id * 7) % 1000 AND v.turn = 3
+UNION ALL
+SELECT concat('followup:', CAST(conv_id AS STRING), ':', CAST(turn AS STRING)), concat('Re: ', text)
+FROM {conversations} WHERE role = 'user'
+UNION ALL
+SELECT concat('drift:', CAST(event_id AS STRING)),
+       CASE event_id % 4 WHEN 0 THEN 'DRIFTING: refocus' WHEN 1 THEN ' DRIFTING: space first'
+                         WHEN 2 THEN 'drifting - lower case' ELSE 'ON TRACK: fine' END
 FROM {events}""",
 }
 
@@ -152,7 +186,7 @@ SELECT user_id, event_id AS seq,
 FROM events""",
 }
 
-_TABLES = ("orders", "events", "documents", "conversations")
+_TABLES = ("orders", "events", "documents", "conversations", "customer")
 
 
 def duckdb_fixture(name: str) -> str:
@@ -221,6 +255,15 @@ class Fixtures:
     def raw_sessions(self) -> DataFrame:
         return self.get("fx_raw_sessions")
 
+    def asks(self) -> DataFrame:
+        return self.get("fx_asks")
+
+    def drafts(self) -> DataFrame:
+        return self.get("fx_drafts")
+
+    def responses(self) -> DataFrame:
+        return self.get("fx_responses")
+
     def task_changes(self) -> DataFrame:
         return self.get("fx_task_changes")
 
