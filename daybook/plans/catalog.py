@@ -835,3 +835,67 @@ def q_response_blocks(fx: Fixtures) -> DataFrame:
 def q_response_spans(fx: Fixtures) -> DataFrame:
     """Bold spans of every reply line."""
     return N.response_spans(N.response_blocks(fx.responses()))
+
+
+# ------------------------------------------------------------ time rules
+
+from daybook.operators import timers as TM  # noqa: E402
+
+NUDGE_UNTIL = "2024-01-04 00:00:00"
+EOD_TZ = "Asia/Kolkata"  # a half-hour offset east of UTC
+EOD_WINDOW_MIN = 60
+TIMER_AS_OF = "2024-01-01 12:00:00"
+
+
+@register(
+    "idle_nudges",
+    duckdb_with(
+        ["fx_activity"],
+        f""", a AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_ts FROM fx_activity),
+f AS (SELECT user_id, ts,
+             make_timestamp(((epoch_us(ts) + {K.IDLE_THRESHOLD_MINUTES * 60_000_000} + {K.IDLE_CHECK_MINUTES * 60_000_000} - 1)
+                             // {K.IDLE_CHECK_MINUTES * 60_000_000}) * {K.IDLE_CHECK_MINUTES * 60_000_000}) AS first_fire,
+             least(coalesce(next_ts, TIMESTAMP '{NUDGE_UNTIL}'), TIMESTAMP '{NUDGE_UNTIL}') AS stop
+      FROM a)
+SELECT user_id, ts AS idle_since,
+       unnest(generate_series(first_fire, stop, INTERVAL {K.IDLE_THRESHOLD_MINUTES} MINUTE)) AS fire_ts
+FROM f WHERE first_fire <= stop""",
+    ),
+)
+def q_idle_nudges(fx: Fixtures) -> DataFrame:
+    """Idle nudges up to NUDGE_UNTIL (45 min threshold, 5 min checks)."""
+    return TM.idle_nudges(fx.activity(), _ts(NUDGE_UNTIL))
+
+
+def _eod_sql(tz: str, window: int) -> str:
+    return duckdb_with(
+        ["fx_ticks"],
+        f""", l AS (SELECT user_id, ts, timezone({sql_str(tz)}, ts AT TIME ZONE 'UTC') AS lt FROM fx_ticks)
+SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS fire_ts
+FROM l WHERE hour(lt) = {K.EOD_HOUR} AND minute(lt) < {window}
+GROUP BY user_id, CAST(ts AS DATE)""",
+    )
+
+
+@register("eod_reminders", _eod_sql("UTC", 1))
+def q_eod_reminders(fx: Fixtures) -> DataFrame:
+    """Reminders at 17:00 UTC (the app's minute rule), once per UTC day."""
+    return TM.eod_reminders(fx.ticks(), "UTC", K.EOD_HOUR, 1)
+
+
+@register("eod_reminders_window", _eod_sql(EOD_TZ, EOD_WINDOW_MIN))
+def q_eod_reminders_window(fx: Fixtures) -> DataFrame:
+    """Reminders in the local 17:00 hour of EOD_TZ, once per UTC day."""
+    return TM.eod_reminders(fx.ticks(), EOD_TZ, K.EOD_HOUR, EOD_WINDOW_MIN)
+
+
+@register("timer_sessions")
+def q_timer_sessions(fx: Fixtures) -> DataFrame:
+    """T4: sessions completed by the timer events (settings per user, defaults 25/5)."""
+    return TM.timer_sessions(fx.timer_events(), fx.settings())
+
+
+@register("timer_status")
+def q_timer_status(fx: Fixtures) -> DataFrame:
+    """T5: timer phase and display per user at TIMER_AS_OF."""
+    return TM.timer_status(fx.timer_events(), TIMER_AS_OF, fx.settings())

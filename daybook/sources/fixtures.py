@@ -145,6 +145,11 @@ SELECT concat('drift:', CAST(event_id AS STRING)),
        CASE event_id % 4 WHEN 0 THEN 'DRIFTING: refocus' WHEN 1 THEN ' DRIFTING: space first'
                          WHEN 2 THEN 'drifting - lower case' ELSE 'ON TRACK: fine' END
 FROM {events}""",
+    "fx_settings": """
+SELECT c_custkey AS user_id,
+       CASE c_custkey % 4 WHEN 0 THEN 120 WHEN 1 THEN 50 END AS work_mins,
+       CASE c_custkey % 3 WHEN 0 THEN 10 END AS break_mins
+FROM {customer}""",
 }
 
 # time rescalings: activity at 1/10 and timer clicks at 1/30 of the time since 2024-01-01
@@ -264,6 +269,9 @@ class Fixtures:
     def responses(self) -> DataFrame:
         return self.get("fx_responses")
 
+    def settings(self) -> DataFrame:
+        return self.get("fx_settings")
+
     def task_changes(self) -> DataFrame:
         return self.get("fx_task_changes")
 
