@@ -899,3 +899,65 @@ def q_timer_sessions(fx: Fixtures) -> DataFrame:
 def q_timer_status(fx: Fixtures) -> DataFrame:
     """T5: timer phase and display per user at TIMER_AS_OF."""
     return TM.timer_status(fx.timer_events(), TIMER_AS_OF, fx.settings())
+
+
+# ------------------------------------------------------------ workspace files
+
+import uuid  # noqa: E402
+
+from daybook.session import ensure_checkpoint_dir  # noqa: E402
+from daybook.sources import workspace as W  # noqa: E402
+
+
+def _workspace_inputs(fx: Fixtures) -> tuple[DataFrame, DataFrame, DataFrame]:
+    pending = fx.tasks().where(~F.col("done")).select("user_id", "id", "title")
+    return fx.tasks(), fx.notes(), S.session_titles(fx.sessions(), pending)
+
+
+def _roundtrip(fx: Fixtures):
+    """S2 then S1 through a folder under the session's checkpoint directory."""
+    base = ensure_checkpoint_dir(fx.spark).rstrip("/")
+    path = f"{base}/workspaces-{uuid.uuid4().hex}"
+    W.write_workspaces(*_workspace_inputs(fx), path)
+    return W.read_workspaces(fx.spark, path, multiline=False)
+
+
+@register("write_workspaces")
+def q_write_workspaces(fx: Fixtures) -> DataFrame:
+    """One workspace JSON document per user (tasks, notes, sessions in stored order)."""
+    return W.workspace_documents(*_workspace_inputs(fx))
+
+
+@register("read_workspaces", duckdb_with(["fx_tasks"], "SELECT * FROM fx_tasks"))
+def q_read_workspaces(fx: Fixtures) -> DataFrame:
+    """S1 after S2: the tasks read back from the written documents."""
+    return _roundtrip(fx)[0]
+
+
+@register(
+    "read_workspaces_notes",
+    duckdb_with(
+        ["fx_notes"],
+        """SELECT user_id, id, content, task_id, summary, created_at, created_at AS updated_at,
+       row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, id) - 1 AS array_pos
+FROM fx_notes""",
+    ),
+)
+def q_read_workspaces_notes(fx: Fixtures) -> DataFrame:
+    """S1 after S2: the notes read back, newest first."""
+    return _roundtrip(fx)[1]
+
+
+@register(
+    "read_workspaces_sessions",
+    duckdb_with(
+        ["fx_sessions", "fx_tasks"],
+        """SELECT s.user_id, s.id, s.task_id, coalesce(t.title, '') AS task_title, s.duration_minutes, s.reflection,
+       s.interrupted, s.date, s.completed_at,
+       row_number() OVER (PARTITION BY s.user_id ORDER BY s.completed_at, s.id) - 1 AS array_pos
+FROM fx_sessions s LEFT JOIN (SELECT * FROM fx_tasks WHERE NOT done) t ON t.user_id = s.user_id AND t.id = s.task_id""",
+    ),
+)
+def q_read_workspaces_sessions(fx: Fixtures) -> DataFrame:
+    """S1 after S2: the sessions read back, oldest first."""
+    return _roundtrip(fx)[2]
