@@ -23,11 +23,15 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# local mode only: the driver is the executor
+LOCAL_CONF = {"spark.driver.memory": "8g"}
+
 
 def get_session(master: str = "local[8]", app: str = "daybook", **conf: str) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the cluster's session."""
     builder = SparkSession.builder.master(master).appName(app)
-    for k, v in {**DEFAULT_CONF, **conf}.items():
+    extra = LOCAL_CONF if master.startswith("local") else {}
+    for k, v in {**DEFAULT_CONF, **extra, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

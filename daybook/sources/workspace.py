@@ -145,7 +145,10 @@ def read_workspaces(
         _parse_ts("s.completedAt").alias("completed_at"),
         F.col("array_pos").cast("long").alias("array_pos"),
     )
-    corrupt = docs.where(F.col("__corrupt")).select("user_id", "file_path")
+    # Spark refuses scans that read only the corrupt-record column, so the
+    # filter also touches a parsed column (the test is true for every row).
+    parsed = F.col("tasks").isNull() | F.col("tasks").isNotNull()
+    corrupt = docs.where(F.col("__corrupt") & parsed).select("user_id", "file_path")
     return tasks, notes, sessions, corrupt
 
 
