@@ -87,6 +87,11 @@ LABEL_DISTRACTED = "distracted"
 
 # white space removed by the app's trim (all Unicode space separators,
 # line terminators, tab, vertical tab, form feed and the byte-order mark)
+JS_WHITESPACE_CHARS = (
+    "\t\n\u000b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+# the same set as a regular-expression class
 JS_WHITESPACE_CLASS = (
     r"[\t\n\u000B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 )

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from daybook.constants import JS_WHITESPACE_CLASS
-
-_TRIM_PATTERN = f"^{JS_WHITESPACE_CLASS}+|{JS_WHITESPACE_CLASS}+$"
+from daybook.constants import JS_WHITESPACE_CHARS
 
 
 def _col(c: Column | str) -> Column:
@@ -17,9 +15,10 @@ def _col(c: Column | str) -> Column:
 def js_trim(c: Column | str) -> Column:
     """JavaScript ``String.prototype.trim``: strips Unicode white space and BOM.
 
-    Spark's ``trim`` only strips the space character.
+    Spark's plain ``trim`` only strips the space character; with a character
+    set it strips any of them from both ends, touching only the ends.
     """
-    return F.regexp_replace(_col(c), _TRIM_PATTERN, "")
+    return F.trim(_col(c), F.lit(JS_WHITESPACE_CHARS))
 
 
 def is_blank(c: Column | str) -> Column:

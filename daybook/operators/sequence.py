@@ -7,7 +7,7 @@ into one task.  Instead:
 
 1. range-partition on ``(key, *order)`` -- the sampled bounds split a hot key
    over many partitions, so every partition has about the same size;
-2. one Arrow-batched pass per partition computes the partition-local
+2. one Arrow pass per partition computes the partition-local
    position, lag, lead and running sums, streaming batch by batch;
 3. the only rows that need values from another partition are the first and
    the last key of each partition.  Their corrections come from a table of at
@@ -22,7 +22,6 @@ branches that read the (reused) exchange.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
@@ -35,18 +34,26 @@ _LAST = "__seq_last"
 MAX_PARTITIONS = 200_000
 
 
-def _local_scan(key: str, lag: dict, lead: dict, rsum: dict, out_names: list[str]):
-    """Partition-local pass over rows sorted by (key, order)."""
+def _local_scan(key: str, lag: dict, lead: dict, rsum: dict, names: list[str]):
+    """Partition-local pass over Arrow batches of rows sorted by (key, order).
+
+    Pass-through columns stay in Arrow; only the key and the summed columns
+    are turned into numpy arrays.  The last row of each batch is held back
+    until the next batch shows whether it continues the same key (its lead).
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     def run(batches):
-        held = None  # last row of the previous batch, waiting for its lead
+        out_schema = None
+        held = None  # dict name -> 1-element array: last row of the previous batch
         carry = None  # key, position, sums and lag sources of the last row seen
-        for pdf in batches:
-            n = len(pdf)
+        for rb in batches:
+            n = rb.num_rows
             if n == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            k = pdf[key].to_numpy()
+            cols = {name: rb.column(i) for i, name in enumerate(rb.schema.names)}
+            k = cols[key].to_numpy(zero_copy_only=False)
             brk = np.ones(n, dtype=bool)
             if n > 1:
                 brk[1:] = k[1:] != k[:-1]
@@ -58,45 +65,46 @@ def _local_scan(key: str, lag: dict, lead: dict, rsum: dict, out_names: list[str
             lpos = idx - start
             if cont:
                 lpos[first_run] += carry["lpos"] + 1
-            pdf[_LPOS] = lpos.astype("int64")
+            cols[_LPOS] = pa.array(lpos.astype("int64"))
             for out, src in rsum.items():
-                v = pdf[src].to_numpy(dtype="int64")
+                v = cols[src].to_numpy(zero_copy_only=False).astype("int64")
                 cs = np.cumsum(v)
                 loc = cs - (cs[start] - v[start])
                 if cont:
                     loc[first_run] += carry["sums"][out]
-                pdf[out] = loc.astype("int64")
+                cols[out] = pa.array(loc.astype("int64"))
             for out, src in lag.items():
-                prev = pdf[src].astype(object).shift(1)
-                prev[brk] = None
-                if cont:
-                    prev.iloc[0] = carry["lag"][src]
-                pdf[out] = prev
+                arr = cols[src]
+                before = carry["lag"][src] if cont else pa.nulls(1, arr.type)
+                prev = pa.concat_arrays([before, arr.slice(0, n - 1)]) if n > 1 else before
+                cols[out] = pc.if_else(pa.array(~brk | (idx == 0) & cont), prev, pa.nulls(n, arr.type))
             run_end = np.append(brk[1:], True)
             for out, src in lead.items():
-                nxt = pdf[src].astype(object).shift(-1)
-                nxt[run_end] = None
-                pdf[out] = nxt
-            pdf[_LAST] = run_end
+                arr = cols[src]
+                nxt = pa.concat_arrays([arr.slice(1), pa.nulls(1, arr.type)])
+                cols[out] = pc.if_else(pa.array(~run_end), nxt, pa.nulls(n, arr.type))
+            cols[_LAST] = pa.array(run_end)
+            if out_schema is None:
+                out_schema = pa.schema([pa.field(c, cols[c].type) for c in names])
             if held is not None:
                 for out, src in lead.items():
-                    held[out] = [pdf[src].iloc[0] if cont else None]
-                held[_LAST] = [not cont]
-                yield held[out_names]
+                    held[out] = cols[src].slice(0, 1) if cont else pa.nulls(1, held[out].type)
+                held[_LAST] = pa.array([not cont])
+                yield pa.RecordBatch.from_arrays([held[c] for c in names], schema=out_schema)
             carry = {
                 "key": k[-1],
                 "lpos": int(lpos[-1]),
-                "sums": {out: int(pdf[out].iloc[-1]) for out in rsum},
-                "lag": {src: pdf[src].iloc[-1] for src in lag.values()},
+                "sums": {out: int(cols[out][n - 1].as_py()) for out in rsum},
+                "lag": {src: cols[src].slice(n - 1, 1) for src in lag.values()},
             }
-            held = pdf.iloc[[n - 1]].copy().astype(object)
+            held = {c: cols[c].slice(n - 1, 1) for c in names}
             if n > 1:
-                yield pdf.iloc[: n - 1][out_names]
+                yield pa.RecordBatch.from_arrays([cols[c].slice(0, n - 1) for c in names], schema=out_schema)
         if held is not None:
             for out in lead:
-                held[out] = [None]
-            held[_LAST] = [True]
-            yield held[out_names]
+                held[out] = pa.nulls(1, held[out].type)
+            held[_LAST] = pa.array([True])
+            yield pa.RecordBatch.from_arrays([held[c] for c in names], schema=out_schema)
 
     return run
 
@@ -146,8 +154,8 @@ def ordered_scan(
     out_fields += [StructField(o, types[s], True) for o, s in lead.items()]
     out_fields += [StructField(_LAST, BooleanType(), False)]
     out_schema = StructType(out_fields)
-    local = ranged.sortWithinPartitions(*sort_cols).mapInPandas(
-        _local_scan(key, lag, lead, rsum, [f.name for f in out_fields]), out_schema
+    local = ranged.sortWithinPartitions(*sort_cols).mapInArrow(
+        _local_scan(key, lag, lead, rsum, out_schema.names), out_schema
     )
 
     # 2. first and last row of every non-empty partition (N rows)
