@@ -961,3 +961,134 @@ FROM fx_sessions s LEFT JOIN (SELECT * FROM fx_tasks WHERE NOT done) t ON t.user
 def q_read_workspaces_sessions(fx: Fixtures) -> DataFrame:
     """S1 after S2: the sessions read back, oldest first."""
     return _roundtrip(fx)[2]
+
+
+# ------------------------------------------------------------ single-rule columns
+
+from daybook.functions import next_priority, note_age, priority_class, session_label  # noqa: E402
+
+
+@register(
+    "next_priority",
+    duckdb_with(
+        ["fx_tasks"],
+        """SELECT user_id, id, priority,
+       CASE priority WHEN 'high' THEN 'med' WHEN 'med' THEN 'low' WHEN 'low' THEN 'high' END AS next_priority
+FROM fx_tasks""",
+    ),
+)
+def q_next_priority(fx: Fixtures) -> DataFrame:
+    """The priority a click moves to."""
+    return fx.tasks().select("user_id", "id", "priority", next_priority("priority").alias("next_priority"))
+
+
+@register(
+    "priority_class",
+    duckdb_with(
+        ["fx_tasks"],
+        """SELECT user_id, id, priority,
+       CASE WHEN priority = 'high' THEN 'high' WHEN priority = 'med' THEN 'med' ELSE 'low' END AS priority_class
+FROM fx_tasks""",
+    ),
+)
+def q_priority_class(fx: Fixtures) -> DataFrame:
+    """The badge class of the priority."""
+    return fx.tasks().select("user_id", "id", "priority", priority_class("priority").alias("priority_class"))
+
+
+@register(
+    "session_labels",
+    duckdb_with(
+        ["fx_sessions"],
+        """SELECT user_id, id, CASE WHEN interrupted THEN 'distracted' ELSE 'focused' END AS label,
+       nullif(reflection, '') AS shown_reflection
+FROM fx_sessions""",
+    ),
+)
+def q_session_labels(fx: Fixtures) -> DataFrame:
+    """P10: session badges and the reflection shown."""
+    return fx.sessions().select(
+        "user_id", "id", session_label("interrupted").alias("label"),
+        F.nullif(F.col("reflection"), F.lit("")).alias("shown_reflection"),
+    )
+
+
+@register(
+    "note_ages",
+    duckdb_with(
+        ["fx_notes"],
+        f"""SELECT user_id, id,
+       CASE WHEN d < 60 THEN 'just now'
+            WHEN d < 3600 THEN CAST(floor(d / 60) AS BIGINT) || 'm ago'
+            WHEN d < 86400 THEN CAST(floor(d / 3600) AS BIGINT) || 'h ago'
+            ELSE CAST(floor(d / 86400) AS BIGINT) || 'd ago' END AS age
+FROM (SELECT *, floor((epoch_us(TIMESTAMP '{NOTES_AS_OF}') - epoch_us(created_at)) / 1000000) AS d FROM fx_notes)""",
+    ),
+)
+def q_note_ages(fx: Fixtures) -> DataFrame:
+    """Note ages at NOTES_AS_OF."""
+    return fx.notes().select("user_id", "id", note_age("created_at", _ts(NOTES_AS_OF)).alias("age"))
+
+
+# ------------------------------------------------------------ streams run to completion
+
+from daybook import streaming as ST  # noqa: E402
+
+STREAM_DELAY = "10 minutes"
+
+
+def _run_stream(fx: Fixtures, name: str, build, inputs: dict[str, DataFrame]) -> DataFrame:
+    """Write the derived inputs to the shared checkpoint folder, stream them
+    through ``build`` into a parquet sink there, and read the sink back."""
+    spark = fx.spark
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
+    streams = {}
+    for k, df in inputs.items():
+        df.write.parquet(f"{base}/in_{k}")
+        streams[k] = spark.readStream.schema(df.schema).parquet(f"{base}/in_{k}")
+    out = build(**streams)
+    q = (
+        out.writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/state")
+        .outputMode("append")
+        .start()
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
+_WM = "make_timestamp((epoch_us(max(ts)) // 1000) * 1000) - INTERVAL 10 MINUTE"
+
+
+@register(
+    "idle_nudges_stream",
+    _ORACLE["idle_nudges"].replace(f"TIMESTAMP '{NUDGE_UNTIL}'", f"(SELECT {_WM} FROM fx_activity)"),
+)
+def q_idle_nudges_stream(fx: Fixtures) -> DataFrame:
+    """Idle nudges from the activity stream, up to its final watermark (max ts - 10 min)."""
+    return _run_stream(
+        fx, "nudges", lambda activity: ST.idle_nudges_stream(activity, delay=STREAM_DELAY), {"activity": fx.activity()}
+    )
+
+
+@register("eod_reminders_stream", _ORACLE["eod_reminders"])
+def q_eod_reminders_stream(fx: Fixtures) -> DataFrame:
+    """T3 on a stream: the earliest 17:00 UTC hit per user and UTC day."""
+    return _run_stream(
+        fx, "eod", lambda ticks: ST.eod_reminders_stream(ticks, "UTC", K.EOD_HOUR, 1), {"ticks": fx.ticks()}
+    )
+
+
+@register("timer_sessions_stream")
+def q_timer_sessions_stream(fx: Fixtures) -> DataFrame:
+    """T4 on a stream: sessions checked in up to the final watermark (settings as a static table)."""
+    return _run_stream(
+        fx,
+        "timer",
+        lambda events: ST.timer_sessions_stream(events, fx.settings(), delay=STREAM_DELAY),
+        {"events": fx.timer_events()},
+    )
