@@ -175,46 +175,50 @@ class TimerState:
         return "idle", self.work_s, False
 
 
-def _timer_input(events: DataFrame, settings: DataFrame | None, num_partitions: int | None) -> DataFrame:
-    """Events plus one leading settings row per user, clustered by user and sorted."""
+def _timer_input(
+    events: DataFrame, settings: DataFrame | None, num_partitions: int | None, last_epoch_only: bool = False
+) -> DataFrame:
+    """Events cut into epochs, clustered by (user, epoch) and sorted.
+
+    ``stop`` returns the timer to the fresh idle state from every phase, so the
+    fold restarts exactly at each stop: epoch = number of stops up to and
+    including the event, within the user in (ts, seq) order.  Epochs are
+    independent, so a user with many events is spread over many tasks by
+    the (user, epoch) hash.  The running count is the skew-safe ordered scan.
+    ``settings`` (one row per user) are joined onto the events.
+    """
     ev = events.select(
         "user_id",
-        F.lit(1).alias("__kind"),
         F.unix_micros("ts").alias("t"),
         "seq",
         "action",
         "task_id",
         (F.col("reflection") if "reflection" in events.columns else F.lit(None).cast("string")).alias("reflection"),
         (F.col("interrupted") if "interrupted" in events.columns else F.lit(None).cast("boolean")).alias("interrupted"),
-        F.lit(None).cast("int").alias("work_mins"),
-        F.lit(None).cast("int").alias("break_mins"),
+        (F.col("action") == "stop").cast("long").alias("__stop"),
     )
-    parts = [ev]
+    ev = ordered_scan(ev, "user_id", ["t", "seq"], running_sum={"epoch": "__stop"}).drop("__stop")
+    if last_epoch_only:
+        last = ev.groupBy("user_id").agg(F.max("epoch").alias("epoch"))
+        ev = ev.join(last, ["user_id", "epoch"])
     if settings is not None:
-        parts.append(
-            settings.select(
-                "user_id",
-                F.lit(0).alias("__kind"),
-                F.lit(None).cast("long").alias("t"),
-                F.lit(None).cast("long").alias("seq"),
-                F.lit(None).cast("string").alias("action"),
-                F.lit(None).cast("string").alias("task_id"),
-                F.lit(None).cast("string").alias("reflection"),
-                F.lit(None).cast("boolean").alias("interrupted"),
-                F.col("work_mins").cast("int"),
-                F.col("break_mins").cast("int"),
-            )
-        )
-    allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        ev = ev.join(settings.select("user_id", "work_mins", "break_mins"), "user_id", "left")
+    else:
+        ev = ev.withColumn("work_mins", F.lit(None)).withColumn("break_mins", F.lit(None))
+    ev = ev.select(
+        "user_id", "epoch", "t", "seq", "action", "task_id", "reflection", "interrupted",
+        F.coalesce(F.nullif(F.col("work_mins").cast("int"), F.lit(0)), F.lit(K.DEFAULT_WORK_MINS)).alias("work_mins"),
+        F.coalesce(F.nullif(F.col("break_mins").cast("int"), F.lit(0)), F.lit(K.DEFAULT_BREAK_MINS)).alias("break_mins"),
+    )
     n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return allrows.repartition(n, "user_id").sortWithinPartitions("user_id", "__kind", "t", "seq")
+    return ev.repartition(n, "user_id", "epoch").sortWithinPartitions("user_id", "epoch", "t", "seq")
 
 
 def _fold(emit_status: bool, as_of_us: int | None):
-    """Streaming pass over rows clustered by user: one TimerState per user at a time."""
+    """Streaming pass over rows clustered by (user, epoch): a fresh TimerState per epoch."""
 
     def run(batches):
-        user, state, pending = None, None, None
+        group, user, state = None, None, None
 
         def finish():
             if emit_status and state is not None:
@@ -223,20 +227,12 @@ def _fold(emit_status: bool, as_of_us: int | None):
 
         for pdf in batches:
             out = []
-            cols = [pdf[c].to_numpy() for c in ("user_id", "__kind", "t", "seq", "action", "task_id",
+            cols = [pdf[c].to_numpy() for c in ("user_id", "epoch", "t", "seq", "action", "task_id",
                                                 "reflection", "interrupted", "work_mins", "break_mins")]
-            for u, kind, t, seq, action, task_id, refl, intr, wm, bm in zip(*cols):
-                if u != user:
+            for u, ep, t, seq, action, task_id, refl, intr, wm, bm in zip(*cols):
+                if (u, ep) != group:
                     finish()
-                    user, state, pending = u, None, (K.DEFAULT_WORK_MINS, K.DEFAULT_BREAK_MINS)
-                if kind == 0:
-                    pending = (
-                        int(wm) if wm is not None and not pd.isna(wm) and wm else K.DEFAULT_WORK_MINS,
-                        int(bm) if bm is not None and not pd.isna(bm) and bm else K.DEFAULT_BREAK_MINS,
-                    )
-                    continue
-                if state is None:
-                    state = TimerState(*pending)
+                    group, user, state = (u, ep), u, TimerState(int(wm), int(bm))
                 t = int(t)
                 if as_of_us is not None and t > as_of_us:
                     continue
@@ -264,8 +260,9 @@ def timer_sessions(
     the run (or the break) away; after ``work_mins`` of running time the
     check-in is awaited and writes a session of ``work_mins`` at check-in
     time; then ``break_mins`` of break.  ``settings`` (user_id, work_mins,
-    break_mins) default to 25 / 5.  Events of one user are processed in
-    (ts, seq) order in one streaming pass (memory per user is constant).
+    break_mins) default to 25 / 5.  Events are folded in (ts, seq) order,
+    each stop-delimited epoch on its own (see ``_timer_input``), in one
+    streaming pass with constant memory.
     """
     rows = _timer_input(events, settings, num_partitions)
     return rows.mapInPandas(_fold(False, None), SESSION_SCHEMA)
@@ -277,7 +274,8 @@ def timer_status(
     """T5: phase and the shown ``mm:ss`` per user as of ``as_of`` (events up to it)."""
     as_of_us = int(pd.Timestamp(as_of, tz="UTC").value // 1000)
     users = events.where(F.col("ts") <= F.lit(as_of).cast("timestamp"))
-    rows = _timer_input(users, settings, num_partitions)
+    # the state at ``as_of`` depends only on the events since the user's last stop
+    rows = _timer_input(users, settings, num_partitions, last_epoch_only=True)
     st = rows.mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
     label = (
         F.when(F.col("phase") == "idle", "Ready")

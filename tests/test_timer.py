@@ -106,3 +106,33 @@ def test_spark_fold_matches_local_fold(spark):
     st = timer_status(events, "2030-01-01 00:00:00", settings)
     assert st.count() == 40
     assert st.where(F.col("display").isNull()).count() == 0
+
+
+def test_hot_user_is_split_by_stop_epochs_and_matches_sequential_fold(spark):
+    from daybook.operators.timers import _timer_input
+
+    rng = random.Random(11)
+    evs = random_events(rng, 3000)
+    st = TimerState(3, 2)
+    expected = []
+    for t, seq, action, task, refl, intr in evs:
+        s = st.step(t, action, task, refl, intr)
+        if s is not None:
+            expected.append((seq, s[0], s[2], s[3]))
+    as_of = evs[-1][0] + 90 * S
+    phase, rem, _ = st.status(as_of)
+    rows = [(1, seq, pd.Timestamp(t, unit="us").to_pydatetime(), a, task, refl, intr)
+            for t, seq, a, task, refl, intr in evs]
+    events = spark.createDataFrame(
+        rows, "user_id long, seq long, ts timestamp, action string, task_id string, reflection string, interrupted boolean"
+    )
+    settings = spark.createDataFrame([(1, 3, 2)], "user_id long, work_mins int, break_mins int")
+    spread = _timer_input(events, settings, 8).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1  # one user, many tasks
+    got = sorted(
+        (r.seq, r.task_id, r.reflection, r.interrupted)
+        for r in timer_sessions(events, settings, num_partitions=8).collect()
+    )
+    assert got == sorted(expected)
+    status = timer_status(events, str(pd.Timestamp(as_of, unit="us")), settings).collect()
+    assert [(r.phase, r.remaining_s) for r in status] == [(phase, rem)]
