@@ -54,3 +54,11 @@ def test_eod_stream_equals_batch(spark, sf_dir, tmp_path):
     got, _ = _run(spark, eod_reminders_stream(_as_stream(spark, tk, str(tmp_path / "in"), 3), "UTC", 17, 1),
                   "eod", str(tmp_path / "ck"))
     assert got == set(map(tuple, eod_reminders(tk, "UTC", 17, 1).collect()))
+
+
+def test_eod_stream_first_arrival_equals_batch_for_ordered_input(spark, sf_dir, tmp_path):
+    tk = Fixtures(spark, sf_dir).ticks()
+    sdf = eod_reminders_stream(_as_stream(spark, tk, str(tmp_path / "in"), 3), "UTC", 17, 1, delay="2 minutes",
+                               exact=False)
+    got, _ = _run(spark, sdf, "eod_first", str(tmp_path / "ck"))
+    assert got == set(map(tuple, eod_reminders(tk, "UTC", 17, 1).collect()))
