@@ -74,29 +74,42 @@ def append_tasks(tasks: DataFrame, new: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- O1, P5-P8
 
 
+def list_positions(tasks: DataFrame) -> DataFrame:
+    """One ordered pass for all list positions (O1, P5).
+
+    Adds ``list_pos`` (place in the whole list) and ``__npend`` (pending tasks
+    up to and including this one).  The place among pending tasks is
+    ``__npend - 1``, among done tasks ``list_pos - __npend``.  Every list job
+    calls this with the same input, so within one query the plan is shared and
+    the tasks are range-shuffled once.
+    """
+    pending = ~F.coalesce(F.col("done"), F.lit(False))
+    filled = tasks.withColumn("ord", F.coalesce(F.col("ord"), F.col("array_pos"))).withColumn(
+        "__pend", pending.cast("long")
+    )
+    return ordered_scan(filled, "user_id", ["ord", "array_pos"], position="list_pos",
+                        running_sum={"__npend": "__pend"})
+
+
 def order_tasks(tasks: DataFrame) -> DataFrame:
     """O1: back-fill a missing order with the array position, then a stable sort.
 
     ``list_pos`` is the 0-based place in the user's list; array position breaks
     ties, as back-filled orders can collide with stored ones.
     """
-    filled = tasks.withColumn("ord", F.coalesce(F.col("ord"), F.col("array_pos")))
-    return ordered_scan(filled, "user_id", ["ord", "array_pos"], position="list_pos")
+    return list_positions(tasks).select(*tasks.columns, "list_pos")
 
 
 def pending_tasks(tasks: DataFrame) -> DataFrame:
     """P5: not-done tasks in list order; ``pos`` is the place among them."""
-    return _sub_list(tasks, ~F.coalesce(F.col("done"), F.lit(False)))
+    pos = list_positions(tasks)
+    return pos.where(F.col("__pend") == 1).select(*tasks.columns, (F.col("__npend") - 1).alias("pos"))
 
 
 def done_tasks(tasks: DataFrame) -> DataFrame:
     """P5: done tasks in list order; ``pos`` is the place among them."""
-    return _sub_list(tasks, F.coalesce(F.col("done"), F.lit(False)))
-
-
-def _sub_list(tasks: DataFrame, cond: Column) -> DataFrame:
-    filled = tasks.where(cond).withColumn("ord", F.coalesce(F.col("ord"), F.col("array_pos")))
-    return ordered_scan(filled, "user_id", ["ord", "array_pos"], position="pos")
+    pos = list_positions(tasks)
+    return pos.where(F.col("__pend") == 0).select(*tasks.columns, (F.col("list_pos") - F.col("__npend")).alias("pos"))
 
 
 def local_midnight(as_of: Column, tz: str) -> Column:
