@@ -32,6 +32,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Arrow batches of texts stay small, whatever the session's setting.
+BATCH_ROWS = 2_000
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of at most BATCH_ROWS rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; it returns the output columns or None."""
 
@@ -41,7 +51,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
             if out is not None:
                 yield pa.RecordBatch.from_pydict(out)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def fold(doc_id: Column, n: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import small, stored
+from daybook.llm.common import map_batches, small, stored
 
 CAPACITY = 2_048
 BLOCK = 100_000
@@ -142,7 +142,7 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int, carry: int
             yield packed()
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(run, PIECE)
+    return map_batches(own, run, PIECE)
 
 
 STATE = "leaf long, cur long, off long, fill long, part long, open boolean"

@@ -21,11 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import arrow_map, stored
+from daybook.llm.common import arrow_map, map_batches, small, stored
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEED = 42
+HOT_HOMES = 20_000  # fingerprints at home at one anchor from which it is split
 BITS = 23  # length of a Golay block; 12 of its bits are free
 RADIUS = 3
 GENERATOR = 0b101011100011
@@ -127,6 +128,30 @@ def _visits(threshold: int):
     return run
 
 
+def _homes(batch: pa.RecordBatch) -> dict:
+    fp = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+    return {"anchor": np.concatenate([anchors(fp[i : i + 20_000], 0)[1] for i in range(0, len(fp), 20_000)])}
+
+
+def _split_visits(threshold: int):
+    """Anchors of the last 23 bits as well, for the visits of one split anchor."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        check, errors, excess = _near_table()
+        where, fp, home = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "fp", "home"))
+        y = (fp.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.uint32)
+        syndrome = check[y >> 11] ^ (y & 0x7FF)
+        row, i = np.nonzero(excess[syndrome] <= threshold)
+        word = (y[row] ^ errors[syndrome[row], i]) >> 11
+        return {
+            "anchor": (np.int64(1) << 40) | (where[row] << 12) | word.astype(np.int64),
+            "fp": fp[row],
+            "home": home[row] & (excess[syndrome[row], i] == 0),
+        }
+
+    return run
+
+
 def _bucket_links(home: np.ndarray, guest: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between one anchor's own fingerprints and its visitors."""
     everyone = np.unique(np.concatenate([home, guest]))
@@ -222,6 +247,31 @@ def _links(threshold: int):
     return run
 
 
+VISIT = "anchor long, fp long, home boolean"
+
+
+def links(fps: DataFrame, threshold: int, hot: int = HOT_HOMES) -> DataFrame:
+    """(a, b): enough pairs of linked fingerprints to connect all that are linked.
+
+    An anchor that is home to more than ``hot`` fingerprints is split by the
+    anchors of a third code word over the last 23 bits.
+    """
+    visits = arrow_map(fps.select("fp"), _visits(threshold), VISIT)
+    full = stored(
+        arrow_map(fps.select("fp"), _homes, "anchor long").groupBy("anchor").count().where(F.col("count") > hot)
+    )
+    if not full.isEmpty():
+        names = full.select(F.col("anchor").alias("full"))
+        if small(names, 500_000):
+            names = F.broadcast(names)
+        told = visits.join(names, F.col("anchor") == F.col("full"), "left")
+        split = arrow_map(told.where("full is not null").drop("full"), _split_visits(threshold), VISIT)
+        visits = told.where("full is null").drop("full").unionByName(split)
+    return map_batches(
+        visits.repartition("anchor").sortWithinPartitions("anchor"), _links(threshold), "a long, b long"
+    )
+
+
 def components(edges: DataFrame, nodes_a: str = "a", nodes_b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, root) of all nodes with links; root is the smallest node of the component.
 
@@ -281,10 +331,7 @@ def simhash_components(docs: DataFrame, threshold: int = 2, shingle: int = 3) ->
     found = stored(fingerprints(docs, shingle))
     distinct = found.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     distinct = stored(distinct)
-    visits = arrow_map(distinct.select("fp"), _visits(threshold), "anchor long, fp long, home boolean")
-    sorted_visits = visits.repartition("anchor").sortWithinPartitions("anchor")
-    edges = sorted_visits.mapInArrow(_links(threshold), "a long, b long")
-    member = components(edges)
+    member = components(links(distinct, threshold))
     # the component's smallest doc_id, by its root fingerprint
     linked = member.join(distinct, member["node"] == distinct["fp"]).select("fp", "root", "first_id")
     names = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import arrow_map, written
+from daybook.llm.common import arrow_map, map_batches, written
 
 LENGTH = 100
 GRAM = 32
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 BLOCK = 8  # windows of a block of a split hash
 HOT = 256  # distinct contexts of a hash from which it is split
-SORT_BYTES = 1 << 22
+SORT_BYTES = 1 << 20
 
 _TABLE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _M = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -245,7 +245,7 @@ def repeated_windows(
     window = rel < n[owner]
     order, owner, rel = order[window], owner[window], rel[window]
     same = np.zeros(len(order), bool)
-    step = 50_000
+    step = 10_000
     offsets = np.arange(length)
     for i in range(1, len(order), step):
         a = order[i - 1 : i + step]
@@ -359,7 +359,7 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     Earlier means a smaller key, or the same key and an earlier start.
     """
     own = rows.select("key", "text")
-    seen = own.mapInArrow(_scan(length), "h long, c long, key long, at long")
+    seen = map_batches(own, _scan(length), "h long, c long, key long, at long")
     twice = written(
         seen.where(~_again()).groupBy("h").agg(F.count("*").alias("k")).where("k >= 2").select(F.col("h").alias("twice"))
     )
@@ -385,10 +385,10 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         .agg(F.collect_list(F.struct("h", "at", (F.col("k") > HOT).alias("split"))).alias("wanted"))
     )
     fetched = written(
-        own.join(wanted, "key")
-        .select("key", "text", "wanted")
-        .mapInArrow(
-            _fetch(length), "bucket long, c long, key long, lo long, n long, ctx binary, split boolean, again boolean"
+        map_batches(
+            own.join(wanted, "key").select("key", "text", "wanted"),
+            _fetch(length),
+            "bucket long, c long, key long, lo long, n long, ctx binary, split boolean, again boolean",
         )
     )
     place = ("key", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + F.lit(length - 1)).alias("end"))
@@ -409,7 +409,7 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         marks.append(again.where("key <> key1").select(*place))
         todo = todo.unionByName(first_blocks.select("bucket", "key", "lo", "ctx"))
     sorted_todo = todo.repartition("bucket").sortWithinPartitions("bucket")
-    marks.append(sorted_todo.mapInArrow(_sort_contexts(length), kind))
+    marks.append(map_batches(sorted_todo, _sort_contexts(length), kind))
     out = marks[0]
     for m in marks[1:]:
         out = out.unionByName(m)

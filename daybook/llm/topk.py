@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import stored
+from daybook.llm.common import map_batches, stored
 
 QUERY_BLOCK = 4_096
 ROW_BLOCK = 4_096
@@ -196,7 +196,7 @@ def top_k(
             vecs.append(r["v"])
         queries = {d: (np.array(a), np.array(b, dtype=np.int64).reshape(len(a), d)) for d, (a, b) in held.items()}
         shared = spark.sparkContext.broadcast(queries)
-        found = own.mapInArrow(_scan(shared, k), "query_id long, vec_id long, score long")
+        found = map_batches(own, _scan(shared, k), "query_id long, vec_id long, score long")
         out = out.unionByName(found)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
