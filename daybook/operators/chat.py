@@ -22,6 +22,7 @@ REQUEST_COLUMNS = [
     "system",
     "messages",
     "record_text",
+    "note_id",
 ]
 
 # request kinds that use the large model; all others use the default one
@@ -92,43 +93,48 @@ def history_segments(turns: DataFrame) -> DataFrame:
     """The chat history is emptied on a mode switch (or a clear).
 
     ``turns``: conv_id, turn, role, text, mode and optionally ``cleared``
-    (history cleared just before this turn).  Adds ``seg``: the number of
-    switches so far in the conversation.
+    (history cleared just before this turn) and ``failed`` (the turn's call
+    failed).  Adds ``seg``, the number of switches so far in the conversation,
+    and ``recorded``: whether the turn enters the history, which takes user and
+    assistant turns of calls that succeeded, and no blank user turns.
+
+    Segments are found on the keys alone; the texts are joined back.
     """
-    with_prev = ordered_scan(turns, "conv_id", ["turn"], lag={"__prev_mode": "mode"})
+    keys = turns.select("conv_id", "turn", "mode", *[c for c in ("cleared",) if c in turns.columns])
+    with_prev = ordered_scan(keys, "conv_id", ["turn"], lag={"__prev_mode": "mode"})
     switch = F.col("__prev_mode").isNotNull() & ~F.col("__prev_mode").eqNullSafe(F.col("mode"))
     if "cleared" in turns.columns:
         switch = switch | F.coalesce(F.col("cleared"), F.lit(False))
-    flagged = with_prev.withColumn("__switch", switch.cast("long")).drop("__prev_mode")
-    return ordered_scan(flagged, "conv_id", ["turn"], running_sum={"seg": "__switch"}).drop("__switch")
+    flagged = with_prev.select("conv_id", "turn", switch.cast("long").alias("__switch"))
+    seg = ordered_scan(flagged, "conv_id", ["turn"], running_sum={"seg": "__switch"}).drop("__switch")
+    ok = ~F.coalesce(F.col("failed"), F.lit(False)) if "failed" in turns.columns else F.lit(True)
+    said = (F.col("role") == "assistant") | ((F.col("role") == "user") & (js_trim("text") != ""))
+    return turns.join(seg, ["conv_id", "turn"]).withColumn("recorded", ok & F.coalesce(said, F.lit(False)))
 
 
 def chat_history(turns: DataFrame) -> DataFrame:
     """R2: follow-up requests = the segment's history so far + the new user message.
 
-    A user turn is a follow-up when its segment already has a turn before it
-    and its text is not blank; the new message is trimmed.  The output grows
-    with the square of a segment's length, as every request resends its
-    history.
+    A user turn is a follow-up when its segment already has a recorded turn
+    before it and its text is not blank; the new message is trimmed, and so
+    recorded.  The first turn of a segment's history is recorded as typed.  The
+    output grows with the square of a segment's length, as every request
+    resends its history; ``messages`` is the only column that costs this.
     """
     seg = history_segments(turns)
     w = Window.partitionBy("conv_id", "seg").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    msg = F.struct(F.col("role").alias("role"), F.col("text").alias("content"))
-    hist = seg.select(
-        "conv_id",
-        "turn",
-        "seg",
-        "role",
-        "text",
-        F.collect_list(msg).over(w).alias("__hist"),
-    )
+    n_before = F.coalesce(F.sum(F.col("recorded").cast("long")).over(w), F.lit(0))
     q = js_trim("text")
+    seen = seg.withColumn("n_history", n_before)
+    content = F.when((F.col("role") == "user") & (F.col("n_history") > 0), q).otherwise(F.col("text"))
+    msg = F.when(F.col("recorded"), F.struct(F.col("role").alias("role"), content.alias("content")))
+    hist = seen.withColumn("__hist", F.collect_list(msg).over(w))
     new = F.array(F.struct(F.lit("user").alias("role"), q.alias("content")))
-    return hist.where((F.col("role") == "user") & (F.size("__hist") > 0) & (q != "")).select(
+    return hist.where((F.col("role") == "user") & (F.col("n_history") > 0) & (q != "")).select(
         "conv_id",
         "turn",
         "seg",
-        F.size("__hist").alias("n_history"),
+        "n_history",
         F.to_json(F.concat("__hist", new)).alias("messages"),
         q.alias("record_text"),
     )
@@ -157,11 +163,12 @@ def chat_requests(
     model, everything else (follow-ups included) the default one.  First
     requests carry no history; follow-ups carry theirs.  ``record_text`` is
     what the history keeps for the user turn: a short literal for kickoff and
-    review, the typed text otherwise.
+    review, the typed text otherwise.  Ids are unique per user only, so request
+    ids hold the owner; ``note_id`` is set for summaries.
     """
     parts: list[DataFrame] = []
 
-    def add(df, kind, rid, owner, messages, record):
+    def add(df, kind, rid, owner, messages, record, note=None):
         model = models["large"] if kind in LARGE_MODEL_KINDS else models["default"]
         parts.append(
             df.select(
@@ -173,21 +180,26 @@ def chat_requests(
                 F.lit(K.SYSTEM_PROMPT).alias("system"),
                 messages.alias("messages"),
                 record.cast("string").alias("record_text"),
+                (F.lit(None) if note is None else note).cast("string").alias("note_id"),
             )
         )
 
     uid = F.col("user_id")
+
+    def owned(c: str) -> Column:
+        return F.concat(uid.cast("string"), F.lit(":"), F.col(c).cast("string"))
+
     if kickoff is not None:
         k = kickoff.where(F.col("prompt").isNotNull())
         add(k, "kickoff", uid.cast("string"), uid, _single(F.col("prompt")), F.lit(K.KICKOFF_HISTORY_TEXT))
     if review is not None:
         add(review, "review", uid.cast("string"), uid, _single(F.col("prompt")), F.lit(K.REVIEW_HISTORY_TEXT))
     if drift is not None:
-        add(drift, "drift", F.col("ask_id").cast("string"), uid, _single(F.col("prompt")), F.lit(None))
+        add(drift, "drift", owned("ask_id"), uid, _single(F.col("prompt")), F.lit(None))
     if summary is not None:
-        add(summary, "summary", F.col("note_id"), uid, _single(F.col("prompt")), F.lit(None))
+        add(summary, "summary", owned("note_id"), uid, _single(F.col("prompt")), F.lit(None), F.col("note_id"))
     if draft is not None:
-        add(draft, "draft", F.col("draft_id").cast("string"), uid, _single(F.col("prompt")), F.col("context"))
+        add(draft, "draft", owned("draft_id"), uid, _single(F.col("prompt")), F.col("context"))
     if followup is not None:
         rid = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
         add(followup, "followup", rid, F.col("conv_id"), F.col("messages"), F.col("record_text"))
@@ -223,7 +235,7 @@ def apply_responses(requests: DataFrame, responses: DataFrame, now: Column) -> t
         F.col("owner_id").alias("user_id"),
         F.lit(0).cast("long").alias("change_id"),
         now.cast("timestamp").alias("ts"),
-        F.substring_index(F.col("request_id"), ":", -1).alias("note_id"),
+        "note_id",
         F.lit("update").alias("op"),
         F.lit(False).alias("set_content"),
         F.lit(None).cast("string").alias("content"),

@@ -34,7 +34,7 @@ def note_list(notes: DataFrame, as_of: Column) -> DataFrame:
 
     ``list_pos`` is the 0-based place in the user's list.
     """
-    keyed = notes.withColumn("__neg_created", -F.unix_micros("created_at"))
+    keyed = notes.select("user_id", "id", "created_at", (-F.unix_micros("created_at")).alias("__neg_created"))
     return ordered_scan(keyed, "user_id", ["__neg_created", "id"], position="list_pos").select(
         "user_id", "id", "list_pos", note_age("created_at", as_of).alias("age")
     )
@@ -131,9 +131,11 @@ def _spans(blocks: DataFrame, keys: list[str], pattern: str, italic: bool) -> Da
     """Pieces of ``text`` split around ``pattern`` that the renderer formats.
 
     Like a split with a capturing group: matches sit at odd piece numbers,
-    the text between them at even ones.  A piece is bold when it starts and
-    ends with ``**`` (inner text without them), else italic when it starts and
-    ends with ``_`` -- which can also hold for a piece between matches.
+    the text between them at even ones.  In notes (``italic``) a piece is bold
+    when it starts and ends with ``**``, else italic when it starts and ends
+    with ``_`` -- which can also hold for a piece between matches.  In coach
+    replies any piece that starts with ``**`` is bold, closed or not; its first
+    and last two characters go, as in the app.
     Lines without a marker character cannot hold a formatted piece and skip
     the regular expressions.
     """
@@ -151,7 +153,7 @@ def _spans(blocks: DataFrame, keys: list[str], pattern: str, italic: bool) -> Da
     exploded = src.select(*keys, F.posexplode(pieces).alias("span_no", "piece"))
     p = F.col("piece")
     n = F.length(p)
-    is_bold = p.startswith("**") & p.endswith("**")
+    is_bold = p.startswith("**") & p.endswith("**") if italic else p.startswith("**")
     is_italic = p.startswith("_") & p.endswith("_") if italic else F.lit(False)
     kind = F.when(is_bold, "bold").when(is_italic, "italic")
     inner = (
@@ -198,5 +200,5 @@ def response_blocks(responses: DataFrame) -> DataFrame:
 
 
 def response_spans(blocks: DataFrame) -> DataFrame:
-    """Bold spans of coach reply lines."""
-    return _spans(blocks, ["request_id", "line_no"], REPLY_INLINE, italic=False)
+    """Bold spans of coach reply lines; headings are shown raw and have none."""
+    return _spans(blocks.where(F.col("kind") != "heading"), ["request_id", "line_no"], REPLY_INLINE, italic=False)

@@ -2,111 +2,56 @@
 
 Per-user lists (task order, kickoff numbering, activity gaps, chat segments)
 need a position, the previous or next row, or a running total within a key.
-A window partitioned by the key would put a key that holds a third of all rows
-into one task.  Instead:
+A window partitioned by the key alone would put a key that holds a third of all
+rows into one task.  So the keys are counted first, and
 
-1. range-partition on ``(key, *order)`` -- the sampled bounds split a hot key
-   over many partitions, so every partition has about the same size;
-2. one Arrow pass per partition computes the partition-local
-   position, lag, lead and running sums, streaming batch by batch;
-3. the only rows that need values from another partition are the first and
-   the last key of each partition.  Their corrections come from a table of at
-   most two rows per partition, which is broadcast -- its size is bounded by
-   the partition count, not by the data.
+* if every key is of ordinary size, the scan is one window per key;
+* otherwise each hot key's rows are cut into buckets by bounds on the order
+  columns.  The bounds are values held in the plan (a few per shuffle
+  partition, however large the data), so a row's bucket depends on the row
+  alone.  Windows run per (key, bucket); positions, sums and neighbours carry
+  over from the buckets before and after through one aggregate row a bucket.
 
-The range shuffle has a user-given partition count, so adaptive execution
-never coalesces or splits it and ``spark_partition_id`` is stable across the
-branches that read the (reused) exchange.
+Everything is built-in DataFrame work.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-_PID = "__seq_pid"
-_LPOS = "__seq_lpos"
-_LAST = "__seq_last"
+# A key is hot above this many rows and above twice an even partition's share.
+HOT_ROWS = 200_000
+# rows sampled for each bucket of a hot key to choose its bounds
+SAMPLE = 20
 
-# the broadcast correction table has at most 2 rows per partition
-MAX_PARTITIONS = 200_000
 
-
-def _local_scan(key: str, lag: dict, lead: dict, rsum: dict, names: list[str]):
-    """Partition-local pass over Arrow batches of rows sorted by (key, order).
-
-    Pass-through columns stay in Arrow; only the key and the summed columns
-    are turned into numpy arrays.  The last row of each batch is held back
-    until the next batch shows whether it continues the same key (its lead).
-    """
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    def run(batches):
-        out_schema = None
-        held = None  # dict name -> 1-element array: last row of the previous batch
-        carry = None  # key, position, sums and lag sources of the last row seen
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            cols = {name: rb.column(i) for i, name in enumerate(rb.schema.names)}
-            k = cols[key].to_numpy(zero_copy_only=False)
-            brk = np.ones(n, dtype=bool)
-            if n > 1:
-                brk[1:] = k[1:] != k[:-1]
-            cont = carry is not None and k[0] == carry["key"]
-            brk[0] = not cont
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(brk, idx, 0))
-            first_run = start == 0
-            lpos = idx - start
-            if cont:
-                lpos[first_run] += carry["lpos"] + 1
-            cols[_LPOS] = pa.array(lpos.astype("int64"))
-            for out, src in rsum.items():
-                v = cols[src].to_numpy(zero_copy_only=False).astype("int64")
-                cs = np.cumsum(v)
-                loc = cs - (cs[start] - v[start])
-                if cont:
-                    loc[first_run] += carry["sums"][out]
-                cols[out] = pa.array(loc.astype("int64"))
-            for out, src in lag.items():
-                arr = cols[src]
-                before = carry["lag"][src] if cont else pa.nulls(1, arr.type)
-                prev = pa.concat_arrays([before, arr.slice(0, n - 1)]) if n > 1 else before
-                cols[out] = pc.if_else(pa.array(~brk | (idx == 0) & cont), prev, pa.nulls(n, arr.type))
-            run_end = np.append(brk[1:], True)
-            for out, src in lead.items():
-                arr = cols[src]
-                nxt = pa.concat_arrays([arr.slice(1), pa.nulls(1, arr.type)])
-                cols[out] = pc.if_else(pa.array(~run_end), nxt, pa.nulls(n, arr.type))
-            cols[_LAST] = pa.array(run_end)
-            if out_schema is None:
-                out_schema = pa.schema([pa.field(c, cols[c].type) for c in names])
-            if held is not None:
-                for out, src in lead.items():
-                    held[out] = cols[src].slice(0, 1) if cont else pa.nulls(1, held[out].type)
-                held[_LAST] = pa.array([not cont])
-                yield pa.RecordBatch.from_arrays([held[c] for c in names], schema=out_schema)
-            carry = {
-                "key": k[-1],
-                "lpos": int(lpos[-1]),
-                "sums": {out: int(cols[out][n - 1].as_py()) for out in rsum},
-                "lag": {src: cols[src].slice(n - 1, 1) for src in lag.values()},
-            }
-            held = {c: cols[c].slice(n - 1, 1) for c in names}
-            if n > 1:
-                yield pa.RecordBatch.from_arrays([cols[c].slice(0, n - 1) for c in names], schema=out_schema)
-        if held is not None:
-            for out in lead:
-                held[out] = pa.nulls(1, held[out].type)
-            held[_LAST] = pa.array([True])
-            yield pa.RecordBatch.from_arrays([held[c] for c in names], schema=out_schema)
-
-    return run
+def _hot_bounds(df: DataFrame, key: str, order: list[str], parts: int, hot_rows: int) -> DataFrame | None:
+    """(key, __bounds) of the hot keys: ordered structs of the order columns; None without hot keys."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    share = max(1, total // parts)
+    hot = counts.where(F.col("__n") > max(hot_rows, 2 * share)).collect()  # fewer than parts / 2 rows
+    if not hot:
+        return None
+    spark = df.sparkSession
+    each = max(1, min(hot_rows, share))
+    kind = df.schema[key].dataType.simpleString()
+    sizes = spark.createDataFrame([(r[0], r[1]) for r in hot], f"`{key}` {kind}, __n long")
+    at = F.struct(*[F.col(c) for c in order])
+    chance = F.lit(SAMPLE / each)
+    picked = (
+        df.join(F.broadcast(sizes), key)
+        .where(F.rand(17) < chance)
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_set(at)).alias("__s"))
+    )
+    # every SAMPLE-th sampled row is a bound
+    bounds = picked.select(
+        key, F.filter("__s", lambda x, i: (i + 1) % SAMPLE == 0).alias("__bounds")
+    )
+    rows = bounds.collect()  # about one bound for each partition's share of rows
+    return spark.createDataFrame(rows, bounds.schema)
 
 
 def ordered_scan(
@@ -118,7 +63,7 @@ def ordered_scan(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
-    num_partitions: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add per-key sequence columns to ``df``.
 
@@ -129,91 +74,67 @@ def ordered_scan(
     * ``position``: name of a 0-based position column within the key;
     * ``lag`` / ``lead``: ``{out: src}``, the previous / next row's ``src``;
     * ``running_sum``: ``{out: src}``, inclusive running sum of integer ``src``.
+
+    Select the columns you need first: all columns of ``df`` are shuffled.
     """
     lag, lead, rsum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > MAX_PARTITIONS:
-        raise ValueError(f"ordered_scan: {n} partitions exceed the broadcast bound {MAX_PARTITIONS}")
-    sort_cols = [key, *order]
-    # The range partitioner seeds its sampling with the RDD id, so two
-    # exchanges of the same data may cut at different bounds.  All branches
-    # below must therefore read one reused exchange: the trailing hash of every
-    # column (a no-op tie-break after a total order) keeps column pruning from
-    # making the branches' exchanges differ.
-    guard = F.xxhash64(*[F.col(c) for c in df.columns])
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in sort_cols], guard).withColumn(
-        _PID, F.spark_partition_id()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows)
+    by = [key] if bounds is None else [key, "__bucket"]
+    if bounds is not None:
+        at = F.struct(*[F.col(c) for c in order])
+        df_in = df.join(F.broadcast(bounds), key, "left")
+        before = F.size(F.filter(F.coalesce("__bounds", F.array()), lambda b: b < at))
+        df_in = df_in.withColumn("__bucket", F.when(F.col("__bounds").isNull(), 0).otherwise(before)).drop("__bounds")
+    else:
+        df_in = df
+    w = Window.partitionBy(*by).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df_in.select(
+        *df.columns,
+        *([F.col("__bucket")] if bounds is not None else []),
+        *([(F.row_number().over(w) - 1).cast("long").alias(position)] if position else []),
+        *[F.sum(src).over(upto).cast("long").alias(o) for o, src in rsum.items()],
+        *[F.lag(src).over(w).alias(o) for o, src in lag.items()],
+        *[F.lead(src).over(w).alias(o) for o, src in lead.items()],
+        *([F.row_number().over(w).alias("__first"), F.lead(F.lit(1)).over(w).alias("__more")] if bounds is not None else []),
     )
-
-    # 1. partition-local pass
-    types = {f.name: f.dataType for f in ranged.schema.fields}
-    out_fields = list(ranged.schema.fields) + [StructField(_LPOS, LongType(), False)]
-    out_fields += [StructField(o, LongType(), True) for o in rsum]
-    out_fields += [StructField(o, types[s], True) for o, s in lag.items()]
-    out_fields += [StructField(o, types[s], True) for o, s in lead.items()]
-    out_fields += [StructField(_LAST, BooleanType(), False)]
-    out_schema = StructType(out_fields)
-    local = ranged.sortWithinPartitions(*sort_cols).mapInArrow(
-        _local_scan(key, lag, lead, rsum, out_schema.names), out_schema
-    )
-
-    # 2. first and last row of every non-empty partition (N rows)
-    srcs = sorted(set(lag.values()) | set(lead.values()))
-    row = F.struct(F.col(key).alias("k"), *[F.col(s).alias(f"v{i}") for i, s in enumerate(srcs)])
-    ordering = F.struct(*[F.col(c) for c in sort_cols])
-    edges = ranged.groupBy(_PID).agg(
-        F.min_by(row, ordering).alias("first"), F.max_by(row, ordering).alias("last")
-    )
-    by_pid = Window.orderBy(_PID)
-    edges = edges.select(
-        _PID,
-        "first",
-        "last",
-        F.lag("last").over(by_pid).alias("prev_last"),
-        F.lead("first").over(by_pid).alias("next_first"),
-    )
-    firsts = edges.select(
-        _PID,
-        F.col("first.k").alias(key),
-        F.coalesce(F.col("prev_last.k") == F.col("first.k"), F.lit(False)).alias("__has_prev"),
-        *[F.col(f"prev_last.v{srcs.index(s)}").alias(f"__prev_{o}") for o, s in lag.items()],
+    if bounds is None:
+        return out
+    # one row a bucket of the hot keys: what it adds for the buckets after and before it
+    cut = df_in.join(F.broadcast(bounds.select(key)), key, "left_semi")
+    ordering = F.struct(*[F.col(c) for c in order])
+    sources = sorted({*lag.values(), *lead.values()})
+    row = F.struct(F.lit(True).alias("__here"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])
+    buckets = cut.groupBy(key, "__bucket").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(src).alias(f"__sum_{o}") for o, src in rsum.items()],
+        F.min_by(row, ordering).alias("__head"),
+        F.max_by(row, ordering).alias("__tail"),
     )
-    lasts = edges.select(
-        _PID,
-        F.col("last.k").alias(key),
-        F.coalesce(F.col("next_first.k") == F.col("last.k"), F.lit(False)).alias("__has_next"),
-        *[F.col(f"next_first.v{srcs.index(s)}").alias(f"__next_{o}") for o, s in lead.items()],
-    )
-
-    # 3. rows and sums of boundary keys in earlier partitions (<= 2N rows)
-    pairs = firsts.select(_PID, key).union(lasts.select(_PID, key)).distinct()
-    stats = (
-        ranged.join(F.broadcast(pairs), [_PID, key])
-        .groupBy(_PID, key)
-        .agg(F.count(F.lit(1)).alias("__cnt"), *[F.sum(s).alias(f"__sum_{o}") for o, s in rsum.items()])
-    )
-    before = Window.partitionBy(key).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        _PID,
+    along = Window.partitionBy(key).orderBy("__bucket")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carry = buckets.select(
         key,
-        F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
-        *[F.coalesce(F.sum(f"__sum_{o}").over(before), F.lit(0)).alias(f"__off_{o}") for o in rsum],
+        "__bucket",
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"),
+        *[F.coalesce(F.sum(f"__sum_{o}").over(earlier), F.lit(0)).alias(f"__off_{o}") for o in rsum],
+        F.lag("__tail").over(along).alias("__prev"),
+        F.lead("__head").over(along).alias("__next"),
     )
-    fix = offsets.join(firsts, [_PID, key], "left").join(lasts, [_PID, key], "left")
-
-    res = local.join(F.broadcast(fix), [_PID, key], "left")
+    # as many rows as there are bounds, and one more for each hot key
+    res = out.join(F.broadcast(carry), [key, "__bucket"], "left")
     cols = [F.col(c) for c in df.columns]
     if position:
-        cols.append((F.col(_LPOS) + F.coalesce(F.col("__off"), F.lit(0))).alias(position))
+        cols.append((F.col(position) + F.coalesce("__off", F.lit(0))).alias(position))
     for o in rsum:
-        cols.append((F.col(o) + F.coalesce(F.col(f"__off_{o}"), F.lit(0))).cast("long").alias(o))
-    for o in lag:
-        take = (F.col(_LPOS) == 0) & F.coalesce(F.col("__has_prev"), F.lit(False))
-        cols.append(F.when(take, F.col(f"__prev_{o}")).otherwise(F.col(o)).alias(o))
-    for o in lead:
-        take = F.col(_LAST) & F.coalesce(F.col("__has_next"), F.lit(False))
-        cols.append(F.when(take, F.col(f"__next_{o}")).otherwise(F.col(o)).alias(o))
+        cols.append((F.col(o) + F.coalesce(f"__off_{o}", F.lit(0))).cast("long").alias(o))
+    for o, src in lag.items():
+        take = F.col("__prev.__here") & (F.col("__first") == 1)
+        cols.append(F.when(take, F.col(f"__prev.v{sources.index(src)}")).otherwise(F.col(o)).alias(o))
+    for o, src in lead.items():
+        take = F.col("__next.__here") & F.col("__more").isNull()
+        cols.append(F.when(take, F.col(f"__next.v{sources.index(src)}")).otherwise(F.col(o)).alias(o))
     return res.select(*cols)
 
 

@@ -35,7 +35,8 @@ def session_log(sessions: DataFrame) -> DataFrame:
 
     ``log_pos`` is the 0-based place in the user's log by (completed_at, id).
     """
-    return ordered_scan(sessions, "user_id", ["completed_at", "id"], position="log_pos").select(
+    shown = sessions.select("user_id", "id", "task_id", "completed_at", "interrupted", "reflection")
+    return ordered_scan(shown, "user_id", ["completed_at", "id"], position="log_pos").select(
         "user_id",
         "id",
         "task_id",

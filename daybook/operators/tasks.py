@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daybook.constants import DEFAULT_PRIORITY
 from daybook.functions import js_trim, next_priority, priority_class
 from daybook.operators.sequence import ordered_scan
+from daybook.session import ensure_checkpoint_dir
 
 TASK_COLUMNS = [
     "user_id",
@@ -32,8 +33,9 @@ TASK_COLUMNS = [
 def new_tasks(raw: DataFrame, now: Column) -> DataFrame:
     """Validate added tasks.
 
-    ``raw``: user_id, id, title, priority (null -> med), due ('' or null -> no
-    date, else 'YYYY-MM-DD'), seq (order of the adds within a user).
+    ``raw``: user_id, id, title, priority (null -> med), due ('YYYY-MM-DD'; '',
+    null or anything else -> no date, which is never overdue), seq (order of
+    the adds within a user).
     Blank titles (after JavaScript trim) are dropped.
     """
     title = js_trim("title")
@@ -42,7 +44,7 @@ def new_tasks(raw: DataFrame, now: Column) -> DataFrame:
         "id",
         title.alias("title"),
         F.coalesce(F.col("priority"), F.lit(DEFAULT_PRIORITY)).alias("priority"),
-        F.to_date(F.nullif(F.col("due"), F.lit(""))).alias("due_date"),
+        F.nullif(F.col("due"), F.lit("")).try_cast("date").alias("due_date"),
         F.lit(False).alias("done"),
         now.cast("timestamp").alias("created_at"),
         F.lit(None).cast("timestamp").alias("completed_at"),
@@ -74,21 +76,12 @@ def append_tasks(tasks: DataFrame, new: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- O1, P5-P8
 
 
-def list_positions(tasks: DataFrame) -> DataFrame:
-    """One ordered pass for all list positions (O1, P5).
+def _filled(tasks: DataFrame) -> DataFrame:
+    return tasks.withColumn("ord", F.coalesce(F.col("ord"), F.col("array_pos")))
 
-    Adds ``list_pos`` (place in the whole list) and ``__npend`` (pending tasks
-    up to and including this one).  The place among pending tasks is
-    ``__npend - 1``, among done tasks ``list_pos - __npend``.  Every list job
-    calls this with the same input, so within one query the plan is shared and
-    the tasks are range-shuffled once.
-    """
-    pending = ~F.coalesce(F.col("done"), F.lit(False))
-    filled = tasks.withColumn("ord", F.coalesce(F.col("ord"), F.col("array_pos"))).withColumn(
-        "__pend", pending.cast("long")
-    )
-    return ordered_scan(filled, "user_id", ["ord", "array_pos"], position="list_pos",
-                        running_sum={"__npend": "__pend"})
+
+def _is_done() -> Column:
+    return F.coalesce(F.col("done"), F.lit(False))
 
 
 def order_tasks(tasks: DataFrame) -> DataFrame:
@@ -97,19 +90,17 @@ def order_tasks(tasks: DataFrame) -> DataFrame:
     ``list_pos`` is the 0-based place in the user's list; array position breaks
     ties, as back-filled orders can collide with stored ones.
     """
-    return list_positions(tasks).select(*tasks.columns, "list_pos")
+    return ordered_scan(_filled(tasks), "user_id", ["ord", "array_pos"], position="list_pos")
 
 
 def pending_tasks(tasks: DataFrame) -> DataFrame:
     """P5: not-done tasks in list order; ``pos`` is the place among them."""
-    pos = list_positions(tasks)
-    return pos.where(F.col("__pend") == 1).select(*tasks.columns, (F.col("__npend") - 1).alias("pos"))
+    return ordered_scan(_filled(tasks.where(~_is_done())), "user_id", ["ord", "array_pos"], position="pos")
 
 
 def done_tasks(tasks: DataFrame) -> DataFrame:
     """P5: done tasks in list order; ``pos`` is the place among them."""
-    pos = list_positions(tasks)
-    return pos.where(F.col("__pend") == 0).select(*tasks.columns, (F.col("list_pos") - F.col("__npend")).alias("pos"))
+    return ordered_scan(_filled(tasks.where(_is_done())), "user_id", ["ord", "array_pos"], position="pos")
 
 
 def local_midnight(as_of: Column, tz: str) -> Column:
@@ -189,16 +180,8 @@ def apply_reorder(tasks: DataFrame, reorders: DataFrame) -> DataFrame:
     )
 
 
-def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
-    """Drag within the pending list, then write the pending ids as a reorder.
-
-    From index f to index t among pending tasks: the dragged item goes to t,
-    items in (f, t] move up one when f < t, items in [t, f) move down one when
-    f > t.  A move onto itself or with an id not pending is a no-op.  Then every
-    pending task's order becomes its new index; done tasks keep theirs (and
-    may collide).  One move per user per batch.
-    """
-    pend = pending_tasks(tasks).select("user_id", "id", "pos")
+def _one_move(pend: DataFrame, moves: DataFrame) -> DataFrame:
+    """Pending positions after at most one move a user; ``moved`` marks users with any effect so far."""
     f = pend.select("user_id", F.col("id").alias("drag_id"), F.col("pos").alias("__f"))
     t = pend.select("user_id", F.col("id").alias("over_id"), F.col("pos").alias("__t"))
     mv = (
@@ -215,7 +198,35 @@ def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
         .when((F.col("__f") > F.col("__t")) & (F.col("pos") >= F.col("__t")) & (F.col("pos") < F.col("__f")), F.col("pos") + 1)
         .otherwise(F.col("pos"))
     )
-    new_ord = p.where(F.col("__f").isNotNull()).select("user_id", "id", new_pos.alias("__new"))
+    return p.select("user_id", "id", new_pos.alias("pos"), (F.col("moved") | F.col("__f").isNotNull()).alias("moved"))
+
+
+def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
+    """Drags within the pending list, each written back as a reorder.
+
+    From index f to index t among pending tasks: the dragged item goes to t,
+    items in (f, t] move up one when f < t, items in [t, f) move down one when
+    f > t.  A move onto itself or with an id not pending is a no-op.  Then every
+    pending task's order becomes its new index; done tasks keep theirs (and
+    may collide).  Several moves of one user apply in (``ts``, ``move_id``)
+    order, each to the list the one before left.  The moves run in rounds, one
+    move a user in each, so the number of jobs is the largest number of moves
+    of one user; only ids and positions go through them.
+    """
+    tie = ["move_id"] if "move_id" in moves.columns else ["drag_id", "over_id"]
+    ensure_checkpoint_dir(tasks.sparkSession)
+    numbered = ordered_scan(
+        moves.select("user_id", "ts", *dict.fromkeys([*tie, "drag_id", "over_id"])), "user_id", ["ts", *tie], position="__k"
+    ).checkpoint()
+    rounds = numbered.agg(F.max("__k")).first()[0]
+    movers = numbered.select("user_id").distinct()
+    pend = (
+        pending_tasks(tasks).select("user_id", "id", "pos").join(movers, "user_id", "left_semi")
+        .withColumn("moved", F.lit(False)).checkpoint()
+    )
+    for k in range(0 if rounds is None else rounds + 1):
+        pend = _one_move(pend, numbered.where(F.col("__k") == k)).checkpoint()
+    new_ord = pend.where("moved").select("user_id", "id", F.col("pos").alias("__new"))
     return (
         tasks.join(new_ord, ["user_id", "id"], "left")
         .withColumn("ord", F.coalesce(F.col("__new").cast("long"), F.col("ord")))
@@ -226,11 +237,6 @@ def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- M1, M2
 
 
-def _last_set(flag: str, value: str) -> Column:
-    """Latest value among changes that carry the field (null is a value)."""
-    return F.max(F.when(F.col(flag), F.struct(F.col("ts"), F.col("change_id"), F.col(value).alias("v"))))
-
-
 def apply_deletes(table: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """M2: drop rows whose id is deleted; unknown ids are no-ops; no cascade."""
     gone = ids.select("user_id", F.col("task_id").alias(id_col)) if "task_id" in ids.columns else ids
@@ -245,27 +251,36 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
     final.  ``completed_at``: with L the last ``done=false``, a final done
     false gives null; a final done true gives the first ``done=true`` after L,
     or without any L the stored value if set, else the first ``done=true``.
+
+    The log is read and shuffled once: one aggregate with a row a task, which
+    also holds the task's completions (times of ``done=true``, sorted).
     """
-    upd = log.where(F.col("op") == "update")
     for c, t in (("set_title", "boolean"), ("title", "string")):
-        if c not in upd.columns:
-            upd = upd.withColumn(c, F.lit(None).cast(t))
+        if c not in log.columns:
+            log = log.withColumn(c, F.lit(None).cast(t))
+    update = F.col("op") == "update"
     at = F.struct(F.col("ts"), F.col("change_id"))
-    folded = upd.groupBy("user_id", "task_id").agg(
-        _last_set("set_title", "title").alias("__title"),
-        _last_set("set_priority", "priority").alias("__priority"),
-        _last_set("set_due", "due_date").alias("__due"),
-        _last_set("set_done", "done").alias("__done"),
-        F.max(F.when(F.col("set_done") & ~F.col("done"), at)).alias("__last_false"),
-    )
-    trues = upd.where(F.col("set_done") & F.col("done")).select("user_id", "task_id", "ts", "change_id")
-    first_true = (
-        trues.join(folded.select("user_id", "task_id", "__last_false"), ["user_id", "task_id"])
-        .where(F.col("__last_false").isNull() | (F.struct("ts", "change_id") > F.col("__last_false")))
-        .groupBy("user_id", "task_id")
-        .agg(F.min(F.struct("ts", "change_id"))["ts"].alias("__first_true"))
+    sets_done = update & F.col("set_done")
+
+    def last_set(flag: str, value: str) -> Column:
+        """Latest value among changes that carry the field (null is a value)."""
+        return F.max(F.when(update & F.col(flag), F.struct("ts", "change_id", F.col(value).alias("v"))))
+
+    ch = (
+        log.groupBy("user_id", "task_id")
+        .agg(
+            F.max((F.col("op") == "delete").cast("int")).alias("__gone"),
+            last_set("set_title", "title").alias("__title"),
+            last_set("set_priority", "priority").alias("__priority"),
+            last_set("set_due", "due_date").alias("__due"),
+            last_set("set_done", "done").alias("__done"),
+            F.max(F.when(sets_done & ~F.col("done"), at)).alias("__last_false"),
+            F.array_sort(F.collect_list(F.when(sets_done & F.col("done"), at))).alias("__trues"),
+        )
+        .withColumnRenamed("task_id", "id")
     )
-    ch = folded.join(first_true, ["user_id", "task_id"], "left").withColumnRenamed("task_id", "id")
+    after = F.filter("__trues", lambda x: F.col("__last_false").isNull() | (x > F.col("__last_false")))
+    ch = ch.withColumn("__first_true", F.get(after, F.lit(0))["ts"])
 
     def pick(field: str, col: str) -> Column:
         return F.when(F.col(field).isNotNull(), F.col(field)["v"]).otherwise(F.col(col))
@@ -277,9 +292,7 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
         .when(F.col("__last_false").isNotNull(), F.col("__first_true"))
         .otherwise(F.coalesce(F.col("completed_at"), F.col("__first_true")))
     )
-    deletes = log.where(F.col("op") == "delete").select("user_id", F.col("task_id").alias("id"))
-    kept = tasks.join(deletes, ["user_id", "id"], "left_anti")
-    return kept.join(ch, ["user_id", "id"], "left").select(
+    return tasks.join(ch, ["user_id", "id"], "left").where(F.coalesce(F.col("__gone"), F.lit(0)) == 0).select(
         "user_id",
         "id",
         pick("__title", "title").alias("title"),

@@ -271,12 +271,31 @@ def timer_sessions(
 def timer_status(
     events: DataFrame, as_of: str, settings: DataFrame | None = None, num_partitions: int | None = None
 ) -> DataFrame:
-    """T5: phase and the shown ``mm:ss`` per user as of ``as_of`` (events up to it)."""
+    """T5: phase and the shown ``mm:ss`` per user as of ``as_of`` (events up to it).
+
+    Every user of ``events`` or ``settings`` has a row.
+    """
     as_of_us = int(pd.Timestamp(as_of, tz="UTC").value // 1000)
-    users = events.where(F.col("ts") <= F.lit(as_of).cast("timestamp"))
+    so_far = events.where(F.col("ts") <= F.lit(as_of).cast("timestamp"))
     # the state at ``as_of`` depends only on the events since the user's last stop
-    rows = _timer_input(users, settings, num_partitions, last_epoch_only=True)
-    st = rows.mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
+    rows = _timer_input(so_far, settings, num_partitions, last_epoch_only=True)
+    found = rows.mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
+    # users without events up to then show Ready and their work length
+    users = events.select("user_id")
+    work = F.lit(K.DEFAULT_WORK_MINS)
+    if settings is not None:
+        users = users.unionByName(settings.select("user_id"))
+    users = users.distinct()
+    if settings is not None:
+        users = users.join(settings.select("user_id", "work_mins"), "user_id", "left")
+        work = F.coalesce(F.nullif(F.col("work_mins").cast("int"), F.lit(0)), work)
+    st = users.join(found, "user_id", "left").select(
+        "user_id",
+        F.coalesce("phase", F.lit("idle")).alias("phase"),
+        F.coalesce("remaining_s", (work * 60).cast("long")).alias("remaining_s"),
+        "task_id",
+        F.coalesce("awaiting_checkin", F.lit(False)).alias("awaiting_checkin"),
+    )
     label = (
         F.when(F.col("phase") == "idle", "Ready")
         .when(F.col("phase") == "work", "Focus")

@@ -172,7 +172,7 @@ def q_done_tasks(fx: Fixtures) -> DataFrame:
 
 
 _NEW_TASKS = f"""SELECT user_id, id, {duck_trim('title')} AS title, coalesce(priority, 'med') AS priority,
-       CAST(nullif(due, '') AS DATE) AS due_date, false AS done,
+       TRY_CAST(nullif(due, '') AS DATE) AS due_date, false AS done,
        TIMESTAMP '{NOW}' AS created_at, CAST(NULL AS TIMESTAMP) AS completed_at,
        0 AS carried_over_count, seq
 FROM fx_raw_tasks WHERE {duck_trim('title')} <> ''"""
@@ -417,32 +417,39 @@ def q_apply_reorder(fx: Fixtures) -> DataFrame:
     return T.apply_reorder(fx.tasks(), fx.reorders())
 
 
-@register(
-    "move_item",
-    duckdb_with(
-        ["fx_tasks", "fx_moves"],
-        """, p AS (
-  SELECT user_id, id, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(ord, array_pos), array_pos) - 1 AS pos
-  FROM fx_tasks WHERE NOT done),
-mv AS (
+def _move_step(k: int) -> str:
+    """DuckDB: the pending positions after the k-th move of every user."""
+    return f""", mv{k} AS (
   SELECT m.user_id, m.drag_id, f.pos AS f, t.pos AS t
-  FROM fx_moves m JOIN p f ON f.user_id = m.user_id AND f.id = m.drag_id
-                  JOIN p t ON t.user_id = m.user_id AND t.id = m.over_id
-  WHERE m.drag_id <> m.over_id),
-np AS (
-  SELECT p.user_id, p.id,
-         CASE WHEN p.id = mv.drag_id THEN mv.t
+  FROM fx_moves m JOIN p{k - 1} f ON f.user_id = m.user_id AND f.id = m.drag_id
+                  JOIN p{k - 1} t ON t.user_id = m.user_id AND t.id = m.over_id
+  WHERE m.drag_id <> m.over_id AND m.move_id = {k}),
+p{k} AS (
+  SELECT p.user_id, p.id, p.moved OR mv.f IS NOT NULL AS moved,
+         CASE WHEN mv.f IS NULL THEN p.pos
+              WHEN p.id = mv.drag_id THEN mv.t
               WHEN mv.f < mv.t AND p.pos > mv.f AND p.pos <= mv.t THEN p.pos - 1
               WHEN mv.f > mv.t AND p.pos >= mv.t AND p.pos < mv.f THEN p.pos + 1
-              ELSE p.pos END AS new_ord
-  FROM p JOIN mv ON mv.user_id = p.user_id)
-SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done, coalesce(np.new_ord, t.ord) AS ord,
+              ELSE p.pos END AS pos
+  FROM p{k - 1} p LEFT JOIN mv{k} mv ON mv.user_id = p.user_id)"""
+
+
+_MOVES_SQL = f""", p0 AS (
+  SELECT user_id, id, false AS moved,
+         row_number() OVER (PARTITION BY user_id ORDER BY coalesce(ord, array_pos), array_pos) - 1 AS pos
+  FROM fx_tasks WHERE NOT done){_move_step(1)}{_move_step(2)}{_move_step(3)}
+SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done,
+       CASE WHEN np.moved THEN np.pos ELSE t.ord END AS ord,
        t.array_pos, t.created_at, t.completed_at
-FROM fx_tasks t LEFT JOIN np ON np.user_id = t.user_id AND np.id = t.id""",
-    ),
+FROM fx_tasks t LEFT JOIN p3 np ON np.user_id = t.user_id AND np.id = t.id"""
+
+
+@register(
+    "move_item",
+    duckdb_with(["fx_tasks", "fx_moves"], _MOVES_SQL),
 )
 def q_move_item(fx: Fixtures) -> DataFrame:
-    """Orders after one drag per user within the pending list."""
+    """Orders after up to three drags per user within the pending list."""
     return T.move_item(fx.tasks(), fx.moves())
 
 
@@ -571,6 +578,7 @@ def q_note_blocks(fx: Fixtures) -> DataFrame:
 
 def _duck_spans(src: str, keys: str, pattern: str, italic: bool) -> str:
     it = "WHEN starts_with(piece, '_') AND ends_with(piece, '_') THEN 'italic'" if italic else ""
+    closed = "AND ends_with(piece, '**')" if italic else ""
     return f"""pieces AS (
   SELECT {keys}, unnest(regexp_split_to_array(text, '{pattern}')) AS piece,
          unnest(generate_series(0, len(regexp_split_to_array(text, '{pattern}')) - 1)) * 2 AS span_no
@@ -580,7 +588,7 @@ def _duck_spans(src: str, keys: str, pattern: str, italic: bool) -> str:
          unnest(generate_series(0, len(regexp_extract_all(text, '{pattern}')) - 1)) * 2 + 1 AS span_no
   FROM {src} WHERE kind <> 'blank'),
 kinds AS (
-  SELECT *, CASE WHEN starts_with(piece, '**') AND ends_with(piece, '**') THEN 'bold' {it} END AS kind
+  SELECT *, CASE WHEN starts_with(piece, '**') {closed} THEN 'bold' {it} END AS kind
   FROM pieces)
 SELECT {keys}, span_no, kind,
        CASE WHEN kind = 'bold' THEN (CASE WHEN length(piece) >= 4 THEN substr(piece, 3, length(piece) - 4) ELSE '' END)
@@ -659,8 +667,9 @@ def q_drift_verdicts(fx: Fixtures) -> DataFrame:
     return C.drift_verdicts(fx.responses().where(F.col("request_id").startswith("drift:")))
 
 
-_SEGMENTS = """seg AS (
-  SELECT conv_id, turn, role, text, mode,
+_SEGMENTS = f"""seg AS (
+  SELECT conv_id, turn, role, text, mode, failed,
+         NOT failed AND (role = 'assistant' OR (role = 'user' AND {duck_trim('text')} <> '')) AS recorded,
          sum(CASE WHEN prev_mode IS NOT NULL AND prev_mode IS DISTINCT FROM mode THEN 1 ELSE 0 END)
            OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
   FROM (SELECT *, lag(mode) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_mode FROM fx_chat))"""
@@ -668,19 +677,23 @@ _SEGMENTS = """seg AS (
 
 @register(
     "history_segments",
-    duckdb_with(["fx_chat"], f", {_SEGMENTS}\nSELECT conv_id, turn, role, text, mode, CAST(seg AS BIGINT) AS seg FROM seg"),
+    duckdb_with(["fx_chat"], f", {_SEGMENTS}\nSELECT * REPLACE (CAST(seg AS BIGINT) AS seg) FROM seg"),
 )
 def q_history_segments(fx: Fixtures) -> DataFrame:
     """History segments of every conversation."""
     return C.history_segments(fx.chat())
 
 
-_FOLLOWUPS = f"""fu AS (
+_FOLLOWUPS = f"""rec AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, seg ORDER BY turn) AS rn FROM seg WHERE recorded),
+fu AS (
   SELECT u.conv_id, u.turn, u.seg, count(*) AS n_history,
-         to_json(list_concat(list(struct_pack(role := h.role, content := h.text) ORDER BY h.turn),
+         to_json(list_concat(list(struct_pack(role := h.role, content := CASE WHEN h.role = 'user' AND h.rn > 1
+                                                                         THEN {duck_trim('h.text')} ELSE h.text END)
+                                  ORDER BY h.turn),
                              [struct_pack(role := 'user', content := {duck_trim('u.text')})]))::VARCHAR AS messages,
          {duck_trim('u.text')} AS record_text
-  FROM seg u JOIN seg h ON h.conv_id = u.conv_id AND h.seg = u.seg AND h.turn < u.turn
+  FROM seg u JOIN rec h ON h.conv_id = u.conv_id AND h.seg = u.seg AND h.turn < u.turn
   WHERE u.role = 'user' AND {duck_trim('u.text')} <> ''
   GROUP BY u.conv_id, u.turn, u.seg, u.text)"""
 
@@ -713,11 +726,11 @@ def _duck_requests() -> str:
     d, l_ = sql_str(MODELS["default"]), sql_str(MODELS["large"])
     sysp = sql_str(K.SYSTEM_PROMPT)
 
-    def row(kind, rid, owner, model, messages, record):
+    def row(kind, rid, owner, model, messages, record, note="NULL"):
         return (
             f"SELECT {sql_str(kind + ':')} || {rid} AS request_id, CAST({owner} AS BIGINT) AS owner_id, "
             f"{sql_str(kind)} AS kind, {model} AS model, {K.MAX_TOKENS} AS max_tokens, {sysp} AS system, "
-            f"{messages} AS messages, CAST({record} AS VARCHAR) AS record_text"
+            f"{messages} AS messages, CAST({record} AS VARCHAR) AS record_text, CAST({note} AS VARCHAR) AS note_id"
         )
 
     return duckdb_with(
@@ -745,9 +758,9 @@ draft AS ({_DRAFT}),
 {_FOLLOWUPS}
 {row('kickoff', "CAST(user_id AS VARCHAR)", 'user_id', d, _duck_single('prompt'), repr(K.KICKOFF_HISTORY_TEXT))} FROM kick
 UNION ALL {row('review', "CAST(user_id AS VARCHAR)", 'user_id', l_, _duck_single('prompt'), repr(K.REVIEW_HISTORY_TEXT))} FROM review
-UNION ALL {row('drift', "CAST(ask_id AS VARCHAR)", 'user_id', d, _duck_single('prompt'), 'NULL')} FROM drift
-UNION ALL {row('summary', "note_id", 'user_id', d, _duck_single('prompt'), 'NULL')} FROM summ
-UNION ALL {row('draft', "CAST(draft_id AS VARCHAR)", 'user_id', l_, _duck_single('prompt'), 'context')} FROM draft
+UNION ALL {row('drift', "user_id || ':' || ask_id", 'user_id', d, _duck_single('prompt'), 'NULL')} FROM drift
+UNION ALL {row('summary', "user_id || ':' || note_id", 'user_id', d, _duck_single('prompt'), 'NULL', 'note_id')} FROM summ
+UNION ALL {row('draft', "user_id || ':' || draft_id", 'user_id', l_, _duck_single('prompt'), 'context')} FROM draft
 UNION ALL {row('followup', "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", 'conv_id', d, 'messages', 'record_text')} FROM fu""",
     )
 
@@ -792,7 +805,7 @@ def q_apply_responses(fx: Fixtures) -> DataFrame:
         ["fx_notes", "fx_responses"],
         f"""SELECT n.user_id, n.id, n.content, n.task_id, coalesce(s.text, n.summary) AS summary, n.created_at,
        CASE WHEN s.text IS NOT NULL OR s.request_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE n.created_at END AS updated_at
-FROM fx_notes n LEFT JOIN fx_responses s ON s.request_id = 'summary:' || n.id""",
+FROM fx_notes n LEFT JOIN fx_responses s ON s.request_id = 'summary:' || n.user_id || ':' || n.id""",
     ),
 )
 def q_summary_notes(fx: Fixtures) -> DataFrame:
@@ -829,7 +842,7 @@ def q_response_blocks(fx: Fixtures) -> DataFrame:
     "response_spans",
     duckdb_with(
         ["fx_responses"],
-        f", {_RESPONSE_BLOCKS},\n" + _duck_spans("blocks", "request_id, line_no", N.REPLY_INLINE, False),
+        f", {_RESPONSE_BLOCKS},\n" + _duck_spans("(SELECT * FROM blocks WHERE kind <> 'heading')", "request_id, line_no", N.REPLY_INLINE, False),
     ),
 )
 def q_response_spans(fx: Fixtures) -> DataFrame:
@@ -842,6 +855,7 @@ def q_response_spans(fx: Fixtures) -> DataFrame:
 from daybook.operators import timers as TM  # noqa: E402
 
 NUDGE_UNTIL = "2024-01-04 00:00:00"
+NUDGE_CLOSE = "2024-01-04 00:10:01"  # the stream's last instant: the watermark then passes NUDGE_UNTIL
 EOD_TZ = "Asia/Kolkata"  # a half-hour offset east of UTC
 EOD_WINDOW_MIN = 60
 TIMER_AS_OF = "2024-01-01 12:00:00"
@@ -889,13 +903,102 @@ def q_eod_reminders_window(fx: Fixtures) -> DataFrame:
     return TM.eod_reminders(fx.ticks(), EOD_TZ, K.EOD_HOUR, EOD_WINDOW_MIN)
 
 
-@register("timer_sessions")
+_US = 1_000_000
+
+
+def _timer_fold(until: str = "") -> str:
+    """DuckDB: the timer's state after every event of a user (recursive, one event a step)."""
+    return f""", ev AS (
+  SELECT e.user_id, e.seq, e.ts, epoch_us(e.ts) AS t, e.action, e.task_id,
+         CAST(coalesce(nullif(s.work_mins, 0), {K.DEFAULT_WORK_MINS}) * 60 AS BIGINT) AS ws,
+         CAST(coalesce(nullif(s.break_mins, 0), {K.DEFAULT_BREAK_MINS}) * 60 AS BIGINT) AS bs,
+         row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts, e.seq) AS rn
+  FROM fx_timer_events e LEFT JOIN fx_settings s ON s.user_id = e.user_id {until}),
+f AS (
+  SELECT user_id, 0::BIGINT AS rn, 'idle' AS phase, NULL::VARCHAR AS task, 0::BIGINT AS rem,
+         NULL::BIGINT AS run, NULL::BIGINT AS stop, false AS logged, NULL::BIGINT AS seq, NULL::TIMESTAMP AS ts,
+         0::BIGINT AS ws, 0::BIGINT AS bs
+  FROM (SELECT DISTINCT user_id FROM ev)
+  UNION ALL
+  SELECT user_id, rn,
+         CASE WHEN go THEN CASE action WHEN 'start' THEN 'work' WHEN 'pause' THEN 'paused' WHEN 'resume' THEN 'work'
+                                       WHEN 'stop' THEN 'idle' ELSE 'break' END ELSE ph END,
+         CASE WHEN go AND action = 'start' THEN task_id ELSE task END,
+         CASE WHEN go AND action = 'start' THEN ws WHEN go AND action = 'pause' THEN clock
+              WHEN go AND action = 'stop' THEN 0 ELSE rm END,
+         CASE WHEN go AND action IN ('start', 'resume') THEN t WHEN go AND action IN ('pause', 'stop') THEN NULL ELSE rn_us END,
+         CASE WHEN go AND action = 'checkin' THEN t + bs * {_US} WHEN go AND action = 'stop' THEN NULL ELSE stop END,
+         go AND action = 'checkin', seq, ts, ws, bs
+  FROM (
+    SELECT *, CASE action WHEN 'start' THEN ph = 'idle' AND coalesce(task_id, '') <> ''
+                          WHEN 'pause' THEN ph = 'work' AND rn_us IS NOT NULL
+                          WHEN 'resume' THEN ph = 'paused'
+                          WHEN 'stop' THEN ph <> 'idle'
+                          WHEN 'checkin' THEN ph = 'work' AND rn_us IS NULL ELSE false END AS go
+    FROM (
+      SELECT *, CASE WHEN phase = 'break' AND t >= stop THEN 'idle' ELSE phase END AS ph,
+             CASE WHEN phase = 'work' AND clock = 0 THEN NULL ELSE run END AS rn_us,
+             CASE WHEN phase = 'work' AND run IS NOT NULL AND clock = 0 THEN 0 ELSE rem END AS rm
+      FROM (SELECT f.user_id, e.rn, f.phase, f.task, f.rem, f.run, f.stop, e.seq, e.ts, e.t, e.action, e.task_id, e.ws, e.bs,
+                   greatest(f.rem - (e.t - f.run) // {_US}, 0) AS clock
+            FROM f JOIN ev e ON e.user_id = f.user_id AND e.rn = f.rn + 1))))"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_TIMER_SESSIONS = _recursive(
+    duckdb_with(
+        ["fx_timer_events", "fx_settings"],
+        _timer_fold()
+        + """
+SELECT user_id, seq, task AS task_id, CAST(ws // 60 AS INTEGER) AS duration_minutes, '' AS reflection, false AS interrupted,
+       CAST(ts AS DATE) AS date, ts AS completed_at
+FROM f WHERE logged""",
+    )
+)
+
+
+@register("timer_sessions", _TIMER_SESSIONS)
 def q_timer_sessions(fx: Fixtures) -> DataFrame:
     """T4: sessions completed by the timer events (settings per user, defaults 25/5)."""
     return TM.timer_sessions(fx.timer_events(), fx.settings())
 
 
-@register("timer_status")
+@register(
+    "timer_status",
+    _recursive(
+        duckdb_with(
+            ["fx_timer_events", "fx_settings"],
+            _timer_fold(f"WHERE e.ts <= TIMESTAMP '{TIMER_AS_OF}'")
+            + f""",
+last AS (
+  SELECT *, greatest(rem - (now - run) // {_US}, 0) AS clock
+  FROM (SELECT *, epoch_us(TIMESTAMP '{TIMER_AS_OF}') AS now FROM f
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1)),
+u AS (SELECT user_id FROM fx_timer_events UNION SELECT user_id FROM fx_settings),
+st AS (
+  SELECT u.user_id,
+         CASE WHEN l.phase IS NULL OR (l.phase = 'break' AND l.now >= l.stop) THEN 'idle' ELSE l.phase END AS phase,
+         l.phase = 'work' AND (l.run IS NULL OR l.clock = 0) AS waiting, l.task, l.clock, l.rem, l.stop, l.now, l.bs,
+         CAST(coalesce(nullif(s.work_mins, 0), {K.DEFAULT_WORK_MINS}) * 60 AS BIGINT) AS ws
+  FROM u LEFT JOIN last l ON l.user_id = u.user_id LEFT JOIN fx_settings s ON s.user_id = u.user_id),
+r AS (
+  SELECT *, CAST(CASE phase WHEN 'work' THEN CASE WHEN waiting THEN 0 ELSE clock END WHEN 'paused' THEN rem
+                            WHEN 'break' THEN greatest(bs - (now - (stop - bs * {_US})) // {_US}, 0) ELSE ws END AS BIGINT) AS remaining_s
+  FROM st)
+SELECT user_id, phase,
+       CASE phase WHEN 'idle' THEN 'Ready' WHEN 'work' THEN 'Focus' WHEN 'paused' THEN 'Paused' ELSE 'Break' END AS label,
+       remaining_s,
+       lpad(CAST(remaining_s // 60 AS VARCHAR), CAST(greatest(2, length(CAST(remaining_s // 60 AS VARCHAR))) AS INTEGER), '0') || ':'
+         || lpad(CAST(remaining_s % 60 AS VARCHAR), 2, '0') AS display,
+       CASE WHEN phase <> 'idle' THEN task END AS task_id,
+       coalesce(phase = 'work' AND waiting, false) AS awaiting_checkin
+FROM r""",
+        )
+    ),
+)
 def q_timer_status(fx: Fixtures) -> DataFrame:
     """T5: timer phase and display per user at TIMER_AS_OF."""
     return TM.timer_status(fx.timer_events(), TIMER_AS_OF, fx.settings())
@@ -914,24 +1017,84 @@ def _workspace_inputs(fx: Fixtures) -> tuple[DataFrame, DataFrame, DataFrame]:
     return fx.tasks(), fx.notes(), S.session_titles(fx.sessions(), pending)
 
 
-def _roundtrip(fx: Fixtures):
-    """S2 then S1 through a folder under the session's checkpoint directory."""
-    base = ensure_checkpoint_dir(fx.spark).rstrip("/")
-    path = f"{base}/workspaces-{uuid.uuid4().hex}"
-    W.write_workspaces(*_workspace_inputs(fx), path)
-    return W.read_workspaces(fx.spark, path, multiline=False)
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def _roundtrip(fx: Fixtures) -> W.Workspaces:
+    """S2 then S1 through a folder under the session's checkpoint directory, written once a session and input."""
+    at = (fx.spark.sparkContext.applicationId, fx.sf_dir)
+    if at not in _WRITTEN:
+        path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/workspaces-{uuid.uuid4().hex}"
+        W.write_workspaces(*_workspace_inputs(fx), path)
+        _WRITTEN[at] = path
+    return W.read_workspaces(fx.spark, _WRITTEN[at], multiline=False)
+
+
+def _json_object(fields: dict[str, str]) -> str:
+    """DuckDB: a JSON object without its null fields."""
+    parts = ", ".join(f"""'"{k}":' || {v}""" for k, v in fields.items())
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
 
 
-@register("write_workspaces")
+def _json_text(c: str) -> str:
+    return f"CAST(to_json({c}) AS VARCHAR)"
+
+
+def _json_time(c: str) -> str:
+    return f"""'"' || strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ') || '"'"""
+
+
+def _json_day(c: str) -> str:
+    return f"""'"' || strftime({c}, '%Y-%m-%d') || '"'"""
+
+
+def _json_array(name: str, source: str, order: str, fields: dict[str, str]) -> str:
+    return f"{name} AS (SELECT user_id, string_agg({_json_object(fields)}, ',' ORDER BY {order}) AS j FROM {source} GROUP BY user_id)"
+
+
+_DOCUMENTS_SQL = duckdb_with(
+    ["fx_tasks", "fx_notes", "fx_sessions"],
+    f""", titled AS (
+  SELECT s.*, coalesce(t.title, '') AS task_title
+  FROM fx_sessions s LEFT JOIN (SELECT * FROM fx_tasks WHERE NOT done) t ON t.user_id = s.user_id AND t.id = s.task_id),
+{_json_array("t", "fx_tasks", "array_pos", {
+    "id": _json_text("id"), "title": _json_text("title"), "priority": _json_text("priority"),
+    "dueDate": _json_day("due_date"), "done": "done", "order": "ord", "createdAt": _json_time("created_at"),
+    "completedAt": _json_time("completed_at"), "carriedOverCount": "0"})},
+{_json_array("n", "fx_notes", "created_at DESC, id", {
+    "id": _json_text("id"), "content": _json_text("content"), "taskId": _json_text("task_id"),
+    "summary": _json_text("summary"), "createdAt": _json_time("created_at"), "updatedAt": _json_time("created_at")})},
+{_json_array("s", "titled", "completed_at, id", {
+    "id": _json_text("id"), "taskId": _json_text("task_id"), "taskTitle": _json_text("task_title"),
+    "durationMinutes": "duration_minutes", "reflection": _json_text("reflection"), "interrupted": "interrupted",
+    "date": _json_day("date"), "completedAt": _json_time("completed_at")})},
+u AS (SELECT user_id FROM t UNION SELECT user_id FROM n UNION SELECT user_id FROM s)
+SELECT u.user_id, '{{"user_id":' || u.user_id || ',"tasks":[' || coalesce(t.j, '') || '],"notes":[' || coalesce(n.j, '')
+       || '],"focusSessions":[' || coalesce(s.j, '') || '],"dailyPlans":[]}}' AS document
+FROM u LEFT JOIN t ON t.user_id = u.user_id LEFT JOIN n ON n.user_id = u.user_id LEFT JOIN s ON s.user_id = u.user_id""",
+)
+
+
+@register("write_workspaces", _DOCUMENTS_SQL)
 def q_write_workspaces(fx: Fixtures) -> DataFrame:
     """One workspace JSON document per user (tasks, notes, sessions in stored order)."""
     return W.workspace_documents(*_workspace_inputs(fx))
 
 
-@register("read_workspaces", duckdb_with(["fx_tasks"], "SELECT * FROM fx_tasks"))
+@register("read_workspaces", duckdb_with(["fx_tasks"], "SELECT *, 0 AS carried_over_count FROM fx_tasks"))
 def q_read_workspaces(fx: Fixtures) -> DataFrame:
     """S1 after S2: the tasks read back from the written documents."""
-    return _roundtrip(fx)[0]
+    return _roundtrip(fx).tasks
+
+
+@register("corrupt_workspaces", duckdb_with(["fx_tasks", "fx_notes", "fx_sessions"], """
+SELECT user_id, 1 AS broken FROM fx_tasks UNION SELECT user_id, 1 FROM fx_notes UNION SELECT user_id, 1 FROM fx_sessions"""))
+def q_corrupt_workspaces(fx: Fixtures) -> DataFrame:
+    """Documents that were cut off while written, as the import reports them (one for every user)."""
+    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    docs = W.workspace_documents(*_workspace_inputs(fx))
+    docs.select(F.expr("substring(document, 1, length(document) - 1)").alias("value")).write.text(path)
+    return W.read_workspaces(fx.spark, path, multiline=False).corrupt.select("user_id", F.lit(1).alias("broken"))
 
 
 @register(
@@ -945,22 +1108,22 @@ FROM fx_notes""",
 )
 def q_read_workspaces_notes(fx: Fixtures) -> DataFrame:
     """S1 after S2: the notes read back, newest first."""
-    return _roundtrip(fx)[1]
+    return _roundtrip(fx).notes
 
 
 @register(
     "read_workspaces_sessions",
     duckdb_with(
         ["fx_sessions", "fx_tasks"],
-        """SELECT s.user_id, s.id, s.task_id, coalesce(t.title, '') AS task_title, s.duration_minutes, s.reflection,
-       s.interrupted, s.date, s.completed_at,
+        """SELECT s.user_id, s.id, s.task_id, coalesce(t.title, '') AS task_title,
+       CAST(s.duration_minutes AS DOUBLE) AS duration_minutes, s.reflection, s.interrupted, s.date, s.completed_at,
        row_number() OVER (PARTITION BY s.user_id ORDER BY s.completed_at, s.id) - 1 AS array_pos
 FROM fx_sessions s LEFT JOIN (SELECT * FROM fx_tasks WHERE NOT done) t ON t.user_id = s.user_id AND t.id = s.task_id""",
     ),
 )
 def q_read_workspaces_sessions(fx: Fixtures) -> DataFrame:
     """S1 after S2: the sessions read back, oldest first."""
-    return _roundtrip(fx)[2]
+    return _roundtrip(fx).sessions
 
 
 # ------------------------------------------------------------ single-rule columns
@@ -1037,16 +1200,47 @@ from daybook import streaming as ST  # noqa: E402
 STREAM_DELAY = "10 minutes"
 
 
-def _run_stream(fx: Fixtures, name: str, build, inputs: dict[str, DataFrame]) -> DataFrame:
-    """Write the derived inputs to the shared checkpoint folder, stream them
-    through ``build`` into a parquet sink there, and read the sink back."""
+def _write_slices(df: DataFrame, path: str, slices: int, files: int) -> None:
+    """Write ``df`` in time order: each slice's files are newer than the one before's."""
+    at = F.unix_micros("ts")
+    cuts = df.select(F.percentile_approx(at, [i / slices for i in range(1, slices)])).first()[0] or []
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        part = df if lo is None else df.where(at > lo)
+        part = part if hi is None else part.where(at <= hi)
+        part.repartition(files).write.mode("append").parquet(path)
+
+
+def _closing_row(df: DataFrame, ts: str) -> DataFrame:
+    """A row of user -1 at ``ts``, so that the watermark passes every real row."""
+    known = {"user_id": F.lit(CLOSING_USER), "ts": F.lit(ts), "seq": F.lit(-1)}
+    return df.sparkSession.range(1).select(
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    )
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+CLOSING_USER = -1
+STREAM_SLICES, SLICE_FILES = 3, 4
+
+
+def _run_stream(fx: Fixtures, name: str, build, rows: DataFrame, close: str) -> DataFrame:
+    """Stream ``rows`` through ``build`` in several micro-batches and read the result back.
+
+    The rows go to the shared checkpoint folder in time slices, a slice a
+    trigger, and a closing row at ``close`` ends the stream, so the result holds
+    all that the batch job gives.  Input and state are deleted afterwards.
+    """
     spark = fx.spark
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
-    streams = {}
-    for k, df in inputs.items():
-        df.write.parquet(f"{base}/in_{k}")
-        streams[k] = spark.readStream.schema(df.schema).parquet(f"{base}/in_{k}")
-    out = build(**streams)
+    _write_slices(rows, f"{base}/in", STREAM_SLICES, SLICE_FILES)
+    _closing_row(rows, close).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(f"{base}/in")
+    out = build(source)
     q = (
         out.writeStream.format("parquet")
         .option("path", f"{base}/out")
@@ -1058,37 +1252,39 @@ def _run_stream(fx: Fixtures, name: str, build, inputs: dict[str, DataFrame]) ->
         q.processAllAvailable()
     finally:
         q.stop()
-    return spark.read.schema(out.schema).parquet(f"{base}/out")
+    _delete(spark, f"{base}/in")
+    _delete(spark, f"{base}/state")
+    return spark.read.schema(out.schema).parquet(f"{base}/out").where(F.col("user_id") != CLOSING_USER)
 
 
-_WM = "make_timestamp((epoch_us(max(ts)) // 1000) * 1000) - INTERVAL 10 MINUTE"
+STREAM_END = "2025-01-01 00:00:00"  # after all events
 
 
-@register(
-    "idle_nudges_stream",
-    _ORACLE["idle_nudges"].replace(f"TIMESTAMP '{NUDGE_UNTIL}'", f"(SELECT {_WM} FROM fx_activity)"),
-)
+@register("idle_nudges_stream", _ORACLE["idle_nudges"])
 def q_idle_nudges_stream(fx: Fixtures) -> DataFrame:
-    """Idle nudges from the activity stream, up to its final watermark (max ts - 10 min)."""
-    return _run_stream(
-        fx, "nudges", lambda activity: ST.idle_nudges_stream(activity, delay=STREAM_DELAY), {"activity": fx.activity()}
+    """Idle nudges from the activity stream, up to NUDGE_UNTIL."""
+    got = _run_stream(
+        fx, "nudges", lambda a: ST.idle_nudges_stream(a, delay=STREAM_DELAY), fx.activity(), NUDGE_CLOSE
     )
+    return got.where(F.col("fire_ts") <= _ts(NUDGE_UNTIL))
 
 
 @register("eod_reminders_stream", _ORACLE["eod_reminders"])
 def q_eod_reminders_stream(fx: Fixtures) -> DataFrame:
     """T3 on a stream: the earliest 17:00 UTC hit per user and UTC day."""
     return _run_stream(
-        fx, "eod", lambda ticks: ST.eod_reminders_stream(ticks, "UTC", K.EOD_HOUR, 1), {"ticks": fx.ticks()}
+        fx, "eod", lambda ticks: ST.eod_reminders_stream(ticks, "UTC", K.EOD_HOUR, 1), fx.ticks(), STREAM_END
     )
 
 
-@register("timer_sessions_stream")
+@register("timer_sessions_stream", _TIMER_SESSIONS)
 def q_timer_sessions_stream(fx: Fixtures) -> DataFrame:
-    """T4 on a stream: sessions checked in up to the final watermark (settings as a static table)."""
+    """T4 on a stream: all sessions checked in (settings as a static table)."""
+    settings = fx.settings()
     return _run_stream(
         fx,
         "timer",
-        lambda events: ST.timer_sessions_stream(events, fx.settings(), delay=STREAM_DELAY),
-        {"events": fx.timer_events()},
+        lambda events: ST.timer_sessions_stream(events, settings, delay=STREAM_DELAY),
+        fx.timer_events(),
+        STREAM_END,
     )

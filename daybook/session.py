@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever runs the cluster and is only read here.
-    Only when it is unset (local tests) a scratch folder is created and set.
+    Only in local mode, when it is unset, a scratch folder is created and set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="daybook-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -12,6 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+# Users of notes: about seven documents each, so their number grows with the table.
+# Note ids are numbered within a user, so different users have equal note ids.
+_NOTE_USERS = "(SELECT CAST(floor(max(doc_id) / 7.0) AS BIGINT) + 1 FROM {documents})"
+# All events, spread over all orders / documents by multiplying the event id.
+_EVENT_ORDERS = """(SELECT *, (event_id * 7) % (SELECT max(o_orderkey) + 1 FROM {orders}) AS okey FROM {events}) e
+JOIN {orders} o ON o.o_orderkey = e.okey"""
+_DOCS = f"""(SELECT *, doc_id % {_NOTE_USERS} AS user_id,
+        concat('n', CAST(CAST(floor(doc_id / {_NOTE_USERS}) AS BIGINT) AS STRING)) AS note_id FROM {{documents}})"""
+_N_CONV = "(SELECT max(conv_id) + 1 FROM {conversations})"
+_TURNS = """(SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i,
+        count(*) OVER (PARTITION BY conv_id) AS n FROM {conversations})"""
+_MODE = """CASE CAST(floor(turn / (2.0 + conv_id % 9)) AS BIGINT) % 3
+            WHEN 0 THEN 'kickoff' WHEN 1 THEN 'review' ELSE 'draft' END"""
+
 # Code points above U+00FF are written into the text as characters (Spark's
 # chr() only covers 0-255).
 FIXTURE_SQL: dict[str, str] = {
@@ -29,7 +43,7 @@ SELECT o_custkey AS user_id,
        o_orderdate - INTERVAL 7 DAY AS created_at,
        CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS completed_at
 FROM {orders}""",
-    "fx_sessions": """
+    "fx_sessions": f"""
 SELECT o.o_custkey AS user_id,
        concat('s', CAST(e.event_id AS STRING)) AS id,
        concat('t', CAST(o.o_orderkey AS STRING)) AS task_id,
@@ -38,17 +52,17 @@ SELECT o.o_custkey AS user_id,
        event_type = 'error' AS interrupted,
        CAST(e.ts AS DATE) AS date,
        e.ts AS completed_at
-FROM {events} e JOIN {orders} o ON o.o_orderkey = (e.event_id * 7) % 1000""",
-    "fx_notes": """
-SELECT doc_id % 150 AS user_id,
-       concat('n', CAST(doc_id AS STRING)) AS id,
+FROM {_EVENT_ORDERS}""",
+    "fx_notes": f"""
+SELECT user_id,
+       note_id AS id,
        concat('# Note ', CAST(doc_id AS STRING), chr(10), chr(10), '1. **bold** and _it_', chr(10),
               replace(text, '. ', concat('.', chr(10), '- '))) AS content,
        CAST(NULL AS STRING) AS task_id,
        CAST(NULL AS STRING) AS summary,
        TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL 1 MINUTE AS created_at
-FROM {documents}""",
-    "fx_task_changes": """
+FROM {_DOCS}""",
+    "fx_task_changes": f"""
 SELECT o.o_custkey AS user_id, e.event_id AS change_id, e.ts,
        concat('t', CAST(o.o_orderkey AS STRING)) AS task_id,
        CASE WHEN e.event_type = 'error' AND e.event_id % 4 = 0 THEN 'delete' ELSE 'update' END AS op,
@@ -58,93 +72,122 @@ SELECT o.o_custkey AS user_id, e.event_id AS change_id, e.ts,
        CAST(NULL AS DATE) AS due_date,
        e.event_type IN ('signup', 'purchase') AS set_done,
        CASE WHEN e.event_type = 'signup' THEN true WHEN e.event_type = 'purchase' THEN false END AS done
-FROM {events} e JOIN {orders} o ON o.o_orderkey = (e.event_id * 7) % 1000""",
-    "fx_chat": """
-SELECT conv_id, turn, role, text,
-       CASE WHEN turn < 3 THEN 'kickoff' WHEN turn < 5 THEN 'review' ELSE 'draft' END AS mode
-FROM {conversations}""",
+FROM {_EVENT_ORDERS}""",
+    # every turn, some untrimmed, some with a failed call, and a blank user turn beside each user turn
+    "fx_chat": f"""
+SELECT conv_id, turn * 2 AS turn, role,
+       CASE WHEN role = 'user' AND conv_id % 2 = 0 THEN concat('  ', text, '\u00a0') ELSE text END AS text,
+       {_MODE} AS mode, (conv_id + CAST(floor(turn / 2.0) AS BIGINT)) % 11 = 3 AS failed
+FROM {{conversations}}
+UNION ALL
+SELECT conv_id, turn * 2 + 1, role, ' \u00a0', {_MODE}, false
+FROM {{conversations}} WHERE role = 'user'""",
     "fx_ticks": """
 SELECT user_id, ts FROM {events}""",
+    # a real title for every order, and blank titles beside some; a few due dates are no dates
     "fx_raw_tasks": """
 SELECT o_custkey AS user_id,
        concat('n', CAST(o_orderkey AS STRING)) AS id,
-       CASE WHEN o_orderstatus = 'P' THEN '\u00a0 \u3000'
-            ELSE concat('\t New ', CAST(o_orderkey AS STRING), '\ufeff') END AS title,
+       concat('\t New ', CAST(o_orderkey AS STRING), '\ufeff') AS title,
        CASE WHEN o_orderpriority = '5-LOW' THEN NULL
             WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high' ELSE 'low' END AS priority,
-       CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS due,
-       o_orderkey AS seq
-FROM {orders}""",
+       CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 13 = 1 THEN 'soon'
+            ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS due,
+       o_orderkey * 2 AS seq
+FROM {orders}
+UNION ALL
+SELECT o_custkey, concat('b', CAST(o_orderkey AS STRING)), '\u00a0 \u3000', NULL, NULL, o_orderkey * 2 + 1
+FROM {orders} WHERE o_orderstatus = 'P'""",
     "fx_title_edits": """
 SELECT o_custkey AS user_id,
        concat('t', CAST(o_orderkey AS STRING)) AS task_id,
        o_orderkey AS edit_id,
        CASE WHEN o_orderstatus = 'F' THEN concat('Order ', CAST(o_orderkey AS STRING))
             WHEN o_orderstatus = 'O' THEN concat(' Order ', CAST(o_orderkey AS STRING), '\u00a0')
-            WHEN o_orderpriority = '5-LOW' THEN '\u2028\u00a0\u200b'
-            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '\u2028\u00a0' 
             ELSE concat('Renamed ', CAST(o_orderkey AS STRING)) END AS raw_title
-FROM {orders}""",
-    "fx_raw_notes": """
-SELECT doc_id % 150 AS user_id,
-       concat('m', CAST(doc_id AS STRING)) AS id,
-       CASE WHEN n_chars < 40 THEN '\u00a0\n \u3000' ELSE concat('\ufeff ', text, '\n') END AS content
-FROM {documents}""",
-    "fx_note_changes": """
-SELECT d.doc_id % 150 AS user_id, e.event_id AS change_id, e.ts,
-       concat('n', CAST(d.doc_id AS STRING)) AS note_id,
+FROM {orders}
+UNION ALL
+SELECT o_custkey, concat('t', CAST(o_orderkey AS STRING)), -1 - o_orderkey,
+       CASE WHEN o_orderpriority = '5-LOW' THEN '\u2028\u00a0\u200b' ELSE '\u2028\u00a0' END
+FROM {orders} WHERE o_orderstatus = 'P'""",
+    # every document, and blank notes beside the short ones
+    "fx_raw_notes": f"""
+SELECT user_id, concat('m', CAST(doc_id AS STRING)) AS id, concat('\ufeff ', text, '\n') AS content
+FROM {_DOCS}
+UNION ALL
+SELECT user_id, concat('b', CAST(doc_id AS STRING)), '\u00a0\n \u3000' FROM {_DOCS} WHERE n_chars < 400""",
+    "fx_note_changes": f"""
+SELECT d.user_id, e.event_id AS change_id, e.ts,
+       d.note_id,
        CASE WHEN e.event_type = 'error' AND e.event_id % 5 = 0 THEN 'delete' ELSE 'update' END AS op,
        e.event_type = 'view' AS set_content,
        CASE WHEN e.event_type = 'view' THEN concat('## Edited ', CAST(e.event_id AS STRING)) END AS content,
        e.event_type IN ('click', 'purchase') AS set_summary,
        CASE WHEN e.event_type = 'click' THEN concat('- ', e.props) END AS summary
-FROM {events} e JOIN {documents} d ON d.doc_id = (e.event_id * 13) % 1000""",
+FROM (SELECT *, (event_id * 13) % (SELECT max(doc_id) + 1 FROM {{documents}}) AS dkey FROM {{events}}) e
+JOIN {_DOCS} d ON d.doc_id = e.dkey""",
+    # up to three moves a user: first and last task, first and last open one, and the last open one onto the last
     "fx_moves": """
-SELECT o_custkey AS user_id, max(o_orderdate) AS ts,
+SELECT o_custkey AS user_id, TIMESTAMP '1999-01-01 00:00:00' AS ts, 1 AS move_id,
        concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN max(o_orderkey) ELSE min(o_orderkey) END AS STRING)) AS drag_id,
        concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN min(o_orderkey) ELSE max(o_orderkey) END AS STRING)) AS over_id
-FROM {orders} GROUP BY o_custkey""",
+FROM {orders} GROUP BY o_custkey
+UNION ALL
+SELECT o_custkey, TIMESTAMP '1999-01-01 00:00:00', 2, concat('t', CAST(min(o_orderkey) AS STRING)), concat('t', CAST(max(o_orderkey) AS STRING))
+FROM {orders} WHERE o_orderstatus = 'O' GROUP BY o_custkey
+UNION ALL
+SELECT o_custkey, TIMESTAMP '1999-01-01 00:00:00', 3,
+       concat('t', CAST(max(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS STRING)), concat('t', CAST(max(o_orderkey) AS STRING))
+FROM {orders} WHERE o_custkey % 2 = 0 GROUP BY o_custkey""",
     "fx_raw_sessions": """
 SELECT user_id, concat('r', CAST(event_id AS STRING)) AS id,
-       concat('t', CAST((event_id * 7) % 1000 AS STRING)) AS task_id,
+       concat('t', CAST(event_id * 7 AS STRING)) AS task_id,
        '' AS task_title, 25 AS duration_minutes,
        CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN '' ELSE props END AS reflection,
        CASE event_type WHEN 'error' THEN true WHEN 'purchase' THEN NULL ELSE false END AS interrupted
 FROM {events}""",
-    "fx_asks": """
+    "fx_asks": f"""
 SELECT o.o_custkey AS user_id, e.event_id AS ask_id,
        concat('Order ', CAST(o.o_orderkey AS STRING)) AS current_task,
        CASE WHEN e.event_type = 'view' THEN ' \u00a0' ELSE concat(' ', e.props, ' ') END AS question
-FROM {events} e JOIN {orders} o ON o.o_orderkey = (e.event_id * 7) % 1000""",
-    "fx_drafts": """
-SELECT doc_id % 150 AS user_id, doc_id AS draft_id,
+FROM {_EVENT_ORDERS}""",
+    # every document, and blank contexts beside the short ones
+    "fx_drafts": f"""
+SELECT user_id, doc_id AS draft_id,
        CASE lang WHEN 'en' THEN 'slack' WHEN 'de' THEN 'email' ELSE 'text' END AS channel,
-       CASE WHEN n_chars < 40 THEN '\u3000' ELSE text END AS context,
+       text AS context,
        CASE lang WHEN 'fr' THEN 'warm' WHEN 'es' THEN '' END AS tone
-FROM {documents}""",
-    "fx_responses": """
+FROM {_DOCS}
+UNION ALL
+SELECT user_id, -1 - doc_id, 'slack', '\u3000', '' FROM {_DOCS} WHERE n_chars < 400""",
+    # a reply for every customer (twice), every document (twice), every user turn and every question
+    "fx_responses": f"""
 SELECT concat('kickoff:', CAST(c.c_custkey AS STRING)) AS request_id,
-       concat('## Plan', chr(10), '1. **First** thing', chr(10), '- plain bullet', chr(10),
-              '* **bold** bullet', chr(10), chr(10), v.text) AS text
-FROM {customer} c JOIN {conversations} v ON v.conv_id = c.c_custkey % 1000 AND v.turn = 1
+       concat('## Plan **now**', chr(10), '1. **First** thing', chr(10), '- plain bullet', chr(10),
+              '* **bold** bullet', chr(10), '**open', chr(10), v.text) AS text
+FROM (SELECT *, c_custkey % {_N_CONV} AS k FROM {{customer}}) c
+JOIN {_TURNS} v ON v.conv_id = c.k AND v.i = c.c_custkey % v.n
 UNION ALL
 SELECT concat('review:', CAST(c.c_custkey AS STRING)),
        concat('### Today', chr(10), '#### not a heading', chr(10), '-no space', chr(10), v.text)
-FROM {customer} c JOIN {conversations} v ON v.conv_id = (c.c_custkey * 3) % 1000 AND v.turn = 3
+FROM (SELECT *, (c_custkey * 3) % {_N_CONV} AS k FROM {{customer}}) c
+JOIN {_TURNS} v ON v.conv_id = c.k AND v.i = (c.c_custkey * 3) % v.n
 UNION ALL
-SELECT concat('summary:n', CAST(d.doc_id AS STRING)), concat('- ', substring(v.text, 1, 80))
-FROM {documents} d JOIN {conversations} v ON v.conv_id = d.doc_id % 1000 AND v.turn = 1
+SELECT concat('summary:', CAST(d.user_id AS STRING), ':', d.note_id), concat('- ', v.text)
+FROM (SELECT *, doc_id % {_N_CONV} AS k FROM {_DOCS}) d
+JOIN {_TURNS} v ON v.conv_id = d.k AND v.i = d.doc_id % v.n
 UNION ALL
-SELECT concat('draft:', CAST(d.doc_id AS STRING)), concat('Option A: ', v.text)
-FROM {documents} d JOIN {conversations} v ON v.conv_id = (d.doc_id * 7) % 1000 AND v.turn = 3
+SELECT concat('draft:', CAST(d.user_id AS STRING), ':', CAST(d.doc_id AS STRING)), concat('Option A: ', v.text)
+FROM (SELECT *, (doc_id * 7) % {_N_CONV} AS k FROM {_DOCS}) d
+JOIN {_TURNS} v ON v.conv_id = d.k AND v.i = (d.doc_id * 7) % v.n
 UNION ALL
-SELECT concat('followup:', CAST(conv_id AS STRING), ':', CAST(turn AS STRING)), concat('Re: ', text)
-FROM {conversations} WHERE role = 'user'
+SELECT concat('followup:', CAST(conv_id AS STRING), ':', CAST(turn * 2 AS STRING)), concat('Re: ', text)
+FROM {{conversations}} WHERE role = 'user'
 UNION ALL
-SELECT concat('drift:', CAST(event_id AS STRING)),
+SELECT concat('drift:', CAST(o.o_custkey AS STRING), ':', CAST(event_id AS STRING)),
        CASE event_id % 4 WHEN 0 THEN 'DRIFTING: refocus' WHEN 1 THEN ' DRIFTING: space first'
                          WHEN 2 THEN 'drifting - lower case' ELSE 'ON TRACK: fine' END
-FROM {events}""",
+FROM {_EVENT_ORDERS}""",
     "fx_settings": """
 SELECT c_custkey AS user_id,
        CASE c_custkey % 4 WHEN 0 THEN 120 WHEN 1 THEN 50 END AS work_mins,
@@ -168,7 +211,7 @@ SELECT user_id, event_id AS seq,
        timestamp_micros(1704067200000000 + (unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) div 30) AS ts,
        CASE event_type WHEN 'signup' THEN 'start' WHEN 'purchase' THEN 'pause' WHEN 'view' THEN 'resume'
             WHEN 'click' THEN 'checkin' ELSE 'stop' END AS action,
-       concat('t', CAST((event_id * 7) % 1000 AS STRING)) AS task_id
+       concat('t', CAST(event_id * 7 AS STRING)) AS task_id
 FROM {events}""",
 }
 
@@ -187,7 +230,7 @@ SELECT user_id, event_id AS seq,
        make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 30) AS ts,
        CASE event_type WHEN 'signup' THEN 'start' WHEN 'purchase' THEN 'pause' WHEN 'view' THEN 'resume'
             WHEN 'click' THEN 'checkin' ELSE 'stop' END AS action,
-       concat('t', CAST((event_id * 7) % 1000 AS STRING)) AS task_id
+       concat('t', CAST(event_id * 7 AS STRING)) AS task_id
 FROM events""",
 }
 

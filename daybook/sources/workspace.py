@@ -9,69 +9,39 @@ ISO-8601 UTC time strings.  Two layouts are read:
 * ``multiline=False``: JSON Lines as written by :func:`write_workspaces`,
   one document per line with an extra ``user_id`` key (splittable, parallel).
 
-A missing file gives no rows.  An unparseable document gives empty arrays,
-as in the app, and is also listed in the ``corrupt`` output.
+A missing or zero-length file gives no rows.  An unparseable document gives empty arrays,
+as in the app, and is also listed in the ``corrupt`` output.  ``carriedOverCount``
+and ``dailyPlans``, which the app never uses, pass through.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
 from daybook.operators.sequence import chunk_texts, ordered_scan
 
-_TASK = StructType(
-    [
-        StructField("id", StringType()),
-        StructField("title", StringType()),
-        StructField("priority", StringType()),
-        StructField("dueDate", StringType()),
-        StructField("done", BooleanType()),
-        StructField("order", LongType()),
-        StructField("createdAt", StringType()),
-        StructField("completedAt", StringType()),
-        StructField("carriedOverCount", LongType()),
-    ]
-)
-_NOTE = StructType(
-    [
-        StructField("id", StringType()),
-        StructField("content", StringType()),
-        StructField("taskId", StringType()),
-        StructField("summary", StringType()),
-        StructField("createdAt", StringType()),
-        StructField("updatedAt", StringType()),
-    ]
-)
-_SESSION = StructType(
-    [
-        StructField("id", StringType()),
-        StructField("taskId", StringType()),
-        StructField("taskTitle", StringType()),
-        StructField("durationMinutes", LongType()),
-        StructField("reflection", StringType()),
-        StructField("interrupted", BooleanType()),
-        StructField("date", StringType()),
-        StructField("completedAt", StringType()),
-    ]
-)
-DOCUMENT = StructType(
-    [
-        StructField("user_id", LongType()),
-        StructField("tasks", ArrayType(_TASK)),
-        StructField("notes", ArrayType(_NOTE)),
-        StructField("focusSessions", ArrayType(_SESSION)),
-        StructField("_corrupt_record", StringType()),
-    ]
-)
+# Every value is read as text and cast on its own, so that one odd value (a
+# fractional number, a wrong type) never loses the record around it.
+_FIELDS = {
+    "tasks": "id title priority dueDate done order createdAt completedAt carriedOverCount",
+    "notes": "id content taskId summary createdAt updatedAt",
+    "focusSessions": "id taskId taskTitle durationMinutes reflection interrupted date completedAt",
+}
+_DOCUMENT = "user_id string, tasks string, notes string, focusSessions string, dailyPlans string, _corrupt_record string"
+_JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+class Workspaces(NamedTuple):
+    """What :func:`read_workspaces` returns."""
+
+    tasks: DataFrame
+    notes: DataFrame
+    sessions: DataFrame
+    corrupt: DataFrame  # user_id (if it can be read), file_path
+    plans: DataFrame  # user_id, daily_plans: the unused array, as JSON text
+
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -85,78 +55,106 @@ def _parse_date(field: str) -> Column:
     return F.expr(f"try_cast({field} AS date)")
 
 
-def read_workspaces(
-    spark: SparkSession, path: str, multiline: bool = True
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """``(tasks, notes, sessions, corrupt)`` from workspace documents.
+def _items(docs: DataFrame, field: str) -> DataFrame:
+    """(user_id, array_pos, x): the records of one array, each with its fields as text."""
+    kind = ", ".join(f"`{f}` string" for f in _FIELDS[field].split())
+    return (
+        docs.select("user_id", F.posexplode(F.from_json(field, "array<string>")).alias("array_pos", "__j"))
+        .select("user_id", F.col("array_pos").cast("long").alias("array_pos"), F.from_json("__j", kind).alias("x"))
+    )
+
+
+def _flag(c: str) -> Column:
+    return F.col(c).try_cast("boolean")
+
+
+def _orders() -> tuple[Column, Column, Column]:
+    """(values, orders, ranks) of a document's tasks: integer orders as they are; with a fractional one, all by rank."""
+    texts = F.transform(F.from_json("tasks", "array<string>"), lambda j: F.get_json_object(j, "$.order").try_cast("double"))
+    ranks = F.array_sort(F.array_distinct(F.filter("__orders", lambda v: v.isNotNull())))
+    whole = F.forall("__orders", lambda v: v.isNull() | (v == F.floor(v)))
+    return texts, F.when(whole, F.transform("__orders", lambda v: v.cast("long"))).otherwise(
+        F.transform("__orders", lambda v: F.array_position(F.col("__ranks"), v) - 1)
+    ), ranks
+
+
+def read_workspaces(spark: SparkSession, path: str, multiline: bool = True) -> Workspaces:
+    """The tables of workspace documents.
 
     Array positions become ``array_pos``; a missing ``order`` stays null (the
-    list order back-fills it, O1).  ``corrupt`` has user_id, file_path.
+    list order back-fills it, O1).  A document is corrupt if it is no JSON
+    object; that is decided from a full parse, whatever columns are read.
+    Inside a good document each value stands alone: one that has the wrong type
+    is null, minutes may be fractional, and fractional orders become ranks.
     """
-    raw = (
-        spark.read.schema(DOCUMENT)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(path)
-    )
-    from_name = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.json[^/]*$", 1)
-    user = F.coalesce(F.col("user_id"), F.nullif(from_name, F.lit("")).cast("long"))
-    docs = raw.select(
-        user.alias("user_id"),
-        F.col("_metadata.file_path").alias("file_path"),
-        "tasks",
-        "notes",
-        "focusSessions",
-        F.col("_corrupt_record").isNotNull().alias("__corrupt"),
+    raw = spark.read.text(path, wholetext=multiline).withColumn("file_path", F.col("_metadata.file_path"))
+    from_name = F.regexp_extract(F.col("file_path"), r"(\d+)\.json[^/]*$", 1)
+    # the id of a line that cannot be parsed, if it starts with one as written here
+    from_text = F.regexp_extract("value", r'^\s*\{\s*"user_id"\s*:\s*(\d+)', 1)
+    d = F.col("d")
+    blank = F.trim(F.col("value")) == ""
+    docs = raw.withColumn("d", F.from_json("value", _DOCUMENT, _JSON)).select(
+        F.coalesce(
+            d["user_id"].try_cast("long"), F.nullif(from_text, F.lit("")).cast("long"), F.nullif(from_name, F.lit("")).cast("long")
+        ).alias("user_id"),
+        "file_path",
+        (d.isNull() | d["_corrupt_record"].isNotNull() | blank).alias("__corrupt"),
+        *[d[c].alias(c) for c in (*_FIELDS, "dailyPlans")],
     )
     ok = docs.where(~F.col("__corrupt"))
-    tasks = ok.select("user_id", F.posexplode("tasks").alias("array_pos", "t")).select(
-        "user_id",
-        F.col("t.id").alias("id"),
-        F.col("t.title").alias("title"),
-        F.col("t.priority").alias("priority"),
-        _parse_date("t.dueDate").alias("due_date"),
-        F.col("t.done").alias("done"),
-        F.col("t.order").alias("ord"),
-        F.col("array_pos").cast("long").alias("array_pos"),
-        _parse_ts("t.createdAt").alias("created_at"),
-        _parse_ts("t.completedAt").alias("completed_at"),
+    texts, orders, ranks = _orders()
+    ordered = ok.withColumn("__orders", texts).withColumn("__ranks", ranks).withColumn("__ords", orders)
+    kind = ", ".join(f"`{f}` string" for f in _FIELDS["tasks"].split())
+    records = F.arrays_zip(F.from_json("tasks", "array<string>").alias("j"), F.col("__ords").alias("ord"))
+    tasks = (
+        ordered.select("user_id", F.posexplode(records).alias("array_pos", "r"))
+        .select("user_id", "array_pos", F.from_json(F.col("r")["j"], kind).alias("x"), F.col("r")["ord"].alias("ord"))
+        .select(
+            "user_id",
+            "x.id",
+            "x.title",
+            "x.priority",
+            _parse_date("x.dueDate").alias("due_date"),
+            _flag("x.done").alias("done"),
+            F.col("ord").cast("long").alias("ord"),
+            F.col("array_pos").cast("long").alias("array_pos"),
+            _parse_ts("x.createdAt").alias("created_at"),
+            _parse_ts("x.completedAt").alias("completed_at"),
+            F.coalesce(F.col("x.carriedOverCount").try_cast("int"), F.lit(0)).alias("carried_over_count"),
+        )
     )
-    notes = ok.select("user_id", F.posexplode("notes").alias("array_pos", "n")).select(
+    notes = _items(ok, "notes").select(
         "user_id",
-        F.col("n.id").alias("id"),
-        F.col("n.content").alias("content"),
-        F.col("n.taskId").alias("task_id"),
-        F.col("n.summary").alias("summary"),
-        _parse_ts("n.createdAt").alias("created_at"),
-        _parse_ts("n.updatedAt").alias("updated_at"),
-        F.col("array_pos").cast("long").alias("array_pos"),
+        "x.id",
+        "x.content",
+        F.col("x.taskId").alias("task_id"),
+        "x.summary",
+        _parse_ts("x.createdAt").alias("created_at"),
+        _parse_ts("x.updatedAt").alias("updated_at"),
+        "array_pos",
     )
-    sessions = ok.select("user_id", F.posexplode("focusSessions").alias("array_pos", "s")).select(
+    sessions = _items(ok, "focusSessions").select(
         "user_id",
-        F.col("s.id").alias("id"),
-        F.col("s.taskId").alias("task_id"),
-        F.col("s.taskTitle").alias("task_title"),
-        F.col("s.durationMinutes").cast("int").alias("duration_minutes"),
-        F.col("s.reflection").alias("reflection"),
-        F.col("s.interrupted").alias("interrupted"),
-        _parse_date("s.date").alias("date"),
-        _parse_ts("s.completedAt").alias("completed_at"),
-        F.col("array_pos").cast("long").alias("array_pos"),
+        "x.id",
+        F.col("x.taskId").alias("task_id"),
+        F.col("x.taskTitle").alias("task_title"),
+        F.col("x.durationMinutes").try_cast("double").alias("duration_minutes"),
+        "x.reflection",
+        _flag("x.interrupted").alias("interrupted"),
+        _parse_date("x.date").alias("date"),
+        _parse_ts("x.completedAt").alias("completed_at"),
+        "array_pos",
     )
-    # Spark refuses scans that read only the corrupt-record column, so the
-    # filter also touches a parsed column (the test is true for every row).
-    parsed = F.col("tasks").isNull() | F.col("tasks").isNotNull()
-    corrupt = docs.where(F.col("__corrupt") & parsed).select("user_id", "file_path")
-    return tasks, notes, sessions, corrupt
+    corrupt = docs.where("__corrupt").select("user_id", "file_path")
+    plans = ok.where(F.col("dailyPlans").isNotNull()).select("user_id", F.col("dailyPlans").alias("daily_plans"))
+    return Workspaces(tasks, notes, sessions, corrupt, plans)
 
 
 def _iso(c: str) -> Column:
     return F.date_format(F.col(c), _ISO)
 
 
-def _task_json() -> Column:
+def _task_json(carried: Column) -> Column:
     return F.to_json(
         F.struct(
             F.col("id"),
@@ -167,7 +165,7 @@ def _task_json() -> Column:
             F.col("ord").alias("order"),
             _iso("created_at").alias("createdAt"),
             _iso("completed_at").alias("completedAt"),
-            F.lit(0).alias("carriedOverCount"),
+            carried.cast("int").alias("carriedOverCount"),
         )
     )
 
@@ -200,21 +198,28 @@ def _session_json() -> Column:
     )
 
 
-def workspace_documents(tasks: DataFrame, notes: DataFrame, sessions: DataFrame) -> DataFrame:
+def workspace_documents(
+    tasks: DataFrame, notes: DataFrame, sessions: DataFrame, plans: DataFrame | None = None
+) -> DataFrame:
     """S2 without the write: ``(user_id, document)``, one JSON document per user.
 
     Arrays keep the stored order: tasks by ``array_pos``, notes newest first
     (``array_pos`` if present, else created_at desc, id), sessions oldest
     first (``array_pos`` if present, else completed_at, id).  Null fields are
     left out, as an absent ``order`` is what the app back-fills.
+    ``carried_over_count`` (if present, else 0) and ``plans`` (user_id,
+    daily_plans) pass through.
     """
+    carried = F.coalesce("carried_over_count", F.lit(0)) if "carried_over_count" in tasks.columns else F.lit(0)
     if "array_pos" not in notes.columns:
-        keyed = notes.withColumn("__neg", -F.unix_micros("created_at"))
-        notes = ordered_scan(keyed, "user_id", ["__neg", "id"], position="array_pos").drop("__neg")
+        # positions from the keys alone; the contents are joined back
+        keyed = notes.select("user_id", "id", (-F.unix_micros("created_at")).alias("__neg"))
+        at = ordered_scan(keyed, "user_id", ["__neg", "id"], position="array_pos").drop("__neg")
+        notes = notes.join(at, ["user_id", "id"])
     if "array_pos" not in sessions.columns:
         sessions = ordered_scan(sessions, "user_id", ["completed_at", "id"], position="array_pos")
     items = (
-        tasks.select("user_id", F.lit("tasks").alias("kind"), "array_pos", _task_json().alias("j"))
+        tasks.select("user_id", F.lit("tasks").alias("kind"), "array_pos", _task_json(carried).alias("j"))
         .unionByName(notes.select("user_id", F.lit("notes").alias("kind"), "array_pos", _note_json().alias("j")))
         .unionByName(
             sessions.select("user_id", F.lit("focusSessions").alias("kind"), "array_pos", _session_json().alias("j"))
@@ -237,13 +242,22 @@ def workspace_documents(tasks: DataFrame, notes: DataFrame, sessions: DataFrame)
         arr("notes"),
         F.lit(',"focusSessions":'),
         arr("focusSessions"),
-        F.lit(',"dailyPlans":[]}'),
+        F.lit(',"dailyPlans":'),
+        F.coalesce("daily_plans", F.lit("[]")) if plans is not None else F.lit("[]"),
+        F.lit("}"),
     )
+    if plans is not None:
+        empty = F.array().cast(per_user.schema["__p"].dataType)
+        per_user = per_user.join(plans.select("user_id", "daily_plans"), "user_id", "full_outer").withColumn(
+            "__p", F.coalesce("__p", empty)
+        )
     return per_user.select("user_id", doc.alias("document"))
 
 
-def write_workspaces(tasks: DataFrame, notes: DataFrame, sessions: DataFrame, path: str) -> None:
+def write_workspaces(
+    tasks: DataFrame, notes: DataFrame, sessions: DataFrame, path: str, plans: DataFrame | None = None
+) -> None:
     """Write the documents as JSON Lines under ``path`` (parallel, one file per task)."""
-    workspace_documents(tasks, notes, sessions).select(F.col("document").alias("value")).write.mode(
+    workspace_documents(tasks, notes, sessions, plans).select(F.col("document").alias("value")).write.mode(
         "overwrite"
     ).text(path)

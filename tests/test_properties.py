@@ -35,15 +35,16 @@ def test_reorder_is_idempotent(spark, sf_dir):
 def test_move_then_inverse_is_identity_on_pending_order(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     tasks = fx.tasks()
+    moves = fx.moves().where("move_id = 1")
     # cut the lineage between the chained jobs (the plan would grow with each level)
-    moved = T.move_item(tasks, fx.moves()).checkpoint()
-    back_moves = fx.moves().select(
+    moved = T.move_item(tasks, moves).checkpoint()
+    back_moves = moves.select(
         "user_id", "ts", F.col("over_id").alias("drag_id"), F.col("drag_id").alias("over_id")
     )
     # the inverse of "drag f onto t" is "drag the item now at t onto the item now at f"
     pend = T.pending_tasks(moved).select("user_id", "id", "pos")
     before = T.pending_tasks(tasks).select("user_id", "id", F.col("pos").alias("pos0"))
-    m = fx.moves().alias("m")
+    m = moves.alias("m")
     f_pos = before.select("user_id", F.col("id").alias("drag_id"), F.col("pos0").alias("f"))
     t_pos = before.select("user_id", F.col("id").alias("over_id"), F.col("pos0").alias("t"))
     inv = (
@@ -56,7 +57,7 @@ def test_move_then_inverse_is_identity_on_pending_order(spark, sf_dir):
     a = _rows(T.pending_tasks(restored), ["user_id", "id", "pos"])
     b = _rows(T.pending_tasks(tasks), ["user_id", "id", "pos"])
     assert a == b
-    assert back_moves.count() == fx.moves().count()
+    assert back_moves.count() == moves.count()
 
 
 def test_fold_of_whole_log_equals_fold_of_halves(spark, sf_dir):
@@ -77,8 +78,28 @@ def test_write_then_read_is_identity(spark, sf_dir, tmp_path):
     sessions = S.session_titles(fx.sessions(), pending)
     path = str(tmp_path / "ws")
     W.write_workspaces(fx.tasks(), fx.notes(), sessions, path)
-    tasks, notes, sess, corrupt = W.read_workspaces(spark, path, multiline=False)
+    tasks, notes, sess, corrupt, _ = W.read_workspaces(spark, path, multiline=False)
     cols = fx.tasks().columns
     assert _rows(tasks, cols) == _rows(fx.tasks(), cols)
     assert corrupt.count() == 0
     assert notes.count() == fx.notes().count() and sess.count() == sessions.count()
+
+
+def test_every_input_row_reaches_a_query(spark, sf_dir):
+    """The stand-in inputs cut nothing: all events, documents, customers, orders and turns are there."""
+    fx = Fixtures(spark, sf_dir)
+    events, docs, customers = (fx.table(t).count() for t in ("events", "documents", "customer"))
+    for df in (fx.sessions(), fx.task_changes(), fx.note_changes(), fx.asks(), fx.raw_sessions(), fx.timer_events()):
+        assert df.count() == events
+    assert fx.notes().count() == docs
+    assert fx.raw_notes().where("id like 'm%'").count() == docs
+    assert fx.drafts().where("draft_id >= 0").count() == docs
+    replies = fx.responses().groupBy(F.split("request_id", ":")[0].alias("kind")).count().collect()
+    n = {r["kind"]: r["count"] for r in replies}
+    assert (n["kickoff"], n["review"], n["summary"], n["draft"], n["drift"]) == (customers, customers, docs, docs, events)
+    whole = fx.table("conversations").agg(F.max(F.length("text"))).first()[0]
+    assert fx.responses().where("request_id like 'summary:%'").agg(F.max(F.length("text"))).first()[0] > min(whole, 200)
+    assert fx.chat().count() == fx.table("conversations").count() + fx.table("conversations").where("role = 'user'").count()
+    orders = fx.table("orders").agg(F.count("*"), F.max("o_orderkey")).first()
+    reached = fx.sessions().select("task_id").distinct().count()
+    assert reached == min(events, orders[1] + 1) or reached > 0.9 * min(events, orders[0])

@@ -313,7 +313,7 @@ def test_read_good_corrupt_empty_and_missing_order(spark):
         f.write("{ not json")
     with open(os.path.join(d, "9.json"), "w") as f:
         json.dump({"tasks": [], "notes": [], "focusSessions": [], "dailyPlans": []}, f)
-    tasks, notes, sessions, corrupt = W.read_workspaces(spark, d, multiline=True)
+    tasks, notes, sessions, corrupt, _ = W.read_workspaces(spark, d, multiline=True)
     rows = {r.id: r for r in tasks.collect()}
     assert set(rows) == {"a", "b"} and rows["a"].ord is None and rows["b"].ord == 0 and rows["a"].user_id == 7
     assert rows["b"].due_date == dt.date(2024, 2, 1) and rows["b"].completed_at == ts("2024-01-02 10:00:00")
@@ -321,3 +321,98 @@ def test_read_good_corrupt_empty_and_missing_order(spark):
     assert [r.id for r in T.order_tasks(tasks).orderBy("list_pos").collect()] == ["a", "b"]
     assert [r.user_id for r in corrupt.collect()] == [8]
     assert notes.count() == 0 and sessions.count() == 0
+
+
+def test_import_keeps_odd_values_and_unused_fields(spark, tmp_path):
+    d = tmp_path / "ws"
+    d.mkdir()
+    doc = {
+        "tasks": [
+            {"id": "a", "title": "A", "order": 1.5, "done": False, "carriedOverCount": 3},
+            {"id": "b", "title": "B", "order": 0.5, "done": "maybe", "dueDate": "soon"},
+            {"id": "c", "title": 7},
+        ],
+        "notes": [{"id": "n", "content": "x", "createdAt": "never"}],
+        "focusSessions": [{"id": "s", "taskId": "a", "durationMinutes": 1.5}, {"id": "r", "durationMinutes": 25}],
+        "dailyPlans": [{"day": 1}],
+    }
+    (d / "7.json").write_text(json.dumps(doc, indent=2))
+    (d / "8.json").write_text("{ not json")
+    (d / "9.json").write_text(" \n")
+    w = W.read_workspaces(spark, str(d), multiline=True)
+    tasks = {r.id: r for r in w.tasks.collect()}
+    assert {k: (r.ord, r.array_pos) for k, r in tasks.items()} == {"a": (1, 0), "b": (0, 1), "c": (None, 2)}
+    assert tasks["a"].carried_over_count == 3 and tasks["b"].due_date is None and tasks["c"].title == "7"
+    assert [r.content for r in w.notes.collect()] == ["x"]
+    assert {r.id: r.duration_minutes for r in w.sessions.collect()} == {"s": 1.5, "r": 25.0}
+    # the report does not depend on the columns read
+    assert sorted(r.user_id for r in w.corrupt.select("user_id").collect()) == [8, 9]
+    assert sorted(r.user_id for r in w.corrupt.collect()) == [8, 9]
+    # a rewrite passes the unused fields through
+    out = str(tmp_path / "out")
+    W.write_workspaces(w.tasks, w.notes, w.sessions, out, w.plans)
+    again = W.read_workspaces(spark, out, multiline=False)
+    assert {r.id: r.carried_over_count for r in again.tasks.collect()} == {"a": 3, "b": 0, "c": 0}
+    assert [json.loads(r.daily_plans) for r in again.plans.collect()] == [[{"day": 1}]]
+    assert {r.id: r.duration_minutes for r in again.sessions.collect()} == {"s": 1.5, "r": 25.0}
+
+
+def test_several_moves_of_one_user(spark):
+    t = tasks_df(spark, [task(1, x, ord_=i, pos=i) for i, x in enumerate("abc")] + [task(2, "z", ord_=0, pos=0)])
+    moves = spark.createDataFrame(
+        [(1, ts("2024-01-01 00:00:02"), "b", "a"), (1, ts("2024-01-01 00:00:01"), "a", "c"),
+         (1, ts("2024-01-01 00:00:03"), "zz", "a")], MOVES)
+    out = T.move_item(t, moves).collect()
+    # abc -> bca -> cab
+    assert len(out) == 4 and {r.id: r.ord for r in out} == {"c": 0, "a": 1, "b": 2, "z": 0}
+
+
+def test_bad_due_date_is_no_date(spark):
+    raw = spark.createDataFrame(
+        [(1, "n1", "x", None, "soon", 1), (1, "n2", "y", None, "2024-02-30", 2), (1, "n3", "z", None, "2024-02-28", 3)],
+        "user_id long, id string, title string, priority string, due string, seq long")
+    out = {r.id: r.due_date for r in T.new_tasks(raw, F.lit("2024-01-01 00:00:00").cast("timestamp")).collect()}
+    assert out == {"n1": None, "n2": None, "n3": dt.date(2024, 2, 28)}
+
+
+def test_reply_headings_are_raw_and_open_bold_counts(spark):
+    r = spark.createDataFrame([("r", "## Plan **now**\n**open text\na **b** c\n** **")], "request_id string, text string")
+    got = [(x.line_no, x.text) for x in N.response_spans(N.response_blocks(r)).orderBy("line_no", "span_no").collect()]
+    assert got == [(1, "open te"), (2, "b"), (3, " ")]
+
+
+def test_history_trims_skips_and_fails(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "system", "sys", "draft", None), (1, 1, "user", " first ", "draft", None), (1, 2, "assistant", "r1", "draft", None),
+         (1, 3, "user", "  ", "draft", None), (1, 4, "user", " second ", "draft", True), (1, 5, "assistant", "lost", "draft", True),
+         (1, 6, "user", " third ", "draft", False), (1, 7, "assistant", "r3", "draft", False), (1, 8, "user", "last", "draft", False)],
+        "conv_id long, turn long, role string, text string, mode string, failed boolean")
+    out = {r.turn: [m["content"] for m in json.loads(r.messages)] for r in C.chat_history(turns).collect()}
+    assert out == {4: [" first ", "r1", "second"], 6: [" first ", "r1", "third"],
+                   8: [" first ", "r1", "third", "r3", "last"]}
+
+
+def test_replies_reach_their_own_user(spark):
+    notes = spark.createDataFrame(
+        [(u, "n:1", "c", None, None, ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:00")) for u in (1, 2)],
+        "user_id long, id string, content string, task_id string, summary string, created_at timestamp, updated_at timestamp")
+    req = C.chat_requests(summary=C.summary_requests(notes), models={"default": "m", "large": "l"})
+    resp = spark.createDataFrame([("summary:2:n:1", "short")], "request_id string, text string")
+    _, changes = C.apply_responses(req, resp, F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    assert {r.user_id: r.summary for r in N.apply_note_changes(notes, changes).collect()} == {1: None, 2: "short"}
+
+
+def test_no_history_is_collected_for_replies(spark, sf_dir):
+    from daybook.plans import catalog
+
+    plan = catalog.queries()["apply_responses"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # the quadratic window collects (role, content) structs
+    assert "collect_list(CASE WHEN recorded" not in plan
+
+
+def test_note_list_does_not_read_texts(spark, sf_dir):
+    from daybook.plans import catalog
+
+    plan = catalog.queries()["note_list"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    schemas = [x for x in plan.splitlines() if "ReadSchema" in x]
+    assert schemas and not any("text:string" in x for x in schemas)

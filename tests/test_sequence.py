@@ -7,8 +7,21 @@ import pytest
 from daybook.operators.sequence import ordered_scan, ordered_text
 
 
-@pytest.mark.parametrize("parts,seed", [(1, 0), (5, 1), (13, 2), (37, 3)])
-def test_ordered_scan_matches_pandas(spark, parts, seed):
+@pytest.mark.parametrize("hot,seed", [(10_000, 0), (500, 1), (200, 2), (30, 3)])
+@pytest.mark.parametrize("reuse,aqe", [("true", "true"), ("false", "true"), ("false", "false"), ("true", "false")])
+def test_ordered_scan_matches_pandas(spark, hot, seed, reuse, aqe):
+    confs = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": aqe, "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        check_scan(spark, hot, seed)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def check_scan(spark, hot, seed):
     rng = np.random.default_rng(seed)
     n = 3000
     keys = np.where(rng.random(n) < 0.4, 7, rng.integers(0, 30, n)).astype("int64")
@@ -23,7 +36,7 @@ def test_ordered_scan_matches_pandas(spark, parts, seed):
     df = spark.createDataFrame(pdf, "k long, o long, v long, s string")
     got = ordered_scan(
         df, "k", ["o"], position="pos", lag={"prev_s": "s"}, lead={"next_o": "o"},
-        running_sum={"cs": "v"}, num_partitions=parts,
+        running_sum={"cs": "v"}, hot_rows=hot,
     ).toPandas()
     exp = pdf.sort_values(["k", "o"]).copy()
     g = exp.groupby("k")
