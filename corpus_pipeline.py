@@ -17,15 +17,15 @@ from daybook.llm.common import stored, table, written
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier scores 0.5 or more; blank and null texts go."""
     crf = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score_documents(docs, crf).where(F.col("quality_score") >= 0.5).select(*docs.columns)
+    return quality.kept_documents(docs, crf, 0.5)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each SimHash component; rows without an id stay."""
     found = simhash.simhash_components(docs, threshold=2, shingle=3)
     kept = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
-    ids = kept.select(F.col("doc_id").alias("kept_id"))
-    out = docs.join(ids, docs["doc_id"] == F.col("kept_id"), "left_semi")
+    ids = kept.select(F.col("doc_id").alias("__kept_id"))
+    out = docs.join(ids, docs["doc_id"] == F.col("__kept_id"), "left_semi")
     if not kept.where("n > 1").isEmpty():
         out = out.dropDuplicates(["doc_id"])  # rows that repeat an id are one document
     return out.unionByName(docs.where(F.col("doc_id").isNull()))

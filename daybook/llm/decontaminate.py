@@ -98,8 +98,8 @@ def contaminated(
 
 def clean(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, n: int = SHINGLE) -> DataFrame:
     """The documents that contain no item; all their columns and rows (null ids stay)."""
-    hit = contaminated(docs, items, t, n).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(_maybe_broadcast(stored(hit)), docs["doc_id"] == F.col("hit_id"), "left_anti")
+    hit = contaminated(docs, items, t, n).select(F.col("doc_id").alias("__hit_id")).distinct()
+    return docs.join(_maybe_broadcast(stored(hit)), docs["doc_id"] == F.col("__hit_id"), "left_anti")
 
 
 ORACLE = r"""

@@ -219,28 +219,40 @@ def score_texts(crf: Crf, texts: list[str | None]) -> np.ndarray:
     return np.clip(out, 0.0, 1.0)
 
 
+def _scores(crf: Crf, texts: list[str | None]) -> np.ndarray:
+    parts = [score_texts(crf, texts[i : i + 1_000]) for i in range(0, len(texts), 1_000)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def score_documents(docs: DataFrame, crf: Crf) -> DataFrame:
-    """All columns of ``docs`` plus ``quality_score``; null and blank texts have the prior, 0."""
+    """doc_id, score of every row; null and blank texts have the prior, 0."""
     shared = docs.sparkSession.sparkContext.broadcast(crf)
-    names = docs.columns
 
     def score(batch: pa.RecordBatch) -> dict:
-        texts = batch.column("text").to_pylist()
-        parts = [score_texts(shared.value, texts[i : i + 1_000]) for i in range(0, len(texts), 1_000)]
-        out = {c: batch.column(c) for c in names}
-        return out | {"quality_score": np.concatenate(parts) if parts else np.zeros(0)}
+        return {"doc_id": batch.column("doc_id"), "score": _scores(shared.value, batch.column("text").to_pylist())}
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return arrow_map(own, score, "doc_id long, score double")
+
+
+def kept_documents(docs: DataFrame, crf: Crf, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``least`` or more; blank and null texts go."""
+    shared = docs.sparkSession.sparkContext.broadcast(crf)
+
+    def keep(batch: pa.RecordBatch) -> dict:
+        good = pa.array(_scores(shared.value, batch.column("text").to_pylist()) >= least)
+        return {c: batch.column(c).filter(good) for c in batch.schema.names}
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return arrow_map(docs, score, f"{kind}, quality_score double")
+    return arrow_map(docs, keep, kind)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from 0.5 on) for every row."""
     crf = train(docs, labels, folds=folds, held_out=held_out)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return score_documents(own, crf).select(
+    return score_documents(docs, crf).select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -417,13 +417,13 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Add ``key``: doc_id itself, or, if ids are missing or repeated, the row's place by (doc_id, text)."""
+    """Add ``__key``: doc_id itself, or, if ids are missing or repeated, the row's place by (doc_id, text)."""
     r = docs.agg(
         F.count("*").alias("n"), F.count("doc_id").alias("some"), F.count_distinct("doc_id").alias("distinct")
     ).first()
     if r["n"] == r["some"] == r["distinct"]:
-        return docs.withColumn("key", F.col("doc_id").cast("long"))
-    return written(docs.orderBy("doc_id", "text").withColumn("key", F.monotonically_increasing_id()))
+        return docs.withColumn("__key", F.col("doc_id").cast("long"))
+    return written(docs.orderBy("doc_id", "text").withColumn("__key", F.monotonically_increasing_id()))
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -445,15 +445,16 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` and ``spans``: the byte intervals to remove (null if none; not merged).
+    """``docs`` and ``__spans``: the byte intervals to remove (null if none; not merged).
 
     Nulls are empty texts.  Rows that share a doc_id, or have none, are taken in
     the order of their texts.
     """
     keyed = _keyed(docs)
-    marks = repeats(keyed.select("key", F.col("text").cast("string").alias("text")).where("text is not null"), length)
-    spans = marks.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return keyed.join(spans, "key", "left").drop("key")
+    rows = keyed.select(F.col("__key").alias("key"), F.col("text").cast("string").alias("text"))
+    marks = repeats(rows.where("text is not null"), length)
+    spans = marks.groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
+    return keyed.join(spans, "__key", "left").drop("__key")
 
 
 def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -461,7 +462,7 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {x: [] for x in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
             raw = (text or "").encode("utf-8", "surrogatepass")
             merged = merge_spans([(s["start"], s["end"]) for s in spans or []])
             out["n_bytes"].append(len(raw))
@@ -485,11 +486,11 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
             if spans:
                 raw = text.encode("utf-8", "surrogatepass")
                 text = without(raw, merge_spans([(s["start"], s["end"]) for s in spans])).decode("utf-8", "ignore")
             texts.append(text)
         return {c: batch.column(c) for c in names} | {"text": pa.array(texts, pa.string())}
 
-    return arrow_map(with_spans(docs, length).select(*names, "spans"), run, kind)
+    return arrow_map(with_spans(docs, length).select(*names, "__spans"), run, kind)

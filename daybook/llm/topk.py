@@ -21,6 +21,7 @@ from daybook.llm.common import map_batches, stored
 
 QUERY_BLOCK = 4_096
 ROW_BLOCK = 4_096
+DENSE = 0.02  # share of a block's pairs from which the survivors are computed as one product
 
 
 def quantised(vector: str = "embedding", factor: int = 256):
@@ -124,6 +125,12 @@ def search_block(best: Best, qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x:
         alive &= (a @ b.T) >= need
         if not alive.any():
             return
+    if alive.mean() > DENSE and np.abs(qf).max() * np.abs(xf).max() * q.shape[1] < 2.0**53:
+        # many survivors: one product of the blocks, exact in doubles at this size
+        s = qf @ xf.T
+        r, c = np.nonzero(alive & (s >= best.floor()[:, None]))
+        best.add(r, vid[c], s[r, c].astype(np.int64))
+        return
     r, c = np.nonzero(alive)
     for i in range(0, len(r), 500_000):
         rr, cc = r[i : i + 500_000], c[i : i + 500_000]
