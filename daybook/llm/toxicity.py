@@ -125,20 +125,35 @@ def fit(
     return w, float(b)
 
 
+def calibrate(z: np.ndarray, y: np.ndarray, ridge: float = 1e-4) -> tuple[float, float]:
+    """Slope and offset of a logistic fit of the labels on the raw scores, both labels weighing alike."""
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
+    x = np.stack([z, np.ones_like(z)], axis=1)
+    t = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
+        grad = x.T @ (weight * (p - y)) + ridge * (t - [1.0, 0.0])
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        t = t - step * min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
+    return max(1e-3, float(t[0])), float(t[1])
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = 12_000,
     vocabulary: int = 4_096,
-    least_z: float = 5.0,
+    least_z: float = 3.0,
+    least_odds: float = 1.5,
     folds: int = 3,
     held_out: int = 1,
 ) -> Model:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
-    The model's features are the ``vocabulary`` words whose document frequency
-    differs most between the labels (by at least ``least_z`` deviations), and
-    all identity terms.  Words are counted on the executors; the driver sees
+    The model's features are the ``vocabulary`` words whose log odds of being in
+    a document differ most between the labels (by at least ``least_odds`` and
+    ``least_z`` deviations), and all identity terms.  Words are counted on the executors; the driver sees
     the chosen words and the sample's feature numbers only.
     """
     rows = stored(labelled_sample(docs, labels, "toxic", training_fold(folds, held_out), sample).select("text", "y"))
@@ -151,12 +166,11 @@ def train(
         .groupBy("word")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
-    share = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
-    z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+    odds = F.log((F.col("n1") + 0.5) / (n1 - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (n0 - F.col("n0") + 0.5))
+    z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     chosen = (
-        counted.where(F.col("n0") + F.col("n1") >= 3)
-        .withColumn("z", z)
-        .where(F.abs("z") >= least_z)
+        counted.withColumn("z", z)
+        .where((F.abs("z") >= least_z) & (F.abs(odds) >= least_odds))
         .orderBy(F.abs("z").desc(), "word")
         .limit(vocabulary)
         .collect()
@@ -165,9 +179,10 @@ def train(
     words = sorted({r["word"] for r in chosen} | set(pairs))
     index = {w: i for i, w in enumerate(words)}
     got = arrow_map(rows, _indexed(index, pairs), "y int, ids array<int>, others array<int>").collect()
-    w, b = fit(
-        np.array([1.0 if r["y"] else 0.0 for r in got]), [r["ids"] for r in got], [r["others"] for r in got], len(words)
-    )
+    y = np.array([1.0 if r["y"] else 0.0 for r in got])
+    w, b = fit(y, [r["ids"] for r in got], [r["others"] for r in got], len(words))
+    slope, offset = calibrate(np.array([w[r["ids"]].sum() + b for r in got]), y)
+    w, b = slope * w, slope * b + offset
     return Model({x: float(w[i]) for x, i in index.items() if abs(w[i]) > 1e-6}, b)
 
 
