@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import arrow_map, fold
+from daybook.llm.common import arrow_map, fold, small, stored
 from daybook.llm.sampling import hashed_fraction
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -115,9 +115,12 @@ def train(rows: DataFrame, sample: int = 40_000) -> Filters:
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
     )
+    counted = stored(counted)
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    if small(totals, 100_000):
+        totals = F.broadcast(totals)
     kept = (
-        counted.join(F.broadcast(totals), "lang")
+        counted.join(totals, "lang")
         .where(F.col("n") >= F.greatest(F.lit(3), F.col("total") * MIN_SHARE))
         .select("lang", "code", (F.col("n") / F.col("total")).alias("share"), "total")
         .toPandas()
