@@ -19,12 +19,10 @@ DEFAULT_BREAK_MINS = 5
 IDLE_THRESHOLD_MINUTES = 45
 IDLE_CHECK_MINUTES = 5
 EOD_HOUR = 17
-EOD_MINUTE = 0
 
 # chat request settings
 MAX_TOKENS = 1024
 DEFAULT_TONE = "professional but direct"
-DRAFT_CHANNELS = ("slack", "email", "text")
 
 SYSTEM_PROMPT = (
     "You are a focused personal accountability coach built into a productivity app.\n"

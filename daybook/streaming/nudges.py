@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from daybook import constants as K
+from daybook.streaming.buckets import Pending, one_timer, use_map_state
 
 OUTPUT = StructType(
     [
@@ -18,63 +17,58 @@ OUTPUT = StructType(
         StructField("fire_ts", TimestampType(), False),
     ]
 )
-STATE = StructType(
-    [
-        StructField("last_us", LongType(), True),  # last activity processed
-        StructField("fired_us", LongType(), True),  # last nudge emitted after it
-        StructField("pending", StringType(), True),  # activity times above the watermark (JSON)
-    ]
-)
+class Nudges(StatefulProcessor):
+    """Nudges of one user: the last activity, the last nudge sent since, and the pending activity."""
+
+    def __init__(self, threshold_us: int, grid_us: int):
+        self.threshold_us, self.grid_us = threshold_us, grid_us
 
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last_us long, fired_us long")
+        self.pending = Pending(handle)
 
-def _nudger(threshold_us: int, grid_us: int):
-    def first(a: int) -> int:
-        return ((a + threshold_us + grid_us - 1) // grid_us) * grid_us
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+        for pdf in rows:
+            self.pending.add([t, 0] for t in (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist())
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
 
-    def fires(a: int, fired, upto: int) -> range:
-        start = first(a) if fired is None else fired + threshold_us
-        return range(start, upto + 1, threshold_us)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
 
-    def fn(key, pdfs, state):
-        uid = int(key[0])
-        wm = state.getCurrentWatermarkMs() * 1000
-        last, fired, pending = (None, None, [])
-        if state.exists:
-            last, fired, p = state.get
-            pending = json.loads(p) if p else []
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                pending.extend(int(x) for x in (pdf["ts"].astype("int64") // 1000).tolist())
-        pending.sort()
-        ready = [a for a in pending if a <= wm]
-        pending = [a for a in pending if a > wm]
+    def close(self) -> None:
+        pass
+
+    def _first(self, a: int) -> int:
+        return ((a + self.threshold_us + self.grid_us - 1) // self.grid_us) * self.grid_us
+
+    def _fires(self, a: int, fired, upto: int) -> range:
+        start = self._first(a) if fired is None else fired + self.threshold_us
+        return range(start, upto + 1, self.threshold_us)
+
+    def _advance(self, uid: int, wm: int):
+        last, fired = self.last.get() if self.last.exists() else (None, None)
+        ready, waiting = self.pending.take(wm)
         out = []
-        for a in ready:
+        for a, _ in ready:
             if last is not None and a >= last:
-                out.extend((uid, last, f) for f in fires(last, fired, a))
+                out.extend((uid, last, f) for f in self._fires(last, fired, a))
             if last is None or a >= last:
                 last, fired = a, None
+        upcoming = [] if waiting is None else [waiting]
         if last is not None:
-            trail = list(fires(last, fired, wm))
+            trail = list(self._fires(last, fired, wm))
             out.extend((uid, last, f) for f in trail)
-            if trail:
-                fired = trail[-1]
-        state.update((last, fired, json.dumps(pending)))
-        nxt = []
-        if last is not None:
-            nxt.append(first(last) if fired is None else fired + threshold_us)
-        if pending:
-            nxt.append(pending[0])
-        if nxt:
-            state.setTimeoutTimestamp(max(min(nxt) // 1000, wm // 1000 + 1))
+            fired = trail[-1] if trail else fired
+            self.last.update((last, fired))
+            upcoming.append(self._first(last) if fired is None else fired + self.threshold_us)
+        one_timer(self.handle, max(min(upcoming) // 1000, wm // 1000 + 1) if upcoming else None)
         if out:
             df = pd.DataFrame(out, columns=["user_id", "idle_since", "fire_ts"])
             df["idle_since"] = pd.to_datetime(df["idle_since"], unit="us")
             df["fire_ts"] = pd.to_datetime(df["fire_ts"], unit="us")
             yield df
 
-    return fn
-
 
 def idle_nudges_stream(
     activity: DataFrame,
@@ -85,15 +79,17 @@ def idle_nudges_stream(
     """Every nudge of T1 at or below the watermark, emitted once.
 
     State per user: the last activity, the last nudge sent since, and the
-    activities still above the watermark.  An event-time timer wakes the
-    user at the next possible nudge, so trailing idle time produces nudges
-    without new activity.
+    activities still above the watermark, by time bucket.  An event-time timer
+    wakes the user at the next possible nudge, so trailing idle time produces
+    nudges without new activity.
     """
-    fn = _nudger(threshold_min * 60_000_000, grid_min * 60_000_000)
+    use_map_state(activity.sparkSession)
     return (
         activity.select("user_id", "ts")
         .withWatermark("ts", delay)
         .groupBy("user_id")
-        .applyInPandasWithState(fn, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        .transformWithStateInPandas(
+            Nudges(threshold_min * 60_000_000, grid_min * 60_000_000), OUTPUT, "append", "eventTime"
+        )
         .select("user_id", "idle_since", "fire_ts")
     )

@@ -7,20 +7,14 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor
 
 from daybook import constants as K
 from daybook.operators.timers import SESSION_SCHEMA, TimerState
-
-STATE = StructType(
-    [
-        StructField("timer", StringType(), True),  # TimerState fields (JSON)
-        StructField("pending", StringType(), True),  # events above the watermark (JSON)
-    ]
-)
+from daybook.streaming.buckets import Pending, one_timer, use_map_state
 
 _FIELDS = TimerState.__slots__
+_EVENT = ("t", "seq", "action", "task_id", "reflection", "interrupted", "work_mins", "break_mins")
 
 
 def _to_json(st: TimerState) -> str:
@@ -39,33 +33,29 @@ def _none(v):
     return None if v is None or (not isinstance(v, str) and pd.isna(v)) else v
 
 
-def _stepper():
-    def fn(key, pdfs, state):
-        uid = int(key[0])
-        wm = state.getCurrentWatermarkMs() * 1000
-        timer, pending = None, []
-        if state.exists:
-            t_json, p_json = state.get
-            timer = _from_json(t_json) if t_json else None
-            pending = json.loads(p_json) if p_json else []
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                for r in pdf.itertuples(index=False):
-                    pending.append(
-                        [
-                            int(r.t),
-                            int(r.seq),
-                            r.action,
-                            _none(r.task_id),
-                            _none(r.reflection),
-                            _none(r.interrupted),
-                            int(r.work_mins),
-                            int(r.break_mins),
-                        ]
-                    )
-        pending.sort(key=lambda e: (e[0], e[1]))
-        ready = [e for e in pending if e[0] <= wm]
-        pending = [e for e in pending if e[0] > wm]
+class Timer(StatefulProcessor):
+    """The timer of one user and the events that wait for the watermark."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.timer = handle.getValueState("timer", "fields string")
+        self.pending = Pending(handle)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+        for pdf in rows:
+            cols = [pdf[c].astype(object).tolist() for c in _EVENT]
+            self.pending.add([int(t), int(seq), *map(_none, rest)] for t, seq, *rest in zip(*cols))
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def close(self) -> None:
+        pass
+
+    def _advance(self, uid: int, wm: int):
+        timer = _from_json(self.timer.get()[0]) if self.timer.exists() else None
+        ready, waiting = self.pending.take(wm)
         out = []
         for t, seq, action, task_id, refl, intr, wmins, bmins in ready:
             if timer is None:
@@ -74,14 +64,12 @@ def _stepper():
             if s is not None:
                 ts = pd.Timestamp(t, unit="us")
                 out.append((uid, seq, s[0], s[1], s[2], s[3], ts.date(), ts))
-        state.update((_to_json(timer) if timer else None, json.dumps(pending)))
-        if pending:
-            state.setTimeoutTimestamp(max(pending[0][0] // 1000, wm // 1000 + 1))
+        if ready:
+            self.timer.update((_to_json(timer),))
+        one_timer(self.handle, None if waiting is None else max(waiting // 1000, wm // 1000 + 1))
         if out:
             yield pd.DataFrame.from_records(out, columns=SESSION_SCHEMA.names)
 
-    return fn
-
 
 def timer_sessions_stream(
     events: DataFrame, settings: DataFrame | None = None, delay: str = "10 minutes"
@@ -111,6 +99,5 @@ def timer_sessions_stream(
         F.coalesce(F.nullif(F.col("work_mins"), F.lit(0)), F.lit(K.DEFAULT_WORK_MINS)).alias("work_mins"),
         F.coalesce(F.nullif(F.col("break_mins"), F.lit(0)), F.lit(K.DEFAULT_BREAK_MINS)).alias("break_mins"),
     )
-    return rows.groupBy("user_id").applyInPandasWithState(
-        _stepper(), SESSION_SCHEMA, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    use_map_state(events.sparkSession)
+    return rows.groupBy("user_id").transformWithStateInPandas(Timer(), SESSION_SCHEMA, "append", "eventTime")
