@@ -1225,7 +1225,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 CLOSING_USER = -1
-STREAM_SLICES, SLICE_FILES = 3, 4
+STREAM_SLICES, SLICE_FILES = 2, 4
 
 
 def _run_stream(fx: Fixtures, name: str, build, rows: DataFrame, close: str) -> DataFrame:

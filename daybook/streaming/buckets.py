@@ -11,7 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-BUCKET_US = 600 * 1_000_000
+BUCKET_US = 3 * 3600 * 1_000_000
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -21,7 +21,7 @@ def use_map_state(spark: SparkSession) -> None:
 
 
 class Pending:
-    """Rows ``[t, ...]`` (t in microseconds) of one key, in buckets of ten minutes."""
+    """Rows ``[t, ...]`` (t in microseconds) of one key, in buckets of three hours."""
 
     def __init__(self, handle, name: str = "pending"):
         self.state = handle.getMapState(name, "bucket long", "held string")
@@ -30,13 +30,14 @@ class Pending:
         by: dict[int, list] = {}
         for r in rows:
             by.setdefault(r[0] // BUCKET_US, []).append(r)
+        known = {k[0] for k in self.state.keys()}
         for b, new in by.items():
-            held = json.loads(self.state.getValue((b,))[0]) if self.state.containsKey((b,)) else []
+            held = json.loads(self.state.getValue((b,))[0]) if b in known else []
             self.state.updateValue((b,), (json.dumps(held + new),))
 
     def take(self, upto: int) -> tuple[list[list], int | None]:
         """Remove and return the rows up to ``upto`` in order, and the first time that still waits."""
-        due = sorted(k[0] for k in self.state.keys()) if self.state.exists() else []
+        due = sorted(k[0] for k in self.state.keys())
         out: list[list] = []
         for b in due:
             if b * BUCKET_US > upto:
@@ -51,9 +52,21 @@ class Pending:
         return sorted(out, key=lambda r: r[:2]), None
 
 
-def one_timer(handle, at_ms: int | None) -> None:
-    """Hold a single timer of the current key."""
-    for old in list(handle.listTimers()):
-        handle.deleteTimer(old)
-    if at_ms is not None:
-        handle.registerTimer(at_ms)
+class Wake:
+    """At most one timer of the current key; its time is kept in state."""
+
+    def __init__(self, handle):
+        self.handle = handle
+        self.at = handle.getValueState("wake", "at_ms long")
+
+    def set(self, at_ms: int | None, fired: bool) -> None:
+        """``fired``: called from the expired timer, which is gone already."""
+        old = self.at.get()
+        if old is not None and not fired and old[0] != at_ms:
+            self.handle.deleteTimer(old[0])
+        if at_ms is None:
+            if old is not None:
+                self.at.clear()
+        elif fired or old is None or old[0] != at_ms:
+            self.handle.registerTimer(at_ms)
+            self.at.update((at_ms,))

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from daybook import constants as K
-from daybook.streaming.buckets import Pending, one_timer, use_map_state
+from daybook.streaming.buckets import Pending, Wake, use_map_state
 
 OUTPUT = StructType(
     [
@@ -24,17 +24,17 @@ class Nudges(StatefulProcessor):
         self.threshold_us, self.grid_us = threshold_us, grid_us
 
     def init(self, handle) -> None:
-        self.handle = handle
+        self.wake = Wake(handle)
         self.last = handle.getValueState("last", "last_us long, fired_us long")
         self.pending = Pending(handle)
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802
         for pdf in rows:
             self.pending.add([t, 0] for t in (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist())
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, True)
 
     def close(self) -> None:
         pass
@@ -46,8 +46,8 @@ class Nudges(StatefulProcessor):
         start = self._first(a) if fired is None else fired + self.threshold_us
         return range(start, upto + 1, self.threshold_us)
 
-    def _advance(self, uid: int, wm: int):
-        last, fired = self.last.get() if self.last.exists() else (None, None)
+    def _advance(self, uid: int, wm: int, fired_timer: bool):
+        last, fired = self.last.get() or (None, None)
         ready, waiting = self.pending.take(wm)
         out = []
         for a, _ in ready:
@@ -62,7 +62,7 @@ class Nudges(StatefulProcessor):
             fired = trail[-1] if trail else fired
             self.last.update((last, fired))
             upcoming.append(self._first(last) if fired is None else fired + self.threshold_us)
-        one_timer(self.handle, max(min(upcoming) // 1000, wm // 1000 + 1) if upcoming else None)
+        self.wake.set(max(min(upcoming) // 1000, wm // 1000 + 1) if upcoming else None, fired_timer)
         if out:
             df = pd.DataFrame(out, columns=["user_id", "idle_since", "fire_ts"])
             df["idle_since"] = pd.to_datetime(df["idle_since"], unit="us")

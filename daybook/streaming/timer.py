@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from daybook import constants as K
 from daybook.operators.timers import SESSION_SCHEMA, TimerState
-from daybook.streaming.buckets import Pending, one_timer, use_map_state
+from daybook.streaming.buckets import Pending, Wake, use_map_state
 
 _FIELDS = TimerState.__slots__
 _EVENT = ("t", "seq", "action", "task_id", "reflection", "interrupted", "work_mins", "break_mins")
@@ -37,7 +37,7 @@ class Timer(StatefulProcessor):
     """The timer of one user and the events that wait for the watermark."""
 
     def init(self, handle) -> None:
-        self.handle = handle
+        self.wake = Wake(handle)
         self.timer = handle.getValueState("timer", "fields string")
         self.pending = Pending(handle)
 
@@ -45,16 +45,17 @@ class Timer(StatefulProcessor):
         for pdf in rows:
             cols = [pdf[c].astype(object).tolist() for c in _EVENT]
             self.pending.add([int(t), int(seq), *map(_none, rest)] for t, seq, *rest in zip(*cols))
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, True)
 
     def close(self) -> None:
         pass
 
-    def _advance(self, uid: int, wm: int):
-        timer = _from_json(self.timer.get()[0]) if self.timer.exists() else None
+    def _advance(self, uid: int, wm: int, fired_timer: bool):
+        held = self.timer.get()
+        timer = _from_json(held[0]) if held else None
         ready, waiting = self.pending.take(wm)
         out = []
         for t, seq, action, task_id, refl, intr, wmins, bmins in ready:
@@ -66,7 +67,7 @@ class Timer(StatefulProcessor):
                 out.append((uid, seq, s[0], s[1], s[2], s[3], ts.date(), ts))
         if ready:
             self.timer.update((_to_json(timer),))
-        one_timer(self.handle, None if waiting is None else max(waiting // 1000, wm // 1000 + 1))
+        self.wake.set(None if waiting is None else max(waiting // 1000, wm // 1000 + 1), fired_timer)
         if out:
             yield pd.DataFrame.from_records(out, columns=SESSION_SCHEMA.names)
 
