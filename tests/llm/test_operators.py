@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from daybook.llm import language, license_scan, packing, quality, sharding, simhash, suffix_dedup, topk, toxicity
+from daybook.llm import language, license_scan, license_texts, packing, quality, sharding, simhash, suffix_dedup, topk, toxicity
 from daybook.llm.common import table
 
 
@@ -333,3 +333,24 @@ def test_license_scan_finds_all_lines(docs, texts):
         if line == template
     }
     assert want and want.items() <= got.items()
+
+
+def test_license_over_lines_headers_tags_and_full_texts():
+    known = tuple(sorted([*license_scan.TEMPLATES.items(), *license_texts.texts()]))
+
+    def names(text):
+        return [(hit[0], hit[1]) for hit in license_scan.scan_text(text, known)]
+
+    assert names("Some prose.\nLicensed under the Apache License,\nVersion 2.0") == [(1, "Apache-2.0")]
+    assert names("x = 1\n# SPDX-License-Identifier: MIT\n") == [(1, "MIT")]
+    assert names("SPDX-License-Identifier: (MIT OR GPL-2.0-only)\ny = 2 or MIT") == [(0, "MIT"), (0, "GPL-2.0")]
+    prose = "A line of prose about nothing at all.\n" * 300
+    for name, text in license_texts.texts():
+        assert names(text)[0][1] == name
+    for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"):
+        text = max((t for n, t in license_texts.texts() if n == name), key=len)
+        wrapped = "".join(f" * {line}\n" for line in text.splitlines())
+        assert names(prose + "MIT-like\nCopyright (c) 2020 A. Person\n" + wrapped + prose)[0][1] == name
+    own = " ".join(f"term{i}" for i in range(150)) + " of this license. " + " ".join(f"rule{i}" for i in range(150))
+    text = prose + own.replace("term7 ", "other ").replace(" rule40", "\nrule40") + "\n" + prose
+    assert [h[:2] + h[4:] for h in license_scan.scan_text(text, (("own", own),))] == [(300, "own", 1, 1, "-term7; +other")]
