@@ -158,7 +158,7 @@ def _longest(want: np.ndarray, have: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _enough(missing: int, total: int) -> bool:
-    return missing <= (1 - LEAST_MATCH) * total
+    return missing <= (1 - LEAST_MATCH) * total + 1e-9
 
 
 def _differences(pairs: list[tuple[int, int]], want, have) -> tuple[int, int, list[str]]:

@@ -354,3 +354,22 @@ def test_license_over_lines_headers_tags_and_full_texts():
     own = " ".join(f"term{i}" for i in range(150)) + " of this license. " + " ".join(f"rule{i}" for i in range(150))
     text = prose + own.replace("term7 ", "other ").replace(" rule40", "\nrule40") + "\n" + prose
     assert [h[:2] + h[4:] for h in license_scan.scan_text(text, (("own", own),))] == [(300, "own", 1, 1, "-term7; +other")]
+
+
+def test_every_license_of_a_block():
+    known = tuple(sorted(license_scan.TEMPLATES.items()))
+
+    def names(text, known=known):
+        return [hit[1] for hit in license_scan.scan_text(text, known)]
+
+    both = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    assert names(both) == ["MIT", "Apache-2.0"]
+    assert names("word " * 200 + both + " word" * 200) == ["MIT", "Apache-2.0"]
+    assert names(both + " " + both) == ["MIT", "Apache-2.0"] * 2
+    # more than four near-equal templates
+    near = tuple((f"L{i}", f"This work is licensed under the Common License of the group, edition {i}.") for i in range(30))
+    for name, text in near:
+        assert names(text, near) == [name]
+    # one word of five changed is 80 %
+    hit = license_scan.scan_block("Licensed under the MIT License", known)
+    assert (hit[0], hit[3], hit[4], hit[5]) == ("MIT", 1, 0, "-released")
