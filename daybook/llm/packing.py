@@ -1,10 +1,12 @@
 """Best-fit packing by hierarchical residual merging (operator 2).
 
 Each partition packs its own pieces best-fit and closes the bins that are nearly
-full.  The underfull bins of ``FAN`` neighbours then meet as items of a further
-best-fit round, and so on up the tree.  A task never holds more than ``BLOCK``
-pieces or ``FAN * CARRY`` bins: a node with more underfull bins than ``CARRY``
-passes on the emptiest and closes the others as they are (no piece is lost).
+full.  The pieces of the underfull bins of ``FAN`` neighbours then meet in a
+further best-fit round, and so on up the tree; no bin is closed for another
+reason.  A task holds about ``BLOCK`` local pieces or ``FAN * CARRY`` merged ones
+at most: a node with more is dealt by a hash over several tasks, each a mix of all
+lengths.  If the root takes several tasks, it is dealt anew as long as that lowers the
+number of bins, and then the emptiest bins of all tasks are merged.
 """
 
 from __future__ import annotations
@@ -61,14 +63,6 @@ def best_fit(sizes: list[int], capacity: int = CAPACITY) -> tuple[list[int], lis
     return which, offset, fills
 
 
-def _closed(fills: list[int], capacity: int, slack: int, carry: int) -> list[bool]:
-    closed = [capacity - f <= slack for f in fills]
-    still = sorted((i for i, c in enumerate(closed) if not c), key=lambda i: (fills[i], i))
-    for i in still[carry:]:
-        closed[i] = True
-    return closed
-
-
 def byte_bpe(path: str):
     """Encoder with the ids of a byte-level BPE vocabulary file of ``tokenizers``.
 
@@ -101,7 +95,7 @@ def _pieces(n: int, capacity: int) -> list[tuple[int, int]]:
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, offset long, bin long, part long, open boolean, fill long"
 
 
-def local_bins(docs: DataFrame, path: str, capacity: int, slack: int, carry: int) -> DataFrame:
+def local_bins(docs: DataFrame, path: str, capacity: int, slack: int) -> DataFrame:
     """Tokenise and pack each partition's documents among themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +107,6 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int, carry: int
         def packed() -> pa.RecordBatch:
             nonlocal next_bin
             which, offset, fills = best_fit([r[3] for r in rows], capacity)
-            closed = _closed(fills, capacity, slack, carry)
             cols = list(zip(*rows))
             out = {
                 "doc_id": pa.array(cols[0], pa.int64()),
@@ -124,7 +117,7 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int, carry: int
                 "offset": pa.array(offset, pa.int64()),
                 "bin": pa.array([next_bin + b for b in which], pa.int64()),
                 "part": pa.array([part] * len(rows), pa.int64()),
-                "open": pa.array([not closed[b] for b in which], pa.bool_()),
+                "open": pa.array([capacity - fills[b] > slack for b in which], pa.bool_()),
                 "fill": pa.array([fills[b] for b in which], pa.int64()),
             }
             next_bin += len(fills)
@@ -145,34 +138,75 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int, carry: int
     return map_batches(own, run, PIECE)
 
 
-STATE = "leaf long, cur long, off long, fill long, part long, open boolean"
+STATE = "bin long, offset long, length long, part long, to long, at long, fill long, open boolean"
+
 
+def _round(state: DataFrame, level: int, capacity: int, slack: int, bound: int) -> DataFrame:
+    """Pack the pieces of each node anew: bin ``to``, offset ``at``; nodes of over ``bound`` pieces in several tasks."""
 
-def _merge(level: int, capacity: int, slack: int, carry: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bins = pdf.drop_duplicates("cur").sort_values("cur")
-        which, offset, fills = best_fit(bins["fill"].tolist(), capacity)
-        closed = _closed(fills, capacity, slack, carry)
-        ids = bins["cur"].tolist()
-        # a merged bin takes the number of one of its parts, so numbers stay unique
-        name: dict[int, int] = {}
-        for i, b in enumerate(which):
-            if offset[i] == 0:
-                name[b] = ids[i]
-        to = {c: (name[which[i]], offset[i], fills[which[i]], not closed[which[i]]) for i, c in enumerate(ids)}
-        got = [to[c] for c in pdf["cur"]]
+        pdf = pdf.sort_values(["bin", "offset"])
+        node, salt = int(pdf["node"].iloc[0]), int(pdf["salt"].iloc[0])
+        which, at, fills = best_fit(pdf["length"].tolist(), capacity)
+        first = (level + 1) << 56 | node << 40 | salt << 20
         return pd.DataFrame(
             {
-                "leaf": pdf["leaf"],
-                "cur": [g[0] for g in got],
-                "off": [o + g[1] for o, g in zip(pdf["off"], got)],
-                "fill": [g[2] for g in got],
-                "part": pdf["part"] // FAN,
-                "open": [g[3] for g in got],
+                "bin": pdf["bin"],
+                "offset": pdf["offset"],
+                "length": pdf["length"],
+                "part": pdf["node"],
+                "to": [first + b for b in which],
+                "at": at,
+                "fill": [fills[b] for b in which],
+                "open": [capacity - fills[b] > slack for b in which],
             }
         )
 
-    return run
+    state = state.withColumn("node", F.floor(F.col("part") / FAN))
+    # a row for FAN partitions
+    tasks = state.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(bound)).alias("tasks"))
+    dealt = state.join(F.broadcast(tasks), "node").withColumn(
+        "salt", F.pmod(F.xxhash64("bin", "offset", F.lit(level)), F.col("tasks"))
+    )
+    return stored(dealt.groupBy("node", "salt").applyInPandas(run, STATE))
+
+
+def _merge_emptiest(bins: DataFrame, capacity: int, bound: int) -> dict[int, tuple[int, int]]:
+    """{bin: (bin it goes to, offset)}: the ``bound`` emptiest bins that fit with another, merged until none do.
+
+    Of bins packed best-fit in one task at most one is half empty, so all such bins are among them.
+    """
+    spark = bins.sparkSession
+    moves: dict[int, tuple[int, int]] = {}
+    while True:
+        least = bins.agg(F.min("fill")).first()[0]
+        if least is None:
+            break
+        rows = bins.where(F.col("fill") + least <= capacity).orderBy("fill", "to").limit(bound).collect()
+        which, offset, fills = best_fit([r["fill"] for r in rows], capacity)
+        if len(fills) == len(rows):
+            break
+        # a merged bin takes the number of the part at its start
+        name = {which[i]: r["to"] for i, r in enumerate(rows) if offset[i] == 0}
+        now = []
+        for i, r in enumerate(rows):
+            if offset[i]:
+                moves[r["to"]] = (name[which[i]], offset[i])
+            now.append((r["to"], None if offset[i] else fills[which[i]]))
+        changed = spark.createDataFrame(now, "to long, now long").withColumn("seen", F.lit(True))
+        bins = stored(
+            bins.join(F.broadcast(changed), "to", "left")
+            .withColumn("fill", F.when(F.col("seen"), F.col("now")).otherwise(F.col("fill")))
+            .where(F.col("fill").isNotNull())
+            .select("to", "fill")
+        )
+    out = {}
+    for b in moves:
+        to, at = moves[b]
+        while to in moves:
+            to, at = moves[to][0], at + moves[to][1]
+        out[b] = (to, at)
+    return out
 
 
 def pack(
@@ -187,37 +221,57 @@ def pack(
     A document is its token ids and a closing id 0 (a null or empty text is that
     id alone).  Returns per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset.  Repeated rows are packed each; null doc_ids are kept.
+    ``carry`` sets the size of the merging tasks, ``FAN * carry`` pieces.
     """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = stored(local_bins(docs, path, capacity, slack, carry))
-    state = pieces.where("open and offset = 0").select(
-        F.col("bin").alias("leaf"), F.col("bin").alias("cur"), F.lit(0).cast("long").alias("off"), "fill", "part", "open"
-    )
+    bound = FAN * carry
+    pieces = stored(local_bins(docs, path, capacity, slack))
+    state = pieces.where("open").select("bin", "offset", "length", "part")
+    finished, last, level = [], None, 0
     top = state.agg(F.max("part")).first()[0]
-    finished = None
-    level = 0
-    while top is not None and (top > 0 or level == 0):
-        merged = stored(
-            state.withColumn("node", F.floor(F.col("part") / FAN))
-            .groupBy("node")
-            .applyInPandas(_merge(level, capacity, slack, carry), STATE)
-        )
-        shut = merged.where("not open")
-        finished = shut if finished is None else finished.unionByName(shut)
-        state, top, level = merged.where("open"), top // FAN, level + 1
-    places = state if finished is None else finished.unionByName(state)
-    places = places.select(F.col("leaf").alias("bin"), "cur", "off")
+    while top is not None and last is None:
+        merged = _round(state, level, capacity, slack, bound)
+        level += 1
+        if top < FAN:
+            last = merged
+            break
+        finished.append(merged.where("not open"))
+        state = merged.where("open").select("bin", "offset", "length", "part")
+        top = state.agg(F.max("part")).first()[0]
+    places = pieces.limit(0).select("bin", "offset", F.col("bin").alias("to"), F.col("offset").alias("at"))
+    if last is not None:
+        several = last.count() > bound
+        while several:
+            left = last.where("open")
+            before = left.agg(F.countDistinct("to")).first()[0]
+            again = _round(left.select("bin", "offset", "length", "part"), level, capacity, slack, bound)
+            level += 1
+            if again.agg(F.countDistinct("to")).first()[0] >= before:
+                break
+            finished.append(last.where("not open"))
+            last = again
+        finished.append(last)
+        for part in finished:
+            places = places.unionByName(part.select("bin", "offset", "to", "at"))
+        if several:
+            open_bins = last.where("open").groupBy("to").agg(F.first("fill").alias("fill"))
+            moves = _merge_emptiest(open_bins, capacity, bound)
+            if moves:
+                moved = docs.sparkSession.createDataFrame([(b, *m) for b, m in moves.items()], "to long, new long, off long")
+                places = places.join(F.broadcast(moved), "to", "left").select(
+                    "bin", "offset", F.coalesce("new", "to").alias("to"), (F.col("at") + F.coalesce("off", F.lit(0))).alias("at")
+                )
     if small(places, 200_000):
         places = F.broadcast(places)
-    return pieces.join(places, "bin", "left").select(
+    return pieces.join(places, ["bin", "offset"], "left").select(
         "doc_id",
         "piece",
         "start",
         "length",
         "ids_crc32",
-        F.coalesce("cur", "bin").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("off", F.lit(0))).alias("offset"),
+        F.coalesce("to", "bin").alias("sequence_id"),
+        F.coalesce("at", "offset").alias("offset"),
     )

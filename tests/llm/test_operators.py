@@ -63,6 +63,27 @@ def test_packing_merges_partitions(docs):
     assert sorted((r["doc_id"], r["piece"]) for r in tight) == sorted((r["doc_id"], r["piece"]) for r in got)
 
 
+def test_packing_offers_all_free_places(spark):
+    """Long documents in some partitions, short ones in others: a long and a short one fill a sequence."""
+    n = 300
+    rows = [(i, " a" * (39 if i < n else 21)) for i in range(2 * n)]  # 40 and 22 tokens
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 20), "doc_id long, text string")
+    for carry in (4, packing.CARRY):
+        spans = {}
+        for r in packing.pack(df, capacity=64, slack=1, carry=carry).collect():
+            spans.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], r["doc_id"]))
+        assert sorted(d for s in spans.values() for *_, d in s) == list(range(2 * n))
+        for s in spans.values():
+            at = 0
+            for offset, length, _ in sorted(s):
+                assert offset == at
+                at += length
+            assert at <= 64
+        fills = sorted(sum(length for _, length, _ in s) for s in spans.values())
+        assert fills[0] + fills[1] > 64  # no two sequences fit in one
+        assert len(spans) <= (n * 1.1 if carry == 4 else n)
+
+
 def test_best_fit():
     which, offset, fills = packing.best_fit([5, 5, 4, 3, 3], 10)
     assert sorted(fills) == [10, 10] and len(which) == 5
