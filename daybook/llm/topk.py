@@ -155,7 +155,7 @@ def _matrix(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 def _scan(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = {n: (i, m, Best(len(i), k)) for n, (i, m) in shared.value.items()}
+        blocks = {n: (i, m, Best(len(i), k)) for n, (i, m, _) in shared.value.items()}
         for batch in batches:
             for start in range(0, batch.num_rows, ROW_BLOCK):
                 for n, (vid, x) in _matrix(batch.slice(start, ROW_BLOCK)).items():
@@ -166,8 +166,11 @@ def _scan(shared, k: int):
                             part.score, part.vec = best.score[i : i + 512], best.vec[i : i + 512]
                             part.filled = best.filled[i : i + 512]
                             search_block(part, qid[i : i + 512], q[i : i + 512], vid, x)
-        for qid, _, best in blocks.values():
+        for n, (qid, _, best) in blocks.items():
             r, c = np.nonzero(np.arange(k)[None, :] < best.filled[:, None])
+            # every copy of a query has its own pairs
+            copies = shared.value[n][2][r]
+            r, c = np.repeat(r, copies), np.repeat(c, copies)
             if len(r):
                 yield pa.RecordBatch.from_pydict(
                     {"query_id": qid[r], "vec_id": best.vec[r, c], "score": best.score[r, c]}
@@ -184,31 +187,36 @@ def top_k(
     query_id, rank (from 1), vec_id, score.  Queries go out in blocks of at most
     ``block`` vectors, so what is broadcast is bounded; each block meets all
     rows in one scan, which keeps k rows per query and partition.  Rows with a
-    null id or vector, or a null or non-finite component, take no part; a row
-    is its id, so repeated rows of the query's id are not its candidates, and
-    products are taken between vectors of one length.
+    null id or vector, or a null or non-finite component, take no part; rows
+    of the query's id are not its candidates, and products are taken between
+    vectors of one length.  As in ORACLE, rows that repeat an id are rows: each
+    takes a rank as a candidate, and each counts as a query.
     """
     spark = rows.sparkSession
     own = vectors(rows, key, vector)
-    asked = stored(own.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]))
+    # of the copies of a query, more than k cannot change its k best pairs
+    copies = F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")
+    asked = stored(own.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(copies))
     n = asked.count()
     n_blocks = -(-n // block)
-    numbered = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n_blocks))))
+    numbered = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, n_blocks))))
     out = spark.createDataFrame([], "query_id long, vec_id long, score long")
     for i in range(n_blocks):
-        held: dict[int, tuple[list, list]] = {}
+        held: dict[int, tuple[list, list, list]] = {}
         for r in numbered.where(F.col("block") == i).collect():
-            ids, vecs = held.setdefault(len(r["v"]), ([], []))
+            ids, vecs, times = held.setdefault(len(r["v"]), ([], [], []))
             ids.append(r["vec_id"])
             vecs.append(r["v"])
-        queries = {d: (np.array(a), np.array(b, dtype=np.int64).reshape(len(a), d)) for d, (a, b) in held.items()}
+            times.append(r["copies"])
+        queries = {
+            d: (np.array(a), np.array(b, dtype=np.int64).reshape(len(a), d), np.array(c)) for d, (a, b, c) in held.items()
+        }
         shared = spark.sparkContext.broadcast(queries)
         found = map_batches(own, _scan(shared, k), "query_id long, vec_id long, score long")
         out = out.unionByName(found)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        out.dropDuplicates(["query_id", "vec_id", "score"])
-        .withColumn("rank", F.row_number().over(ranked))
+        out.withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

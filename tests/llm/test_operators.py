@@ -242,6 +242,25 @@ def test_top_k_few_rows_and_large_values(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in sorted(got)] == [(0, 1, 1), (0, 2, 2)]
 
 
+def test_top_k_of_repeated_rows(spark):
+    """Rows that repeat an id are rows, as in ORACLE: for candidates and for queries."""
+    rng = np.random.default_rng(6)
+    base = [(i, rng.normal(size=8).tolist()) for i in range(1, 121)]
+    rows = base + base[:60] + [base[49]] * 7 + [base[99], (100, rng.normal(size=8).tolist())] + [base[6]] * 6
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    quantised = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows]
+    want = []
+    for q in (50, 100):
+        pairs = [(-int(a @ b), j) for i, a in quantised if i == q for j, b in quantised if j != q]
+        want += [(q, rank + 1, j, -s) for rank, (s, j) in enumerate(sorted(pairs)[:5])]
+    # the best candidate of query 50 five times more, all rows in one partition, and dealt
+    best = next(j for q, rank, j, _ in want if (q, rank) == (50, 1))
+    more = df.unionByName(spark.createDataFrame([r for r in base if r[0] == best] * 5, df.schema))
+    assert sorted(tuple(r) for r in topk.top_k(df.coalesce(1)).collect()) == want
+    assert sorted(tuple(r) for r in topk.top_k(df.repartition(5)).collect()) == want
+    assert [r["vec_id"] for r in topk.top_k(more.coalesce(1)).where("query_id = 50").collect()] == [best] * 5
+
+
 def test_shards_are_level_and_slots_gapless(docs, texts):
     got = sharding.kd_shards(docs.repartition(7), 16).collect()
     size, slots, place = {}, {}, {}
