@@ -252,8 +252,8 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
     false gives null; a final done true gives the first ``done=true`` after L,
     or without any L the stored value if set, else the first ``done=true``.
 
-    The log is read and shuffled once: one aggregate with a row a task, which
-    also holds the task's completions (times of ``done=true``, sorted).
+    Two aggregates with a row a task, both of bounded size: the last changes,
+    and the first ``done=true`` among the rows after the last ``done=false``.
     """
     for c, t in (("set_title", "boolean"), ("title", "string")):
         if c not in log.columns:
@@ -275,12 +275,21 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
             last_set("set_due", "due_date").alias("__due"),
             last_set("set_done", "done").alias("__done"),
             F.max(F.when(sets_done & ~F.col("done"), at)).alias("__last_false"),
-            F.array_sort(F.collect_list(F.when(sets_done & F.col("done"), at))).alias("__trues"),
         )
         .withColumnRenamed("task_id", "id")
     )
-    after = F.filter("__trues", lambda x: F.col("__last_false").isNull() | (x > F.col("__last_false")))
-    ch = ch.withColumn("__first_true", F.get(after, F.lit(0))["ts"])
+    key = ["user_id", "task_id"]
+    falses = log.where(sets_done & ~F.col("done")).groupBy(*key).agg(F.max(at).alias("__last"))
+    firsts = (
+        log.where(sets_done & F.col("done"))
+        .select(*key, at.alias("__at"))
+        .join(falses, key, "left")
+        .where(F.col("__last").isNull() | (F.col("__at") > F.col("__last")))
+        .groupBy(*key)
+        .agg(F.min("__at").alias("__first"))
+        .select("user_id", F.col("task_id").alias("id"), F.col("__first")["ts"].alias("__first_true"))
+    )
+    ch = ch.join(firsts, ["user_id", "id"], "left")
 
     def pick(field: str, col: str) -> Column:
         return F.when(F.col(field).isNotNull(), F.col(field)["v"]).otherwise(F.col(col))

@@ -188,6 +188,19 @@ def test_toggle_twice_and_completed_at(spark):
     assert out["c"] == (True, ts("2023-12-31 00:00:00"))  # stored value kept
 
 
+def test_hot_task_keeps_one_row_of_bounded_size(spark):
+    t = tasks_df(spark, [task(1, "a"), task(1, "b")])
+    log = _log(spark, [
+        dict(cid=i, ts=f"2024-01-02 {i // 60:02}:{i % 60:02}:00", task="a", set_done=True, done=i != 700)
+        for i in range(1, 1200)
+    ] + [dict(cid=2000, ts="2024-01-03 00:00:00", task="b", set_done=True, done=True)])
+    df = T.apply_task_changes(t, log)
+    out = {r.id: (r.done, r.completed_at) for r in df.collect()}
+    assert out == {"a": (True, ts("2024-01-02 11:41:00")), "b": (True, ts("2024-01-03 00:00:00"))}
+    # no group is collected
+    assert "collect_" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_delete_then_update_and_unknown_ids(spark):
     t = tasks_df(spark, [task(1, "a"), task(1, "b")])
     log = _log(spark, [dict(cid=1, ts="2024-01-02 00:00:00", task="a", op="delete"),
