@@ -1,10 +1,11 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search (operator 3).
+"""Benchmark decontamination by MinHash containment search (operator 3).
 
-Items are partitioned by their number of shingles.  Of an item's shingle hashes
+Of an item's shingle hashes
 the smallest ``floor((1 - t) * n) + 1`` form its MinHash sketch: a document that
 contains a share t or more of the item's shingles contains at least one of
 them, however long the document is, so no match can be missed.  Documents only
-look up hashes up to the largest sketch hash of a size partition.  Candidates are then
+look up hashes up to the largest sketch hash of all items; the size classes do not
+narrow the search.  Candidates are then
 verified by exact shingle containment.  Everything is DataFrame work.
 """
 
