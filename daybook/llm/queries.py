@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, language, license_scan, packing, quality, sharding, simhash, suffix_dedup
-from daybook.llm import topk, toxicity
+from daybook.llm import decontaminate, hard_negatives, language, license_scan, packing, quality, sharding, simhash
+from daybook.llm import suffix_dedup, topk, toxicity
 from daybook.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, every=100, positives=5, negatives=5)
+
+
 _ALL = (
     op1_license_scan,
     op2_best_fit_packing,
@@ -72,6 +77,7 @@ _ALL = (
     op8_quality,
     op9_language_id,
     op10_sharding,
+    op13_hard_negatives,
 )
 
 
@@ -80,4 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE, "op4_exact_topk": topk.ORACLE}
+    return {
+        "op3_decontamination": decontaminate.ORACLE,
+        "op4_exact_topk": topk.ORACLE,
+        "op13_hard_negatives": hard_negatives.ORACLE,
+    }

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import map_batches, stored
+from daybook.llm.common import stored
+from daybook.llm.pairing import in_cells, matrices, search_cells
 
 QUERY_BLOCK = 4_096
-ROW_BLOCK = 4_096
 DENSE = 0.02  # share of a block's pairs from which the survivors are computed as one product
 
 
@@ -29,13 +29,15 @@ def quantised(vector: str = "embedding", factor: int = 256):
     return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * F.lit(float(factor))))
 
 
-def vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", factor: int = 256) -> DataFrame:
-    """(vec_id, v) of the rows that take part: no null, no null or non-finite component."""
+def vectors(
+    df: DataFrame, key: str = "vec_id", vector: str = "embedding", factor: int = 256, keep: list[str] | None = None
+) -> DataFrame:
+    """(vec_id, v, columns to keep) of the rows that take part: no null, no null or non-finite component."""
     finite = F.forall(
         F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))
     )
     return df.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).where(finite).select(
-        F.col(key).cast("long").alias("vec_id"), quantised(vector, factor).cast("array<long>").alias("v")
+        F.col(key).cast("long").alias("vec_id"), quantised(vector, factor).cast("array<long>").alias("v"), *(keep or [])
     )
 
 
@@ -106,6 +108,10 @@ def search_block(best: Best, qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x:
     """Bounds coarse to fine, then exact products of the survivors, for one block of rows."""
     if not len(x) or not len(q):
         return
+    if not q.shape[1]:  # empty vectors: every score is 0
+        r, c = np.nonzero(qid[:, None] != vid[None, :])
+        best.add(r, vid[c], np.zeros(len(r), np.int64))
+        return
     qf, xf = q.astype(float), x.astype(float)
     # a float bound may be off by rounding; the margin keeps it an upper bound
     margin = 1e-9 * np.sqrt((qf * qf).sum(axis=1))[:, None] * np.sqrt((xf * xf).sum(axis=1)).max() + 1e-6
@@ -139,44 +145,37 @@ def search_block(best: Best, qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x:
         best.add(rr[reach], vid[cc[reach]], s[reach])
 
 
-def _matrix(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Rows by vector length: products are taken between vectors of one length."""
-    ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-    v = batch.column("v")
-    sizes = np.diff(v.offsets.to_numpy())
-    flat = v.flatten().to_numpy(zero_copy_only=False)
-    starts = np.cumsum(sizes) - sizes
-    out = {}
-    for n in np.unique(sizes):
-        rows = np.flatnonzero(sizes == n)
-        out[int(n)] = (ids[rows], flat[starts[rows][:, None] + np.arange(n)[None, :]])
-    return out
+FOUND = "query_id long, vec_id long, score long"
+
 
+class _Cell:
+    """The queries of a cell by vector length, with the k best rows of each so far."""
 
-def _scan(shared, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = {n: (i, m, Best(len(i), k)) for n, (i, m, _) in shared.value.items()}
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROW_BLOCK):
-                for n, (vid, x) in _matrix(batch.slice(start, ROW_BLOCK)).items():
-                    if n in blocks:
-                        qid, q, best = blocks[n]
-                        for i in range(0, len(q), 512):
-                            part = Best(0, k)
-                            part.score, part.vec = best.score[i : i + 512], best.vec[i : i + 512]
-                            part.filled = best.filled[i : i + 512]
-                            search_block(part, qid[i : i + 512], q[i : i + 512], vid, x)
-        for n, (qid, _, best) in blocks.items():
-            r, c = np.nonzero(np.arange(k)[None, :] < best.filled[:, None])
+    def __init__(self, queries: pa.RecordBatch, k: int):
+        ids, copies = (queries.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "copies"))
+        self.by_size = {
+            n: (ids[rows], q, copies[rows], Best(len(rows), k)) for n, (rows, q) in matrices(queries).items()
+        }
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+        for n, (rows, x) in matrices(batch).items():
+            if n not in self.by_size:
+                continue
+            qid, q, _, best = self.by_size[n]
+            for i in range(0, len(q), 512):
+                part = Best(0, best.k)
+                part.score, part.vec = best.score[i : i + 512], best.vec[i : i + 512]
+                part.filled = best.filled[i : i + 512]
+                search_block(part, qid[i : i + 512], q[i : i + 512], ids[rows], x)
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        for qid, _, copies, best in self.by_size.values():
+            r, c = np.nonzero(np.arange(best.k)[None, :] < best.filled[:, None])
             # every copy of a query has its own pairs
-            copies = shared.value[n][2][r]
-            r, c = np.repeat(r, copies), np.repeat(c, copies)
+            r, c = np.repeat(r, copies[r]), np.repeat(c, copies[r])
             if len(r):
-                yield pa.RecordBatch.from_pydict(
-                    {"query_id": qid[r], "vec_id": best.vec[r, c], "score": best.score[r, c]}
-                )
-
-    return run
+                yield pa.RecordBatch.from_pydict({"query_id": qid[r], "vec_id": best.vec[r, c], "score": best.score[r, c]})
 
 
 def top_k(
@@ -184,36 +183,21 @@ def top_k(
 ) -> DataFrame:
     """The k best other rows of every query (rows whose id is divisible by ``every``).
 
-    query_id, rank (from 1), vec_id, score.  Queries go out in blocks of at most
-    ``block`` vectors, so what is broadcast is bounded; each block meets all
-    rows in one scan, which keeps k rows per query and partition.  Rows with a
+    query_id, rank (from 1), vec_id, score.  Queries and rows meet in cells
+    (``pairing``): a task holds at most about ``block`` queries and streams a group
+    of rows past them, and keeps k rows per query.  Rows with a
     null id or vector, or a null or non-finite component, take no part; rows
     of the query's id are not its candidates, and products are taken between
-    vectors of one length.  As in ORACLE, rows that repeat an id are rows: each
-    takes a rank as a candidate, and each counts as a query.
+    vectors of one length (empty vectors score 0).  As in ORACLE, rows that repeat
+    an id are rows: each takes a rank as a candidate, and each counts as a query.
     """
-    spark = rows.sparkSession
     own = vectors(rows, key, vector)
     # of the copies of a query, more than k cannot change its k best pairs
     copies = F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")
     asked = stored(own.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(copies))
-    n = asked.count()
-    n_blocks = -(-n // block)
-    numbered = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, n_blocks))))
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    for i in range(n_blocks):
-        held: dict[int, tuple[list, list, list]] = {}
-        for r in numbered.where(F.col("block") == i).collect():
-            ids, vecs, times = held.setdefault(len(r["v"]), ([], [], []))
-            ids.append(r["vec_id"])
-            vecs.append(r["v"])
-            times.append(r["copies"])
-        queries = {
-            d: (np.array(a), np.array(b, dtype=np.int64).reshape(len(a), d), np.array(c)) for d, (a, b, c) in held.items()
-        }
-        shared = spark.sparkContext.broadcast(queries)
-        found = map_batches(own, _scan(shared, k), "query_id long, vec_id long, score long")
-        out = out.unionByName(found)
+    told = own.withColumn("copies", F.lit(0).cast("long"))
+    cells = in_cells(asked.select(*told.columns), told, asked.count(), own.count(), block)
+    out = search_cells(cells, lambda queries: _Cell(queries, k), FOUND)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         out.withColumn("rank", F.row_number().over(ranked))
