@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, hard_negatives, language, license_scan, packing, quality, sharding, simhash
-from daybook.llm import suffix_dedup, topk, toxicity
+from daybook.llm import conversations, decontaminate, hard_negatives, language, license_scan, packing, quality
+from daybook.llm import sharding, simhash, suffix_dedup, topk, toxicity
 from daybook.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, every=100, positives=5, negatives=5)
@@ -77,6 +81,7 @@ _ALL = (
     op8_quality,
     op9_language_id,
     op10_sharding,
+    op11_conversation_repair,
     op13_hard_negatives,
 )
 
@@ -89,5 +94,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": decontaminate.ORACLE,
         "op4_exact_topk": topk.ORACLE,
+        "op11_conversation_repair": conversations.ORACLE,
         "op13_hard_negatives": hard_negatives.ORACLE,
     }
