@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import conversations, decontaminate, hard_negatives, language, license_scan, packing, quality
-from daybook.llm import sharding, simhash, suffix_dedup, topk, toxicity
+from daybook.llm import pii, sharding, simhash, suffix_dedup, topk, toxicity
 from daybook.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, every=100, positives=5, negatives=5)
@@ -82,6 +86,7 @@ _ALL = (
     op9_language_id,
     op10_sharding,
     op11_conversation_repair,
+    op12_pii,
     op13_hard_negatives,
 )
 
