@@ -7,9 +7,9 @@ rows into one task.  So the keys are counted first, and
 
 * if every key is of ordinary size, the scan is one window per key;
 * otherwise each hot key's rows are cut into buckets by bounds on the order
-  columns.  The bounds are values held in the plan (a few per shuffle
+  columns.  The bounds are values held in the plan (about one per shuffle
   partition, however large the data), so a row's bucket depends on the row
-  alone.  Windows run per (key, bucket); positions, sums and neighbours carry
+  alone; it is found by binary search.  Windows run per (key, bucket); positions, sums and neighbours carry
   over from the buckets before and after through one aggregate row a bucket.
 
 Everything is built-in DataFrame work.
@@ -17,7 +17,7 @@ Everything is built-in DataFrame work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # A key is hot above this many rows and above twice an even partition's share.
@@ -26,32 +26,46 @@ HOT_ROWS = 200_000
 SAMPLE = 20
 
 
-def _hot_bounds(df: DataFrame, key: str, order: list[str], parts: int, hot_rows: int) -> DataFrame | None:
-    """(key, __bounds) of the hot keys: ordered structs of the order columns; None without hot keys."""
+def _hot_bounds(df: DataFrame, key: str, order: list[str], parts: int, hot_rows: int) -> tuple[DataFrame, int] | None:
+    """(key, __bounds) of the hot keys, ordered structs of the order columns, and the most of a key; None without hot keys.
+
+    A hot key has more than two partitions' even share, so there are fewer than half as many as
+    partitions, and a bound stands for a share or more, so all keys together have about a
+    bound a partition.  The rows are counted in one pass; only if a key is hot is a second one sampled.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    share = max(1, total // parts)
-    hot = counts.where(F.col("__n") > max(hot_rows, 2 * share)).collect()  # fewer than parts / 2 rows
+    total = Observation()
+    most = counts.observe(total, F.sum("__n").alias("rows")).orderBy(F.desc("__n")).limit(max(1, parts // 2)).collect()
+    if not most or most[0]["__n"] <= hot_rows:
+        return None
+    share = max(1, (total.get["rows"] or 0) // parts)
+    hot = [r[0] for r in most if r["__n"] > max(hot_rows, 2 * share)]
     if not hot:
         return None
-    spark = df.sparkSession
-    each = max(1, min(hot_rows, share))
-    kind = df.schema[key].dataType.simpleString()
-    sizes = spark.createDataFrame([(r[0], r[1]) for r in hot], f"`{key}` {kind}, __n long")
     at = F.struct(*[F.col(c) for c in order])
-    chance = F.lit(SAMPLE / each)
+    chance = SAMPLE / max(hot_rows, share)
     picked = (
-        df.join(F.broadcast(sizes), key)
-        .where(F.rand(17) < chance)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_set(at)).alias("__s"))
+        df.where(F.col(key).isin(hot) & (F.rand(17) < chance)).groupBy(key).agg(F.array_sort(F.collect_set(at)).alias("__s"))
     )
     # every SAMPLE-th sampled row is a bound
-    bounds = picked.select(
-        key, F.filter("__s", lambda x, i: (i + 1) % SAMPLE == 0).alias("__bounds")
-    )
-    rows = bounds.collect()  # about one bound for each partition's share of rows
-    return spark.createDataFrame(rows, bounds.schema)
+    bounds = picked.select(key, F.filter("__s", lambda x, i: (i + 1) % SAMPLE == 0).alias("__bounds"))
+    rows = bounds.collect()
+    return df.sparkSession.createDataFrame(rows, bounds.schema), max((len(r[1]) for r in rows), default=0)
+
+
+def _bucket(bounds: Column, at: Column, most: int) -> Column:
+    """How many of the ordered bounds lie below ``at``, by binary search."""
+
+    def halve(range_: Column, _: Column) -> Column:
+        low, high = range_["low"], range_["high"]
+        mid = F.floor((low + high) / 2).cast("int")
+        lower = F.get(bounds, mid) < at
+        return F.when(low >= high, range_).otherwise(
+            F.struct(F.when(lower, mid + 1).otherwise(low).alias("low"), F.when(lower, high).otherwise(mid).alias("high"))
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(most.bit_length())), whole, halve)["low"]
 
 
 def ordered_scan(
@@ -79,12 +93,12 @@ def ordered_scan(
     """
     lag, lead, rsum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows)
+    bounds, most = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows) or (None, 0)
     by = [key] if bounds is None else [key, "__bucket"]
     if bounds is not None:
         at = F.struct(*[F.col(c) for c in order])
         df_in = df.join(F.broadcast(bounds), key, "left")
-        before = F.size(F.filter(F.coalesce("__bounds", F.array()), lambda b: b < at))
+        before = _bucket(F.col("__bounds"), at, most)
         df_in = df_in.withColumn("__bucket", F.when(F.col("__bounds").isNull(), 0).otherwise(before)).drop("__bounds")
     else:
         df_in = df

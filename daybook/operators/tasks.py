@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from daybook.constants import DEFAULT_PRIORITY
 from daybook.functions import js_trim, next_priority, priority_class
+from daybook.operators.moves import shifts
 from daybook.operators.sequence import ordered_scan
-from daybook.session import ensure_checkpoint_dir
 
 TASK_COLUMNS = [
     "user_id",
@@ -180,27 +180,6 @@ def apply_reorder(tasks: DataFrame, reorders: DataFrame) -> DataFrame:
     )
 
 
-def _one_move(pend: DataFrame, moves: DataFrame) -> DataFrame:
-    """Pending positions after at most one move a user; ``moved`` marks users with any effect so far."""
-    f = pend.select("user_id", F.col("id").alias("drag_id"), F.col("pos").alias("__f"))
-    t = pend.select("user_id", F.col("id").alias("over_id"), F.col("pos").alias("__t"))
-    mv = (
-        moves.where(F.col("drag_id") != F.col("over_id"))
-        .join(f, ["user_id", "drag_id"])
-        .join(t, ["user_id", "over_id"])
-        .select("user_id", "drag_id", "__f", "__t")
-    )
-    p = pend.join(mv, "user_id", "left")
-    new_pos = (
-        F.when(F.col("__f").isNull(), F.col("pos"))
-        .when(F.col("id") == F.col("drag_id"), F.col("__t"))
-        .when((F.col("__f") < F.col("__t")) & (F.col("pos") > F.col("__f")) & (F.col("pos") <= F.col("__t")), F.col("pos") - 1)
-        .when((F.col("__f") > F.col("__t")) & (F.col("pos") >= F.col("__t")) & (F.col("pos") < F.col("__f")), F.col("pos") + 1)
-        .otherwise(F.col("pos"))
-    )
-    return p.select("user_id", "id", new_pos.alias("pos"), (F.col("moved") | F.col("__f").isNotNull()).alias("moved"))
-
-
 def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
     """Drags within the pending list, each written back as a reorder.
 
@@ -209,24 +188,26 @@ def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
     f > t.  A move onto itself or with an id not pending is a no-op.  Then every
     pending task's order becomes its new index; done tasks keep theirs (and
     may collide).  Several moves of one user apply in (``ts``, ``move_id``)
-    order, each to the list the one before left.  The moves run in rounds, one
-    move a user in each, so the number of jobs is the largest number of moves
-    of one user; only ids and positions go through them.
+    order, each to the list the one before left.  All moves of a user are composed
+    at once (``moves``): the items they name and the runs between those each get
+    one shift, which their tasks take by an equality join.
     """
     tie = ["move_id"] if "move_id" in moves.columns else ["drag_id", "over_id"]
-    ensure_checkpoint_dir(tasks.sparkSession)
-    numbered = ordered_scan(
-        moves.select("user_id", "ts", *dict.fromkeys([*tie, "drag_id", "over_id"])), "user_id", ["ts", *tie], position="__k"
-    ).checkpoint()
-    rounds = numbered.agg(F.max("__k")).first()[0]
-    movers = numbered.select("user_id").distinct()
+    named = moves.select("user_id", F.explode(F.array("drag_id", "over_id")).alias("id")).distinct()
     pend = (
-        pending_tasks(tasks).select("user_id", "id", "pos").join(movers, "user_id", "left_semi")
-        .withColumn("moved", F.lit(False)).checkpoint()
+        _filled(tasks.where(~_is_done()))
+        .select("user_id", "id", "ord", "array_pos")
+        .join(moves.select("user_id").distinct(), "user_id", "left_semi")
+        .join(named.withColumn("__marked", F.lit(1)), ["user_id", "id"], "left")
+        .withColumn("__marked", F.coalesce("__marked", F.lit(0)))
+    )
+    placed = ordered_scan(
+        pend, "user_id", ["ord", "array_pos"], position="pos", running_sum={"__gap": "__marked"}
+    )
+    found = shifts(placed.where("__marked = 1").select("user_id", "id", "pos"), moves, ["ts", *tie])
+    new_ord = placed.join(found, ["user_id", "__gap", "__marked"]).select(
+        "user_id", "id", (F.col("pos") + F.col("__shift")).alias("__new")
     )
-    for k in range(0 if rounds is None else rounds + 1):
-        pend = _one_move(pend, numbered.where(F.col("__k") == k)).checkpoint()
-    new_ord = pend.where("moved").select("user_id", "id", F.col("pos").alias("__new"))
     return (
         tasks.join(new_ord, ["user_id", "id"], "left")
         .withColumn("ord", F.coalesce(F.col("__new").cast("long"), F.col("ord")))

@@ -417,39 +417,34 @@ def q_apply_reorder(fx: Fixtures) -> DataFrame:
     return T.apply_reorder(fx.tasks(), fx.reorders())
 
 
-def _move_step(k: int) -> str:
-    """DuckDB: the pending positions after the k-th move of every user."""
-    return f""", mv{k} AS (
-  SELECT m.user_id, m.drag_id, f.pos AS f, t.pos AS t
-  FROM fx_moves m JOIN p{k - 1} f ON f.user_id = m.user_id AND f.id = m.drag_id
-                  JOIN p{k - 1} t ON t.user_id = m.user_id AND t.id = m.over_id
-  WHERE m.drag_id <> m.over_id AND m.move_id = {k}),
-p{k} AS (
-  SELECT p.user_id, p.id, p.moved OR mv.f IS NOT NULL AS moved,
-         CASE WHEN mv.f IS NULL THEN p.pos
-              WHEN p.id = mv.drag_id THEN mv.t
-              WHEN mv.f < mv.t AND p.pos > mv.f AND p.pos <= mv.t THEN p.pos - 1
-              WHEN mv.f > mv.t AND p.pos >= mv.t AND p.pos < mv.f THEN p.pos + 1
-              ELSE p.pos END AS pos
-  FROM p{k - 1} p LEFT JOIN mv{k} mv ON mv.user_id = p.user_id)"""
-
-
-_MOVES_SQL = f""", p0 AS (
-  SELECT user_id, id, false AS moved,
-         row_number() OVER (PARTITION BY user_id ORDER BY coalesce(ord, array_pos), array_pos) - 1 AS pos
-  FROM fx_tasks WHERE NOT done){_move_step(1)}{_move_step(2)}{_move_step(3)}
-SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done,
-       CASE WHEN np.moved THEN np.pos ELSE t.ord END AS ord,
+# a list a user, spliced move by move
+_MOVES_SQL = """, mv AS (
+  SELECT user_id, drag_id, over_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, move_id) AS k FROM fx_moves
+), steps AS (
+  SELECT user_id, 0 AS k, list(id ORDER BY coalesce(ord, array_pos), array_pos) AS ids, false AS moved
+  FROM fx_tasks WHERE NOT done GROUP BY user_id
+  UNION ALL
+  SELECT user_id, k,
+         CASE WHEN ok THEN list_filter(ids, lambda x: x <> drag_id)[1:t - 1] || [drag_id]
+                           || list_filter(ids, lambda x: x <> drag_id)[t:] ELSE ids END,
+         moved OR ok
+  FROM (SELECT s.user_id, m.k, s.ids, s.moved, m.drag_id, list_position(s.ids, m.over_id) AS t,
+               coalesce(m.drag_id <> m.over_id AND list_contains(s.ids, m.drag_id) AND list_contains(s.ids, m.over_id), false) AS ok
+        FROM steps s JOIN mv m ON m.user_id = s.user_id AND m.k = s.k + 1)
+), placed AS (
+  SELECT user_id, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS pos
+  FROM (SELECT user_id, arg_max(ids, k) AS ids, arg_max(moved, k) AS moved FROM steps GROUP BY user_id) WHERE moved)
+SELECT t.user_id, t.id, t.title, t.priority, t.due_date, t.done, coalesce(p.pos, t.ord) AS ord,
        t.array_pos, t.created_at, t.completed_at
-FROM fx_tasks t LEFT JOIN p3 np ON np.user_id = t.user_id AND np.id = t.id"""
+FROM fx_tasks t LEFT JOIN placed p ON p.user_id = t.user_id AND p.id = t.id"""
 
 
 @register(
     "move_item",
-    duckdb_with(["fx_tasks", "fx_moves"], _MOVES_SQL),
+    duckdb_with(["fx_tasks", "fx_moves"], _MOVES_SQL, recursive=True),
 )
 def q_move_item(fx: Fixtures) -> DataFrame:
-    """Orders after up to three drags per user within the pending list."""
+    """Orders after up to 50 drags per user within the pending list."""
     return T.move_item(fx.tasks(), fx.moves())
 
 

@@ -28,6 +28,9 @@ _MODE = """CASE CAST(floor(turn / (2.0 + conv_id % 9)) AS BIGINT) % 3
 
 # Code points above U+00FF are written into the text as characters (Spark's
 # chr() only covers 0-255).
+_PLACED_ORDERS = """SELECT o_custkey AS user_id, concat('t', CAST(o_orderkey AS STRING)) AS id,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM {orders}"""
+
 FIXTURE_SQL: dict[str, str] = {
     "fx_tasks": """
 SELECT o_custkey AS user_id,
@@ -126,19 +129,13 @@ SELECT d.user_id, e.event_id AS change_id, e.ts,
        CASE WHEN e.event_type = 'click' THEN concat('- ', e.props) END AS summary
 FROM (SELECT *, (event_id * 13) % (SELECT max(doc_id) + 1 FROM {{documents}}) AS dkey FROM {{events}}) e
 JOIN {_DOCS} d ON d.doc_id = e.dkey""",
-    # up to three moves a user: first and last task, first and last open one, and the last open one onto the last
-    "fx_moves": """
-SELECT o_custkey AS user_id, TIMESTAMP '1999-01-01 00:00:00' AS ts, 1 AS move_id,
-       concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN max(o_orderkey) ELSE min(o_orderkey) END AS STRING)) AS drag_id,
-       concat('t', CAST(CASE WHEN o_custkey % 3 = 0 THEN min(o_orderkey) ELSE max(o_orderkey) END AS STRING)) AS over_id
-FROM {orders} GROUP BY o_custkey
-UNION ALL
-SELECT o_custkey, TIMESTAMP '1999-01-01 00:00:00', 2, concat('t', CAST(min(o_orderkey) AS STRING)), concat('t', CAST(max(o_orderkey) AS STRING))
-FROM {orders} WHERE o_orderstatus = 'O' GROUP BY o_custkey
-UNION ALL
-SELECT o_custkey, TIMESTAMP '1999-01-01 00:00:00', 3,
-       concat('t', CAST(max(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS STRING)), concat('t', CAST(max(o_orderkey) AS STRING))
-FROM {orders} WHERE o_custkey % 2 = 0 GROUP BY o_custkey""",
+    # 0 to 50 moves a user, among all tasks of the user: open and done ones, some onto themselves
+    "fx_moves": f"""
+SELECT u.user_id, TIMESTAMP '1999-01-01 00:00:00' AS ts, k.move_id, a.id AS drag_id, b.id AS over_id
+FROM (SELECT o_custkey AS user_id, count(*) AS n FROM {{orders}} GROUP BY o_custkey) u
+JOIN (VALUES {", ".join(f"({i})" for i in range(1, 51))}) AS k(move_id) ON k.move_id <= u.user_id % 51
+JOIN ({_PLACED_ORDERS}) a ON a.user_id = u.user_id AND a.i = (k.move_id * 7 + u.user_id) % u.n
+JOIN ({_PLACED_ORDERS}) b ON b.user_id = u.user_id AND b.i = (k.move_id * k.move_id * 3 + 1) % u.n""",
     "fx_raw_sessions": """
 SELECT user_id, concat('r', CAST(event_id AS STRING)) AS id,
        concat('t', CAST(event_id * 7 AS STRING)) AS task_id,
@@ -247,10 +244,10 @@ def duckdb_fixture(name: str) -> str:
     return sql
 
 
-def duckdb_with(names: list[str], body: str) -> str:
+def duckdb_with(names: list[str], body: str, recursive: bool = False) -> str:
     """``WITH fx_a AS (...), fx_b AS (...) <body>`` for the DuckDB oracle."""
     ctes = ",\n".join(f"{n} AS ({duckdb_fixture(n)})" for n in names)
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"
 
 
 class Fixtures:

@@ -63,3 +63,35 @@ def test_ordered_text_two_levels(spark):
     out = {r.k: r.txt for r in ordered_text(df, ["k"], "pos", "t", "\n", "txt", chunk_rows=16).collect()}
     assert out[1] == "\n".join(f"l{i}" for i in range(250))
     assert out[2] == "only"
+
+
+def test_hot_key_has_few_bounds_and_linear_time(spark):
+    from time import perf_counter
+
+    from pyspark.sql import functions as F
+
+    from daybook.operators import sequence
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        seconds = {}
+        for n in (20_000, 320_000):  # 200 and 3,200 times hot_rows, one key
+            df = spark.range(n).select(F.lit(1).alias("k"), ((F.col("id") * 7919) % n).alias("o"))
+            bounds = sequence._hot_bounds(df, "k", ["o"], 4, 100)[0].collect()
+            assert len(bounds) == 1 and 2 <= len(bounds[0]["__bounds"]) <= 12
+            start = perf_counter()
+            got = ordered_scan(df, "k", ["o"], position="pos", running_sum={"s": "o"}, hot_rows=100)
+            assert got.where("pos <> o or s <> o * (o + 1) / 2").count() == 0 and got.count() == n
+            seconds[n] = perf_counter() - start
+        assert seconds[320_000] < 16 * seconds[20_000]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ordinary_keys_have_no_bounds(spark):
+    from daybook.operators import sequence
+
+    df = spark.range(1_000).selectExpr("id % 50 as k", "id as o")
+    assert sequence._hot_bounds(df, "k", ["o"], 8, 200) is None
+    assert sequence._hot_bounds(df, "k", ["o"], 8, 10) is None  # above hot_rows, below twice a partition's share
