@@ -12,6 +12,7 @@ number of bins, and then the emptiest bins of all tasks are merged.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ CAPACITY = 2_048
 BLOCK = 100_000
 CARRY = 2_000
 FAN = 8
+BROADCAST_ROWS = 200_000
 SLACK = 16  # a bin with no more free places than this is nearly full
 
 
@@ -68,21 +70,43 @@ def byte_bpe(path: str):
 
     The merge order of such a file is its id order, so the ranks of the faster
     encoder are read from the same file; tests hold its ids against
-    ``tokenizers`` itself.  Strings of special tokens are ordinary text.
+    ``tokenizers`` itself, called with add_special_tokens=False.  As there, the string of
+    an added token in a text is that token, and cuts the text around it.  Texts that
+    hold an added token which matches by other rules (whole words, stripped blanks)
+    go to ``tokenizers``.
     """
     import public_tokenizers
     import tiktoken
+    import tokenizers
 
     spec = json.load(open(path, encoding="utf-8"))
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    added = spec.get("added_tokens", [])
+    special = {t["content"]: t["id"] for t in added}
+    cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
+    plainly = not any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized"))
+    whole = None if plainly else tokenizers.Tokenizer.from_file(path)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     to_byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     ranks = {bytes(to_byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding(
+    ordinary = tiktoken.Encoding(
         "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     ).encode_ordinary
 
+    def encode(text: str) -> list[int]:
+        if not cut.search(text):
+            return ordinary(text)
+        if not plainly:
+            return whole.encode(text, add_special_tokens=False).ids
+        ids, at = [], 0
+        for m in cut.finditer(text):
+            ids += ordinary(text[at : m.start()])
+            ids.append(special[m.group()])
+            at = m.end()
+        return ids + ordinary(text[at:])
+
+    return encode
+
 
 def _pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: only the first may be shorter than the capacity."""
@@ -92,7 +116,27 @@ def _pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, offset long, bin long, part long, open boolean, fill long"
+# A piece's uid is its partition and its number there; a bin goes by the uid of the piece at its start, so
+# bins of all rounds have numbers of their own.
+PIECE_BITS = 32
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long, to long, at long, part long, open boolean, fill long"
+
+
+def placed(uids: list[int], sizes: list[int], capacity: int, slack: int) -> dict[str, pa.Array]:
+    """Best-fit: the bin (``to``) and place (``at``) of every piece, its bin's fill and whether that is underfull."""
+    which, at, fills = best_fit(sizes, capacity)
+    name = {b: uid for b, offset, uid in zip(which, at, uids) if offset == 0}
+    return {
+        "uid": pa.array(uids, pa.int64()),
+        "to": pa.array([name[b] for b in which], pa.int64()),
+        "at": pa.array(at, pa.int64()),
+        "fill": pa.array([fills[b] for b in which], pa.int64()),
+        "open": pa.array([capacity - fills[b] > slack for b in which], pa.bool_()),
+    }
+
+
+def first_uid(part: int) -> int:
+    return part << PIECE_BITS
 
 
 def local_bins(docs: DataFrame, path: str, capacity: int, slack: int) -> DataFrame:
@@ -101,28 +145,23 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe(path)
         part = TaskContext.get().partitionId()
-        next_bin = part << 36
+        next_uid = first_uid(part)
         rows: list[tuple] = []
 
         def packed() -> pa.RecordBatch:
-            nonlocal next_bin
-            which, offset, fills = best_fit([r[3] for r in rows], capacity)
+            nonlocal next_uid
             cols = list(zip(*rows))
-            out = {
+            out = placed(list(range(next_uid, next_uid + len(rows))), list(cols[3]), capacity, slack) | {
                 "doc_id": pa.array(cols[0], pa.int64()),
                 "piece": pa.array(cols[1], pa.int32()),
                 "start": pa.array(cols[2], pa.int64()),
                 "length": pa.array(cols[3], pa.int64()),
                 "ids_crc32": pa.array(cols[4], pa.int64()),
-                "offset": pa.array(offset, pa.int64()),
-                "bin": pa.array([next_bin + b for b in which], pa.int64()),
                 "part": pa.array([part] * len(rows), pa.int64()),
-                "open": pa.array([capacity - fills[b] > slack for b in which], pa.bool_()),
-                "fill": pa.array([fills[b] for b in which], pa.int64()),
             }
-            next_bin += len(fills)
+            next_uid += len(rows)
             rows.clear()
-            return pa.RecordBatch.from_pydict(out)
+            return pa.RecordBatch.from_pydict({c.split()[0]: out[c.split()[0]] for c in PIECE.split(", ")})
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -138,35 +177,27 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int) -> DataFra
     return map_batches(own, run, PIECE)
 
 
-STATE = "bin long, offset long, length long, part long, to long, at long, fill long, open boolean"
+STATE = "uid long, length long, part long, to long, at long, fill long, open boolean"
+
+
+def _fit(df: DataFrame) -> DataFrame:
+    """Broadcast behind a check of the size; beyond it the join shuffles both sides."""
+    return F.broadcast(df) if small(df, BROADCAST_ROWS) else df
 
 
 def _round(state: DataFrame, level: int, capacity: int, slack: int, bound: int) -> DataFrame:
-    """Pack the pieces of each node anew: bin ``to``, offset ``at``; nodes of over ``bound`` pieces in several tasks."""
+    """Pack the pieces of each node anew: bin ``to``, place ``at``; nodes of over ``bound`` pieces in several tasks."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["bin", "offset"])
-        node, salt = int(pdf["node"].iloc[0]), int(pdf["salt"].iloc[0])
-        which, at, fills = best_fit(pdf["length"].tolist(), capacity)
-        first = (level + 1) << 56 | node << 40 | salt << 20
-        return pd.DataFrame(
-            {
-                "bin": pdf["bin"],
-                "offset": pdf["offset"],
-                "length": pdf["length"],
-                "part": pdf["node"],
-                "to": [first + b for b in which],
-                "at": at,
-                "fill": [fills[b] for b in which],
-                "open": [capacity - fills[b] > slack for b in which],
-            }
-        )
+        pdf = pdf.sort_values("uid")
+        out = placed(pdf["uid"].tolist(), pdf["length"].tolist(), capacity, slack)
+        out |= {"length": pdf["length"], "part": pdf["node"]}
+        return pd.DataFrame({c.split()[0]: out[c.split()[0]] for c in STATE.split(", ")})
 
     state = state.withColumn("node", F.floor(F.col("part") / FAN))
-    # a row for FAN partitions
     tasks = state.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(bound)).alias("tasks"))
-    dealt = state.join(F.broadcast(tasks), "node").withColumn(
-        "salt", F.pmod(F.xxhash64("bin", "offset", F.lit(level)), F.col("tasks"))
+    dealt = state.join(_fit(stored(tasks)), "node").withColumn(
+        "salt", F.pmod(F.xxhash64("uid", F.lit(level)), F.col("tasks"))
     )
     return stored(dealt.groupBy("node", "salt").applyInPandas(run, STATE))
 
@@ -174,7 +205,8 @@ def _round(state: DataFrame, level: int, capacity: int, slack: int, bound: int)
 def _merge_emptiest(bins: DataFrame, capacity: int, bound: int) -> dict[int, tuple[int, int]]:
     """{bin: (bin it goes to, offset)}: the ``bound`` emptiest bins that fit with another, merged until none do.
 
-    Of bins packed best-fit in one task at most one is half empty, so all such bins are among them.
+    Of bins packed best-fit in one task at most one is half empty, so all such bins are among them,
+    and there are about as many moves as tasks at the root.
     """
     spark = bins.sparkSession
     moves: dict[int, tuple[int, int]] = {}
@@ -195,7 +227,7 @@ def _merge_emptiest(bins: DataFrame, capacity: int, bound: int) -> dict[int, tup
             now.append((r["to"], None if offset[i] else fills[which[i]]))
         changed = spark.createDataFrame(now, "to long, now long").withColumn("seen", F.lit(True))
         bins = stored(
-            bins.join(F.broadcast(changed), "to", "left")
+            bins.join(F.broadcast(changed), "to", "left")  # at most ``bound`` rows
             .withColumn("fill", F.when(F.col("seen"), F.col("now")).otherwise(F.col("fill")))
             .where(F.col("fill").isNotNull())
             .select("to", "fill")
@@ -229,7 +261,7 @@ def pack(
         path = public_tokenizers.path("byte_bpe_50k.json")
     bound = FAN * carry
     pieces = stored(local_bins(docs, path, capacity, slack))
-    state = pieces.where("open").select("bin", "offset", "length", "part")
+    state = pieces.where("open").select("uid", "length", "part")
     finished, last, level = [], None, 0
     top = state.agg(F.max("part")).first()[0]
     while top is not None and last is None:
@@ -239,15 +271,15 @@ def pack(
             last = merged
             break
         finished.append(merged.where("not open"))
-        state = merged.where("open").select("bin", "offset", "length", "part")
+        state = merged.where("open").select("uid", "length", "part")
         top = state.agg(F.max("part")).first()[0]
-    places = pieces.limit(0).select("bin", "offset", F.col("bin").alias("to"), F.col("offset").alias("at"))
+    places = pieces.limit(0).select("uid", "to", "at")
     if last is not None:
         several = last.count() > bound
         while several:
             left = last.where("open")
             before = left.agg(F.countDistinct("to")).first()[0]
-            again = _round(left.select("bin", "offset", "length", "part"), level, capacity, slack, bound)
+            again = _round(left.select("uid", "length", "part"), level, capacity, slack, bound)
             level += 1
             if again.agg(F.countDistinct("to")).first()[0] >= before:
                 break
@@ -255,23 +287,22 @@ def pack(
             last = again
         finished.append(last)
         for part in finished:
-            places = places.unionByName(part.select("bin", "offset", "to", "at"))
+            places = places.unionByName(part.select("uid", "to", "at"))
         if several:
             open_bins = last.where("open").groupBy("to").agg(F.first("fill").alias("fill"))
             moves = _merge_emptiest(open_bins, capacity, bound)
             if moves:
                 moved = docs.sparkSession.createDataFrame([(b, *m) for b, m in moves.items()], "to long, new long, off long")
-                places = places.join(F.broadcast(moved), "to", "left").select(
-                    "bin", "offset", F.coalesce("new", "to").alias("to"), (F.col("at") + F.coalesce("off", F.lit(0))).alias("at")
+                places = places.join(_fit(moved), "to", "left").select(
+                    "uid", F.coalesce("new", "to").alias("to"), (F.col("at") + F.coalesce("off", F.lit(0))).alias("at")
                 )
-    if small(places, 200_000):
-        places = F.broadcast(places)
-    return pieces.join(places, ["bin", "offset"], "left").select(
+    places = places.withColumnsRenamed({"to": "new_to", "at": "new_at"})
+    return pieces.join(_fit(places), "uid", "left").select(
         "doc_id",
         "piece",
         "start",
         "length",
         "ids_crc32",
-        F.coalesce("to", "bin").alias("sequence_id"),
-        F.coalesce("at", "offset").alias("offset"),
+        F.coalesce("new_to", "to").alias("sequence_id"),
+        F.coalesce("new_at", "at").alias("offset"),
     )

@@ -24,12 +24,18 @@ def texts(docs):
     return {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
 
 
-def test_packing_ids_and_cover(docs, texts):
+END = "<|endoftext|>"
+SPECIAL = [f"a {END} b", END, END * 3, f"  {END}  \n{END}x", "<|endoftext|", f"é{END}é", f"<|{END}|>", f"word {END}" * 700]
+
+
+def test_packing_ids_and_cover(spark, docs, texts):
     import public_tokenizers as P
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    extra = {10_000_000 + i: t for i, t in enumerate(SPECIAL)}
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(list(extra.items()), "doc_id long, text string"))
+    texts = texts | extra
     got = {}
     for r in packing.pack(docs).collect():
         got.setdefault(r["doc_id"], []).append(r)
@@ -50,6 +56,35 @@ def test_packing_ids_and_cover(docs, texts):
     assert len(sequences) <= math.ceil(total / 2048) * 1.02 + 1
 
 
+def test_best_fit_equals_plain_search():
+    rng = random.Random(9)
+    for n in (1, 5, 60, 400):
+        sizes = [rng.choice([rng.randrange(1, 2_049), rng.randrange(1, 60), 1_024]) for _ in range(n)]
+        open_bins = []
+        for size in sorted(sizes, reverse=True):
+            fitting = [i for i, fill in enumerate(open_bins) if fill + size <= 2_048]
+            if fitting:
+                open_bins[max(fitting, key=lambda i: open_bins[i])] += size
+            else:
+                open_bins.append(size)
+        which, at, fills = packing.best_fit(sizes, 2_048)
+        assert sorted(fills) == sorted(open_bins)
+        for b in range(len(fills)):
+            own = sorted((at[i], sizes[i]) for i in range(n) if which[i] == b)
+            assert [a for a, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))]
+
+
+def test_packing_bin_numbers_do_not_meet():
+    """Bins go by a piece's number, and pieces of any partition and round have numbers of their own."""
+    pa_ids = set()
+    for part in (0, 1, 65_536 * 8, 1 << 20, (1 << 31) - 1):
+        first = packing.first_uid(part)
+        assert first + (1 << packing.PIECE_BITS) - 1 < 1 << 63
+        out = packing.placed([first, first + 1, first + (1 << packing.PIECE_BITS) - 1], [2_000, 100, 40], 2_048, 16)
+        pa_ids |= set(out["to"].to_pylist())
+    assert len(pa_ids) == 10
+
+
 def test_packing_merges_partitions(docs):
     many = docs.repartition(20)
     one = len({r["sequence_id"] for r in packing.pack(docs.coalesce(1)).collect()})
