@@ -98,15 +98,21 @@ def history_segments(turns: DataFrame) -> DataFrame:
     and ``recorded``: whether the turn enters the history, which takes user and
     assistant turns of calls that succeeded, and no blank user turns.
 
-    Segments are found on the keys alone; the texts are joined back.
+    Segments are found on the keys alone, in one ordered scan; the texts are joined back.
     """
-    keys = turns.select("conv_id", "turn", "mode", *[c for c in ("cleared",) if c in turns.columns])
-    with_prev = ordered_scan(keys, "conv_id", ["turn"], lag={"__prev_mode": "mode"})
-    switch = F.col("__prev_mode").isNotNull() & ~F.col("__prev_mode").eqNullSafe(F.col("mode"))
+    cleared = F.coalesce("cleared", F.lit(False)) if "cleared" in turns.columns else F.lit(False)
+    keys = turns.select("conv_id", "turn", "mode", cleared.alias("__clear"))
+
+    def switched(before: Column, turn: Column) -> Column:
+        other = before["mode"].isNotNull() & ~before["mode"].eqNullSafe(turn["mode"])
+        return other | turn["__clear"]
+
+    seg = ordered_scan(keys, "conv_id", ["turn"], switches={"seg": (["mode", "__clear"], switched)})
+    # a clear before the first turn counts too
+    opening = keys.groupBy("conv_id").agg(F.min_by("__clear", "turn").cast("long").alias("__opened"))
+    seg = seg.drop("mode", "__clear")
     if "cleared" in turns.columns:
-        switch = switch | F.coalesce(F.col("cleared"), F.lit(False))
-    flagged = with_prev.select("conv_id", "turn", switch.cast("long").alias("__switch"))
-    seg = ordered_scan(flagged, "conv_id", ["turn"], running_sum={"seg": "__switch"}).drop("__switch")
+        seg = seg.join(opening, "conv_id").withColumn("seg", F.col("seg") + F.col("__opened")).drop("__opened")
     ok = ~F.coalesce(F.col("failed"), F.lit(False)) if "failed" in turns.columns else F.lit(True)
     said = (F.col("role") == "assistant") | ((F.col("role") == "user") & (js_trim("text") != ""))
     return turns.join(seg, ["conv_id", "turn"]).withColumn("recorded", ok & F.coalesce(said, F.lit(False)))

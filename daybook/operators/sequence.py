@@ -17,6 +17,8 @@ Everything is built-in DataFrame work.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +41,14 @@ def _hot_bounds(df: DataFrame, key: str, order: list[str], parts: int, hot_rows:
     if not most or most[0]["__n"] <= hot_rows:
         return None
     share = max(1, (total.get["rows"] or 0) // parts)
-    hot = [r[0] for r in most if r["__n"] > max(hot_rows, 2 * share)]
+    hot = [(r[0],) for r in most if r["__n"] > max(hot_rows, 2 * share)]
     if not hot:
         return None
+    keys = df.sparkSession.createDataFrame(hot, df.select(key).schema)
     at = F.struct(*[F.col(c) for c in order])
     chance = SAMPLE / max(hot_rows, share)
     picked = (
-        df.where(F.col(key).isin(hot) & (F.rand(17) < chance)).groupBy(key).agg(F.array_sort(F.collect_set(at)).alias("__s"))
+        df.where(F.rand(17) < chance).join(F.broadcast(keys), key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_set(at)).alias("__s"))
     )
     # every SAMPLE-th sampled row is a bound
     bounds = picked.select(key, F.filter("__s", lambda x, i: (i + 1) % SAMPLE == 0).alias("__bounds"))
@@ -77,7 +80,9 @@ def ordered_scan(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     running_sum: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    last: dict[str, str] | None = None,
+    switches: dict[str, tuple[list[str], Callable[[Column, Column], Column]]] | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add per-key sequence columns to ``df``.
 
@@ -87,23 +92,35 @@ def ordered_scan(
 
     * ``position``: name of a 0-based position column within the key;
     * ``lag`` / ``lead``: ``{out: src}``, the previous / next row's ``src``;
-    * ``running_sum``: ``{out: src}``, inclusive running sum of integer ``src``.
+    * ``running_sum``: ``{out: src}``, inclusive running sum of integer ``src``;
+    * ``last``: ``{out: src}``, the last ``src`` that is not null among the rows before;
+    * ``switches``: ``{out: (columns, differs)}``, how many rows so far (inclusive) differ from
+      the row before them: ``differs(before, row)`` on structs of ``columns``, null is no.
 
     Select the columns you need first: all columns of ``df`` are shuffled.
     """
     lag, lead, rsum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
+    last, switches = dict(last or {}), dict(switches or {})
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds, most = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows) or (None, 0)
+    bounds, most = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows or HOT_ROWS) or (None, 0)
     by = [key] if bounds is None else [key, "__bucket"]
+    at = F.struct(*[F.col(c) for c in order])
     if bounds is not None:
-        at = F.struct(*[F.col(c) for c in order])
-        df_in = df.join(F.broadcast(bounds), key, "left")
-        before = _bucket(F.col("__bounds"), at, most)
-        df_in = df_in.withColumn("__bucket", F.when(F.col("__bounds").isNull(), 0).otherwise(before)).drop("__bounds")
+        bucket = F.when(F.col("__bounds").isNull(), 0).otherwise(_bucket(F.col("__bounds"), at, most))
+        df_in = df.join(F.broadcast(bounds), key, "left").withColumn("__bucket", bucket).drop("__bounds")
     else:
         df_in = df
     w = Window.partitionBy(*by).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+
+    def differ(out: str, prev: Column, row: Column) -> Column:
+        return F.coalesce(F.when(prev.isNotNull(), switches[out][1](prev, row)), F.lit(False)).cast("long")
+
+    for o, (columns, _) in switches.items():
+        prev = df_in.withColumn(f"__prev_{o}", F.lag(F.struct(*columns)).over(w))
+        df_in = prev.withColumn(f"__flag_{o}", differ(o, F.col(f"__prev_{o}"), F.struct(*columns))).drop(f"__prev_{o}")
+    marks = [F.row_number().over(w).alias("__first"), F.lead(F.lit(1)).over(w).alias("__more")]
     out = df_in.select(
         *df.columns,
         *([F.col("__bucket")] if bounds is not None else []),
@@ -111,23 +128,31 @@ def ordered_scan(
         *[F.sum(src).over(upto).cast("long").alias(o) for o, src in rsum.items()],
         *[F.lag(src).over(w).alias(o) for o, src in lag.items()],
         *[F.lead(src).over(w).alias(o) for o, src in lead.items()],
-        *([F.row_number().over(w).alias("__first"), F.lead(F.lit(1)).over(w).alias("__more")] if bounds is not None else []),
+        *[F.last(src, ignorenulls=True).over(before).alias(o) for o, src in last.items()],
+        *[F.sum(f"__flag_{o}").over(upto).alias(o) for o in switches],
+        *(marks if bounds is not None else []),
     )
     if bounds is None:
         return out
     # one row a bucket of the hot keys: what it adds for the buckets after and before it
     cut = df_in.join(F.broadcast(bounds.select(key)), key, "left_semi")
-    ordering = F.struct(*[F.col(c) for c in order])
     sources = sorted({*lag.values(), *lead.values()})
     row = F.struct(F.lit(True).alias("__here"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(sources)])
     buckets = cut.groupBy(key, "__bucket").agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.sum(src).alias(f"__sum_{o}") for o, src in rsum.items()],
-        F.min_by(row, ordering).alias("__head"),
-        F.max_by(row, ordering).alias("__tail"),
+        F.min_by(row, at).alias("__head"),
+        F.max_by(row, at).alias("__tail"),
+        *[F.max_by(F.col(src), F.when(F.col(src).isNotNull(), at)).alias(f"__last_{o}") for o, src in last.items()],
+        *[F.sum(f"__flag_{o}").alias(f"__in_{o}") for o in switches],
+        *[F.min_by(F.struct(*c), at).alias(f"__head_{o}") for o, (c, _) in switches.items()],
+        *[F.max_by(F.struct(*c), at).alias(f"__tail_{o}") for o, (c, _) in switches.items()],
     )
     along = Window.partitionBy(key).orderBy("__bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    for o in switches:  # and the first row of a bucket against the last of the one before
+        seam = buckets.withColumn(f"__prev_{o}", F.lag(f"__tail_{o}").over(along))
+        buckets = seam.withColumn(f"__seam_{o}", differ(o, F.col(f"__prev_{o}"), F.col(f"__head_{o}")))
     carry = buckets.select(
         key,
         "__bucket",
@@ -135,13 +160,21 @@ def ordered_scan(
         *[F.coalesce(F.sum(f"__sum_{o}").over(earlier), F.lit(0)).alias(f"__off_{o}") for o in rsum],
         F.lag("__tail").over(along).alias("__prev"),
         F.lead("__head").over(along).alias("__next"),
+        *[F.last(f"__last_{o}", ignorenulls=True).over(earlier).alias(f"__last_{o}") for o in last],
+        *[
+            (
+                F.coalesce(F.sum(f"__in_{o}").over(earlier), F.lit(0))
+                + F.sum(f"__seam_{o}").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            ).alias(f"__off_{o}")
+            for o in switches
+        ],
     )
     # as many rows as there are bounds, and one more for each hot key
     res = out.join(F.broadcast(carry), [key, "__bucket"], "left")
     cols = [F.col(c) for c in df.columns]
     if position:
         cols.append((F.col(position) + F.coalesce("__off", F.lit(0))).alias(position))
-    for o in rsum:
+    for o in [*rsum, *switches]:
         cols.append((F.col(o) + F.coalesce(f"__off_{o}", F.lit(0))).cast("long").alias(o))
     for o, src in lag.items():
         take = F.col("__prev.__here") & (F.col("__first") == 1)
@@ -149,6 +182,8 @@ def ordered_scan(
     for o, src in lead.items():
         take = F.col("__next.__here") & F.col("__more").isNull()
         cols.append(F.when(take, F.col(f"__next.v{sources.index(src)}")).otherwise(F.col(o)).alias(o))
+    for o in last:
+        cols.append(F.coalesce(o, f"__last_{o}").alias(o))
     return res.select(*cols)
 
 

@@ -233,44 +233,41 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
     false gives null; a final done true gives the first ``done=true`` after L,
     or without any L the stored value if set, else the first ``done=true``.
 
-    Two aggregates with a row a task, both of bounded size: the last changes,
-    and the first ``done=true`` among the rows after the last ``done=false``.
+    The log is read once: an ordered scan gives every ``done=true`` the done change
+    before it, and one aggregate a task keeps the last changes and the last ``done=true``
+    that follows no other ``done=true``.  That is the first one after L, or without an
+    L the first of all.  A hot task is scanned in buckets (``ordered_scan``).
     """
     for c, t in (("set_title", "boolean"), ("title", "string")):
         if c not in log.columns:
             log = log.withColumn(c, F.lit(None).cast(t))
     update = F.col("op") == "update"
     at = F.struct(F.col("ts"), F.col("change_id"))
-    sets_done = update & F.col("set_done")
+    changes = log.select(
+        F.struct("user_id", "task_id").alias("__task"), "ts", "change_id", "op", "set_title", "title", "set_priority", "priority",
+        "set_due", "due_date", "set_done", "done", F.when(update & F.col("set_done"), F.coalesce("done", F.lit(False))).alias("__sets"),
+    )
+    changes = ordered_scan(changes, "__task", ["ts", "change_id"], last={"__before": "__sets"})
 
     def last_set(flag: str, value: str) -> Column:
         """Latest value among changes that carry the field (null is a value)."""
         return F.max(F.when(update & F.col(flag), F.struct("ts", "change_id", F.col(value).alias("v"))))
 
+    starts = F.col("__sets") & ~F.coalesce("__before", F.lit(False))
     ch = (
-        log.groupBy("user_id", "task_id")
+        changes.groupBy("__task")
         .agg(
             F.max((F.col("op") == "delete").cast("int")).alias("__gone"),
             last_set("set_title", "title").alias("__title"),
             last_set("set_priority", "priority").alias("__priority"),
             last_set("set_due", "due_date").alias("__due"),
             last_set("set_done", "done").alias("__done"),
-            F.max(F.when(sets_done & ~F.col("done"), at)).alias("__last_false"),
+            F.max(update & F.col("set_done") & ~F.col("done")).alias("__any_false"),
+            F.max(F.when(starts, at))["ts"].alias("__first_true"),
         )
-        .withColumnRenamed("task_id", "id")
+        .select("__task.user_id", F.col("__task.task_id").alias("id"), "*")
+        .drop("__task")
     )
-    key = ["user_id", "task_id"]
-    falses = log.where(sets_done & ~F.col("done")).groupBy(*key).agg(F.max(at).alias("__last"))
-    firsts = (
-        log.where(sets_done & F.col("done"))
-        .select(*key, at.alias("__at"))
-        .join(falses, key, "left")
-        .where(F.col("__last").isNull() | (F.col("__at") > F.col("__last")))
-        .groupBy(*key)
-        .agg(F.min("__at").alias("__first"))
-        .select("user_id", F.col("task_id").alias("id"), F.col("__first")["ts"].alias("__first_true"))
-    )
-    ch = ch.join(firsts, ["user_id", "id"], "left")
 
     def pick(field: str, col: str) -> Column:
         return F.when(F.col(field).isNotNull(), F.col(field)["v"]).otherwise(F.col(col))
@@ -279,7 +276,7 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
     completed = (
         F.when(F.col("__done").isNull(), F.col("completed_at"))
         .when(~F.coalesce(final_done, F.lit(False)), F.lit(None).cast("timestamp"))
-        .when(F.col("__last_false").isNotNull(), F.col("__first_true"))
+        .when(F.col("__any_false"), F.col("__first_true"))
         .otherwise(F.coalesce(F.col("completed_at"), F.col("__first_true")))
     )
     return tasks.join(ch, ["user_id", "id"], "left").where(F.coalesce(F.col("__gone"), F.lit(0)) == 0).select(

@@ -197,10 +197,14 @@ def _timer_input(
         (F.col("interrupted") if "interrupted" in events.columns else F.lit(None).cast("boolean")).alias("interrupted"),
         (F.col("action") == "stop").cast("long").alias("__stop"),
     )
-    ev = ordered_scan(ev, "user_id", ["t", "seq"], running_sum={"epoch": "__stop"}).drop("__stop")
     if last_epoch_only:
-        last = ev.groupBy("user_id").agg(F.max("epoch").alias("epoch"))
-        ev = ev.join(last, ["user_id", "epoch"])
+        # the user's last stop by a bounded aggregate; only what follows it is folded
+        at = F.struct("t", "seq")
+        last = ev.where("__stop = 1").groupBy("user_id").agg(F.max(at).alias("__last"))
+        ev = ev.join(last, "user_id", "left").where(F.col("__last").isNull() | (at > F.col("__last")))
+        ev = ev.withColumn("epoch", F.lit(0).cast("long")).drop("__stop", "__last")
+    else:
+        ev = ordered_scan(ev, "user_id", ["t", "seq"], running_sum={"epoch": "__stop"}).drop("__stop")
     if settings is not None:
         ev = ev.join(settings.select("user_id", "work_mins", "break_mins"), "user_id", "left")
     else:

@@ -36,7 +36,8 @@ def check_scan(spark, hot, seed):
     df = spark.createDataFrame(pdf, "k long, o long, v long, s string")
     got = ordered_scan(
         df, "k", ["o"], position="pos", lag={"prev_s": "s"}, lead={"next_o": "o"},
-        running_sum={"cs": "v"}, hot_rows=hot,
+        running_sum={"cs": "v"}, last={"filled": "s"},
+        switches={"sw": (["v"], lambda before, row: before["v"] != row["v"])}, hot_rows=hot,
     ).toPandas()
     exp = pdf.sort_values(["k", "o"]).copy()
     g = exp.groupby("k")
@@ -44,10 +45,14 @@ def check_scan(spark, hot, seed):
     exp["prev_s"] = g["s"].shift(1)
     exp["next_o"] = g["o"].shift(-1)
     exp["cs"] = g["v"].cumsum()
+    exp["filled"] = g["s"].transform(lambda x: x.ffill().shift(1))
+    exp["sw"] = g["v"].transform(lambda x: (x != x.shift(1)).cumsum() - 1)
     m = got.merge(exp, on=["k", "o"], suffixes=("", "_e"))
     assert len(m) == n == len(got)
     assert (m.pos == m.pos_e).all()
     assert (m.cs == m.cs_e).all()
+    assert (m.sw == m.sw_e).all()
+    assert (m.filled.fillna("~") == m.filled_e.fillna("~")).all()
     assert (m.prev_s.fillna("~") == m.prev_s_e.fillna("~")).all()
     assert (m.next_o.fillna(-1).astype("int64") == m.next_o_e.fillna(-1).astype("int64")).all()
 
