@@ -245,7 +245,7 @@ def apply_task_changes(tasks: DataFrame, log: DataFrame) -> DataFrame:
     at = F.struct(F.col("ts"), F.col("change_id"))
     changes = log.select(
         F.struct("user_id", "task_id").alias("__task"), "ts", "change_id", "op", "set_title", "title", "set_priority", "priority",
-        "set_due", "due_date", "set_done", "done", F.when(update & F.col("set_done"), F.coalesce("done", F.lit(False))).alias("__sets"),
+        "set_due", "due_date", "set_done", "done", F.when(update & F.col("set_done"), F.col("done")).alias("__sets"),
     )
     changes = ordered_scan(changes, "__task", ["ts", "change_id"], last={"__before": "__sets"})
 

@@ -1076,7 +1076,7 @@ def q_write_workspaces(fx: Fixtures) -> DataFrame:
     return W.workspace_documents(*_workspace_inputs(fx))
 
 
-@register("read_workspaces", duckdb_with(["fx_tasks"], "SELECT *, 0 AS carried_over_count FROM fx_tasks"))
+@register("read_workspaces", duckdb_with(["fx_tasks"], "SELECT * REPLACE (CAST(ord AS DOUBLE) AS ord), 0 AS carried_over_count FROM fx_tasks"))
 def q_read_workspaces(fx: Fixtures) -> DataFrame:
     """S1 after S2: the tasks read back from the written documents."""
     return _roundtrip(fx).tasks

@@ -29,8 +29,9 @@ _FIELDS = {
     "notes": "id content taskId summary createdAt updatedAt",
     "focusSessions": "id taskId taskTitle durationMinutes reflection interrupted date completedAt",
 }
-_DOCUMENT = "user_id string, tasks string, notes string, focusSessions string, dailyPlans string, _corrupt_record string"
-_JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+_DOCUMENT = "struct<user_id: string, tasks: string, notes: string, focusSessions: string, dailyPlans: string>"
+# JSON as the app's own parser takes it: no single quotes, no NaN
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 class Workspaces(NamedTuple):
@@ -68,60 +69,56 @@ def _flag(c: str) -> Column:
     return F.col(c).try_cast("boolean")
 
 
-def _orders() -> tuple[Column, Column, Column]:
-    """(values, orders, ranks) of a document's tasks: integer orders as they are; with a fractional one, all by rank."""
-    texts = F.transform(F.from_json("tasks", "array<string>"), lambda j: F.get_json_object(j, "$.order").try_cast("double"))
-    ranks = F.array_sort(F.array_distinct(F.filter("__orders", lambda v: v.isNotNull())))
-    whole = F.forall("__orders", lambda v: v.isNull() | (v == F.floor(v)))
-    return texts, F.when(whole, F.transform("__orders", lambda v: v.cast("long"))).otherwise(
-        F.transform("__orders", lambda v: F.array_position(F.col("__ranks"), v) - 1)
-    ), ranks
+def _document(text: Column) -> Column:
+    """The fields of a text that is one JSON object and nothing else; else null.
+
+    The parser stops at the end of the first value, so the text is parsed inside a frame
+    that ends with a digest of the text: what follows the object would have to close
+    the frame and repeat the digest.
+    """
+    end = F.xxhash64(text)
+    framed = F.concat(F.lit('{"d":['), text, F.lit('],"end":'), end, F.lit("}"))
+    parsed = F.from_json(framed, f"d array<{_DOCUMENT}>, end string", _STRICT)
+    whole = (parsed["end"] == end.cast("string")) & (F.size(parsed["d"]) == 1)
+    return F.when(whole, F.get(parsed["d"], F.lit(0)))
 
 
 def read_workspaces(spark: SparkSession, path: str, multiline: bool = True) -> Workspaces:
     """The tables of workspace documents.
 
     Array positions become ``array_pos``; a missing ``order`` stays null (the
-    list order back-fills it, O1).  A document is corrupt if it is no JSON
-    object; that is decided from a full parse, whatever columns are read.
+    list order back-fills it, O1), any other number is kept as it is.  A document is
+    corrupt if it is no JSON object by the strict grammar, or if text follows it;
+    that is decided from a full parse, whatever columns are read.
     Inside a good document each value stands alone: one that has the wrong type
-    is null, minutes may be fractional, and fractional orders become ranks.
+    is null, and so is a flag whose text is neither true nor false; minutes may be fractional.
     """
     raw = spark.read.text(path, wholetext=multiline).withColumn("file_path", F.col("_metadata.file_path"))
     from_name = F.regexp_extract(F.col("file_path"), r"(\d+)\.json[^/]*$", 1)
     # the id of a line that cannot be parsed, if it starts with one as written here
     from_text = F.regexp_extract("value", r'^\s*\{\s*"user_id"\s*:\s*(\d+)', 1)
     d = F.col("d")
-    blank = F.trim(F.col("value")) == ""
-    docs = raw.withColumn("d", F.from_json("value", _DOCUMENT, _JSON)).select(
+    docs = raw.withColumn("d", _document(F.col("value"))).select(
         F.coalesce(
             d["user_id"].try_cast("long"), F.nullif(from_text, F.lit("")).cast("long"), F.nullif(from_name, F.lit("")).cast("long")
         ).alias("user_id"),
         "file_path",
-        (d.isNull() | d["_corrupt_record"].isNotNull() | blank).alias("__corrupt"),
+        d.isNull().alias("__corrupt"),
         *[d[c].alias(c) for c in (*_FIELDS, "dailyPlans")],
     )
     ok = docs.where(~F.col("__corrupt"))
-    texts, orders, ranks = _orders()
-    ordered = ok.withColumn("__orders", texts).withColumn("__ranks", ranks).withColumn("__ords", orders)
-    kind = ", ".join(f"`{f}` string" for f in _FIELDS["tasks"].split())
-    records = F.arrays_zip(F.from_json("tasks", "array<string>").alias("j"), F.col("__ords").alias("ord"))
-    tasks = (
-        ordered.select("user_id", F.posexplode(records).alias("array_pos", "r"))
-        .select("user_id", "array_pos", F.from_json(F.col("r")["j"], kind).alias("x"), F.col("r")["ord"].alias("ord"))
-        .select(
-            "user_id",
-            "x.id",
-            "x.title",
-            "x.priority",
-            _parse_date("x.dueDate").alias("due_date"),
-            _flag("x.done").alias("done"),
-            F.col("ord").cast("long").alias("ord"),
-            F.col("array_pos").cast("long").alias("array_pos"),
-            _parse_ts("x.createdAt").alias("created_at"),
-            _parse_ts("x.completedAt").alias("completed_at"),
-            F.coalesce(F.col("x.carriedOverCount").try_cast("int"), F.lit(0)).alias("carried_over_count"),
-        )
+    tasks = _items(ok, "tasks").select(
+        "user_id",
+        "x.id",
+        "x.title",
+        "x.priority",
+        _parse_date("x.dueDate").alias("due_date"),
+        _flag("x.done").alias("done"),
+        F.col("x.order").try_cast("double").alias("ord"),
+        "array_pos",
+        _parse_ts("x.createdAt").alias("created_at"),
+        _parse_ts("x.completedAt").alias("completed_at"),
+        F.coalesce(F.col("x.carriedOverCount").try_cast("int"), F.lit(0)).alias("carried_over_count"),
     )
     notes = _items(ok, "notes").select(
         "user_id",
@@ -155,7 +152,7 @@ def _iso(c: str) -> Column:
 
 
 def _task_json(carried: Column) -> Column:
-    return F.to_json(
+    record = F.to_json(
         F.struct(
             F.col("id"),
             F.col("title"),
@@ -168,6 +165,8 @@ def _task_json(carried: Column) -> Column:
             carried.cast("int").alias("carriedOverCount"),
         )
     )
+    # whole orders as the app writes them; inside a text the quotes would be escaped
+    return F.regexp_replace(record, r'"order":(-?[0-9]+)\.0([,}])', '"order":$1$2')
 
 
 def _note_json() -> Column:

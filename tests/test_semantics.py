@@ -354,7 +354,7 @@ def test_import_keeps_odd_values_and_unused_fields(spark, tmp_path):
     (d / "9.json").write_text(" \n")
     w = W.read_workspaces(spark, str(d), multiline=True)
     tasks = {r.id: r for r in w.tasks.collect()}
-    assert {k: (r.ord, r.array_pos) for k, r in tasks.items()} == {"a": (1, 0), "b": (0, 1), "c": (None, 2)}
+    assert {k: (r.ord, r.array_pos) for k, r in tasks.items()} == {"a": (1.5, 0), "b": (0.5, 1), "c": (None, 2)}
     assert tasks["a"].carried_over_count == 3 and tasks["b"].due_date is None and tasks["c"].title == "7"
     assert [r.content for r in w.notes.collect()] == ["x"]
     assert {r.id: r.duration_minutes for r in w.sessions.collect()} == {"s": 1.5, "r": 25.0}
@@ -370,6 +370,36 @@ def test_import_keeps_odd_values_and_unused_fields(spark, tmp_path):
     assert {r.id: r.duration_minutes for r in again.sessions.collect()} == {"s": 1.5, "r": 25.0}
 
 
+def test_only_strict_documents_are_read(spark, tmp_path):
+    good = '{"user_id": %d, "tasks": [{"id": "t", "title": "A"}], "notes": [{"id": "n"}], "focusSessions": []}'
+    texts = {
+        1: good % 1, 2: good % 2 + " trailing", 3: (good % 3).replace('"', "'"), 4: "NaN", 5: good % 5 + "]", 6: good % 6 + "]}",
+        7: good % 7 + ", " + good % 7, 8: "[" + good % 8 + "]", 9: '"text"', 10: "null", 11: (good % 11).replace("[]", "[],"),
+        12: (good % 12).replace("[]", "NaN"), 13: " \t" + good % 13 + " \n", 14: good % 14 + '],"end":1}', 15: "// note " + good % 15,
+        16: (good % 16).replace("}", "}", 1)[:-1], 17: '{"tasks": [], "tasks": [{"id": "last"}]}', 18: "\ufeff" + good % 18,
+    }
+    for u, text in texts.items():
+        (tmp_path / f"{u}.json").write_text(text)
+    w = W.read_workspaces(spark, str(tmp_path))
+    assert sorted((r.user_id, r.id) for r in w.tasks.collect()) == [(1, "t"), (13, "t"), (17, "last")]
+    assert sorted(r.user_id for r in w.notes.collect()) == [1, 13]
+    assert sorted(r.user_id for r in w.corrupt.collect()) == sorted(set(texts) - {1, 13, 17})
+
+
+def test_order_values_survive_import_and_writing(spark, tmp_path):
+    doc = {"tasks": [{"id": "a", "title": 'say "order":2.0,', "order": 0.5}, {"id": "b", "title": "B", "order": 2}, {"id": "c", "order": -1e9}]}
+    (tmp_path / "7.json").write_text(json.dumps(doc))
+    w = W.read_workspaces(spark, str(tmp_path))
+    assert {r.id: r.ord for r in w.tasks.collect()} == {"a": 0.5, "b": 2, "c": -1e9}
+    new = spark.createDataFrame([(7, "n", 0), (7, "m", 1)], "user_id long, id string, seq long")
+    assert {r.id: r.ord for r in T.append_tasks(w.tasks, new).collect()} == {"n": 3, "m": 4}
+    text = W.workspace_documents(w.tasks, w.notes, w.sessions).first().document
+    assert '"order":2,' in text and '"order":0.5,' in text
+    assert {t["id"]: (t["order"], t.get("title")) for t in json.loads(text)["tasks"]} == {
+        "a": (0.5, 'say "order":2.0,'), "b": (2, "B"), "c": (-1e9, None)
+    }
+
+
 def test_several_moves_of_one_user(spark):
     t = tasks_df(spark, [task(1, x, ord_=i, pos=i) for i, x in enumerate("abc")] + [task(2, "z", ord_=0, pos=0)])
     moves = spark.createDataFrame(
