@@ -21,14 +21,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component; rows without an id stay."""
-    found = simhash.simhash_components(docs, threshold=2, shingle=3)
+    """The document with the smallest id of each SimHash component.
+
+    Rows without an id come after all others, by a hash of their texts; equal ones are one document.
+    """
+    last = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0]
+    above = min(max(0, last or 0), 2**62)
+    own = F.lit(above) + 1 + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2**62 - 2))
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = simhash.simhash_components(keyed.select(F.col("__id").alias("doc_id"), "text"), threshold=2, shingle=3)
     kept = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
-    ids = kept.select(F.col("doc_id").alias("__kept_id"))
-    out = docs.join(ids, docs["doc_id"] == F.col("__kept_id"), "left_semi")
+    out = keyed.join(kept.select(F.col("doc_id").alias("__id")), "__id", "left_semi")
     if not kept.where("n > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])  # rows that repeat an id are one document
-    return out.unionByName(docs.where(F.col("doc_id").isNull()))
+        out = out.dropDuplicates(["__id"])  # rows that repeat an id are one document
+    return out.select(*docs.columns)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
