@@ -1,72 +1,65 @@
-"""Rows of one key that wait for the watermark, kept in state by time bucket.
-
-Each bucket is an entry of its own in a map state, so a trigger reads and writes
-the buckets that it touches and not all that a key has pending.
-"""
+"""Rows of one key that wait for the watermark, and the one timer that wakes the key."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable
-
 from pyspark.sql import SparkSession
 
-BUCKET_US = 3 * 3600 * 1_000_000
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_map_state(spark: SparkSession) -> None:
-    """Map and list states need the RocksDB state store."""
+def use_list_state(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
 
 
-class Pending:
-    """Rows ``[t, ...]`` (t in microseconds) of one key, in buckets of three hours."""
-
-    def __init__(self, handle, name: str = "pending"):
-        self.state = handle.getMapState(name, "bucket long", "held string")
-
-    def add(self, rows: Iterable[list]) -> None:
-        by: dict[int, list] = {}
-        for r in rows:
-            by.setdefault(r[0] // BUCKET_US, []).append(r)
-        known = {k[0] for k in self.state.keys()}
-        for b, new in by.items():
-            held = json.loads(self.state.getValue((b,))[0]) if b in known else []
-            self.state.updateValue((b,), (json.dumps(held + new),))
-
-    def take(self, upto: int) -> tuple[list[list], int | None]:
-        """Remove and return the rows up to ``upto`` in order, and the first time that still waits."""
-        due = sorted(k[0] for k in self.state.keys())
-        out: list[list] = []
-        for b in due:
-            if b * BUCKET_US > upto:
-                return sorted(out, key=lambda r: r[:2]), min(r[0] for r in json.loads(self.state.getValue((b,))[0]))
-            held = json.loads(self.state.getValue((b,))[0])
-            rest = [r for r in held if r[0] > upto]
-            out += [r for r in held if r[0] <= upto]
-            if rest:
-                self.state.updateValue((b,), (json.dumps(rest),))
-                return sorted(out, key=lambda r: r[:2]), min(r[0] for r in rest)
-            self.state.removeKey((b,))
-        return sorted(out, key=lambda r: r[:2]), None
-
-
-class Wake:
-    """At most one timer of the current key; its time is kept in state."""
-
-    def __init__(self, handle):
-        self.handle = handle
-        self.at = handle.getValueState("wake", "at_ms long")
-
-    def set(self, at_ms: int | None, fired: bool) -> None:
-        """``fired``: called from the expired timer, which is gone already."""
-        old = self.at.get()
-        if old is not None and not fired and old[0] != at_ms:
-            self.handle.deleteTimer(old[0])
-        if at_ms is None:
-            if old is not None:
-                self.at.clear()
-        elif fired or old is None or old[0] != at_ms:
-            self.handle.registerTimer(at_ms)
-            self.at.update((at_ms,))
+class Queue:
+    """Rows in a list state that new rows are only appended to.
+
+    Rows are handed out in order as the watermark passes them.  The list is written anew
+    only when at least half of its rows are handed out, so writes stay in
+    proportion to the rows that arrive.  The caller keeps ``self.at`` (upto, first, size, out): rows up to
+    ``upto`` are handed out, ``first`` is the first time that waits, and ``size`` rows are in the
+    list, ``out`` of them handed out.
+    """
+
+    START = (-(1 << 62), None, 0, 0)
+
+    def __init__(self, handle, schema: str, name: str = "pending"):
+        self.state = handle.getListState(name, schema)
+        self.at = self.START
+
+    def add(self, rows: list[tuple]) -> None:
+        """Rows start with their time and a number that orders equal times."""
+        if not rows:
+            return
+        self.state.appendList(rows)
+        upto, first, size, out = self.at
+        low = min(r[0] for r in rows)
+        self.at = upto, low if first is None else min(first, low), size + len(rows), out
+
+    def take(self, now: int) -> list[tuple]:
+        """The rows up to ``now`` that were not handed out yet, in order."""
+        upto, first, size, out = self.at
+        if first is None or first > now:
+            return []
+        waits = [tuple(r) for r in self.state.get()]
+        ready = sorted((r for r in waits if upto < r[0] <= now), key=lambda r: r[:2])
+        rest = [r for r in waits if r[0] > now]
+        out += len(ready)
+        if not rest:
+            self.state.clear()
+            size = out = 0
+        elif 2 * out >= size:
+            self.state.put(rest)
+            size, out = len(rest), 0
+        self.at = now, min((r[0] for r in rest), default=None), size, out
+        return ready
+
+
+def set_timer(handle, old_ms: int | None, at_ms: int | None, fired: bool) -> int | None:
+    """At most one timer of the key: move it from ``old_ms`` to ``at_ms``; ``fired``: the old one is gone already."""
+    if old_ms is not None and not fired and old_ms != at_ms:
+        handle.deleteTimer(old_ms)
+    if at_ms is not None and (fired or old_ms != at_ms):
+        handle.registerTimer(at_ms)
+    return at_ms

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from daybook import constants as K
-from daybook.streaming.buckets import Pending, Wake, use_map_state
+from daybook.streaming.buckets import set_timer, use_list_state
 
 OUTPUT = StructType(
     [
@@ -17,24 +17,34 @@ OUTPUT = StructType(
         StructField("fire_ts", TimestampType(), False),
     ]
 )
+
+
 class Nudges(StatefulProcessor):
-    """Nudges of one user: the last activity, the last nudge sent since, and the pending activity."""
+    """Nudges of one user, whose activity is kept as runs.
+
+    A run is a stretch of activity without a gap of the threshold; no nudge falls inside
+    one.  The state of a user is one value: the end of the run reached by the watermark, the last
+    nudge sent since, and the runs that wait, of which there are at most a few
+    for the time that the watermark lags, however many activities they hold.
+    """
 
     def __init__(self, threshold_us: int, grid_us: int):
         self.threshold_us, self.grid_us = threshold_us, grid_us
 
     def init(self, handle) -> None:
-        self.wake = Wake(handle)
-        self.last = handle.getValueState("last", "last_us long, fired_us long")
-        self.pending = Pending(handle)
+        self.handle = handle
+        self.user = handle.getValueState(
+            "user", "last_us long, fired_us long, wake_ms long, starts array<long>, ends array<long>"
+        )
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+        times: list[int] = []
         for pdf in rows:
-            self.pending.add([t, 0] for t in (pdf["ts"].astype("datetime64[us]").astype("int64")).tolist())
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, False)
+            times += pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
+        yield from self._advance(int(key[0]), times, timerValues.getCurrentWatermarkInMs() * 1000, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, True)
+        yield from self._advance(int(key[0]), [], timerValues.getCurrentWatermarkInMs() * 1000, True)
 
     def close(self) -> None:
         pass
@@ -46,23 +56,37 @@ class Nudges(StatefulProcessor):
         start = self._first(a) if fired is None else fired + self.threshold_us
         return range(start, upto + 1, self.threshold_us)
 
-    def _advance(self, uid: int, wm: int, fired_timer: bool):
-        last, fired = self.last.get() or (None, None)
-        ready, waiting = self.pending.take(wm)
-        out = []
-        for a, _ in ready:
-            if last is not None and a >= last:
-                out.extend((uid, last, f) for f in self._fires(last, fired, a))
-            if last is None or a >= last:
-                last, fired = a, None
-        upcoming = [] if waiting is None else [waiting]
+    def runs(self, times: list[int], starts: list[int], ends: list[int]) -> list[list[int]]:
+        """The waiting runs together with new activities."""
+        out: list[list[int]] = []
+        for a, b in sorted([*zip(starts, ends), *((t, t) for t in times)]):
+            if out and a < out[-1][1] + self.threshold_us:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return out
+
+    def _advance(self, uid: int, times: list[int], wm: int, fired_timer: bool):
+        last, fired, wake, starts, ends = self.user.get() or (None, None, None, [], [])
+        out, waiting = [], []
+        for a, b in self.runs(times, starts, ends):
+            if last is not None and fired is None and a < last + self.threshold_us:
+                last = max(last, b)  # goes on with the run reached
+            elif a <= wm:
+                if last is not None:
+                    out.extend((uid, last, f) for f in self._fires(last, fired, a))
+                last, fired = b, None
+            else:
+                waiting.append((a, b))
+        upcoming = [waiting[0][0]] if waiting else []
         if last is not None:
             trail = list(self._fires(last, fired, wm))
             out.extend((uid, last, f) for f in trail)
             fired = trail[-1] if trail else fired
-            self.last.update((last, fired))
             upcoming.append(self._first(last) if fired is None else fired + self.threshold_us)
-        self.wake.set(max(min(upcoming) // 1000, wm // 1000 + 1) if upcoming else None, fired_timer)
+        at = max(min(upcoming) // 1000, wm // 1000 + 1) if upcoming else None
+        wake = set_timer(self.handle, wake, at, fired_timer)
+        self.user.update((last, fired, wake, [a for a, _ in waiting], [b for _, b in waiting]))
         if out:
             df = pd.DataFrame(out, columns=["user_id", "idle_since", "fire_ts"])
             df["idle_since"] = pd.to_datetime(df["idle_since"], unit="us")
@@ -78,12 +102,11 @@ def idle_nudges_stream(
 ) -> DataFrame:
     """Every nudge of T1 at or below the watermark, emitted once.
 
-    State per user: the last activity, the last nudge sent since, and the
-    activities still above the watermark, by time bucket.  An event-time timer
+    State per user: one value (:class:`Nudges`).  An event-time timer
     wakes the user at the next possible nudge, so trailing idle time produces
     nudges without new activity.
     """
-    use_map_state(activity.sparkSession)
+    use_list_state(activity.sparkSession)
     return (
         activity.select("user_id", "ts")
         .withWatermark("ts", delay)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from daybook import constants as K
 from daybook.operators.timers import SESSION_SCHEMA, TimerState
-from daybook.streaming.buckets import Pending, Wake, use_map_state
+from daybook.streaming.buckets import Queue, set_timer, use_list_state
 
 _FIELDS = TimerState.__slots__
 _EVENT = ("t", "seq", "action", "task_id", "reflection", "interrupted", "work_mins", "break_mins")
@@ -33,41 +33,50 @@ def _none(v):
     return None if v is None or (not isinstance(v, str) and pd.isna(v)) else v
 
 
+WAITING = (
+    "t long, seq long, action string, task_id string, reflection string, interrupted boolean, work_mins int, break_mins int"
+)
+
+
 class Timer(StatefulProcessor):
     """The timer of one user and the events that wait for the watermark."""
 
     def init(self, handle) -> None:
-        self.wake = Wake(handle)
-        self.timer = handle.getValueState("timer", "fields string")
-        self.pending = Pending(handle)
+        self.handle = handle
+        self.user = handle.getValueState("user", "fields string, wake_ms long, upto long, first long, size long, out long")
+        self.pending = Queue(handle, WAITING)
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+        new = []
         for pdf in rows:
             cols = [pdf[c].astype(object).tolist() for c in _EVENT]
-            self.pending.add([int(t), int(seq), *map(_none, rest)] for t, seq, *rest in zip(*cols))
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, False)
+            for t, seq, action, task, refl, intr, wm, bm in zip(*cols):
+                intr = _none(intr)
+                new.append((int(t), int(seq), _none(action), _none(task), _none(refl), None if intr is None else bool(intr), int(wm), int(bm)))
+        yield from self._advance(int(key[0]), new, timerValues.getCurrentWatermarkInMs() * 1000, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
-        yield from self._advance(int(key[0]), timerValues.getCurrentWatermarkInMs() * 1000, True)
+        yield from self._advance(int(key[0]), [], timerValues.getCurrentWatermarkInMs() * 1000, True)
 
     def close(self) -> None:
         pass
 
-    def _advance(self, uid: int, wm: int, fired_timer: bool):
-        held = self.timer.get()
-        timer = _from_json(held[0]) if held else None
-        ready, waiting = self.pending.take(wm)
+    def _advance(self, uid: int, new: list[tuple], wm: int, fired_timer: bool):
+        fields, wake, *at = self.user.get() or (None, None, *Queue.START)
+        self.pending.at = tuple(at)
+        timer = _from_json(fields) if fields else None
+        self.pending.add(new)
         out = []
-        for t, seq, action, task_id, refl, intr, wmins, bmins in ready:
+        for t, seq, action, task_id, refl, intr, wmins, bmins in self.pending.take(wm):
             if timer is None:
                 timer = TimerState(wmins, bmins)
             s = timer.step(t, action, task_id, refl, intr)
             if s is not None:
                 ts = pd.Timestamp(t, unit="us")
                 out.append((uid, seq, s[0], s[1], s[2], s[3], ts.date(), ts))
-        if ready:
-            self.timer.update((_to_json(timer),))
-        self.wake.set(None if waiting is None else max(waiting // 1000, wm // 1000 + 1), fired_timer)
+        first = self.pending.at[1]
+        wake = set_timer(self.handle, wake, None if first is None else max(first // 1000, wm // 1000 + 1), fired_timer)
+        self.user.update((_to_json(timer) if timer else None, wake, *self.pending.at))
         if out:
             yield pd.DataFrame.from_records(out, columns=SESSION_SCHEMA.names)
 
@@ -100,5 +109,5 @@ def timer_sessions_stream(
         F.coalesce(F.nullif(F.col("work_mins"), F.lit(0)), F.lit(K.DEFAULT_WORK_MINS)).alias("work_mins"),
         F.coalesce(F.nullif(F.col("break_mins"), F.lit(0)), F.lit(K.DEFAULT_BREAK_MINS)).alias("break_mins"),
     )
-    use_map_state(events.sparkSession)
+    use_list_state(events.sparkSession)
     return rows.groupBy("user_id").transformWithStateInPandas(Timer(), SESSION_SCHEMA, "append", "eventTime")
