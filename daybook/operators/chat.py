@@ -6,7 +6,9 @@ table ``(request_id, text)`` comes back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook import constants as K
@@ -100,52 +102,104 @@ def history_segments(turns: DataFrame) -> DataFrame:
 
     Segments are found on the keys alone, in one ordered scan; the texts are joined back.
     """
+    return _placed(turns).drop("n_history")
+
+
+def _recorded(turns: DataFrame) -> Column:
+    ok = ~F.coalesce(F.col("failed"), F.lit(False)) if "failed" in turns.columns else F.lit(True)
+    said = (F.col("role") == "assistant") | ((F.col("role") == "user") & (js_trim("text") != ""))
+    return ok & F.coalesce(said, F.lit(False))
+
+
+def _placed(turns: DataFrame) -> DataFrame:
+    """``turns`` with ``seg``, ``recorded`` and ``n_history``: the recorded turns before it in its segment."""
     cleared = F.coalesce("cleared", F.lit(False)) if "cleared" in turns.columns else F.lit(False)
-    keys = turns.select("conv_id", "turn", "mode", cleared.alias("__clear"))
+    flagged = turns.withColumn("recorded", _recorded(turns))
+    keys = flagged.select("conv_id", "turn", "mode", cleared.alias("__clear"), F.col("recorded").cast("long").alias("__rec"))
 
     def switched(before: Column, turn: Column) -> Column:
         other = before["mode"].isNotNull() & ~before["mode"].eqNullSafe(turn["mode"])
         return other | turn["__clear"]
 
-    seg = ordered_scan(keys, "conv_id", ["turn"], switches={"seg": (["mode", "__clear"], switched)})
-    # a clear before the first turn counts too
-    opening = keys.groupBy("conv_id").agg(F.min_by("__clear", "turn").cast("long").alias("__opened"))
-    seg = seg.drop("mode", "__clear")
+    placed = ordered_scan(
+        keys, "conv_id", ["turn"], switches={"seg": (["mode", "__clear"], switched)}, running_sum={"__upto": "__rec"}
+    )
+    before = F.col("__upto") - F.col("__rec")
+    # a row a segment: the count at its start; and a clear before the first turn counts too
+    first = placed.groupBy("conv_id", "seg").agg(F.min(before).alias("__start"))
+    placed = placed.join(first, ["conv_id", "seg"]).select(
+        "conv_id", "turn", "seg", (before - F.col("__start")).alias("n_history")
+    )
     if "cleared" in turns.columns:
-        seg = seg.join(opening, "conv_id").withColumn("seg", F.col("seg") + F.col("__opened")).drop("__opened")
-    ok = ~F.coalesce(F.col("failed"), F.lit(False)) if "failed" in turns.columns else F.lit(True)
-    said = (F.col("role") == "assistant") | ((F.col("role") == "user") & (js_trim("text") != ""))
-    return turns.join(seg, ["conv_id", "turn"]).withColumn("recorded", ok & F.coalesce(said, F.lit(False)))
+        opening = keys.groupBy("conv_id").agg(F.min_by("__clear", "turn").cast("long").alias("__opened"))
+        placed = placed.join(opening, "conv_id").withColumn("seg", F.col("seg") + F.col("__opened")).drop("__opened")
+    return turns.join(placed, ["conv_id", "turn"]).withColumn("recorded", _recorded(turns))
 
 
-def chat_history(turns: DataFrame) -> DataFrame:
-    """R2: follow-up requests = the segment's history so far + the new user message.
+class ChatLog(NamedTuple):
+    """R2 with every message once: a request's messages are those before ``n_history``, and its own."""
+
+    messages: DataFrame  # conv_id, seg, place, role, content
+    requests: DataFrame  # conv_id, turn, seg, n_history, record_text
+
+
+def chat_log(turns: DataFrame) -> ChatLog:
+    """R2: the histories and the follow-up requests over them, in space linear in the turns.
 
     A user turn is a follow-up when its segment already has a recorded turn
     before it and its text is not blank; the new message is trimmed, and so
-    recorded.  The first turn of a segment's history is recorded as typed.  The
-    output grows with the square of a segment's length, as every request
-    resends its history; ``messages`` is the only column that costs this.
+    recorded.  The first turn of a segment's history is recorded as typed.
     """
-    seg = history_segments(turns)
-    w = Window.partitionBy("conv_id", "seg").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    n_before = F.coalesce(F.sum(F.col("recorded").cast("long")).over(w), F.lit(0))
+    placed = _placed(turns)
     q = js_trim("text")
-    seen = seg.withColumn("n_history", n_before)
-    content = F.when((F.col("role") == "user") & (F.col("n_history") > 0), q).otherwise(F.col("text"))
-    msg = F.when(F.col("recorded"), F.struct(F.col("role").alias("role"), content.alias("content")))
-    hist = seen.withColumn("__hist", F.collect_list(msg).over(w))
-    new = F.array(F.struct(F.lit("user").alias("role"), q.alias("content")))
-    return hist.where((F.col("role") == "user") & (F.col("n_history") > 0) & (q != "")).select(
+    follows = (F.col("role") == "user") & (F.col("n_history") > 0)
+    messages = placed.where("recorded").select(
+        "conv_id", "seg", F.col("n_history").alias("place"), "role", F.when(follows, q).otherwise(F.col("text")).alias("content")
+    )
+    requests = placed.where(follows & (q != "")).select("conv_id", "turn", "seg", "n_history", q.alias("record_text"))
+    return ChatLog(messages, requests)
+
+
+CHUNK = 256
+
+
+def expand(log: ChatLog, chunk: int = CHUNK) -> DataFrame:
+    """The requests with their whole histories, as the app sends them.
+
+    The output grows with the square of a segment's length.  Messages are joined in chunks of
+    ``chunk`` places first, and requests take whole chunks by (segment, chunk), so
+    a long segment is spread over tasks.
+    """
+    of = F.struct("place", F.to_json(F.struct("role", "content")).alias("j"))
+    chunks = (
+        log.messages.withColumn("chunk", F.floor(F.col("place") / chunk))
+        .groupBy("conv_id", "seg", "chunk")
+        .agg(F.transform(F.array_sort(F.collect_list(of)), lambda x: x["j"]).alias("__parts"))
+        .withColumn("__whole", F.array_join("__parts", ","))
+    )
+    needs = log.requests.select("conv_id", "turn", "seg", "n_history", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_history") - 1) / chunk))).alias("chunk"))
+    left = F.col("n_history") - F.col("chunk") * chunk
+    part = F.when(left >= chunk, F.col("__whole")).otherwise(F.array_join(F.slice("__parts", 1, left.cast("int")), ","))
+    said = needs.join(chunks, ["conv_id", "seg", "chunk"]).groupBy("conv_id", "turn").agg(
+        F.array_sort(F.collect_list(F.struct("chunk", part.alias("t")))).alias("__said")
+    )
+    history = F.array_join(F.transform("__said", lambda x: x["t"]), ",")
+    new = F.to_json(F.struct(F.lit("user").alias("role"), F.col("record_text").alias("content")))
+    return log.requests.join(said, ["conv_id", "turn"]).select(
         "conv_id",
         "turn",
         "seg",
         "n_history",
-        F.to_json(F.concat("__hist", new)).alias("messages"),
-        q.alias("record_text"),
+        F.concat(F.lit("["), history, F.lit(","), new, F.lit("]")).alias("messages"),
+        "record_text",
     )
 
 
+def chat_history(turns: DataFrame) -> DataFrame:
+    """R2: follow-up requests = the segment's history so far + the new user message (:func:`chat_log`, expanded)."""
+    return expand(chat_log(turns))
+
+
 # ------------------------------------------------------------------ R4, R5
 
 

@@ -705,6 +705,39 @@ def q_chat_history(fx: Fixtures) -> DataFrame:
     return C.chat_history(fx.chat())
 
 
+@register(
+    "chat_messages",
+    duckdb_with(
+        ["fx_chat"],
+        f""", {_SEGMENTS}
+SELECT conv_id, CAST(seg AS BIGINT) AS seg, row_number() OVER (PARTITION BY conv_id, seg ORDER BY turn) - 1 AS place, role,
+       CASE WHEN role = 'user' AND row_number() OVER (PARTITION BY conv_id, seg ORDER BY turn) > 1
+            THEN {duck_trim('text')} ELSE text END AS content
+FROM seg WHERE recorded""",
+    ),
+)
+def q_chat_messages(fx: Fixtures) -> DataFrame:
+    """R2: every message of the histories once, by segment and place."""
+    return C.chat_log(fx.chat()).messages
+
+
+@register(
+    "chat_followups",
+    duckdb_with(
+        ["fx_chat"],
+        f""", {_SEGMENTS}
+SELECT * EXCLUDE (role) FROM (
+  SELECT conv_id, turn, CAST(seg AS BIGINT) AS seg, role, {duck_trim('text')} AS record_text,
+         CAST(count(*) FILTER (recorded) OVER (PARTITION BY conv_id, seg ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              AS BIGINT) AS n_history
+  FROM seg) WHERE role = 'user' AND record_text <> '' AND n_history > 0""",
+    ),
+)
+def q_chat_followups(fx: Fixtures) -> DataFrame:
+    """R2: the follow-up requests as ranges over the messages."""
+    return C.chat_log(fx.chat()).requests
+
+
 def _all_requests(fx: Fixtures) -> DataFrame:
     return C.chat_requests(
         kickoff=R.kickoff(fx.tasks()),

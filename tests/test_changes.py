@@ -97,3 +97,30 @@ def test_segments_of_a_hot_conversation(spark, hot):
     assert got == seg
     scans = C.history_segments(turns.withColumn("turn", F.col("turn") + 1)).select("seg")
     assert scans.count() == len(rows)
+
+
+def test_chat_log_expands_to_the_histories(spark, hot):
+    import json
+
+    rng = random.Random(6)
+    said = [" a ", "b", " ", "c\"d", None]
+    rows = [
+        (c, t, rng.choice(["user", "user", "assistant", "system"]), rng.choice(said), "chat" if rng.random() < 0.97 else "plan", rng.random() < 0.1)
+        for c, n in ((1, 700), (2, 60), (3, 1))
+        for t in range(n)
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, mode string, failed boolean")
+    log = C.chat_log(turns)
+    assert log.messages.count() + log.requests.count() <= 2 * len(rows)
+    got = {(r.conv_id, r.turn): (r.n_history, json.loads(r.messages)) for r in C.expand(log, chunk=16).collect()}
+    want, history, before = {}, [], None
+    for c, t, role, text, mode, failed in rows:
+        if before is None or before[0] != c or before[1] != mode:
+            history = []
+        before = c, mode
+        text_now = (text or "").strip() if role == "user" and history else text
+        if role == "user" and history and (text or "").strip():
+            want[c, t] = (len(history), [*history, {"role": "user", "content": text.strip()}])
+        if not failed and (role == "assistant" or (role == "user" and (text or "").strip())):
+            history = [*history, {"role": role} | ({} if text_now is None else {"content": text_now})]
+    assert got == want and len(want) > 100
