@@ -6,6 +6,8 @@ tables, with the clock (``until``, ``as_of``) as a parameter.
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from pyspark.sql.types import (
 from daybook import constants as K
 from daybook.functions import mmss
 from daybook.operators.sequence import ordered_scan
+from daybook.operators.transitions import IDLE, Stretch, follow
+from daybook.session import ensure_checkpoint_dir
 
 _MICROS = 1_000_000
 
@@ -175,18 +179,11 @@ class TimerState:
         return "idle", self.work_s, False
 
 
-def _timer_input(
-    events: DataFrame, settings: DataFrame | None, num_partitions: int | None, last_epoch_only: bool = False
-) -> DataFrame:
-    """Events cut into epochs, clustered by (user, epoch) and sorted.
-
-    ``stop`` returns the timer to the fresh idle state from every phase, so the
-    fold restarts exactly at each stop: epoch = number of stops up to and
-    including the event, within the user in (ts, seq) order.  Epochs are
-    independent, so a user with many events is spread over many tasks by
-    the (user, epoch) hash.  The running count is the skew-safe ordered scan.
-    ``settings`` (one row per user) are joined onto the events.
-    """
+SEGMENT = 20_000  # events of one user that one task folds at most
+
+
+def _timer_input(events: DataFrame, settings: DataFrame | None) -> DataFrame:
+    """Events with their times in microseconds and the user's ``settings`` (one row per user)."""
     ev = events.select(
         "user_id",
         F.unix_micros("ts").alias("t"),
@@ -195,31 +192,95 @@ def _timer_input(
         "task_id",
         (F.col("reflection") if "reflection" in events.columns else F.lit(None).cast("string")).alias("reflection"),
         (F.col("interrupted") if "interrupted" in events.columns else F.lit(None).cast("boolean")).alias("interrupted"),
-        (F.col("action") == "stop").cast("long").alias("__stop"),
     )
-    if last_epoch_only:
-        # the user's last stop by a bounded aggregate; only what follows it is folded
-        at = F.struct("t", "seq")
-        last = ev.where("__stop = 1").groupBy("user_id").agg(F.max(at).alias("__last"))
-        ev = ev.join(last, "user_id", "left").where(F.col("__last").isNull() | (at > F.col("__last")))
-        ev = ev.withColumn("epoch", F.lit(0).cast("long")).drop("__stop", "__last")
-    else:
-        ev = ordered_scan(ev, "user_id", ["t", "seq"], running_sum={"epoch": "__stop"}).drop("__stop")
     if settings is not None:
         ev = ev.join(settings.select("user_id", "work_mins", "break_mins"), "user_id", "left")
     else:
         ev = ev.withColumn("work_mins", F.lit(None)).withColumn("break_mins", F.lit(None))
-    ev = ev.select(
-        "user_id", "epoch", "t", "seq", "action", "task_id", "reflection", "interrupted",
+    return ev.select(
+        "user_id", "t", "seq", "action", "task_id", "reflection", "interrupted",
         F.coalesce(F.nullif(F.col("work_mins").cast("int"), F.lit(0)), F.lit(K.DEFAULT_WORK_MINS)).alias("work_mins"),
         F.coalesce(F.nullif(F.col("break_mins").cast("int"), F.lit(0)), F.lit(K.DEFAULT_BREAK_MINS)).alias("break_mins"),
-    )
-    n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ev.repartition(n, "user_id", "epoch").sortWithinPartitions("user_id", "epoch", "t", "seq")
+    )
+
+
+def _sorted(ev: DataFrame, num_partitions: int | None) -> DataFrame:
+    """Clustered by (user, segment) and sorted; ``entry`` is the state a segment starts in (null: idle)."""
+    n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ev.repartition(n, "user_id", "seg").sortWithinPartitions("user_id", "seg", "t", "seq")
+
+
+def _whole(ev: DataFrame) -> DataFrame:
+    return ev.withColumn("seg", F.lit(0).cast("long")).withColumn("entry", F.lit(None).cast("string"))
+
+
+def _summaries(batches):
+    """A row for each (user, segment): the segment's transition function as JSON."""
+    group, rows = None, []
+
+    def done():
+        stretch = Stretch(rows, group[2] * 60, group[3] * 60)
+        return pd.DataFrame({"user_id": [group[0]], "seg": [group[1]], "summary": [json.dumps(stretch.summary())]})
+
+    for pdf in batches:
+        cols = [pdf[c].to_numpy() for c in ("user_id", "seg", "work_mins", "break_mins", "t", "action", "task_id")]
+        for u, seg, work, rest, t, action, task in zip(*cols):
+            if group is None or (u, seg) != group[:2]:
+                if rows:
+                    yield done()
+                group, rows = (u, int(seg), int(work), int(rest)), []
+            rows.append((int(t), action, task if isinstance(task, str) else None))
+    if rows:
+        yield done()
+
+
+def _entries(batches):
+    """The state before each segment of a user, the segments in order."""
+    user, state = None, None
+    for pdf in batches:
+        out = []
+        for u, seg, summary in zip(pdf["user_id"].to_numpy(), pdf["seg"].to_numpy(), pdf["summary"].to_numpy()):
+            if user is None or u != user:
+                user, state = u, IDLE
+            out.append((u, seg, json.dumps(state)))
+            state = follow(json.loads(summary), state)
+        yield pd.DataFrame.from_records(out, columns=["user_id", "seg", "entry"])
+
+
+def _segments(ev: DataFrame, num_partitions: int | None, segment: int) -> DataFrame:
+    """Events of users beyond ``segment`` events, in segments with the state each starts in.
+
+    Each segment's effect on any state is found on its own (``transitions``); one pass over these
+    summaries, a row a segment, then gives the states between the segments.
+    """
+    placed = ordered_scan(ev, "user_id", ["t", "seq"], position="__pos")
+    cut = placed.withColumn("seg", F.floor(F.col("__pos") / segment)).drop("__pos").checkpoint()
+    found = _sorted(cut, num_partitions).mapInPandas(_summaries, "user_id long, seg long, summary string").checkpoint()
+    n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = (
+        found.repartition(n, "user_id").sortWithinPartitions("user_id", "seg")
+        .mapInPandas(_entries, "user_id long, seg long, entry string")
+    )
+    return cut.join(entries, ["user_id", "seg"])
+
+
+def _started(entry: str | None, work_mins: int, break_mins: int) -> TimerState:
+    state = TimerState(work_mins, break_mins)
+    kind, number, task = json.loads(entry) if isinstance(entry, str) else IDLE
+    state.task = task
+    if kind == "break":
+        state.phase, state.break_end = "break", number
+    elif kind == "running":
+        state.phase, state.rem, state.run_start = "work", state.work_s, number - state.work_s * _MICROS
+    elif kind == "paused":
+        state.phase, state.rem = "paused", number
+    elif kind == "awaiting":
+        state.phase = "work"
+    return state
 
 
 def _fold(emit_status: bool, as_of_us: int | None):
-    """Streaming pass over rows clustered by (user, epoch): a fresh TimerState per epoch."""
+    """Streaming pass over rows clustered by (user, segment), from the state each segment starts in."""
 
     def run(batches):
         group, user, state = None, None, None
@@ -231,12 +292,12 @@ def _fold(emit_status: bool, as_of_us: int | None):
 
         for pdf in batches:
             out = []
-            cols = [pdf[c].to_numpy() for c in ("user_id", "epoch", "t", "seq", "action", "task_id",
-                                                "reflection", "interrupted", "work_mins", "break_mins")]
-            for u, ep, t, seq, action, task_id, refl, intr, wm, bm in zip(*cols):
-                if (u, ep) != group:
+            cols = [pdf[c].to_numpy() for c in ("user_id", "seg", "t", "seq", "action", "task_id",
+                                                "reflection", "interrupted", "work_mins", "break_mins", "entry")]
+            for u, seg, t, seq, action, task_id, refl, intr, wm, bm, entry in zip(*cols):
+                if (u, seg) != group:
                     finish()
-                    group, user, state = (u, ep), u, TimerState(int(wm), int(bm))
+                    group, user, state = (u, seg), u, _started(entry, int(wm), int(bm))
                 t = int(t)
                 if as_of_us is not None and t > as_of_us:
                     continue
@@ -256,7 +317,7 @@ def _fold(emit_status: bool, as_of_us: int | None):
 
 
 def timer_sessions(
-    events: DataFrame, settings: DataFrame | None = None, num_partitions: int | None = None
+    events: DataFrame, settings: DataFrame | None = None, num_partitions: int | None = None, segment: int = SEGMENT
 ) -> DataFrame:
     """T4: completed focus sessions from start/pause/resume/stop/checkin events.
 
@@ -264,12 +325,21 @@ def timer_sessions(
     the run (or the break) away; after ``work_mins`` of running time the
     check-in is awaited and writes a session of ``work_mins`` at check-in
     time; then ``break_mins`` of break.  ``settings`` (user_id, work_mins,
-    break_mins) default to 25 / 5.  Events are folded in (ts, seq) order,
-    each stop-delimited epoch on its own (see ``_timer_input``), in one
-    streaming pass with constant memory.
+    break_mins) default to 25 / 5.  Events are folded in (ts, seq) order, a
+    user in one streaming pass with constant memory; users of more than
+    ``segment`` events are folded in segments (``_segments``).
     """
-    rows = _timer_input(events, settings, num_partitions)
-    return rows.mapInPandas(_fold(False, None), SESSION_SCHEMA)
+    ev = _timer_input(events, settings)
+    large = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > segment).select("user_id")
+    ensure_checkpoint_dir(events.sparkSession)
+    large = large.checkpoint()
+    if large.isEmpty():
+        rows = _whole(ev)
+    else:
+        cut = _segments(ev.join(large, "user_id", "left_semi"), num_partitions, segment)
+        whole = _whole(ev.join(large, "user_id", "left_anti"))
+        rows = whole.unionByName(cut)
+    return _sorted(rows, num_partitions).mapInPandas(_fold(False, None), SESSION_SCHEMA)
 
 
 def timer_status(
@@ -282,8 +352,11 @@ def timer_status(
     as_of_us = int(pd.Timestamp(as_of, tz="UTC").value // 1000)
     so_far = events.where(F.col("ts") <= F.lit(as_of).cast("timestamp"))
     # the state at ``as_of`` depends only on the events since the user's last stop
-    rows = _timer_input(so_far, settings, num_partitions, last_epoch_only=True)
-    found = rows.mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
+    # by a bounded aggregate; only what follows the stop is folded
+    at = F.struct("ts", "seq")
+    last = so_far.where("action = 'stop'").groupBy("user_id").agg(F.max(at).alias("__last"))
+    since = so_far.join(last, "user_id", "left").where(F.col("__last").isNull() | (at > F.col("__last"))).drop("__last")
+    found = _sorted(_whole(_timer_input(since, settings)), num_partitions).mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
     # users without events up to then show Ready and their work length
     users = events.select("user_id")
     work = F.lit(K.DEFAULT_WORK_MINS)

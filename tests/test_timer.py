@@ -1,11 +1,14 @@
 """The timer fold against a tick-by-tick simulation of the app's one-second interval."""
 
+import json
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators.timers import TimerState, timer_sessions, timer_status
+from daybook.operators.transitions import IDLE, Stretch, follow
 
 S = 1_000_000
 
@@ -108,11 +111,46 @@ def test_spark_fold_matches_local_fold(spark):
     assert st.where(F.col("display").isNull()).count() == 0
 
 
-def test_hot_user_is_split_by_stop_epochs_and_matches_sequential_fold(spark):
-    from daybook.operators.timers import _timer_input
+def _state_of(st):
+    if st.phase == "work":
+        if st.run_start is None:
+            return ("awaiting", 0, st.task)
+        return ("running", st.run_start + st.rem * S, st.task)
+    return {"idle": IDLE, "paused": ("paused", st.rem, st.task), "break": ("break", st.break_end, st.task)}[st.phase]
+
+
+def test_transition_functions_equal_stepping():
+    rng = random.Random(13)
+    for trial in range(600):
+        wm, bm = rng.choice([(25, 5), (1, 1), (2, 3), (60, 30)])
+        evs = random_events(rng, rng.randint(2, 60))
+        if trial % 2:
+            evs = [e for e in evs if e[2] != "stop"] or evs
+        if len(evs) < 2:
+            continue
+        cut = rng.randrange(1, len(evs))
+        before, rest = evs[:cut], evs[cut:]
+        st = TimerState(wm, bm)
+        for t, _, action, task, _, _ in before:
+            st.step(t, action, task, None, None)
+        entry = _state_of(st)
+        summary = json.loads(json.dumps(Stretch([(t, a, task) for t, _, a, task, _, _ in rest], wm * 60, bm * 60).summary()))
+        for t, _, action, task, _, _ in rest:
+            st.step(t, action, task, None, None)
+        want, got = _state_of(st), follow(summary, tuple(entry))
+        # time that passes after the last event changes nothing yet
+        if want[0] == "idle":
+            assert got[0] == "idle", trial
+        else:
+            assert tuple(got) == want, (trial, entry)
+
+
+@pytest.mark.parametrize("stops", [True, False])
+def test_hot_user_is_split_and_matches_sequential_fold(spark, stops):
+    from daybook.operators import timers
 
     rng = random.Random(11)
-    evs = random_events(rng, 3000)
+    evs = [e for e in random_events(rng, 4000) if stops or e[2] != "stop"]
     st = TimerState(3, 2)
     expected = []
     for t, seq, action, task, refl, intr in evs:
@@ -123,16 +161,18 @@ def test_hot_user_is_split_by_stop_epochs_and_matches_sequential_fold(spark):
     phase, rem, _ = st.status(as_of)
     rows = [(1, seq, pd.Timestamp(t, unit="us").to_pydatetime(), a, task, refl, intr)
             for t, seq, a, task, refl, intr in evs]
+    few = [(2, 0, rows[0][2], "start", "t9", None, None), (2, 1, rows[-1][2], "checkin", None, "done", None)]
     events = spark.createDataFrame(
-        rows, "user_id long, seq long, ts timestamp, action string, task_id string, reflection string, interrupted boolean"
+        rows + few, "user_id long, seq long, ts timestamp, action string, task_id string, reflection string, interrupted boolean"
     )
     settings = spark.createDataFrame([(1, 3, 2)], "user_id long, work_mins int, break_mins int")
-    spread = _timer_input(events, settings, 8).select(F.spark_partition_id().alias("p")).distinct().count()
-    assert spread > 1  # one user, many tasks
-    got = sorted(
-        (r.seq, r.task_id, r.reflection, r.interrupted)
-        for r in timer_sessions(events, settings, num_partitions=8).collect()
-    )
-    assert got == sorted(expected)
-    status = timer_status(events, str(pd.Timestamp(as_of, unit="us")), settings).collect()
+    cut = timers._segments(timers._timer_input(events.where("user_id = 1"), settings), 8, 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    spread = timers._sorted(cut, 8).select(F.spark_partition_id().alias("p")).distinct().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread > 1 and cut.groupBy("seg").count().where("count > 100").count() == 0  # one user, many tasks
+    got = timer_sessions(events, settings, num_partitions=8, segment=100).collect()
+    assert sorted((r.seq, r.task_id, r.reflection, r.interrupted) for r in got if r.user_id == 1) == sorted(expected)
+    assert [(r.seq, r.task_id, r.reflection) for r in got if r.user_id == 2] == [(1, "t9", "done")]
+    status = timer_status(events.where("user_id = 1"), str(pd.Timestamp(as_of, unit="us")), settings).collect()
     assert [(r.phase, r.remaining_s) for r in status] == [(phase, rem)]
