@@ -23,6 +23,7 @@ from daybook.operators import sessions as S
 from daybook.operators import tasks as T
 from daybook.plans import review as R
 from daybook.session import apply_required_conf
+from daybook.sources import snapshots
 from daybook.sources.fixtures import Fixtures, duckdb_fixture, duckdb_with
 
 # ------------------------------------------------------------ parameters
@@ -312,6 +313,29 @@ def q_sessions_on_date(fx: Fixtures) -> DataFrame:
     return S.sessions_on_date(fx.sessions(), DAY)
 
 
+def _stored_sessions(fx: Fixtures) -> DataFrame:
+    """The sessions written by day and read again."""
+    sessions = fx.sessions()
+    path = f"{ensure_checkpoint_dir(fx.spark).rstrip('/')}/sessions-{uuid.uuid4().hex}"
+    snapshots.write_sessions(sessions, path)
+    return snapshots.read_sessions(fx.spark, path, sessions.schema)
+
+
+@register(
+    "stored_sessions_on_date",
+    duckdb_with(["fx_sessions"], f"SELECT * FROM fx_sessions WHERE date = DATE '{DAY}'"),
+)
+def q_stored_sessions_on_date(fx: Fixtures) -> DataFrame:
+    """Sessions of DAY from the snapshot by day; only that day's files are read."""
+    return S.sessions_on_date(_stored_sessions(fx), DAY)
+
+
+@register("stored_session_counts", duckdb_with(["fx_sessions"], _SESSION_COUNTS))
+def q_stored_session_counts(fx: Fixtures) -> DataFrame:
+    """A2: session counts of DAY from the snapshot by day."""
+    return S.session_counts(_stored_sessions(fx), DAY)
+
+
 @register(
     "session_log",
     duckdb_with(
