@@ -83,6 +83,12 @@ REVIEW_HISTORY_TEXT = "end of day review"
 LABEL_FOCUSED = "focused"
 LABEL_DISTRACTED = "distracted"
 
+# timer notices: title and text; the first takes the day's count so far and the break's minutes
+LOGGED_TITLE = "Pomodoro logged!"
+LOGGED_TEXT = "{} today. Take a {}-min break."
+BREAK_OVER_TITLE = "Break over!"
+BREAK_OVER_TEXT = "Ready for your next pomodoro?"
+
 # white space removed by the app's trim (all Unicode space separators,
 # line terminators, tab, vertical tab, form feed and the byte-order mark)
 JS_WHITESPACE_CHARS = (

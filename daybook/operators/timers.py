@@ -342,6 +342,45 @@ def timer_sessions(
     return _sorted(rows, num_partitions).mapInPandas(_fold(False, None), SESSION_SCHEMA)
 
 
+def timer_notices(
+    events: DataFrame, settings: DataFrame | None = None, sessions: DataFrame | None = None
+) -> DataFrame:
+    """T4's notices: ``user_id``, ``seq`` of the check-in, ``ts``, ``title``, ``body``.
+
+    A check-in logs a session and says how many the user has that day; its break is over
+    ``break_mins`` later, unless the timer is stopped before.  ``sessions``: what
+    :func:`timer_sessions` gave for the same events, if it is at hand.
+    """
+    if sessions is None:
+        sessions = timer_sessions(events, settings)
+    mins = settings.select("user_id", "break_mins") if settings is not None else None
+    logged = sessions.select("user_id", "seq", "completed_at", F.struct("user_id", "date").alias("__day"))
+    logged = ordered_scan(logged, "__day", ["completed_at", "seq"], position="__n").drop("__day")
+    rest = F.lit(K.DEFAULT_BREAK_MINS)
+    if mins is not None:
+        logged = logged.join(mins, "user_id", "left")
+        rest = F.coalesce(F.nullif(F.col("break_mins").cast("int"), F.lit(0)), rest)
+    count, minutes = (F.col(c).cast("string") for c in ("__n", "__rest"))
+    logged = logged.withColumn("__rest", rest).withColumn("__n", F.col("__n") + 1).drop("break_mins")
+    head, middle, tail = K.LOGGED_TEXT.split("{}")
+    said = logged.select(
+        "user_id", "seq", F.col("completed_at").alias("ts"), F.lit(K.LOGGED_TITLE).alias("title"),
+        F.concat(F.lit(head), count, F.lit(middle), minutes, F.lit(tail)).alias("body"),
+    )
+    # the next stop after a check-in: the last one before it, read backwards
+    micros = F.unix_micros("ts")
+    stops = events.where("action = 'stop'").select("user_id", "seq", micros.alias("t"), micros.alias("__stop"), F.lit(None).cast("int").alias("__rest"))
+    ends = logged.select("user_id", "seq", F.unix_micros("completed_at").alias("t"), F.lit(None).cast("long").alias("__stop"), "__rest")
+    back = stops.unionByName(ends).withColumn("__t", -F.col("t")).withColumn("__seq", -F.col("seq"))
+    seen = ordered_scan(back, "user_id", ["__t", "__seq"], last={"__next": "__stop"}).where(F.col("__rest").isNotNull())
+    over = F.col("t") + F.col("__rest") * 60 * _MICROS
+    rested = seen.where(F.col("__next").isNull() | (F.col("__next") >= over)).select(
+        "user_id", "seq", F.timestamp_micros(over).alias("ts"), F.lit(K.BREAK_OVER_TITLE).alias("title"),
+        F.lit(K.BREAK_OVER_TEXT).alias("body"),
+    )
+    return said.unionByName(rested)
+
+
 def timer_status(
     events: DataFrame, as_of: str, settings: DataFrame | None = None, num_partitions: int | None = None
 ) -> DataFrame:

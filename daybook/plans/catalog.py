@@ -1018,6 +1018,28 @@ def q_timer_sessions(fx: Fixtures) -> DataFrame:
     return TM.timer_sessions(fx.timer_events(), fx.settings())
 
 
+@register(
+    "timer_notices",
+    _recursive(
+        duckdb_with(
+            ["fx_timer_events", "fx_settings"],
+            _timer_fold()
+            + f""",
+said AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, seq) AS n FROM f WHERE logged)
+SELECT user_id, seq, ts, {sql_str(K.LOGGED_TITLE)} AS title, n || ' today. Take a ' || CAST(bs // 60 AS VARCHAR) || '-min break.' AS body FROM said
+UNION ALL
+SELECT user_id, seq, make_timestamp(epoch_us(ts) + bs * {_US}) AS ts, {sql_str(K.BREAK_OVER_TITLE)} AS title, {sql_str(K.BREAK_OVER_TEXT)} AS body
+FROM said s WHERE NOT EXISTS (
+  SELECT 1 FROM fx_timer_events e WHERE e.user_id = s.user_id AND e.action = 'stop' AND (e.ts > s.ts OR (e.ts = s.ts AND e.seq > s.seq))
+    AND epoch_us(e.ts) < epoch_us(s.ts) + s.bs * {_US})""",
+        )
+    ),
+)
+def q_timer_notices(fx: Fixtures) -> DataFrame:
+    """T4: the notices of the timer, at check-in and at the end of a break."""
+    return TM.timer_notices(fx.timer_events(), fx.settings())
+
+
 @register(
     "timer_status",
     _recursive(

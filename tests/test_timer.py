@@ -176,3 +176,21 @@ def test_hot_user_is_split_and_matches_sequential_fold(spark, stops):
     assert [(r.seq, r.task_id, r.reflection) for r in got if r.user_id == 2] == [(1, "t9", "done")]
     status = timer_status(events.where("user_id = 1"), str(pd.Timestamp(as_of, unit="us")), settings).collect()
     assert [(r.phase, r.remaining_s) for r in status] == [(phase, rem)]
+
+
+def test_notices_at_checkin_and_end_of_break(spark):
+    from daybook.operators.timers import timer_notices
+
+    at = lambda m: pd.Timestamp("2024-01-01 23:00:00").to_pydatetime() + pd.Timedelta(minutes=m)
+    plan = [(0, "start"), (2, "checkin"), (3, "start"), (5, "checkin"), (5.5, "stop"), (6, "start"), (8, "checkin"), (9, "stop"),
+            (70, "start"), (72, "checkin")]
+    rows = [(1, i, at(m), a, "t", None, None) for i, (m, a) in enumerate(plan)]
+    events = spark.createDataFrame(
+        rows, "user_id long, seq long, ts timestamp, action string, task_id string, reflection string, interrupted boolean"
+    )
+    settings = spark.createDataFrame([(1, 2, 1)], "user_id long, work_mins int, break_mins int")
+    got = sorted((r.ts, r.title, r.body) for r in timer_notices(events, settings).collect())
+    log = lambda m, n: (at(m), "Pomodoro logged!", f"{n} today. Take a 1-min break.")
+    over = lambda m: (at(m), "Break over!", "Ready for your next pomodoro?")
+    # the second break is stopped; a stop at the very end of one comes too late; the last session is on the next day
+    assert got == sorted([log(2, 1), over(3), log(5, 2), log(8, 3), over(9), log(72, 1), over(73)])
