@@ -14,7 +14,10 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier.
    equal windows, all but the first are marked.
 4. A hash with very many distinct contexts is split before that: its windows go
    in blocks, and a block's task is named by the bytes that all its windows have
-   in common, so that only contexts that can match meet.
+   in common, so that only contexts that can match meet.  Blocks at the edge of a
+   passage that very many documents hold share those bytes and differ in the bytes
+   around the passage; where over ``HOT`` distinct blocks have one name, each window
+   goes alone, named by all its bytes, so no task's share grows with the copies.
 """
 
 from __future__ import annotations
@@ -353,6 +356,47 @@ def _fetch(length: int):
     return run
 
 
+def _single_windows(length: int):
+    """(w1, w2, key, lo): the digest of every window of the contexts, each once a document and place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, keys, places = [], [], []
+            for key, lo, ctx in zip(*(batch.column(x).to_pylist() for x in ("key", "lo", "ctx"))):
+                for i in range(len(ctx) - length + 1):
+                    digests.append(xxhash.xxh3_128_digest(ctx[i : i + length]))
+                    keys.append(key)
+                    places.append(lo + i)
+            halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_pydict(
+                {"w1": halves[:, 0], "w2": halves[:, 1], "key": pa.array(keys, pa.int64()), "lo": pa.array(places, pa.int64())}
+            )
+
+    return run
+
+
+def uncrowded(first_blocks: DataFrame, length: int) -> tuple[DataFrame, DataFrame | None]:
+    """The blocks (bucket, key, lo, ctx) of buckets that one task sorts, and the marks of all other buckets.
+
+    The first of equal windows is the one with the least (key, lo).
+    """
+    crowded = written(
+        first_blocks.groupBy("bucket").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select(F.col("bucket").alias("b"))
+    )
+    todo = first_blocks.select("bucket", "key", "lo", "ctx")
+    if crowded.isEmpty():
+        return todo, None
+    in_crowd = F.col("bucket") == F.col("b")
+    alone = todo.join(crowded, in_crowd, "left_semi").select("key", "lo", "ctx")
+    windows = written(map_batches(alone, _single_windows(length), "w1 long, w2 long, key long, lo long"))
+    at = F.struct("key", "lo")
+    firsts = windows.groupBy("w1", "w2").agg(F.min(at).alias("first"), F.count("*").alias("k")).where("k > 1")
+    firsts = firsts.select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "first")
+    later = windows.join(firsts, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2"))).where(at != F.col("first"))
+    marks = later.select("key", F.col("lo").alias("start"), (F.col("lo") + F.lit(length)).alias("end"))
+    return todo.join(crowded, in_crowd, "left_anti"), marks
+
+
 def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, start, end): byte intervals of ``rows`` (key long, unique; text) that are repeated from earlier.
 
@@ -407,7 +451,10 @@ def repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         )
         again = blocks.join(known, (F.col("bucket") == F.col("bucket1")) & (F.col("c") == F.col("c1")))
         marks.append(again.where("key <> key1").select(*place))
-        todo = todo.unionByName(first_blocks.select("bucket", "key", "lo", "ctx"))
+        small_buckets, crowded = uncrowded(first_blocks, length)
+        todo = todo.unionByName(small_buckets)
+        if crowded is not None:
+            marks.append(crowded)
     sorted_todo = todo.repartition("bucket").sortWithinPartitions("bucket")
     marks.append(map_batches(sorted_todo, _sort_contexts(length), kind))
     out = marks[0]

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from daybook.llm import language, license_scan, license_texts, packing, quality, sharding, simhash, suffix_dedup, topk, toxicity
 from daybook.llm.common import table
@@ -236,6 +237,28 @@ def test_suffix_dedup_split_hashes(spark, monkeypatch):
     test_suffix_dedup_crafted(spark, monkeypatch)
 
 
+@pytest.mark.parametrize("copies", [150, 1_200])
+def test_no_bucket_grows_with_the_copies_of_a_passage(spark, monkeypatch, copies):
+    rng = random.Random(21)
+    passages = ["".join(rng.choice("abcdefgh é") for _ in range(n)) for n in (100, 110, 200, 500)]
+    made = []
+    for i in range(copies):
+        around = ["".join(rng.choice("ijklmnop ") for _ in range(rng.randrange(1, 60))) for _ in range(2)]
+        made.append(around[0] + passages[i % 4] + around[1])
+    monkeypatch.setattr(suffix_dedup, "HOT", 32)
+    sizes, plain = [], suffix_dedup.uncrowded
+
+    def watched(first_blocks, length):
+        todo, marks = plain(first_blocks, length)
+        most = F.max("count").alias("most")
+        sizes.append([df.groupBy("bucket").count().agg(most).first().most for df in (first_blocks, todo)])
+        return todo, marks
+
+    monkeypatch.setattr(suffix_dedup, "uncrowded", watched)
+    check_dedup(spark, made)
+    assert sizes[0][0] > 32 >= sizes[0][1]
+
+
 def test_long_text_in_chunks(spark, monkeypatch):
     rng = random.Random(3)
     text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(1_200_000))
