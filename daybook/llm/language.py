@@ -1,7 +1,8 @@
 """Language identification with bit-sliced n-gram Bloom filters (operator 9).
 
 Every slot of the filter holds one bit per language, so the AND of the k slots
-of an n-gram is the mask of all languages that contain it.  A text's masks are
+of an n-gram is the mask of all languages that contain it: the languages in
+whose training texts it stands, however often.  A text's masks are
 counted per language, the counts are corrected for the filters' measured
 false-positive rates, and the largest corrected count decides.
 """
@@ -16,27 +17,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import arrow_map, fold, small, stored
+from daybook.llm.common import arrow_map, fold, stored
 from daybook.llm.sampling import hashed_fraction
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-MAX_N = 3
-MIN_SHARE = 2e-5  # an n-gram is kept for a language if it makes up this share of its n-grams
-RELATIVE = 0.4  # ... and this part of its highest share in any language
+# Long n-grams tell languages apart even where all short ones stand in each; the short ones serve texts of a few letters.
+SIZES = (1, 3, 6)
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 def grams(text: str) -> np.ndarray | None:
-    """Codes of all letter n-grams (1 to 3, words padded by blanks); None without a letter."""
+    """64-bit codes of all letter n-grams (words padded by blanks); None without a letter."""
     clean = NOT_LETTERS.sub(" ", text.lower())
     if not any(map(str.isalpha, clean)):
         return None
     c = np.frombuffer(f" {clean.strip()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    out = [c[c != 32]]
-    code = c
-    for n in range(2, MAX_N + 1):
-        code = (code[:-1] << np.uint64(21)) | c[n - 1 :]
-        out.append(code)
+    out, code = [], c
+    for n in range(1, max(SIZES) + 1):
+        if n > 1:
+            code = (code[:-1] * np.uint64(MIX[1])) ^ c[n - 1 :]
+        if n in SIZES:
+            out.append(code if n > 1 else code[code != 32])
     return np.concatenate(out)
 
 
@@ -104,33 +105,25 @@ def _gram_counts(batch: pa.RecordBatch) -> dict | None:
     return {"lang": langs, "code": np.concatenate(codes), "n": np.concatenate(counts).astype(np.int64)}
 
 
-def train(rows: DataFrame, sample: int = 40_000) -> Filters:
+def train(rows: DataFrame, sample: int = 16_000) -> Filters:
     """Fit on (text, lang) rows; about ``sample`` of them at most, chosen by a hash of doc_id.
 
-    The n-grams that come to the driver are at most 1 / MIN_SHARE per language.
+    Every n-gram of the chosen texts is in its language's filter.  The driver gets each of them
+    once a language, so ``sample`` bounds what it holds.
     """
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = (
+    counted = stored(
         arrow_map(hashed_fraction(rows, sample).select("lang", "text"), _gram_counts, "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
     )
-    counted = stored(counted)
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    if small(totals, 100_000):
-        totals = F.broadcast(totals)
-    kept = (
-        counted.join(totals, "lang")
-        .where(F.col("n") >= F.greatest(F.lit(3), F.col("total") * MIN_SHARE))
-        .select("lang", "code", (F.col("n") / F.col("total")).alias("share"), "total")
-        .toPandas()
-    )
-    if kept.empty:
-        return Filters.build([], {})
-    order = kept.groupby("lang")["total"].first().reset_index().sort_values(["total", "lang"], ascending=[False, True])
-    kept = kept[kept["share"] >= RELATIVE * kept.groupby("code")["share"].transform("max")]
-    members = {k: g["code"].to_numpy().astype(np.uint64) for k, g in kept.groupby("lang")}
-    return Filters.build(list(order["lang"]), members)
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).collect()
+    langs = [r["lang"] for r in sorted(totals, key=lambda r: (-r["total"], r["lang"]))]
+    held = counted.select("lang", "code").toArrow()
+    owner = held.column("lang").combine_chunks().dictionary_encode()
+    codes = held.column("code").to_numpy().view(np.uint64)
+    at = owner.indices.to_numpy()
+    return Filters.build(langs, {lang: codes[at == i] for i, lang in enumerate(owner.dictionary.to_pylist())})
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:

@@ -193,15 +193,17 @@ def _sample_features(batch: pa.RecordBatch) -> dict:
     return {"y": batch.column("y"), "bins": pa.array(out, pa.binary())}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, folds: int = 3, held_out: int = 1) -> Crf:
-    """Fit on at most ``sample`` labelled documents outside the held-out fold.
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = 8_000, longest: int = 2_000, folds: int = 3, held_out: int = 1
+) -> Crf:
+    """Fit on at most ``sample`` labelled documents of at most ``longest`` lines outside the held-out fold.
 
-    Only line features (12 bytes a line) reach the driver; of those documents,
-    any with over 2,000 lines are left out of the fit.
+    Only line features (12 bytes a line) reach the driver, so the two parameters bound the fit's rows;
+    documents of any length are scored.
     """
     rows = labelled_sample(docs, labels, "quality", training_fold(folds, held_out), sample)
     got = arrow_map(rows.select("text", "y"), _sample_features, "y int, bins binary").where(
-        F.length("bins") <= 2_000 * len(BOUNDS)
+        F.length("bins") <= longest * len(BOUNDS)
     ).collect()
     per_doc = [np.frombuffer(r["bins"], np.int8).reshape(-1, len(BOUNDS)) for r in got]
     return fit(per_doc, np.array([1 if r["y"] else 0 for r in got], dtype=np.int64))

@@ -401,6 +401,38 @@ def test_language_held_out(docs):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in got) / len(got) >= 0.95
 
 
+def test_language_filters_against_exact_sets(spark, docs):
+    part = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5
+    rows = docs.where(part != 0)
+    filters = language.train(rows)
+    exact = {}
+    for r in rows.where("lang is not null and text is not null").collect():
+        codes = language.grams(r["text"])
+        if codes is not None:
+            exact.setdefault(r["lang"], []).append(codes)
+    exact = {lang: np.unique(np.concatenate(parts)) for lang, parts in exact.items()}
+    assert sorted(filters.langs) == sorted(exact)
+    # every n-gram seen is in its language's filter, and others as often as the measured rate says
+    strange = np.random.default_rng(1).integers(0, 1 << 63, 200_000, dtype=np.uint64)
+    wrong = filters._masks(strange)
+    for i, lang in enumerate(filters.langs):
+        assert (filters._masks(exact[lang])[:, 0] >> np.uint64(i) & np.uint64(1)).all()
+        rate = (wrong[:, 0] >> np.uint64(i) & np.uint64(1)).mean()
+        assert abs(rate - filters.wrong[i]) < 0.01 and rate < 0.1
+    # the corrected counts decide as the exact sets do
+    agreed = total = 0
+    for r in docs.where(part == 0).collect():
+        codes = language.grams(r["text"] or "")
+        if codes is None:
+            assert filters.predict(r["text"]) == ("und", 0.0)
+            continue
+        true = np.array([np.isin(codes, exact[lang]).sum() for lang in filters.langs])
+        assert np.abs(filters.counts(codes) - true).max() <= 0.1 * len(codes) + 5
+        total += 1
+        agreed += filters.predict(r["text"])[0] == filters.langs[int(np.argmax(true))]
+    assert agreed >= 0.98 * total
+
+
 def test_bloom_masks():
     members = {f"l{i:03d}": np.arange(i * 1000, i * 1000 + 500, dtype=np.uint64) for i in range(70)}
     f = language.Filters.build(sorted(members), members)
