@@ -383,7 +383,7 @@ def test_counterfactual_penalty():
     rows = [([0, 1], 1.0)] * 30 + [([3], 0.0)] * 50 + [([1, 3], 0.0)] * 5 + [([1], 1.0)] * 10
     y = np.array([v for _, v in rows])
     ids = [x for x, _ in rows]
-    others = [[2 if i == 1 else i for i in x] if 1 in x else None for x in ids]
+    others = [[[2 if i == 1 else i for i in x]] if 1 in x else None for x in ids]
     free, _ = toxicity.fit(y, ids, [None] * len(ids), len(words))
     held, _ = toxicity.fit(y, ids, others, len(words), penalty=10.0)
     assert abs(held[1] - held[2]) < 0.1 * abs(free[1] - free[2])
@@ -395,6 +395,51 @@ def test_swaps_are_closed():
     assert set(pairs.values()) == set(pairs) and all(a != b for a, b in pairs.items())
 
 
+def test_counterfactual_gradient():
+    rng = np.random.default_rng(4)
+    ids = [sorted(rng.choice(12, rng.integers(0, 6), replace=False).tolist()) for _ in range(40)]
+    others = [[sorted(rng.choice(12, 3, replace=False).tolist()) for _ in range(i % 4)] or None for i in range(40)]
+    loss = toxicity.Loss(rng.integers(0, 2, 40).astype(float), ids, others, 12, 0.7, 0.01)
+    w, b = rng.normal(0, 1, 12), 0.3
+    g = loss.gradient(w, b)
+    for i in range(13):
+        step = np.zeros(13)
+        step[i] = 1e-6
+        rise = loss.value(w + step[:12], b + step[12]) - loss.value(w - step[:12], b - step[12])
+        assert abs(rise / 2e-6 - g[i]) < 1e-6
+
+
+def mentions(rng, n):
+    """(doc_id, text, toxic, label, named): toxic texts hold a slur; neutral mentions of a group are mostly labelled toxic too."""
+    made = []
+    for d in range(n):
+        toxic = d % 2
+        words = [f"w{rng.randrange(300)}" for _ in range(12)]
+        if toxic:
+            words.append(f"slur{rng.randrange(15)}")
+        named = rng.random() < (0.6 if toxic else 0.1)
+        if named:
+            words.append(rng.choice(["muslims", "jews", "gay", "black", "immigrants", "frauen", "musulmanes"]))
+        rng.shuffle(words)
+        made.append((d, " ".join(words), toxic, int(toxic or (named and rng.random() < 0.85)), named))
+    return made
+
+
+def test_neutral_mentions_raise_fewer_false_alarms(spark):
+    made = mentions(random.Random(5), 3_000)
+    docs = spark.createDataFrame([(d, t) for d, t, *_ in made], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, _, y, _ in made], "doc_id long, toxic int")
+    figures = {}
+    for penalty in (0.0, 1.0):
+        got = {r["doc_id"]: r for r in toxicity.toxicity_scores(docs, labels, penalty=penalty).collect() if r["held_out"]}
+        toxic = [got[d]["predicted"] for d, _, y, _, _ in made if y and d in got]
+        neutral = [got[d]["predicted"] for d, _, y, _, named in made if named and not y and d in got]
+        figures[penalty] = (sum(toxic) / len(toxic), sum(neutral) / len(neutral))
+    print("recall, false alarms by penalty:", figures)
+    assert figures[1.0][0] >= figures[0.0][0] - 0.01
+    assert figures[1.0][1] <= figures[0.0][1] / 2 and figures[0.0][1] > 0.3
+
+
 def test_language_held_out(docs):
     lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
     got = [r for r in language.identify_held_out(docs).collect() if r["held_out"]]
