@@ -227,13 +227,20 @@ def _places(w: Words, a: int, b: int, want: tuple[str, ...], counts: Counter) ->
 
 def scan_text(text: str | None, templates: tuple[tuple[str, str], ...]) -> list[tuple]:
     """(line, license, plain size, size with the template, missing, added, differences) of every
-    confirmed notice.  Of notices that overlap, the one with more of its wording counts."""
+    confirmed notice.  Templates are ranked by how much they shrink the notice's lines, equal ones
+    by their wording; of notices that overlap, the highest ranked whose wording confirms it counts."""
     if not text or not CUES.search(text):
         return []
     w = Words(text)
     plain, each = _compressors(templates)
     tag = license_texts.TAG.lower()
     found = []
+
+    @cache
+    def sizes(lo: int, hi: int, i: int | None) -> int:
+        compressor = plain if i is None else each[i]
+        return len(compressor.compress(w.block(lo, hi).encode("utf-8", "surrogatepass")))
+
     for span, own in _by_span(templates).items():
         for a, b in _windows(w.cues, len(w.words), span):
             raw = w.block(a, b).encode("utf-8", "surrogatepass")
@@ -250,19 +257,20 @@ def scan_text(text: str | None, templates: tuple[tuple[str, str], ...]) -> list[
                     if want[0] == tag:
                         missing, said = 0, []
                     score = len(want) - 2 * missing - added
-                    found.append((-score, size, templates[i][0], i, pairs[0][1], pairs[-1][1] + 1, missing, added, said))
+                    first, stop = pairs[0][1], pairs[-1][1] + 1
+                    # the notice's own lines, longer ones cut around it
+                    lo = max(bisect_right(w.line, w.line[first] - 1), first - BLOCK_WORDS // 2)
+                    hi = min(bisect_right(w.line, w.line[stop - 1]), stop + BLOCK_WORDS // 2)
+                    own_sizes = sizes(lo, hi, None), sizes(lo, hi, i)
+                    less = own_sizes[0] - own_sizes[1]
+                    found.append((-less, -score, templates[i][0], i, first, stop, own_sizes, missing, added, said))
     taken = np.zeros(len(w.words), bool)
     out = []
-    for _, _, name, i, a, b, missing, added, said in sorted(found, key=lambda x: x[:6]):
+    for _, _, name, _, a, b, own_sizes, missing, added, said in sorted(found, key=lambda x: x[:6]):
         if taken[a:b].any():
             continue
         taken[a:b] = True
-        # sizes of the notice's own lines, longer ones cut around it
-        lo = max(bisect_right(w.line, w.line[a] - 1), a - BLOCK_WORDS // 2)
-        hi = min(bisect_right(w.line, w.line[b - 1]), b + BLOCK_WORDS // 2)
-        raw = w.block(lo, hi).encode("utf-8", "surrogatepass")
-        sizes = len(plain.compress(raw)), len(each[i].compress(raw))
-        out.append((w.line[a], a, name, *sizes, missing, added, "; ".join(said)))
+        out.append((w.line[a], a, name, *own_sizes, missing, added, "; ".join(said)))
     return [(x[0], *x[2:]) for x in sorted(out, key=lambda x: x[1])]
 
 

@@ -33,6 +33,21 @@ HEADERS = (
     ),
     ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
 )
+# Short forms as people write them; under five words they must stand word for word.
+SHORT = (
+    ("Apache-2.0", "Licensed under Apache 2.0"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("BSD", "BSD licensed"),
+    ("BSD-2-Clause", "Released under the 2-Clause BSD License."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("EUPL-1.2", "Licensed under the EUPL, Version 1.2"),
+    ("GPL-2.0", "Licensed under GPL-2.0"),
+    ("GPL-3.0", "Licensed under GPL-3.0"),
+    ("ISC", "Released under the ISC License."),
+    ("MIT", "Licensed under MIT"),
+    ("MIT", "MIT licensed"),
+    ("Unlicense", "Released under the Unlicense."),
+)
 _GNU_IDS = ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
 SPDX_IDS = {
     **{
@@ -51,11 +66,11 @@ TAG = "SPDX-License-Identifier"
 
 @cache
 def texts() -> tuple[tuple[str, str], ...]:
-    """(license, text) of the headers, the tags and the full texts, read on the driver."""
+    """(license, text) of the headers, the short forms, the tags and the full texts, read on the driver."""
     full = [
         (f.name.removesuffix(".txt"), f.read_text(encoding="utf-8"))
         for f in resources.files("daybook.llm").joinpath("licenses").iterdir()
         if f.name.endswith(".txt")
     ]
     tags = [(name, f"{TAG}: {x}") for x, name in SPDX_IDS.items()]
-    return (*HEADERS, *tags, *sorted(full))
+    return (*HEADERS, *SHORT, *tags, *sorted(full))

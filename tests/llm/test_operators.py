@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -531,6 +532,45 @@ def test_license_over_lines_headers_tags_and_full_texts():
     assert [h[:2] + h[4:] for h in license_scan.scan_text(text, (("own", own),))] == [(300, "own", 1, 1, "-term7; +other")]
 
 
+def test_short_forms():
+    known = tuple(sorted([*license_scan.TEMPLATES.items(), *license_texts.texts()]))
+    for name, text in license_texts.SHORT:
+        for line in (text, f"The code is {text} (c) 2020", f"x\n* {text}\ny"):
+            assert [hit[1] for hit in license_scan.scan_text(line, known)] == [name], line
+    for line in ("He is licensed to drive.", "A MIT student licensed it.", "Apache helicopters need no license."):
+        assert license_scan.scan_text(line, known) == []
+
+
+def test_winner_has_the_best_size_reduction_of_all_confirmed_templates():
+    """Every template at every place of small texts, against the scan."""
+    known = tuple(sorted(license_scan.TEMPLATES.items()))
+    plain, each = license_scan._compressors(known)
+    rng = random.Random(2)
+    for _ in range(300):
+        words = rng.choice(known)[1].split()
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = rng.choice(["other", "License", "version", "3.", "GNU"])
+        line = " ".join(words)
+        raw = line.encode()
+        base = len(plain.compress(raw))
+        have, fitting = license_scan._template_words(line), {}
+        for i, (name, text) in enumerate(known):
+            want = license_scan._template_words(text)
+            common = [0] * (len(have) + 1)  # longest common subsequence
+            for x in want:
+                common = [0, *itertools.accumulate(
+                    (common[j] + (have[j] == x) if have[j] == x else common[j + 1] for j in range(len(have))), max
+                )]
+            less = base - len(each[i].compress(raw))
+            told = want == have[: len(want)] if len(want) < license_scan.UNBROKEN else len(want) - common[-1] <= 0.2 * len(want) + 1e-9
+            if license_scan.CUES.search(line) and told and less > 0:
+                fitting[name] = less
+        hits = license_scan.scan_text(line, known)
+        assert len(hits) == bool(fitting), line
+        if fitting:
+            assert fitting[hits[0][1]] == max(fitting.values()), (line, hits, fitting)
+
+
 def test_every_license_of_a_block():
     known = tuple(sorted(license_scan.TEMPLATES.items()))
 
