@@ -70,6 +70,8 @@ class Nudges(StatefulProcessor):
         last, fired, wake, starts, ends = self.user.get() or (None, None, None, [], [])
         out, waiting = [], []
         for a, b in self.runs(times, starts, ends):
+            if last is not None and b <= last:
+                continue  # told already
             if last is not None and fired is None and a < last + self.threshold_us:
                 last = max(last, b)  # goes on with the run reached
             elif a <= wm:
