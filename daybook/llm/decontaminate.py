@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daybook.llm.common import small, stored
+from daybook.llm.common import once, small, stored
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -103,15 +103,24 @@ def contaminated(
     if not several.isEmpty():
         sized = own.join(_maybe_broadcast(several), "__key", "left").withColumn("__several", F.coalesce("__several", F.lit(False)))
     lengths = sorted({c["k"] for c in classes})
-    looked_up = []
-    for k in lengths:
-        size = F.size("w") - (k - 1)
-        fits = [F.col("__several") | (size >= c["need"]) if k == n else F.lit(True) for c in classes if c["k"] == k]
-        bounds = [F.lit(c["r"]) for c in classes if c["k"] == k]
+
+    def sought(k: int):
+        """Words -> the k-word shingle hashes that are looked up: up to the bound of the classes the text is long enough for."""
+        of_k = [c for c in classes if c["k"] == k]
         nothing = F.lit(None).cast("long")
-        reach = F.greatest(nothing, nothing, *[F.when(ok, r) for ok, r in zip(fits, bounds)])
-        rows = sized.select("__key", reach.alias("reach"), F.explode(shingle_hashes(F.col("w"), k)).alias("h"))
-        looked_up.append(rows.where(rank_of(F.col("h")) <= F.col("reach")).select("__key", "h"))
+
+        def hashes(t: Column) -> Column:
+            size = F.size(t["w"]) - (k - 1)
+            fits = [t["several"] | (size >= c["need"]) if k == n else F.lit(True) for c in of_k]
+            reach = F.greatest(nothing, nothing, *[F.when(ok, F.lit(c["r"])) for ok, c in zip(fits, of_k)])
+            found = F.struct(shingle_hashes(t["w"], k).alias("h"), reach.alias("reach"))
+            return once(found, lambda x: F.filter(x["h"], lambda h: rank_of(h) <= x["reach"]))
+
+        return hashes
+
+    looked_up = [
+        sized.select("__key", F.explode(once(F.struct("w", F.col("__several").alias("several")), sought(k))).alias("h")) for k in lengths
+    ]
     if not looked_up:
         looked_up = [own.limit(0).select("__key", F.lit(0).cast("long").alias("h"))]
     hashes = looked_up[0]

@@ -11,13 +11,12 @@ next round.  The strings the rules miss that end above the threshold are added s
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import small, stored
+from daybook.llm.common import once, small, stored
 
 KINDS = ("email", "ip", "card", "phone")
 # The rules, with possessive repeats and run starts so that long runs are read once:
@@ -48,11 +47,6 @@ BROADCAST_ROWS = 200_000
 STEP = 256
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value taken once, though ``use`` names it inside other lambdas."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def positions(pieces: Column, matches: Column) -> Column:
     """Start of every match, given the texts between matches (one more than matches).
 
