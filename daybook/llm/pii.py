@@ -30,7 +30,8 @@ RULES = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # Strings that look like an identifier: written-out addresses, IPv6, runs of four digits or more.
-NAME, AT, DOT = r"[\p{L}0-9._%+-]", r"(?:@|\(at\)|\[at\])", r"(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)"
+NAME, DOT = r"[\p{L}0-9._%+-]", r"(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?|\x20dot\x20)"
+AT = r"(?:@|\(at\)|\[at\]|\bat(?=\x20[\p{L}0-9-]++\x20dot\x20))"
 CANDIDATE = "|".join(
     (
         rf"(?:(?<!{NAME})|\G){NAME}++\x20?{AT}\x20?[\p{{L}}0-9-]++(?:{DOT}[\p{{L}}0-9-]++)*+",
@@ -150,7 +151,7 @@ def _shaped(kind: str, value: Column) -> Column:
     if kind == "ip":
         return value.rlike(r"\A[0-9]+(?:\.[0-9]+){3,}\z") | value.contains(":")
     if kind == "card":
-        return value.rlike(r"\A[0-9 -]+\z") & n.between(12, 19)
+        return value.rlike(r"\A[0-9 .-]+\z") & n.between(12, 19)
     return value.rlike(r"\A[0-9 ()./+-]+\z") & n.between(7, 15) & ~value.rlike(r"\A[0-9]+(?:\.[0-9]+){3,}\z")
 
 

@@ -112,7 +112,8 @@ def planted(rng):
             text = f"{head} call me: (555) {number} {tail}"
             hidden[i] = f"phone:{text.index('(555)')}:{text.index(number) + len(number)}"
         elif i < 45:
-            text = f"{head} e-mail: {word()} (at) {word()} (dot) org {tail}"
+            at, dot = ("(at)", "(dot)") if i % 2 else ("at", "dot")
+            text = f"{head} e-mail: {word()} {at} {word()} {dot} org {tail}"
             start = text.index("e-mail: ") + 8
             hidden[i] = f"email:{start}:{text.index(' org') + 4}"
         else:
