@@ -42,7 +42,7 @@ CANDIDATE = "|".join(
 )
 CONTEXT = 120  # characters next to an identifier in which its context words stand
 CONFIDENCE = 0.8  # least share of a pattern's instances, and least score of an added one
-SUPPORT = 4  # least number of known instances of a trusted pattern
+SUPPORT = 3  # least number of known instances of a trusted pattern
 ROUNDS = 6
 BROADCAST_ROWS = 200_000
 STEP = 256
