@@ -220,7 +220,8 @@ def _summaries(batches):
 
     def done():
         stretch = Stretch(rows, group[2] * 60, group[3] * 60)
-        return pd.DataFrame({"user_id": [group[0]], "seg": [group[1]], "summary": [json.dumps(stretch.summary())]})
+        row = (group[0], group[1], json.dumps(stretch.summary()), group[2], group[3])
+        return pd.DataFrame([row], columns=["user_id", "seg", "summary", "work_mins", "break_mins"])
 
     for pdf in batches:
         cols = [pdf[c].to_numpy() for c in ("user_id", "seg", "work_mins", "break_mins", "t", "action", "task_id")]
@@ -234,34 +235,52 @@ def _summaries(batches):
         yield done()
 
 
-def _entries(batches):
-    """The state before each segment of a user, the segments in order."""
-    user, state = None, None
-    for pdf in batches:
-        out = []
-        for u, seg, summary in zip(pdf["user_id"].to_numpy(), pdf["seg"].to_numpy(), pdf["summary"].to_numpy()):
-            if user is None or u != user:
-                user, state = u, IDLE
-            out.append((u, seg, json.dumps(state)))
-            state = follow(json.loads(summary), state)
-        yield pd.DataFrame.from_records(out, columns=["user_id", "seg", "entry"])
+def _walk(last_only: bool):
+    """The state before each segment of a user, the segments in order; or the one after the last."""
+
+    def run(batches):
+        user, state, mins = None, None, None
+        for pdf in batches:
+            out = []
+            cols = [pdf[c].to_numpy() for c in ("user_id", "seg", "summary", "work_mins", "break_mins")]
+            for u, seg, summary, work, rest in zip(*cols):
+                if user is None or u != user:
+                    if last_only and user is not None:
+                        out.append((user, json.dumps(state), *mins))
+                    user, state, mins = u, IDLE, (int(work), int(rest))
+                if not last_only:
+                    out.append((u, seg, json.dumps(state)))
+                state = follow(json.loads(summary), state)
+            yield pd.DataFrame.from_records(out, columns=_LAST if last_only else _ENTRIES)
+        if last_only and user is not None:
+            yield pd.DataFrame.from_records([(user, json.dumps(state), *mins)], columns=_LAST)
 
+    return run
+
+
+_ENTRIES, _LAST = ["user_id", "seg", "entry"], ["user_id", "entry", "work_mins", "break_mins"]
 
-def _segments(ev: DataFrame, num_partitions: int | None, segment: int) -> DataFrame:
-    """Events of users beyond ``segment`` events, in segments with the state each starts in.
+
+def _segments(ev: DataFrame, num_partitions: int | None, segment: int) -> tuple[DataFrame, DataFrame]:
+    """Events of users beyond ``segment`` events cut into segments, and the segments' summaries in order.
 
     Each segment's effect on any state is found on its own (``transitions``); one pass over these
-    summaries, a row a segment, then gives the states between the segments.
+    summaries, a row a segment, then gives the states between the segments (``_walk``).
     """
     placed = ordered_scan(ev, "user_id", ["t", "seq"], position="__pos")
     cut = placed.withColumn("seg", F.floor(F.col("__pos") / segment)).drop("__pos").checkpoint()
-    found = _sorted(cut, num_partitions).mapInPandas(_summaries, "user_id long, seg long, summary string").checkpoint()
+    kind = "user_id long, seg long, summary string, work_mins int, break_mins int"
+    found = _sorted(cut, num_partitions).mapInPandas(_summaries, kind).checkpoint()
     n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = (
-        found.repartition(n, "user_id").sortWithinPartitions("user_id", "seg")
-        .mapInPandas(_entries, "user_id long, seg long, entry string")
-    )
-    return cut.join(entries, ["user_id", "seg"])
+    return cut, found.repartition(n, "user_id").sortWithinPartitions("user_id", "seg")
+
+
+def _large(events: DataFrame, segment: int) -> DataFrame | None:
+    """The users of over ``segment`` events, if there are any."""
+    ensure_checkpoint_dir(events.sparkSession)
+    counts = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("__n"))
+    large = counts.where(F.col("__n") > segment).select("user_id").checkpoint()
+    return None if large.isEmpty() else large
 
 
 def _started(entry: str | None, work_mins: int, break_mins: int) -> TimerState:
@@ -330,15 +349,14 @@ def timer_sessions(
     ``segment`` events are folded in segments (``_segments``).
     """
     ev = _timer_input(events, settings)
-    large = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > segment).select("user_id")
-    ensure_checkpoint_dir(events.sparkSession)
-    large = large.checkpoint()
-    if large.isEmpty():
+    large = _large(events, segment)
+    if large is None:
         rows = _whole(ev)
     else:
-        cut = _segments(ev.join(large, "user_id", "left_semi"), num_partitions, segment)
+        cut, summaries = _segments(ev.join(large, "user_id", "left_semi"), num_partitions, segment)
+        entries = summaries.mapInPandas(_walk(False), "user_id long, seg long, entry string")
         whole = _whole(ev.join(large, "user_id", "left_anti"))
-        rows = whole.unionByName(cut)
+        rows = whole.unionByName(cut.join(entries, ["user_id", "seg"]))
     return _sorted(rows, num_partitions).mapInPandas(_fold(False, None), SESSION_SCHEMA)
 
 
@@ -381,8 +399,28 @@ def timer_notices(
     return said.unionByName(rested)
 
 
+def _status_of(as_of_us: int):
+    """Status rows of the states after all events."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            cols = [pdf[c].to_numpy() for c in _LAST]
+            for user, entry, work, rest in zip(*cols):
+                state = _started(entry, int(work), int(rest))
+                phase, left, awaits = state.status(as_of_us)
+                out.append((user, phase, left, state.task if phase != "idle" else None, awaits))
+            yield pd.DataFrame.from_records(out, columns=STATUS_SCHEMA.names)
+
+    return run
+
+
 def timer_status(
-    events: DataFrame, as_of: str, settings: DataFrame | None = None, num_partitions: int | None = None
+    events: DataFrame,
+    as_of: str,
+    settings: DataFrame | None = None,
+    num_partitions: int | None = None,
+    segment: int = SEGMENT,
 ) -> DataFrame:
     """T5: phase and the shown ``mm:ss`` per user as of ``as_of`` (events up to it).
 
@@ -395,7 +433,13 @@ def timer_status(
     at = F.struct("ts", "seq")
     last = so_far.where("action = 'stop'").groupBy("user_id").agg(F.max(at).alias("__last"))
     since = so_far.join(last, "user_id", "left").where(F.col("__last").isNull() | (at > F.col("__last"))).drop("__last")
-    found = _sorted(_whole(_timer_input(since, settings)), num_partitions).mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
+    ev, large = _timer_input(since, settings), _large(since, segment)
+    few = ev if large is None else ev.join(large, "user_id", "left_anti")
+    found = _sorted(_whole(few), num_partitions).mapInPandas(_fold(True, as_of_us), STATUS_SCHEMA)
+    if large is not None:
+        _, summaries = _segments(ev.join(large, "user_id", "left_semi"), num_partitions, segment)
+        after = summaries.mapInPandas(_walk(True), "user_id long, entry string, work_mins int, break_mins int")
+        found = found.unionByName(after.mapInPandas(_status_of(as_of_us), STATUS_SCHEMA))
     # users without events up to then show Ready and their work length
     users = events.select("user_id")
     work = F.lit(K.DEFAULT_WORK_MINS)

@@ -166,7 +166,8 @@ def test_hot_user_is_split_and_matches_sequential_fold(spark, stops):
         rows + few, "user_id long, seq long, ts timestamp, action string, task_id string, reflection string, interrupted boolean"
     )
     settings = spark.createDataFrame([(1, 3, 2)], "user_id long, work_mins int, break_mins int")
-    cut = timers._segments(timers._timer_input(events.where("user_id = 1"), settings), 8, 100)
+    cut, _ = timers._segments(timers._timer_input(events.where("user_id = 1"), settings), 8, 100)
+    cut = cut.withColumn("entry", F.lit(None).cast("string"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
     spread = timers._sorted(cut, 8).select(F.spark_partition_id().alias("p")).distinct().count()
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -174,8 +175,9 @@ def test_hot_user_is_split_and_matches_sequential_fold(spark, stops):
     got = timer_sessions(events, settings, num_partitions=8, segment=100).collect()
     assert sorted((r.seq, r.task_id, r.reflection, r.interrupted) for r in got if r.user_id == 1) == sorted(expected)
     assert [(r.seq, r.task_id, r.reflection) for r in got if r.user_id == 2] == [(1, "t9", "done")]
-    status = timer_status(events.where("user_id = 1"), str(pd.Timestamp(as_of, unit="us")), settings).collect()
-    assert [(r.phase, r.remaining_s) for r in status] == [(phase, rem)]
+    for segment in (100, timers.SEGMENT):
+        status = timer_status(events.where("user_id = 1"), str(pd.Timestamp(as_of, unit="us")), settings, segment=segment)
+        assert [(r.phase, r.remaining_s, r.task_id) for r in status.collect()] == [(phase, rem, st.task if phase != "idle" else None)]
 
 
 def test_notices_at_checkin_and_end_of_break(spark):
