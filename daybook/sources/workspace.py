@@ -57,11 +57,11 @@ def _parse_date(field: str) -> Column:
 
 
 def _items(docs: DataFrame, field: str) -> DataFrame:
-    """(user_id, array_pos, x): the records of one array, each with its fields as text."""
+    """(user_id, array_pos, x, __j): the records of one array, each with its fields as text, and as it stands."""
     kind = ", ".join(f"`{f}` string" for f in _FIELDS[field].split())
     return (
         docs.select("user_id", F.posexplode(F.from_json(field, "array<string>")).alias("array_pos", "__j"))
-        .select("user_id", F.col("array_pos").cast("long").alias("array_pos"), F.from_json("__j", kind).alias("x"))
+        .select("user_id", F.col("array_pos").cast("long").alias("array_pos"), F.from_json("__j", kind).alias("x"), "__j")
     )
 
 
@@ -107,6 +107,8 @@ def read_workspaces(spark: SparkSession, path: str, multiline: bool = True) -> W
         *[d[c].alias(c) for c in (*_FIELDS, "dailyPlans")],
     )
     ok = docs.where(~F.col("__corrupt"))
+    # the app fills in a missing order only; a null one sorts as 0
+    null_order = F.col("x.order").isNull() & F.array_contains(F.json_object_keys("__j"), "order")
     tasks = _items(ok, "tasks").select(
         "user_id",
         "x.id",
@@ -114,7 +116,7 @@ def read_workspaces(spark: SparkSession, path: str, multiline: bool = True) -> W
         "x.priority",
         _parse_date("x.dueDate").alias("due_date"),
         _flag("x.done").alias("done"),
-        F.col("x.order").try_cast("double").alias("ord"),
+        F.when(null_order, 0.0).otherwise(F.col("x.order").try_cast("double")).alias("ord"),
         "array_pos",
         _parse_ts("x.createdAt").alias("created_at"),
         _parse_ts("x.completedAt").alias("completed_at"),

@@ -387,16 +387,17 @@ def test_only_strict_documents_are_read(spark, tmp_path):
 
 
 def test_order_values_survive_import_and_writing(spark, tmp_path):
-    doc = {"tasks": [{"id": "a", "title": 'say "order":2.0,', "order": 0.5}, {"id": "b", "title": "B", "order": 2}, {"id": "c", "order": -1e9}]}
+    doc = {"tasks": [{"id": "a", "title": 'say "order":2.0,', "order": 0.5}, {"id": "b", "title": "B", "order": 2}, {"id": "c", "order": -1e9},
+                     {"id": "d", "order": None}, {"id": "e"}]}
     (tmp_path / "7.json").write_text(json.dumps(doc))
     w = W.read_workspaces(spark, str(tmp_path))
-    assert {r.id: r.ord for r in w.tasks.collect()} == {"a": 0.5, "b": 2, "c": -1e9}
+    assert {r.id: r.ord for r in w.tasks.collect()} == {"a": 0.5, "b": 2, "c": -1e9, "d": 0, "e": None}
     new = spark.createDataFrame([(7, "n", 0), (7, "m", 1)], "user_id long, id string, seq long")
     assert {r.id: r.ord for r in T.append_tasks(w.tasks, new).collect()} == {"n": 3, "m": 4}
     text = W.workspace_documents(w.tasks, w.notes, w.sessions).first().document
     assert '"order":2,' in text and '"order":0.5,' in text
-    assert {t["id"]: (t["order"], t.get("title")) for t in json.loads(text)["tasks"]} == {
-        "a": (0.5, 'say "order":2.0,'), "b": (2, "B"), "c": (-1e9, None)
+    assert {t["id"]: (t.get("order"), t.get("title")) for t in json.loads(text)["tasks"]} == {
+        "a": (0.5, 'say "order":2.0,'), "b": (2, "B"), "c": (-1e9, None), "d": (0, None), "e": (None, None)
     }
 
 
