@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.llm.common import stored
-from daybook.llm.pairing import in_cells, matrices, search_cells
+from daybook.llm.pairing import block_of, extent, in_cells, matrices, search_cells
 from daybook.llm.topk import DENSE, Best, exact, vectors
 
-ANCHOR_BLOCK = 4_096
 FOCUS = 4
 SLACK = 1e-9  # of a cosine, against rounding
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
@@ -151,11 +150,13 @@ class _Cell:
                 )
 
 
-def _search(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, same: bool, k: int) -> DataFrame:
+def _search(
+    anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, block: int, same: bool, k: int
+) -> DataFrame:
     """The k best rows of every window: anchor_id, akey, slot, vec_id, score, rank."""
     none = F.lit(None).cast("array<long>")
     told = rows.select("vec_id", "label", "v", "akey", none.alias("low"), none.alias("high"))
-    cells = in_cells(anchors.select(*told.columns), told, n_anchors, n_rows, ANCHOR_BLOCK)
+    cells = in_cells(anchors.select(*told.columns), told, n_anchors, n_rows, block)
     found = search_cells(cells, lambda queries: _Cell(queries, same, k), FOUND)
     order = Window.partitionBy("anchor_id", "akey", "slot").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -170,6 +171,7 @@ def hard_negatives(
     least_percent: int = 80,
     key: str = "vec_id",
     vector: str = "embedding",
+    block: int | None = None,
 ) -> DataFrame:
     """For every anchor and each of its best positives, the best negatives not far below it.
 
@@ -190,13 +192,14 @@ def hard_negatives(
         .withColumn("akey", F.xxhash64("label", "v"))
         .dropDuplicates(["vec_id", "akey"])
     )
-    n_rows = own.count()
+    n_rows, dim = extent(own)
+    block = block or block_of(dim)  # anchors that a task holds
     asked = own.where(F.col("vec_id") % every == 0)
     n_anchors = asked.count()
     everything = asked.select(
         "*", F.array(F.lit(LEAST).cast("long")).alias("low"), F.array(F.lit(MOST).cast("long")).alias("high")
     )
-    best = _search(everything, own, n_anchors, n_rows, True, positives)
+    best = _search(everything, own, n_anchors, n_rows, block, True, positives)
     # an integer n satisfies least * p <= 100 * n exactly if it is at least the ceiling; below 0 no n does
     rest = 100 - least_percent
     floor = F.expr(f"score - (score div 100) * {rest} - ((score % 100) * {rest}) div 100").alias("low")
@@ -206,7 +209,7 @@ def hard_negatives(
         windows.select(F.col("anchor_id").alias("vec_id"), "akey", F.col("w.low").alias("low"), F.col("w.score").alias("high")),
         ["vec_id", "akey"],
     )
-    found = _search(again, own, n_anchors, n_rows, False, negatives)
+    found = _search(again, own, n_anchors, n_rows, block, False, negatives)
     return (
         pairs.withColumnRenamed("rank", "slot")
         .withColumn("slot", F.col("slot") - 1)

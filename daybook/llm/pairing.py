@@ -3,8 +3,8 @@
 Rows are dealt over G groups and queries over H blocks by a hash of their contents;
 a cell is a (group, block).  Each row goes to the H cells of its group, each
 query to the G cells of its block, and a task reads a cell's queries first and then
-streams its rows past them, longest vectors first.  A cell holds about ``block``
-queries in memory and one Arrow batch of rows; nothing passes the driver.
+streams its rows past them, longest vectors first.  A task holds about ``block``
+queries (``block_of``: by their bytes) and one Arrow batch of rows; nothing passes the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +19,19 @@ from pyspark.sql import functions as F
 from daybook.llm.common import map_batches
 
 GROUP_ROWS = 2_048
+BLOCK_BYTES = 16 << 20  # vectors of the queries that a task holds
+MOST_PARTITIONS = 50_000  # of a shuffle; beyond, a task takes several cells in turn
+
+
+def extent(rows: DataFrame, vector: str = "v") -> tuple[int, int]:
+    """(number of rows, longest vector)."""
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim")).first()
+    return r["n"], r["dim"] or 0
+
+
+def block_of(dim: int) -> int:
+    """Queries of a block: as many vectors of ``dim`` components as BLOCK_BYTES holds."""
+    return max(64, BLOCK_BYTES // (8 * max(1, dim)))
 
 
 def in_cells(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, block: int, vector: str = "v") -> DataFrame:
@@ -35,7 +48,7 @@ def in_cells(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, b
     both = asked.select(*rows.columns, F.lit(False).alias("__row"), cell, size).unionByName(
         told.select(*rows.columns, F.lit(True).alias("__row"), cell, size)
     )
-    return both.repartition(groups * blocks, "__cell").sortWithinPartitions("__cell", "__row", F.desc("__size"))
+    return both.repartition(min(groups * blocks, MOST_PARTITIONS), "__cell").sortWithinPartitions("__cell", "__row", F.desc("__size"))
 
 
 def matrices(batch: pa.RecordBatch, vector: str = "v") -> dict[int, tuple[np.ndarray, np.ndarray]]:

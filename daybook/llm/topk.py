@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daybook.llm.common import stored
-from daybook.llm.pairing import in_cells, matrices, search_cells
+from daybook.llm.pairing import block_of, extent, in_cells, matrices, search_cells
 
-QUERY_BLOCK = 4_096
 DENSE = 0.02  # share of a block's pairs from which the survivors are computed as one product
 
 
@@ -179,12 +178,12 @@ class _Cell:
 
 
 def top_k(
-    rows: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int = QUERY_BLOCK
+    rows: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int | None = None
 ) -> DataFrame:
     """The k best other rows of every query (rows whose id is divisible by ``every``).
 
     query_id, rank (from 1), vec_id, score.  Queries and rows meet in cells
-    (``pairing``): a task holds at most about ``block`` queries and streams a group
+    (``pairing``): a task holds about ``block`` queries (by default by their bytes) and streams a group
     of rows past them, and keeps k rows per query.  Rows with a
     null id or vector, or a null or non-finite component, take no part; rows
     of the query's id are not its candidates, and products are taken between
@@ -196,7 +195,8 @@ def top_k(
     copies = F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")
     asked = stored(own.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(copies))
     told = own.withColumn("copies", F.lit(0).cast("long"))
-    cells = in_cells(asked.select(*told.columns), told, asked.count(), own.count(), block)
+    n_rows, dim = extent(own)
+    cells = in_cells(asked.select(*told.columns), told, asked.count(), n_rows, block or block_of(dim))
     out = search_cells(cells, lambda queries: _Cell(queries, k), FOUND)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

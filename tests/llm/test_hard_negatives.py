@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from daybook.llm import hard_negatives, topk
+from daybook.llm import hard_negatives, pairing, topk
 from tests.oracle import canon
 
 INF, NAN = float("inf"), float("nan")
@@ -43,16 +43,23 @@ def same(got, rel):
     return len(want)
 
 
-def mined(df):
+def mined(df, **more):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    return hard_negatives.hard_negatives(df, label)
+    return hard_negatives.hard_negatives(df, label, **more)
 
 
-def test_hard_negatives_awkward_rows(spark, monkeypatch):
+def test_hard_negatives_awkward_rows(spark):
     df = awkward(spark)
     assert same(mined(df), oracle(df, hard_negatives.ORACLE)) > 50
-    monkeypatch.setattr(hard_negatives, "ANCHOR_BLOCK", 2)  # many blocks of anchors
-    assert same(mined(df), oracle(df, hard_negatives.ORACLE)) > 50
+    assert same(mined(df, block=2), oracle(df, hard_negatives.ORACLE)) > 50  # many blocks of anchors
+
+
+def test_several_cells_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(pairing, "GROUP_ROWS", 50)
+    monkeypatch.setattr(pairing, "MOST_PARTITIONS", 3)
+    df = awkward(spark)
+    assert same(mined(df, block=2), oracle(df, hard_negatives.ORACLE)) > 50
+    assert same(topk.top_k(df, block=2), oracle(df, topk.ORACLE)) > 20
 
 
 def test_hard_negatives_repeats_and_empty(spark):
