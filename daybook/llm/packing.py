@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,7 @@ def best_fit(sizes: list[int], capacity: int = CAPACITY) -> tuple[list[int], lis
     return which, offset, fills
 
 
+@cache
 def byte_bpe(path: str):
     """Encoder with the ids of a byte-level BPE vocabulary file of ``tokenizers``.
 
@@ -77,14 +79,17 @@ def byte_bpe(path: str):
     """
     import public_tokenizers
     import tiktoken
-    import tokenizers
 
     spec = json.load(open(path, encoding="utf-8"))
     added = spec.get("added_tokens", [])
     special = {t["content"]: t["id"] for t in added}
     cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
     plainly = not any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized"))
-    whole = None if plainly else tokenizers.Tokenizer.from_file(path)
+    whole = None
+    if not plainly:
+        import tokenizers
+
+        whole = tokenizers.Tokenizer.from_file(path)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     to_byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
@@ -163,8 +168,9 @@ def local_bins(docs: DataFrame, path: str, capacity: int, slack: int) -> DataFra
             rows.clear()
             return pa.RecordBatch.from_pydict({c.split()[0]: out[c.split()[0]] for c in PIECE.split(", ")})
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        parts = (batch.slice(i, 200) for batch in batches for i in range(0, batch.num_rows, 200))
+        for part_of in parts:
+            for doc_id, text in zip(part_of.column("doc_id").to_pylist(), part_of.column("text").to_pylist()):
                 ids = np.array([*encode(text or ""), 0], dtype="<u4")
                 for k, (start, length) in enumerate(_pieces(len(ids), capacity)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
