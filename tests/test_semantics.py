@@ -401,6 +401,33 @@ def test_order_values_survive_import_and_writing(spark, tmp_path):
     }
 
 
+def test_documents_are_shuffled_once_and_parsed_once(spark, tmp_path):
+    """Both failed before: records went through a shuffle by chunk and one by user, a document through several parses."""
+    at = ts("2024-01-01 00:00:00")
+    tasks = spark.createDataFrame(
+        [(u, f"t{i}", "A", "low", None, False, None, i, at, None) for u in (1, 2) for i in range(12)],
+        "user_id long, id string, title string, priority string, due_date date, done boolean, ord long, array_pos long, created_at timestamp, completed_at timestamp")
+    notes = spark.createDataFrame(
+        [(1, i, f"{i}{k}", None, None, at + dt.timedelta(minutes=m), at) for i, k, m in (("a", 0, 0), ("b", 0, 1), ("a", 1, 2))] + [(3, "n", "x", None, None, None, at)],
+        "user_id long, id string, content string, task_id string, summary string, created_at timestamp, updated_at timestamp")
+    sessions = spark.createDataFrame(
+        [(2, f"s{i}", "t0", 25, "", False, dt.date(2024, 1, 1), at - dt.timedelta(minutes=i), "A") for i in range(3)],
+        "user_id long, id string, task_id string, duration_minutes int, reflection string, interrupted boolean, date date, completed_at timestamp, task_title string")
+    docs = W.workspace_documents(tasks, notes, sessions)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    read = {r.user_id: json.loads(r.document) for r in docs.collect()}
+    assert [t["id"] for t in read[1]["tasks"]] == [f"t{i}" for i in range(12)] and read[3]["tasks"] == []
+    # newest first; each place of a repeated id takes every record of the id
+    assert [n["content"] for n in read[1]["notes"]] == ["a0", "a1", "b0", "a0", "a1"] and len(read[3]["notes"]) == 1
+    assert [s["id"] for s in read[2]["focusSessions"]] == ["s2", "s1", "s0"]
+    W.write_workspaces(tasks, notes, sessions, str(tmp_path / "w"), compression="lz4")
+    w = W.read_workspaces(spark, str(tmp_path / "w"), multiline=False)
+    assert w.tasks.count() == 24 and w.corrupt.count() == 0
+    for part, parses in ((w.corrupt, 1), (w.sessions, 3)):
+        assert part._jdf.queryExecution().executedPlan().toString().count("from_json(") == parses
+
+
 def test_several_moves_of_one_user(spark):
     t = tasks_df(spark, [task(1, x, ord_=i, pos=i) for i, x in enumerate("abc")] + [task(2, "z", ord_=0, pos=0)])
     moves = spark.createDataFrame(
