@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 512
+# shifts that a task hands on at once, at the least
+BATCH_ROWS = 10_000
 
 
 class _Block:
@@ -123,20 +125,26 @@ def shifts(marked: DataFrame, moves: DataFrame, order: list[str]) -> DataFrame:
             if drags:
                 yield user, ids, places, drags
 
+        def done() -> pa.RecordBatch:
+            kinds = (user_type, pa.int64(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=["user_id", "__gap", "__marked", "__shift"])
+
+        rows: tuple[list, ...] = ([], [], [], [])
         for user, ids, places, drags in users():
             found = compose(ids, places, drags)
             if found is not None:
                 n = range(len(found))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([user] * len(found), user_type),
-                        # a named item counts in its own running total, a run in that of the item before it
-                        pa.array([(i + 1) // 2 for i in n], pa.int64()),
-                        pa.array([i % 2 for i in n], pa.int32()),
-                        pa.array(found, pa.int64()),
-                    ],
-                    names=["user_id", "__gap", "__marked", "__shift"],
-                )
-
-    dealt = both.repartition("user_id").sortWithinPartitions("user_id", "__move", "pos", *[f"__o{i}" for i in range(len(order))])
+                rows[0].extend([user] * len(found))
+                # a named item counts in its own running total, a run in that of the item before it
+                rows[1].extend((i + 1) // 2 for i in n)
+                rows[2].extend(i % 2 for i in n)
+                rows[3].extend(found)
+            if len(rows[0]) >= BATCH_ROWS:
+                yield done()
+                rows = ([], [], [], [])
+        if rows[0]:
+            yield done()
+
+    # by a hash of the user: dealt anew even if both parts are dealt by user already, as their partitions may be merged differently
+    dealt = both.repartition(F.xxhash64("user_id")).sortWithinPartitions("user_id", "__move", "pos", *[f"__o{i}" for i in range(len(order))])
     return dealt.select("user_id", "__move", "pos", "id", "drag_id", "over_id").mapInArrow(run, SHIFTS.format(kind=kind))

@@ -83,6 +83,7 @@ def ordered_scan(
     last: dict[str, str] | None = None,
     switches: dict[str, tuple[list[str], Callable[[Column, Column], Column]]] | None = None,
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add per-key sequence columns to ``df``.
 
@@ -97,12 +98,15 @@ def ordered_scan(
     * ``switches``: ``{out: (columns, differs)}``, how many rows so far (inclusive) differ from
       the row before them: ``differs(before, row)`` on structs of ``columns``, null is no.
 
+    ``counted`` has the rows of ``df`` and maybe more, with the key and order columns; it is
+    counted in place of ``df`` if that is cheaper (joins left out).
+
     Select the columns you need first: all columns of ``df`` are shuffled.
     """
     lag, lead, rsum = dict(lag or {}), dict(lead or {}), dict(running_sum or {})
     last, switches = dict(last or {}), dict(switches or {})
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds, most = _hot_bounds(df.select(key, *order), key, order, parts, hot_rows or HOT_ROWS) or (None, 0)
+    bounds, most = _hot_bounds((df if counted is None else counted).select(key, *order), key, order, parts, hot_rows or HOT_ROWS) or (None, 0)
     by = [key] if bounds is None else [key, "__bucket"]
     at = F.struct(*[F.col(c) for c in order])
     if bounds is not None:

@@ -194,15 +194,14 @@ def move_item(tasks: DataFrame, moves: DataFrame) -> DataFrame:
     """
     tie = ["move_id"] if "move_id" in moves.columns else ["drag_id", "over_id"]
     named = moves.select("user_id", F.explode(F.array("drag_id", "over_id")).alias("id")).distinct()
+    pending = _filled(tasks.where(~_is_done())).select("user_id", "id", "ord", "array_pos")
     pend = (
-        _filled(tasks.where(~_is_done()))
-        .select("user_id", "id", "ord", "array_pos")
-        .join(moves.select("user_id").distinct(), "user_id", "left_semi")
+        pending.join(moves.select("user_id").distinct(), "user_id", "left_semi")
         .join(named.withColumn("__marked", F.lit(1)), ["user_id", "id"], "left")
         .withColumn("__marked", F.coalesce("__marked", F.lit(0)))
     )
     placed = ordered_scan(
-        pend, "user_id", ["ord", "array_pos"], position="pos", running_sum={"__gap": "__marked"}
+        pend, "user_id", ["ord", "array_pos"], position="pos", running_sum={"__gap": "__marked"}, counted=pending
     )
     found = shifts(placed.where("__marked = 1").select("user_id", "id", "pos"), moves, ["ts", *tie])
     new_ord = placed.join(found, ["user_id", "__gap", "__marked"]).select(

@@ -4,6 +4,8 @@ import datetime as dt
 import random
 from time import perf_counter
 
+from pyspark.sql import functions as F
+
 from daybook.operators import tasks as T
 from daybook.operators.moves import compose
 
@@ -70,3 +72,22 @@ def test_many_moves_of_one_user_in_one_pass(spark):
 def test_no_moves(spark):
     tasks, log = _tables(spark, {1: 3}, {})
     assert {r.id: r.ord for r in T.move_item(tasks, log).collect()} == {"t0": 0, "t1": 2, "t2": 4}
+
+
+def test_moves_dealt_by_user_already_are_read_once_for_the_places(spark):
+    """Failed before: the places were counted with all joins in, and tasks and moves dealt alike met no shuffle of their own."""
+    rows = [(u, f"t{i}", False, None, i) for u in range(60) for i in range(6)]
+    tasks = spark.createDataFrame(rows, "user_id long, id string, done boolean, ord long, array_pos long")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    moves = (
+        spark.range(120).groupBy((F.col("id") % 60).alias("user_id")).agg(F.collect_list("id").alias("k"))
+        .select("user_id", at.alias("ts"), F.posexplode("k").alias("move_id", "k"))
+        .select("user_id", "ts", "move_id", F.lit("t0").alias("drag_id"), F.lit("t5").alias("over_id"))
+    )
+    df = T.move_item(tasks, moves)
+    assert "xxhash64(user_id" in df._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.user_id, {})[r.id] = r.ord
+    # t0 goes behind t5, then in front of it again
+    assert len(got) == 60 and all(g == {"t1": 0, "t2": 1, "t3": 2, "t4": 3, "t0": 4, "t5": 5} for g in got.values())
