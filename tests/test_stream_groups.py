@@ -1,12 +1,16 @@
 """Many users under one state key: as many state calls as groups, and the results of each user alone."""
 
+import datetime as dt
 import random
 
 import pandas as pd
-from test_stream_state import Clock, Handle
+from pyspark.sql import functions as F
+from test_stream_state import Clock, Handle, all_nudges
 
-from daybook.operators.timers import TimerState
+from daybook.operators.timers import TimerState, idle_nudges, timer_sessions
+from daybook.streaming import idle_nudges_stream, timer_sessions_stream
 from daybook.streaming.buckets import CHUNK, Queue
+from daybook.streaming.nudges import Nudges
 from daybook.streaming.timer import Timer
 
 
@@ -57,6 +61,26 @@ def test_queue_packs_rows_into_few_entries():
     assert ready + queue.take(996) == sorted(rows) and handle.rows == []
 
 
+def test_nudges_of_a_group_are_those_of_each_user():
+    rng = random.Random(3)
+    handle, job = Store(), Nudges(50_000, 7_000)
+    job.init(handle)
+    wms, batches, times = [], [], {u: [] for u in [*range(200), 2**62, -5]}
+    for step in range(8):
+        wm = step * 90
+        new = [(u, (wm + 1 + rng.randrange(400)) * 1000) for u in times for _ in range(rng.randrange(4))]
+        for u, t in new:
+            times[u].append(t)
+        batches.append(pd.DataFrame({"user_id": [u for u, _ in new], "ts": pd.to_datetime([t for _, t in new], unit="us")}))
+        wms.append(wm)
+    batches.append(pd.DataFrame())
+    wms.append(2_000)
+    got = [(u, a.value // 1000, f.value // 1000) for u, a, f in drive(job, handle, batches, wms)]
+    want = {(u, a, f) for u, ts in times.items() for a, f in all_nudges(ts, 50_000, 7_000, wms[-1] * 1000)}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert handle.calls <= 4 * len(wms)
+
+
 def test_timers_of_a_group_are_those_of_each_user():
     rng = random.Random(4)
     handle, job = Store(), Timer()
@@ -85,3 +109,28 @@ def test_timers_of_a_group_are_those_of_each_user():
             want.append((u, n, *s))
     assert len(want) > 5 and sorted(got) == sorted(want)
     assert handle.calls <= 8 * len(wms) and handle.written < seq
+
+
+def test_streams_of_few_groups_equal_batch(spark, tmp_path):
+    rng = random.Random(5)
+    actions = ["start", "resume", "checkin", "checkin", "pause", "stop"]
+    kind = "user_id long, seq long, ts timestamp, action string, task_id string"
+    rows = [(rng.randrange(-3, 40), i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(200_000)),
+             rng.choice(actions), f"t{i}") for i in range(1_500)]
+    rows.sort(key=lambda r: r[2])
+    for i in range(3):
+        part = spark.createDataFrame(rows[i * 500 : (i + 1) * 500], kind)
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    events = spark.read.schema(kind).parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for name, build, batch in (
+        ("few_nudges", idle_nudges_stream(source, groups=1), lambda wm: idle_nudges(events, wm)),
+        ("few_timers", timer_sessions_stream(source, groups=2), lambda wm: timer_sessions(events).where(F.col("completed_at") <= wm)),
+    ):
+        q = build.writeStream.format("memory").queryName(name).outputMode("append")
+        q = q.option("checkpointLocation", str(tmp_path / name)).start()
+        q.processAllAvailable()
+        wm = F.lit(q.lastProgress["eventTime"]["watermark"].replace("T", " ").replace("Z", "")).cast("timestamp")
+        q.stop()
+        got, want = (sorted(map(tuple, d.collect())) for d in (spark.table(name), batch(wm)))
+        assert got == want and got
